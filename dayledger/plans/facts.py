@@ -24,13 +24,21 @@ def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
     return dim_user(spark, sf).select("user_id")
 
 
-def app_event_fact(spark: SparkSession, sf: str, event_type: str) -> DataFrame:
+def guarded_events(spark: SparkSession, sf: str) -> DataFrame:
+    """All app events of cohort users (one scan, one guard join). Channel facts
+    are filters on this frame, so any number of channels costs one scan."""
+    e = B.events(spark, sf)
+    return e.join(cohort_ids(spark, sf), "user_id", "inner")
+
+
+def app_event_fact(spark: SparkSession, sf: str, event_type: str,
+                   guarded: DataFrame | None = None) -> DataFrame:
     """FCT-01/02: one app channel: cohort guard, local date, md5 event key over
     (user, event time) — NULL parts skipped, the time formatted explicitly."""
-    e = B.events(spark, sf).where(F.col("event_type") == event_type)
-    guarded = e.join(cohort_ids(spark, sf), "user_id", "inner")
-    return guarded.select(
-        event_key(F.col("user_id").cast("string"), key_text("ts", guarded.schema["ts"].dataType)
+    g = guarded if guarded is not None else guarded_events(spark, sf)
+    f = g.where(F.col("event_type") == event_type)
+    return f.select(
+        event_key(F.col("user_id").cast("string"), key_text("ts", f.schema["ts"].dataType)
                   ).alias("event_key"),
         "event_id", "user_id", F.col("ts").alias("event_at"),
         F.col("event_date"), "value")

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
-from dayledger.operators.setops import union_all
 from dayledger.plans import bindings as B
 from dayledger.plans import facts as FT
 from dayledger.sources.seeds import values_df
@@ -65,11 +64,12 @@ def control_from_landing(spark: SparkSession, sf: str) -> DataFrame:
     return inc_rows.unionByName(full_rows)
 
 
-def observed_frontiers(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest local date actually observed per channel (cohort facts)."""
-    parts = [FT.app_event_fact(spark, sf, c).agg(F.max("event_date").alias("observed_event_through_date"))
-             .withColumn("channel_code", F.lit(c)) for c in CHANNELS]
-    return union_all(parts)
+def observed_frontiers(spark: SparkSession, sf: str, channels=CHANNELS) -> DataFrame:
+    """Latest local date actually observed per channel (cohort facts): one
+    grouped aggregate over the guarded events."""
+    g = FT.guarded_events(spark, sf).where(F.col("event_type").isin(list(channels)))
+    return g.groupBy(F.col("event_type").alias("channel_code")).agg(
+        F.max("event_date").alias("observed_event_through_date"))
 
 
 def channel_load_status(spark: SparkSession, sf: str, control: DataFrame | None = None

@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
-from dayledger.operators.setops import union_all
 from dayledger.plans import facts as FT
 from dayledger.plans import load_status as LS
 from dayledger.plans.dims import dim_user
@@ -73,14 +72,14 @@ COMPLETED_MIN_VALUE = 50.0
 def channel_rows(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHANNELS
                  ) -> DataFrame:
     """Long form ``(user_id, ymd_date, channel_code, is_done)`` of every channel
-    fact row (cohort-guarded facts)."""
-    parts = []
-    for ch in channels:
-        f = FT.app_event_fact(spark, sf, ch.code)
-        done = (F.col("value") >= COMPLETED_MIN_VALUE) if ch.done_col else F.lit(False)
-        parts.append(f.select("user_id", F.col("event_date").alias("ymd_date"),
-                              F.lit(ch.code).alias("channel_code"), done.alias("is_done")))
-    return union_all(parts)
+    fact row: the cohort-guarded events restricted to the channel codes (one
+    scan for all channels)."""
+    g = FT.guarded_events(spark, sf).where(F.col("event_type").isin([c.code for c in channels]))
+    done_codes = [c.code for c in channels if c.done_col]
+    done = F.col("event_type").isin(done_codes) & (F.col("value") >= COMPLETED_MIN_VALUE)
+    return g.select("user_id", F.col("event_date").alias("ymd_date"),
+                    F.col("event_type").alias("channel_code"),
+                    F.coalesce(done, F.lit(False)).alias("is_done"))
 
 
 def daily_counts(rows: DataFrame, channels: Sequence[ChannelSpec] = CHANNELS) -> DataFrame:

@@ -293,3 +293,166 @@ FROM collapsed c JOIN dim_user u ON u.user_id = c.user_lifelog_sn""", [_SAMPLES,
 def _dtl02(spark, sf):
     """DTL-02: source-grain detail fact of the collapsed stream."""
     return W.detail_fact(spark, sf)
+
+
+# --------------------------------------------------------------------------- load status & panels
+
+_DEPS_VALUES = ", ".join("('" + "', '".join(d) + "')" for d in LS.DEPENDENCIES)
+_STATUS = [
+    "ctl AS (SELECT 'events' AS source_system, 'public' AS schema_name, "
+    "'events_' || event_type AS table_name, 'SUCCESS' AS last_status, MAX(ts) AS updated_at "
+    "FROM events GROUP BY event_type UNION ALL SELECT s, 'public', t, 'SUCCESS', "
+    "(SELECT MAX(ts) FROM events) FROM (VALUES ('crm', 'customer'), ('sales', 'orders')) v(s, t))",
+    f"deps AS (SELECT * FROM (VALUES {_DEPS_VALUES}) d(channel_code, source_system, schema_name, "
+    "table_name, load_mode))",
+    "frontiers AS (SELECT event_type AS channel_code, MAX(event_date) AS observed_event_through_date "
+    "FROM fact_ev GROUP BY 1)",
+    "status AS (SELECT r.channel_code, r.dependency_count, r.successful_dependency_count, "
+    "r.all_dependencies_successful, r.oldest_recorded_success_at, r.latest_recorded_success_at, "
+    f"CASE WHEN r.all_dependencies_successful THEN CAST(r.oldest_recorded_success_at {KST} AS DATE) - 1 "
+    "END AS load_complete_through_date, o.observed_event_through_date, "
+    "r.has_empty_incremental_run_blind_spot, 'TARGET_SUCCESS_ONLY' AS completion_evidence_kind "
+    "FROM (SELECT channel_code, COUNT(*) AS dependency_count, "
+    "COUNT(*) FILTER (WHERE last_status = 'SUCCESS') AS successful_dependency_count, "
+    "bool_and(last_status = 'SUCCESS' AND updated_at IS NOT NULL) AS all_dependencies_successful, "
+    "MIN(updated_at) AS oldest_recorded_success_at, MAX(updated_at) AS latest_recorded_success_at, "
+    "bool_or(load_mode = 'INCREMENTAL') AS has_empty_incremental_run_blind_spot "
+    "FROM deps LEFT JOIN ctl USING (source_system, schema_name, table_name) GROUP BY channel_code) r "
+    "LEFT JOIN frontiers o USING (channel_code))",
+]
+
+
+@register("fct12_channel_load_status", with_ctes(["fact_ev"], "SELECT * FROM status", _STATUS))
+def _fct12(spark, sf):
+    """FCT-12: channel load status from dependencies, control table and facts."""
+    return LS.channel_load_status(spark, sf)
+
+
+def _panel_ctes() -> list[str]:
+    chans = P.CHANNELS
+    front = ", ".join(
+        [f"MAX(load_complete_through_date) FILTER (WHERE channel_code = '{c.code}') AS {c.code}_through"
+         for c in chans]
+        + ["MAX(greatest(load_complete_through_date, observed_event_through_date)) AS panel_through"])
+    codes = ", ".join(f"'{c.code}'" for c in chans)
+    app = ", ".join(f"'{c.code}'" for c in chans if c.kind == P.APP)
+    daily = []
+    for c in chans:
+        daily.append(f"SUM(CASE WHEN channel_code = '{c.code}' THEN 1 END) AS raw_{c.value_col}")
+        if c.done_col:
+            daily.append(f"SUM(CASE WHEN channel_code = '{c.code}' THEN CAST(is_done AS INTEGER) END) "
+                         f"AS raw_{c.done_col}")
+    prog = [c for c in chans if c.kind == P.PROGRAM]
+    firsts = ", ".join(["MIN(ymd_date) AS first_activity_date",
+                        f"MIN(ymd_date) FILTER (WHERE channel_code IN ({app})) AS first_app_event_date"]
+                       + [f"MIN(ymd_date) FILTER (WHERE channel_code = '{c.code}') AS first_{c.code}_date"
+                          for c in prog])
+    elig = ", ".join(
+        ["least(u.app_registered_date, f.first_app_event_date) AS app_eligible_from_date",
+         "u.joined_date AS enrolled_eligible_from_date",
+         "least(u.joined_date, coalesce(f.first_activity_date, u.joined_date)) AS spine_from"]
+        + [f"least(u.joined_date, f.first_{c.code}_date) AS {c.code}_eligible_from_date" for c in prog])
+    sel = ["r.user_id", "r.ymd_date",
+           "CAST(NULL AS DOUBLE) AS age_at_activity", "CAST(NULL AS BIGINT) AS age_band_5y",
+           "r.ymd_date - r.joined_date AS days_since_joined",
+           "CAST(extract(year FROM age(r.ymd_date, r.joined_date)) * 12 "
+           "+ extract(month FROM age(r.ymd_date, r.joined_date)) AS BIGINT) AS months_since_joined"]
+    elig_of = {P.APP: "app_eligible_from_date", P.ENROLLED: "enrolled_eligible_from_date"}
+    for c in chans:
+        thr, raw = f"r.{c.code}_through", f"r.raw_{c.value_col}"
+        if c.kind == P.PASSIVE:
+            sel.append(f"{raw} AS {c.value_col}")
+            sel.append(f"CASE WHEN {raw} IS NOT NULL THEN 'OBSERVED_ACTIVITY' WHEN {thr} IS NULL OR "
+                       f"r.ymd_date > {thr} THEN 'NOT_LOADED' ELSE 'ELIGIBILITY_UNKNOWN' END AS {c.code}_state")
+            continue
+        e = "r." + elig_of.get(c.kind, f"{c.code}_eligible_from_date")
+        sel.append(f"CASE WHEN {raw} IS NOT NULL THEN {raw} WHEN r.ymd_date <= {thr} AND r.ymd_date >= {e} "
+                   f"THEN 0 END AS {c.value_col}")
+        if c.done_col:
+            sel.append(f"CASE WHEN {raw} IS NOT NULL THEN r.raw_{c.done_col} WHEN r.ymd_date <= {thr} "
+                       f"AND r.ymd_date >= {e} THEN 0 END AS {c.done_col}")
+        unknown = f"WHEN {e} IS NULL THEN 'ELIGIBILITY_UNKNOWN' " if c.kind == P.APP else ""
+        sel.append(f"CASE WHEN {raw} IS NOT NULL THEN 'OBSERVED_ACTIVITY' WHEN {thr} IS NULL OR "
+                   f"r.ymd_date > {thr} THEN 'NOT_LOADED' {unknown}WHEN r.ymd_date < {e} THEN "
+                   f"'NOT_YET_ELIGIBLE' ELSE 'OBSERVED_ZERO' END AS {c.code}_state")
+    first_app = next(c for c in chans if c.kind == P.APP)
+    passive = next(c for c in chans if c.kind == P.PASSIVE)
+    sel.append(f"CASE WHEN r.raw_{first_app.value_col} IS NOT NULL THEN true WHEN r.ymd_date <= "
+               f"r.{first_app.code}_through AND r.ymd_date >= r.app_eligible_from_date THEN false END "
+               f"AS did_{first_app.code}")
+    sel.append(f"CASE WHEN r.raw_{passive.value_col} IS NOT NULL THEN true END AS had_passive_collection")
+    sel += [f"r.{c.code}_through" for c in chans]
+    return _STATUS + [
+        f"front AS (SELECT {front} FROM status)",
+        f"prows AS (SELECT user_id, event_date AS ymd_date, event_type AS channel_code, "
+        f"CASE WHEN event_type IN ({', '.join(repr(c.code) for c in prog)}) THEN value >= "
+        f"{P.COMPLETED_MIN_VALUE} ELSE false END AS is_done FROM fact_ev WHERE event_type IN ({codes}))",
+        f"daily AS (SELECT user_id, ymd_date, {', '.join(daily)} FROM prows GROUP BY 1, 2)",
+        f"firsts AS (SELECT user_id, {firsts} FROM prows GROUP BY 1)",
+        f"bounds AS (SELECT u.user_id, u.joined_date, u.app_registered_date, u.birth_year, {elig} "
+        "FROM dim_user u LEFT JOIN firsts f USING (user_id))",
+        "cal AS (SELECT CAST(unnest(generate_series(DATE '1970-01-01', DATE '2060-12-31', "
+        "INTERVAL 1 DAY)) AS DATE) AS date_day)",
+        "spine AS (SELECT b.user_id, d.date_day AS ymd_date FROM bounds b CROSS JOIN front f "
+        "JOIN cal d ON d.date_day BETWEEN b.spine_from AND f.panel_through)",
+        "raw AS (SELECT sp.user_id, sp.ymd_date, b.* EXCLUDE (user_id), f.*, dl.* EXCLUDE (user_id, ymd_date) "
+        "FROM spine sp JOIN bounds b USING (user_id) CROSS JOIN front f "
+        "LEFT JOIN daily dl USING (user_id, ymd_date))",
+        f"panel AS (SELECT {', '.join(sel)} FROM raw r)",
+    ]
+
+
+_PANEL = _panel_ctes()
+
+
+@register("pnl01_user_day", with_ctes(["fact_ev"], "SELECT * FROM panel", _PANEL))
+def _pnl01(spark, sf):
+    """PNL-01: dense user x day panel with values, states and frontiers."""
+    return P.user_day(spark, sf)
+
+
+@register("pnl02_user_day_wide", with_ctes(["fact_ev"], """
+SELECT p.*, u.segment, u.site_name, u.cohort_group, isodow(p.ymd_date) AS iso_day_of_week,
+       CAST(date_trunc('week', p.ymd_date) AS DATE) AS week_start_date,
+       CAST(date_trunc('month', p.ymd_date) AS DATE) AS month_start_date,
+       strftime(p.ymd_date, '%Y-%m') AS year_month
+FROM panel p LEFT JOIN dim_user u USING (user_id)""", _PANEL))
+def _pnl02(spark, sf):
+    """PNL-02: panel plus user and calendar attributes."""
+    return P.user_day_wide(P.user_day(spark, sf), D.dim_user(spark, sf))
+
+
+def _month_sql() -> str:
+    aggs = ["MIN(ymd_date) AS panel_start_date", "MAX(ymd_date) AS panel_end_date",
+            "COUNT(*) AS panel_days"]
+    for c in P.CHANNELS:
+        if c.kind != P.PASSIVE:
+            aggs.append(f"COUNT(*) FILTER (WHERE {c.code}_state IN ('OBSERVED_ACTIVITY', 'OBSERVED_ZERO')) "
+                        f"AS {c.code}_observed_days")
+        aggs.append(f"CAST(SUM({c.value_col}) AS BIGINT) AS {c.value_col}")
+        aggs.append(f"COUNT(*) FILTER (WHERE coalesce({c.value_col}, 0) > 0) AS {c.code}_activity_days")
+        if c.done_col:
+            aggs.append(f"CAST(SUM({c.done_col}) AS BIGINT) AS {c.done_col}")
+    eng = " OR ".join(f"coalesce({c.value_col}, 0) > 0" for c in P.CHANNELS if c.kind == P.APP)
+    aggs.append(f"COUNT(*) FILTER (WHERE {eng}) AS app_engaged_days")
+    mend = "CAST(m.month_start_date + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE)"
+    jm = "CAST(date_trunc('month', u.joined_date) AS DATE)"
+    return f"""
+SELECT m.*, {mend} AS month_end_date,
+  CAST(extract(year FROM age(m.month_start_date, {jm})) * 12
+       + extract(month FROM age(m.month_start_date, {jm})) AS BIGINT) AS cohort_month_index,
+  m.panel_start_date > m.month_start_date AS is_left_partial_month,
+  m.panel_end_date < {mend} AS is_right_censored,
+  (m.panel_start_date > m.month_start_date OR m.panel_end_date < {mend}) AS is_partial_month
+FROM (SELECT user_id, CAST(date_trunc('month', ymd_date) AS DATE) AS month_start_date, {', '.join(aggs)}
+      FROM panel GROUP BY 1, 2) m JOIN dim_user u USING (user_id)"""
+
+
+@register("pnl03_user_month", with_ctes(["fact_ev"], _month_sql(), _PANEL))
+def _pnl03(spark, sf):
+    """PNL-03: user x month panel with observed-day denominators and flags."""
+    return P.user_month(P.user_day(spark, sf), D.dim_user(spark, sf))
+
+
+# Second-wave registrations (generic operators) live in their own module.
+from dayledger.plans import registry_ops as _ops  # noqa: E402,F401

@@ -54,9 +54,12 @@ STREAMS: tuple[StreamSpec, ...] = (
 PAYLOAD = ["user_lifelog_sn", "measured_at", "type_code", "sample_value"]
 
 
-def raw_samples(spark: SparkSession, sf: str, code: str) -> DataFrame:
-    """Raw samples of one stream (stand-in: events of one type)."""
+def raw_samples(spark: SparkSession, sf: str, code: str, before: str | None = None) -> DataFrame:
+    """Raw samples of one stream (stand-in: events of one type); ``before``
+    replays the source as it stood at an earlier time (arrivals up to it)."""
     e = B.events(spark, sf).where(F.col("event_type") == code)
+    if before is not None:
+        e = e.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
     return e.select(F.col("user_id").alias("user_lifelog_sn"), F.col("ts").alias("measured_at"),
                     F.col("event_type").alias("type_code"),
                     F.col("value").cast(VALUE_TYPE).alias("sample_value"))
@@ -70,8 +73,9 @@ def collapse_samples(raw: DataFrame) -> DataFrame:
                                  count_col="source_row_count", key_col="source_observation_id")
 
 
-def collapsed_stream(spark: SparkSession, sf: str, code: str = WEIGHTED_STREAM) -> DataFrame:
-    return collapse_samples(raw_samples(spark, sf, code))
+def collapsed_stream(spark: SparkSession, sf: str, code: str = WEIGHTED_STREAM,
+                     before: str | None = None) -> DataFrame:
+    return collapse_samples(raw_samples(spark, sf, code, before))
 
 
 def collapsed_incremental(target: DataFrame, raw: DataFrame, days: int = 30) -> DataFrame:
@@ -86,13 +90,14 @@ def _cohort(spark: SparkSession, sf: str) -> DataFrame:
                                       F.col("user_id"))
 
 
-def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec) -> DataFrame:
+def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | None = None
+                ) -> DataFrame:
     users = _cohort(spark, sf)
     if spec.weighted:
-        src = collapsed_stream(spark, sf, spec.code)
+        src = collapsed_stream(spark, sf, spec.code, before)
         n = F.col("source_row_count")
     else:
-        src = raw_samples(spark, sf, spec.code).where(F.col("measured_at").isNotNull())
+        src = raw_samples(spark, sf, spec.code, before).where(F.col("measured_at").isNotNull())
         n = F.lit(1)
     src = src.join(users, "user_lifelog_sn", "inner")
     v = F.col("sample_value")
@@ -119,13 +124,13 @@ def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec) -> DataFrame:
             .agg(*aggs).withColumn("stream_code", F.lit(spec.code)))
 
 
-def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = STREAMS
-                 ) -> DataFrame:
+def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = STREAMS,
+                 before: str | None = None) -> DataFrame:
     """INT-02: (user, local day, stream) -> n, sum, mean, min, max, kcal.
     Templated over the stream spec list; one union of per-stream aggregates."""
     cols = ["user_id", "wear_date", "stream_code", "n_samples", "value_sum", "value_mean",
             "value_min", "value_max", "kcal_sum"]
-    return union_all([_stream_day(spark, sf, s).select(*cols) for s in streams])
+    return union_all([_stream_day(spark, sf, s, before).select(*cols) for s in streams])
 
 
 def wearable_day_incremental(target: DataFrame, fresh: DataFrame, days: int = 30) -> DataFrame:
