@@ -26,6 +26,8 @@ JSON payloads          ``events.props``
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,17 +38,20 @@ ENROLMENT_EVENT = "signup"
 CATALOGUE_MAX_SIZE = 35
 
 
+@lru_cache(maxsize=16)
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw app events with the local event date."""
+    """Raw app events with the local event date. The same frame object is
+    handed to every consumer of one session, so identical subtrees in a plan
+    let Spark reuse their exchanges instead of re-reading the table."""
     e = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     return e.withColumn("event_date", local_date("ts"))
 
 
 def cohort_source(spark: SparkSession, sf: str) -> DataFrame:
     """Cohort population (user_master shape): one row per enrolled user."""
-    e = read_table(spark, sf, "events", ["user_id", "ts", "event_type"])
+    e = events(spark, sf)
     return (e.where(F.col("event_type") == ENROLMENT_EVENT)
-            .groupBy("user_id").agg(F.min(local_date("ts")).alias("joined_date")))
+            .groupBy("user_id").agg(F.min("event_date").alias("joined_date")))
 
 
 def accounts(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,19 @@ def bmi_band(weight_kg: Column, height_cm: Column) -> Column:
 
 
 def dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:
+    """DIM-06; see ``build_dim_user``. Without a staff list the frame is shared
+    per session (one subtree, reusable exchanges)."""
+    if staff is None:
+        return _dim_user_shared(spark, sf)
+    return build_dim_user(spark, sf, staff)
+
+
+@lru_cache(maxsize=16)
+def _dim_user_shared(spark: SparkSession, sf: str) -> DataFrame:
+    return build_dim_user(spark, sf, None)
+
+
+def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:
     """DIM-06 (SCD1): cohort left-joined to account, site and the staff list.
 
     One row per cohort user. Unsourced attributes (birth year, app

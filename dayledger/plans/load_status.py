@@ -54,7 +54,7 @@ def control_from_landing(spark: SparkSession, sf: str) -> DataFrame:
         F.col("wm").alias("watermark_value"), F.lit("SUCCESS").alias("last_status"),
         F.lit(None).cast("string").alias("last_error"), F.col("n").cast("bigint").alias("row_count"),
         F.col("wm").alias("updated_at"))
-    run_end = e.agg(F.max("ts").alias("run_at"))
+    run_end = inc.agg(F.max("wm").alias("run_at"))
     full = values_df(spark, FULL_REFRESH_TABLES,
                      "source_system string, schema_name string, table_name string")
     full_rows = full.crossJoin(F.broadcast(run_end)).select(
@@ -65,16 +65,19 @@ def control_from_landing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def observed_frontiers(spark: SparkSession, sf: str, channels=CHANNELS) -> DataFrame:
-    """Latest local date actually observed per channel (cohort facts): one
-    grouped aggregate over the guarded events."""
-    g = FT.guarded_events(spark, sf).where(F.col("event_type").isin(list(channels)))
-    return g.groupBy(F.col("event_type").alias("channel_code")).agg(
-        F.max("event_date").alias("observed_event_through_date"))
-
-
-def channel_load_status(spark: SparkSession, sf: str, control: DataFrame | None = None
-                        ) -> DataFrame:
-    """FCT-12 over the dependency list, the control table and the facts."""
+    """Latest local date actually observed per channel (cohort facts): events
+    are reduced per (user, channel) first, then guarded, then reduced again."""
+    e = B.events(spark, sf).where(F.col("event_type").isin(list(channels)))
+    per_user = e.groupBy("user_id", "event_type").agg(F.max("event_date").alias("last_date"))
+    guarded = per_user.join(FT.cohort_ids(spark, sf), "user_id", "left_semi")
+    return guarded.groupBy(F.col("event_type").alias("channel_code")).agg(
+        F.max("last_date").alias("observed_event_through_date"))
+
+
+def channel_load_status(spark: SparkSession, sf: str, control: DataFrame | None = None,
+                        frontiers: DataFrame | None = None) -> DataFrame:
+    """FCT-12 over the dependency list, the control table and the facts
+    (``frontiers``: precomputed ``(channel_code, observed_event_through_date)``)."""
     ctl = control if control is not None else control_from_landing(spark, sf)
     ctl = ctl.select("source_system", "schema_name", "table_name", "last_status", "updated_at")
     deps = dependencies(spark).join(ctl, ["source_system", "schema_name", "table_name"], "left")
@@ -88,7 +91,8 @@ def channel_load_status(spark: SparkSession, sf: str, control: DataFrame | None
         F.bool_or(F.col("load_mode") == "INCREMENTAL").alias("has_empty_incremental_run_blind_spot"))
     through = F.when(F.col("all_dependencies_successful"),
                      F.date_sub(tu.local_date("oldest_recorded_success_at"), 1))
-    out = rolled.join(observed_frontiers(spark, sf), "channel_code", "left")
+    obs = frontiers if frontiers is not None else observed_frontiers(spark, sf)
+    out = rolled.join(obs, "channel_code", "left")
     return out.select(
         "channel_code", "dependency_count", "successful_dependency_count",
         "all_dependencies_successful", "oldest_recorded_success_at", "latest_recorded_success_at",

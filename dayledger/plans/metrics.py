@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
+from dayledger.plans import bindings as B
 from dayledger.plans import facts as FT
 from dayledger.plans.dims import dim_user
 
@@ -21,11 +22,16 @@ def _pct(num, den, scale: int = 1):
 
 
 def app_engagement_daily(spark: SparkSession, sf: str, event_type: str = "click") -> DataFrame:
-    """MET-01: distinct active users and actions per local day (cohort only)."""
-    f = FT.app_event_fact(spark, sf, event_type)
-    return f.groupBy(F.col("event_date").alias("action_date")).agg(
-        F.countDistinct("user_id").alias("active_users"),
-        F.count(F.lit(1)).alias("actions"))
+    """MET-01: distinct active users and actions per local day (cohort only).
+
+    Reduced to (day, user) counts before the cohort guard, so the guard join
+    and the distinct count both see at most one row per user-day."""
+    e = B.events(spark, sf).where(F.col("event_type") == event_type)
+    per_user = e.groupBy(F.col("event_date").alias("action_date"), "user_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    guarded = per_user.join(FT.cohort_ids(spark, sf), "user_id", "left_semi")
+    return guarded.groupBy("action_date").agg(F.count(F.lit(1)).alias("active_users"),
+                                              F.sum("n").alias("actions"))
 
 
 def coaching_adherence_daily(spark: SparkSession, sf: str) -> DataFrame:

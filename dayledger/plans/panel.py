@@ -7,8 +7,9 @@ eligibility, else NULL — and a state column says which.
 
 Plan shape (instead of one left join per channel):
 
-1. channel facts -> long rows ``(user, day, channel, n, n_done)`` -> **one**
-   ``groupBy(user, day)`` with ``FILTER``-style conditional sums;
+1. channel events -> long rows ``(user, day, channel, done)`` -> **one**
+   ``groupBy(user, day)`` with ``FILTER``-style conditional sums, then the
+   cohort guard as a semi join on the (much smaller) daily aggregate;
 2. per-user eligibility and first-activity bounds: one ``groupBy(user)``;
 3. frontiers: a one-row frame, broadcast (its size is one row);
 4. spine: ``explode(sequence(lo, hi))`` per user — a Generate, no range join;
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
-from dayledger.plans import facts as FT
+from dayledger.plans import bindings as B
 from dayledger.plans import load_status as LS
 from dayledger.plans.dims import dim_user
 
@@ -72,12 +73,12 @@ COMPLETED_MIN_VALUE = 50.0
 def channel_rows(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHANNELS
                  ) -> DataFrame:
     """Long form ``(user_id, ymd_date, channel_code, is_done)`` of every channel
-    fact row: the cohort-guarded events restricted to the channel codes (one
-    scan for all channels)."""
-    g = FT.guarded_events(spark, sf).where(F.col("event_type").isin([c.code for c in channels]))
+    event (one scan for all channels). Not yet cohort-guarded: the guard is a
+    filter on the user and is applied after the daily pre-aggregation."""
+    e = B.events(spark, sf).where(F.col("event_type").isin([c.code for c in channels]))
     done_codes = [c.code for c in channels if c.done_col]
     done = F.col("event_type").isin(done_codes) & (F.col("value") >= COMPLETED_MIN_VALUE)
-    return g.select("user_id", F.col("event_date").alias("ymd_date"),
+    return e.select("user_id", F.col("event_date").alias("ymd_date"),
                     F.col("event_type").alias("channel_code"),
                     F.coalesce(done, F.lit(False)).alias("is_done"))
 
@@ -95,18 +96,23 @@ def daily_counts(rows: DataFrame, channels: Sequence[ChannelSpec] = CHANNELS) ->
     return rows.groupBy("user_id", "ymd_date").agg(*aggs)
 
 
-def user_bounds(rows: DataFrame, users: DataFrame, channels: Sequence[ChannelSpec] = CHANNELS
+def user_bounds(daily: DataFrame, users: DataFrame, channels: Sequence[ChannelSpec] = CHANNELS
                 ) -> DataFrame:
-    """Per-user eligibility dates and spine start (one groupBy on user)."""
-    app_codes = [c.code for c in channels if c.kind == APP]
+    """Per-user eligibility dates and spine start: one ``groupBy(user)`` over
+    the daily aggregate (every daily row has at least one channel present)."""
+    app = [c for c in channels if c.kind == APP]
+    any_app = None
+    for c in app:
+        p = F.col(f"raw_{c.value_col}").isNotNull()
+        any_app = p if any_app is None else any_app | p
     aggs = [F.min("ymd_date").alias("first_activity_date"),
-            F.min(F.when(F.col("channel_code").isin(app_codes), F.col("ymd_date")))
+            F.min(F.when(any_app if any_app is not None else F.lit(False), F.col("ymd_date")))
             .alias("first_app_event_date")]
     for ch in channels:
         if ch.kind == PROGRAM:
-            aggs.append(F.min(F.when(F.col("channel_code") == ch.code, F.col("ymd_date")))
+            aggs.append(F.min(F.when(F.col(f"raw_{ch.value_col}").isNotNull(), F.col("ymd_date")))
                         .alias(f"first_{ch.code}_date"))
-    firsts = rows.groupBy("user_id").agg(*aggs)
+    firsts = daily.groupBy("user_id").agg(*aggs)
     u = users.join(firsts, "user_id", "left")
     cols = [F.col(c) for c in users.columns] + [
         F.least("app_registered_date", "first_app_event_date").alias("app_eligible_from_date"),
@@ -119,6 +125,15 @@ def user_bounds(rows: DataFrame, users: DataFrame, channels: Sequence[ChannelSpe
     return u.select(*cols)
 
 
+def daily_frontiers(daily: DataFrame, channels: Sequence[ChannelSpec] = CHANNELS) -> DataFrame:
+    """Observed frontier per channel from the daily aggregate: one global
+    aggregate (partial per task), unpivoted to ``(channel_code, date)``."""
+    one = daily.agg(*[F.max(F.when(F.col(f"raw_{c.value_col}").isNotNull(), F.col("ymd_date")))
+                      .alias(c.code) for c in channels])
+    stack = ", ".join(f"'{c.code}', `{c.code}`" for c in channels)
+    return one.selectExpr(f"stack({len(channels)}, {stack}) AS (channel_code, observed_event_through_date)")
+
+
 def _eligible_col(ch: ChannelSpec) -> str | None:
     return {APP: "app_eligible_from_date", ENROLLED: "enrolled_eligible_from_date",
             PROGRAM: f"{ch.code}_eligible_from_date", PASSIVE: None}[ch.kind]
@@ -156,9 +171,13 @@ def user_day(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHA
     (joined or earlier activity) to the observation frontier (never today)."""
     users = dim_user(spark, sf).select("user_id", "joined_date", "app_registered_date", "birth_year")
     rows = channel_rows(spark, sf, channels)
-    daily = daily_counts(rows, channels)
-    bounds = user_bounds(rows, users, channels)
-    st = status if status is not None else LS.channel_load_status(spark, sf)
+    # Pre-aggregate per (user, day) first (partial aggregation per task; a hot
+    # user spreads over its days), then apply the cohort guard to the small
+    # aggregate: the guard join never sees raw rows, so it cannot skew.
+    daily = daily_counts(rows, channels).join(users.select("user_id"), "user_id", "left_semi")
+    bounds = user_bounds(daily, users, channels)
+    st = status if status is not None else LS.channel_load_status(
+        spark, sf, frontiers=daily_frontiers(daily, channels))
     front = F.broadcast(LS.frontier_row(st, [c.code for c in channels]))
     spine = (bounds.crossJoin(front)
              .select("*", F.explode(tu.date_series("spine_from", "panel_through")).alias("ymd_date")))

@@ -124,13 +124,47 @@ def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | No
             .agg(*aggs).withColumn("stream_code", F.lit(spec.code)))
 
 
+def _plain_streams_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec],
+                      before: str | None = None) -> DataFrame:
+    """All unweighted streams in one scan and one aggregate keyed by
+    (user, day, stream); per-stream measures are conditional aggregates, so a
+    stream without a value column yields NULL measures, never 0."""
+    codes = [s.code for s in streams]
+    value_codes = [s.code for s in streams if s.value]
+    kcal_codes = [s.code for s in streams if s.kcal]
+    e = B.events(spark, sf).where(F.col("event_type").isin(codes))
+    if before is not None:
+        e = e.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    src = (e.where(F.col("ts").isNotNull())
+           .select(F.col("user_id").alias("user_lifelog_sn"), F.col("ts").alias("measured_at"),
+                   F.col("event_type").alias("stream_code"),
+                   F.col("value").cast(VALUE_TYPE).alias("sample_value"))
+           .join(_cohort(spark, sf), "user_lifelog_sn", "inner"))
+    v = F.col("sample_value")
+    val = F.when(F.col("stream_code").isin(value_codes), v)
+    kc = F.when(F.col("stream_code").isin(kcal_codes), v)
+    return (src.groupBy("user_id", tu.local_date("measured_at").alias("wear_date"), "stream_code")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+                 F.sum(val).cast("decimal(38,6)").alias("value_sum"),
+                 F.avg(val).cast(f"decimal(38,{MEAN_SCALE})").alias("value_mean"),
+                 F.min(val).cast("decimal(38,6)").alias("value_min"),
+                 F.max(val).cast("decimal(38,6)").alias("value_max"),
+                 F.sum(kc).cast("decimal(38,6)").alias("kcal_sum")))
+
+
 def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = STREAMS,
                  before: str | None = None) -> DataFrame:
     """INT-02: (user, local day, stream) -> n, sum, mean, min, max, kcal.
-    Templated over the stream spec list; one union of per-stream aggregates."""
+
+    Templated over the stream spec list: the raw streams share one scan and one
+    aggregate; the weighted stream reads the collapsed form (INT-01)."""
     cols = ["user_id", "wear_date", "stream_code", "n_samples", "value_sum", "value_mean",
             "value_min", "value_max", "kcal_sum"]
-    return union_all([_stream_day(spark, sf, s, before).select(*cols) for s in streams])
+    plain = [s for s in streams if not s.weighted]
+    parts = [_stream_day(spark, sf, s, before).select(*cols) for s in streams if s.weighted]
+    if plain:
+        parts.insert(0, _plain_streams_day(spark, sf, plain, before).select(*cols))
+    return union_all(parts)
 
 
 def wearable_day_incremental(target: DataFrame, fresh: DataFrame, days: int = 30) -> DataFrame:
