@@ -137,3 +137,20 @@ def birth_year_from_yymmdd(birth: Column | str, as_of_year: int) -> Column:
     b = _c(birth)
     yy = F.substring(b, 1, 2).cast("int")
     return F.when(b.rlike(r"^\d{6}$"), two_digit_year(yy, as_of_year))
+
+
+def naive_to_instant(ts: Column | str, zone: str = "UTC") -> Column:
+    """A naive wall-clock timestamp read in ``zone`` as an instant (TIMESTAMP),
+    independent of the session time zone (a plain cast would use it)."""
+    c = _c(ts)
+    micros = F.second(c).cast("long") * 1000000 + F.date_format(c, "SSSSSS").cast("long")
+    secs = (micros.cast("decimal(14,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(8,6)")
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            secs, F.lit(zone))
+
+
+def instant_to_naive(ts: Column | str, zone: str = "UTC") -> Column:
+    """Inverse of ``naive_to_instant``: the wall clock of an instant in ``zone``.
+    (The instant is first rendered in the session zone, then converted from the
+    session zone, so the session setting cancels out.)"""
+    return F.convert_timezone(None, F.lit(zone), _c(ts))

@@ -494,3 +494,27 @@ def _fn06(spark, sf):
                     tu.whole_months("d", "first_date").alias("months_since_first"),
                     tu.whole_months("first_date", "d").alias("months_until_first"),
                     F.date_sub(F.add_months("d", 1), 1).alias("one_month_on"))
+
+
+# ----------------------------------------------------------------------------- streaming
+
+from dayledger import streaming as STR  # noqa: E402
+
+
+@register("str02_streamed_daily_aggregate", f"""
+SELECT date_trunc('day', ts {KST}) - INTERVAL 9 HOUR AS window_start,
+       CAST(ts {KST} AS DATE) AS local_date, event_type, COUNT(*) AS n_samples,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+FROM events GROUP BY ALL""")
+def _str02(spark, sf):
+    """STR-01/02/03: event stream, 30-day watermark, local-day windows in
+    update mode, idempotent foreachBatch sink, availableNow run."""
+    return STR.streamed_daily_aggregate(spark, sf)
+
+
+@register("str04_streamed_payload_multiplicity", """
+SELECT user_id, ts, event_type, CAST(ROUND(value) AS BIGINT) AS value_rounded,
+       COUNT(*) AS source_row_count FROM events GROUP BY ALL""")
+def _str04(spark, sf):
+    """STR-04: streaming duplicate collapse keeping multiplicity."""
+    return STR.streamed_payload_multiplicity(spark, sf)
