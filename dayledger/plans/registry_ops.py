@@ -518,3 +518,306 @@ SELECT user_id, ts, event_type, CAST(ROUND(value) AS BIGINT) AS value_rounded,
 def _str04(spark, sf):
     """STR-04: streaming duplicate collapse keeping multiplicity."""
     return STR.streamed_payload_multiplicity(spark, sf)
+
+
+# ----------------------------------------------------------------------------- more facts & dims
+
+from dayledger.plans import dims as D  # noqa: E402
+from dayledger.plans import load_status as LS  # noqa: E402
+from dayledger.plans import metrics as M  # noqa: E402
+from dayledger.plans.registry import _ADH  # noqa: E402
+
+
+@register("fct01_app_action", with_ctes(["fact_ev"], """
+SELECT md5(concat_ws('|', CAST(user_id AS VARCHAR), strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))) AS event_key,
+       event_id, user_id, ts AS event_at, event_date, value
+FROM fact_ev WHERE event_type = 'click'"""))
+def _fct01(spark, sf):
+    """FCT-01: app action fact (cohort guard, local date, event key)."""
+    return FT.app_event_fact(spark, sf, "click")
+
+
+@register("fct04_share_link", with_ctes(["dim_user"], f"""
+SELECT o.o_orderkey AS share_no, o.o_custkey AS user_id, o.o_orderpriority AS share_type,
+       o.o_orderdate AS share_created_at, CAST(o.o_orderdate {KST} AS DATE) AS share_created_date
+FROM orders o WHERE o.o_custkey IN (SELECT user_id FROM dim_user)"""))
+def _fct04(spark, sf):
+    """FCT-04 / PRJ-02: share links of cohort users; a semi join keeps the
+    left columns only (the dimension key is unique)."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"])
+    links = o.select(F.col("o_orderkey").alias("share_no"), F.col("o_custkey").alias("user_id"),
+                     F.col("o_orderpriority").alias("share_type"),
+                     F.col("o_orderdate").alias("share_created_at"),
+                     tu.local_date("o_orderdate").alias("share_created_date"))
+    return links.join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi")
+
+
+@register("met08_share_denominators", with_ctes(["dim_user"], f"""
+WITH_LINKS AS (SELECT 1)
+SELECT month_start_date, links_created, links_interacted, interaction_events FROM (
+  SELECT coalesce(l.m, i.m) AS month_start_date, coalesce(l.links_created, 0) AS links_created,
+         coalesce(i.links_interacted, 0) AS links_interacted,
+         coalesce(i.interaction_events, 0) AS interaction_events
+  FROM (SELECT CAST(date_trunc('month', CAST(o_orderdate {KST} AS DATE)) AS DATE) AS m,
+               COUNT(*) AS links_created FROM orders
+        WHERE o_custkey IN (SELECT user_id FROM dim_user) GROUP BY 1) l
+  FULL OUTER JOIN (
+        SELECT CAST(date_trunc('month', CAST(li.l_shipdate {KST} AS DATE)) AS DATE) AS m,
+               COUNT(DISTINCT li.l_orderkey) AS links_interacted, COUNT(*) AS interaction_events
+        FROM lineitem li JOIN orders o ON o.o_orderkey = li.l_orderkey
+        WHERE o.o_custkey IN (SELECT user_id FROM dim_user) GROUP BY 1) i
+  ON l.m = i.m) t""".replace("WITH_LINKS AS (SELECT 1)\n", "")))
+def _met08(spark, sf):
+    """FCT-05: three separate share denominators per month — links created,
+    distinct links interacted with, interaction events (never one ratio)."""
+    links = _fct04(spark, sf)
+    created = links.groupBy(tu.trunc_date("month", "share_created_date").alias("month_start_date")).agg(
+        F.count(F.lit(1)).alias("links_created"))
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_shipdate"])
+    inter = li.join(links.select(F.col("share_no").alias("l_orderkey")), "l_orderkey", "left_semi")
+    used = inter.groupBy(tu.trunc_date("month", tu.local_date("l_shipdate")).alias("month_start_date")).agg(
+        F.countDistinct("l_orderkey").alias("links_interacted"),
+        F.count(F.lit(1)).alias("interaction_events"))
+    j = created.join(used, "month_start_date", "full")
+    return j.select("month_start_date", F.coalesce("links_created", F.lit(0)).alias("links_created"),
+                    F.coalesce("links_interacted", F.lit(0)).alias("links_interacted"),
+                    F.coalesce("interaction_events", F.lit(0)).alias("interaction_events"))
+
+
+@register("fct10_user_analysis_day", with_ctes(["dim_user"], f"""
+SELECT t.user_id, t.event_date AS ymd_date, t.k_text AS signature_code FROM (
+  SELECT *, CAST(ts {KST} AS DATE) AS event_date,
+         json_extract_string(props, '$.k') AS k_text,
+         ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts {KST} AS DATE)
+                            ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn
+  FROM events WHERE NOT list_contains(json_keys(props), 'error')) t
+JOIN dim_user u ON u.user_id = t.user_id WHERE t.rn = 1"""))
+def _fct10(spark, sf):
+    """FCT-10: user x analysis-day signature (STG-22 output, cohort guard)."""
+    s = _stg22(spark, sf)
+    return s.join(dim_user(spark, sf).select("user_id"), "user_id", "inner").select(
+        "user_id", F.col("event_date").alias("ymd_date"), F.col("k_text").alias("signature_code"))
+
+
+@register("dim01_item_catalogue", """
+SELECT p_partkey AS action_no, p_type AS action_category, p_brand AS action_type,
+       p_name AS description FROM part""")
+def _dim01(spark, sf):
+    """DIM-01: catalogue dimension (explicit projection and rename)."""
+    p = read_table(spark, sf, "part", ["p_partkey", "p_type", "p_brand", "p_name"])
+    return p.select(F.col("p_partkey").alias("action_no"), F.col("p_type").alias("action_category"),
+                    F.col("p_brand").alias("action_type"), F.col("p_name").alias("description"))
+
+
+@register("dim03_site", """
+SELECT n.n_nationkey AS site_key, n.n_name AS site_name, r.r_name AS region_name, 'KR' AS country_code
+FROM nation n LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""")
+def _dim03(spark, sf):
+    """DIM-03: deployment sites with a constant country column."""
+    return D.dim_site(spark, sf)
+
+
+_PRIORITY_LABELS = (("1-URGENT", "Urgent"), ("2-HIGH", "High"), ("3-MEDIUM", "Medium"),
+                    ("4-NOT SPECIFIED", "Not specified"), ("5-LOW", "Low"))
+
+
+@register("dim04_code_labels", "SELECT code, CASE " + " ".join(
+    f"WHEN code = '{c}' THEN '{lbl}'" for c, lbl in _PRIORITY_LABELS)
+    + " END AS label FROM (SELECT DISTINCT o_orderpriority AS code FROM orders) t")
+def _dim04(spark, sf):
+    """DIM-04: code-table slice with an English label CASE ladder."""
+    codes = read_table(spark, sf, "orders", ["o_orderpriority"]).select(
+        F.col("o_orderpriority").alias("code")).distinct()
+    return D.code_label(codes, "code", _PRIORITY_LABELS)
+
+
+@register("dim05_catalogue", "SELECT p_partkey AS disease_id, p_name AS disease_name FROM part "
+          "WHERE p_size <= 35")
+def _dim05(spark, sf):
+    """DIM-05: item catalogue (dim_disease shape)."""
+    return B.catalogue(spark, sf)
+
+
+@register("cht01_active_users_series", with_ctes(["fact_ev"], """
+SELECT action_date, SUM(active_users) AS sum_active_users FROM (
+  SELECT event_date AS action_date, COUNT(DISTINCT user_id) AS active_users FROM fact_ev
+  WHERE event_type = 'click' GROUP BY 1) t GROUP BY 1 ORDER BY 1 LIMIT 100"""))
+def _cht01(spark, sf):
+    """CHT-01 / SRT-02: chart series SUM(active_users) by day with the row limit."""
+    return M.chart_series(M.app_engagement_daily(spark, sf), "action_date", "active_users", "sum", 100)
+
+
+@register("cht02_adherence_series", with_ctes(["coaching"], f"""
+SELECT ymd_date, AVG(adherence_pct) AS avg_adherence_pct FROM (
+  SELECT ymd_date, {_ADH.format(a="COUNT(*) FILTER (WHERE is_completed)", b="COUNT(*)")} AS adherence_pct
+  FROM coaching GROUP BY 1) t GROUP BY 1 ORDER BY 1 LIMIT 10000"""))
+def _cht02(spark, sf):
+    """CHT-02 / SRT-02: AVG(adherence) by day, ordered, 10 000-row chart limit."""
+    return M.chart_series(M.coaching_adherence_daily(spark, sf), "ymd_date", "adherence_pct", "avg",
+                          10000)
+
+
+# ----------------------------------------------------------------------------- more checks
+
+@register("dq13_facts_reconcile_to_staging", with_ctes(["coaching", "measurement"], """
+SELECT * FROM (
+  SELECT 'coaching' AS channel_code,
+         (SELECT COUNT(*) FROM deliveries WHERE user_id IN (SELECT user_id FROM dim_user)) AS staged_rows,
+         (SELECT COUNT(*) FROM coaching) AS fact_rows
+  UNION ALL
+  SELECT 'measurement',
+         (SELECT COUNT(*) FROM readings r JOIN orders o ON o.o_orderkey = r.user_lifelog_sn
+          WHERE o.o_custkey IN (SELECT user_id FROM dim_user)),
+         (SELECT COUNT(*) FROM measurement)) t
+WHERE staged_rows IS DISTINCT FROM fact_rows"""))
+def _dq13(spark, sf):
+    """DQ-13: staged rows of cohort users = fact rows, per channel."""
+    cohort = dim_user(spark, sf).select("user_id")
+    staged_c = B.deliveries(spark, sf).join(cohort, "user_id", "left_semi").agg(
+        F.count(F.lit(1)).alias("staged_rows"))
+    fact_c = FT.coaching_event(spark, sf).agg(F.count(F.lit(1)).alias("fact_rows"))
+    parent = B.lifelog_parent(spark, sf).join(cohort, "user_id", "left_semi").select("user_lifelog_sn")
+    staged_m = FT.staged_readings(spark, sf).join(parent, "user_lifelog_sn", "left_semi").agg(
+        F.count(F.lit(1)).alias("staged_rows"))
+    fact_m = FT.measurement_fact(spark, sf).agg(F.count(F.lit(1)).alias("fact_rows"))
+    c = staged_c.crossJoin(fact_c).withColumn("channel_code", F.lit("coaching"))
+    m = staged_m.crossJoin(fact_m).withColumn("channel_code", F.lit("measurement"))
+    both = c.unionByName(m)
+    return both.where(~F.col("staged_rows").eqNullSafe(F.col("fact_rows"))).select(
+        "channel_code", "staged_rows", "fact_rows")
+
+
+@register("dq17_non_cohort_users_absent", with_ctes(["coaching", "measurement", "fact_ev"], """
+SELECT DISTINCT user_id, src FROM (
+  SELECT user_id, 'coaching' AS src FROM coaching UNION ALL
+  SELECT user_id, 'measurement' FROM measurement UNION ALL
+  SELECT user_id, 'app' FROM fact_ev) f
+WHERE NOT EXISTS (SELECT 1 FROM dim_user u WHERE u.user_id = f.user_id)"""))
+def _dq17(spark, sf):
+    """DQ-17: users outside the cohort (mapper-only) never leak into facts."""
+    cohort = dim_user(spark, sf).select("user_id")
+    facts = (FT.coaching_event(spark, sf).select("user_id", F.lit("coaching").alias("src"))
+             .unionByName(FT.measurement_fact(spark, sf).select("user_id", F.lit("measurement").alias("src")))
+             .unionByName(FT.guarded_events(spark, sf).select("user_id", F.lit("app").alias("src"))))
+    return facts.join(cohort, "user_id", "left_anti").distinct()
+
+
+@register("dq20_milestone_precision", with_ctes(["dim_user", "deliveries"], """
+SELECT * FROM (
+  SELECT user_id, milestone_code, occurred_date, occurred_at, temporal_precision FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, milestone_code
+                                 ORDER BY occurred_date, occurred_at NULLS FIRST) AS rn
+    FROM (SELECT user_id, 'cohort_enrolled' AS milestone_code, joined_date AS occurred_date,
+                 CAST(NULL AS TIMESTAMP) AS occurred_at, 'DATE' AS temporal_precision FROM dim_user
+          UNION ALL SELECT user_id, 'first_' || event_type, event_date, ts, 'TIMESTAMP' FROM ev
+          UNION ALL SELECT user_id, 'first_delivery', ymd_date, delivered_at, 'TIMESTAMP' FROM deliveries
+         ) c WHERE user_id IS NOT NULL AND occurred_date IS NOT NULL) r
+  WHERE rn = 1 AND user_id IN (SELECT user_id FROM dim_user)) m
+WHERE (temporal_precision = 'DATE' AND occurred_at IS NOT NULL)
+   OR (temporal_precision = 'TIMESTAMP' AND occurred_at IS NULL)"""))
+def _dq20(spark, sf):
+    """DQ-20: DATE milestones carry no timestamp and TIMESTAMP ones do."""
+    m = FT.milestones(spark, sf)
+    return m.where(((F.col("temporal_precision") == "DATE") & F.col("occurred_at").isNotNull())
+                   | ((F.col("temporal_precision") == "TIMESTAMP") & F.col("occurred_at").isNull()))
+
+
+@register("dq23_unmapped_cohort_users", with_ctes(["dim_user"], """
+SELECT coalesce(a.user_id, k.user_id) AS user_id, a.user_id IS NOT NULL AS is_unmapped,
+       k.user_id IS NOT NULL AS is_pinned
+FROM (SELECT u.user_id FROM dim_user u WHERE NOT EXISTS
+        (SELECT 1 FROM customer c WHERE c.c_custkey = u.user_id)) a
+FULL OUTER JOIN (SELECT CAST(NULL AS BIGINT) AS user_id WHERE false) k ON k.user_id = a.user_id"""))
+def _dq23(spark, sf):
+    """DQ-23: cohort users without an account mapping must equal a pinned set,
+    in both directions (full outer join). The pinned set is a parameter; it is
+    empty for the driver's tables."""
+    cohort = dim_user(spark, sf).select("user_id")
+    acct = read_table(spark, sf, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id"))
+    unmapped = cohort.join(acct, "user_id", "left_anti").withColumn("__a", F.lit(True))
+    pinned = spark.createDataFrame([], "user_id bigint").withColumn("__k", F.lit(True))
+    j = unmapped.join(pinned, "user_id", "full")
+    bad = j.where(F.col("__a").isNull() | F.col("__k").isNull())
+    return bad.select("user_id", F.col("__a").isNotNull().alias("is_unmapped"),
+                      F.col("__k").isNotNull().alias("is_pinned"))
+
+
+@register("dq27_multiplicity_totals", with_ctes(["dim_user"], """
+SELECT * FROM (
+  SELECT (SELECT COUNT(*) FROM samples s JOIN dim_user u ON u.user_id = s.user_lifelog_sn
+          WHERE s.type_code = 'error' AND s.measured_at IS NOT NULL) AS raw_rows,
+         (SELECT SUM(c.source_row_count) FROM collapsed c JOIN dim_user u
+          ON u.user_id = c.user_lifelog_sn) AS collapsed_rows,
+         (SELECT SUM(n_samples) FROM wday WHERE stream_code = 'error') AS day_rows) t
+WHERE raw_rows IS DISTINCT FROM collapsed_rows OR raw_rows IS DISTINCT FROM day_rows""",
+    [_SAMPLES, _COLLAPSED, _WDAY]))
+def _dq27(spark, sf):
+    """DQ-27: total multiplicity survives raw -> collapsed/detail -> daily."""
+    users = dim_user(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"))
+    raw = (W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at").isNotNull())
+           .join(users, "user_lifelog_sn", "left_semi").agg(F.count(F.lit(1)).alias("raw_rows")))
+    col = W.detail_fact(spark, sf).agg(F.sum("source_row_count").alias("collapsed_rows"))
+    day = (W.wearable_day(spark, sf).where(F.col("stream_code") == W.WEIGHTED_STREAM)
+           .agg(F.sum("n_samples").alias("day_rows")))
+    j = raw.crossJoin(col).crossJoin(day)
+    return j.where(~F.col("raw_rows").eqNullSafe(F.col("collapsed_rows"))
+                   | ~F.col("raw_rows").eqNullSafe(F.col("day_rows")))
+
+
+@register("dq28_observations_attributed", with_ctes(["dim_user"], """
+SELECT c.user_lifelog_sn, c.measured_at, c.type_code FROM collapsed c
+WHERE NOT EXISTS (SELECT 1 FROM dim_user u WHERE u.user_id = c.user_lifelog_sn)""",
+    [_SAMPLES, _COLLAPSED]))
+def _dq28(spark, sf):
+    """DQ-28: collapsed observations that cannot be attributed to a cohort user
+    through the lifelog mapping (anti join on the non-null key)."""
+    parents = dim_user(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"))
+    return W.collapsed_stream(spark, sf).join(parents, "user_lifelog_sn", "left_anti").select(
+        "user_lifelog_sn", "measured_at", "type_code")
+
+
+@register("dtl05_two_hop_attribution", with_ctes(["dim_user"], """
+SELECT l.l_orderkey AS session_sn, l.l_linenumber AS stage_no, o.o_custkey AS user_id,
+       o.o_orderdate AS session_start_at, l.l_shipdate AS stage_end_at,
+       CAST(epoch(l.l_shipdate - o.o_orderdate) AS DOUBLE) AS duration_seconds
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN dim_user u ON u.user_id = o.o_custkey"""))
+def _dtl05(spark, sf):
+    """DTL-05 / JON-03: stage rows attributed through their session to the
+    user (two hops), with the duration in seconds (FN-09)."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"])
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    hop1 = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    hop2 = hop1.join(dim_user(spark, sf).select(F.col("user_id").alias("o_custkey")), "o_custkey", "inner")
+    return hop2.select(F.col("l_orderkey").alias("session_sn"), F.col("l_linenumber").alias("stage_no"),
+                       F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("session_start_at"),
+                       F.col("l_shipdate").alias("stage_end_at"),
+                       tu.epoch_seconds("l_shipdate", "o_orderdate").alias("duration_seconds"))
+
+
+@register("int01_incremental_vs_full", None)
+def _int01_inc(spark, sf):
+    """INT-01 incremental = full rebuild: the snapshot built from arrivals
+    before 2024-01-25, window-replaced with the last 7 days of event time,
+    against the full collapse (rows-only check: the result is the symmetric
+    difference and must be empty; it is returned with the full row count so
+    the driver sees rows)."""
+    old = W.collapsed_stream(spark, sf, before="2024-01-25")
+    raw = W.raw_samples(spark, sf, W.WEIGHTED_STREAM)
+    inc = W.collapsed_incremental(old, raw, days=7)
+    full = W.collapsed_stream(spark, sf)
+    diff = symmetric_difference(inc, full)
+    return full.agg(F.count(F.lit(1)).alias("full_rows")).crossJoin(
+        diff.agg(F.count(F.lit(1)).alias("differing_rows")))
+
+
+@register("src13_control_table", f"""
+SELECT 'events' AS source_system, 'public' AS schema_name, 'events_' || event_type AS table_name,
+       MAX(ts) AS watermark_value, 'SUCCESS' AS last_status, CAST(NULL AS VARCHAR) AS last_error,
+       COUNT(*) AS row_count, MAX(ts) AS updated_at FROM events GROUP BY event_type
+UNION ALL SELECT s, 'public', t, m, 'SUCCESS', NULL, NULL, m
+FROM (VALUES ('crm', 'customer'), ('sales', 'orders')) v(s, t), (SELECT MAX(ts) AS m FROM events) x""")
+def _src13(spark, sf):
+    """SRC-13 / SNK-09..11: the control table a replay of the event stream
+    records (observed positions, row counts, full-refresh run time)."""
+    return LS.control_from_landing(spark, sf)
