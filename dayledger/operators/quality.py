@@ -98,8 +98,8 @@ def freshness(df: DataFrame, loaded_at_col: str, as_of: dt.datetime, warn_after_
               error_after_hours: float) -> DataFrame:
     """DQ-09: one row when ``max(loaded_at)`` is older than the warn limit,
     with the age in hours and the severity reached."""
-    age = (F.lit(as_of).cast("timestamp").cast("long")
-           - F.col("latest_loaded_at").cast("timestamp").cast("long")) / 3600.0
+    age = (F.unix_micros(F.lit(as_of).cast("timestamp"))
+           - F.unix_micros(F.col("latest_loaded_at").cast("timestamp"))) / 3.6e9
     out = df.agg(F.max(loaded_at_col).alias("latest_loaded_at")).withColumn("age_hours", age)
     sev = (F.when(F.col("latest_loaded_at").isNull() | (F.col("age_hours") > error_after_hours),
                   "error").when(F.col("age_hours") > warn_after_hours, "warn"))

@@ -821,3 +821,149 @@ def _src13(spark, sf):
     """SRC-13 / SNK-09..11: the control table a replay of the event stream
     records (observed positions, row counts, full-refresh run time)."""
     return LS.control_from_landing(spark, sf)
+
+
+# ----------------------------------------------------------------------------- landing & table maintenance
+
+from dayledger.operators import watermarks as WMK  # noqa: E402
+
+_PRE_1998 = "o_orderdate < TIMESTAMP '1998-01-01'"
+
+
+@register("snk01_full_refresh", "SELECT * FROM orders WHERE o_orderstatus <> 'P'")
+def _snk01(spark, sf):
+    """SNK-01: a full refresh replaces the target, so rows deleted upstream
+    (here: the pending orders) disappear from it."""
+    o = read_table(spark, sf, "orders")
+    target = o.where(F.expr(_PRE_1998))
+    batch = o.where(F.col("o_orderstatus") != "P")
+    return K.full_refresh(target, batch, batch_is_empty=False)
+
+
+@register("snk08_empty_refresh_keeps_target", f"SELECT * FROM orders WHERE {_PRE_1998}")
+def _snk08(spark, sf):
+    """SNK-08: a full refresh that read nothing leaves the target untouched
+    (unless truncate_on_empty is asked for)."""
+    o = read_table(spark, sf, "orders")
+    target = o.where(F.expr(_PRE_1998))
+    batch = o.where(F.col("o_orderdate") > F.lit("2100-01-01").cast("timestamp_ntz"))
+    return K.full_refresh(target, batch)
+
+
+@register("src07_exclude_columns", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
+def _src07(spark, sf):
+    """SRC-07: column exclusion with guards (key kept, unknown names refused);
+    pruning then keeps the excluded columns out of the scan."""
+    c = read_table(spark, sf, "customer")
+    return L.exclude_columns(c, ["c_name", "c_acctbal"], keys=["c_custkey"])
+
+
+_SOURCE_TYPES = {"o_orderkey": "bigint", "o_custkey": "integer", "o_orderstatus": "character(1)",
+                 "o_totalprice": "numeric(12,2)", "o_orderdate": "date",
+                 "o_orderpriority": "order_priority_enum"}
+
+
+@register("src09_landing_types", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
+       rtrim(o_orderstatus) AS o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders""")
+def _src09(spark, sf):
+    """SRC-09: landing type mapping (numeric(p,s) kept, CHAR trimmed, unknown
+    enum -> text)."""
+    return L.land_columns(read_table(spark, sf, "orders"), _SOURCE_TYPES)
+
+
+_AT = dt.datetime(2024, 2, 1)
+
+
+@register("snk11_control_updates", """
+WITH ctl AS (
+  SELECT 'events' AS source_system, 'public' AS schema_name, 'events_' || event_type AS table_name,
+         MAX(ts) AS watermark_value, 'SUCCESS' AS last_status, CAST(NULL AS VARCHAR) AS last_error,
+         COUNT(*) AS row_count, MAX(ts) AS updated_at FROM events GROUP BY event_type
+  UNION ALL SELECT s, 'public', t, m, 'SUCCESS', NULL, NULL, m
+  FROM (VALUES ('crm', 'customer'), ('sales', 'orders')) v(s, t), (SELECT MAX(ts) AS m FROM events) x)
+SELECT source_system, schema_name, table_name, watermark_value,
+       CASE WHEN table_name = 'events_error' THEN 'FAILED' ELSE last_status END AS last_status,
+       CASE WHEN table_name = 'events_error' THEN 'timeout' ELSE last_error END AS last_error,
+       row_count,
+       CASE WHEN table_name = 'events_error' THEN TIMESTAMP '2024-02-01' ELSE updated_at END AS updated_at
+FROM ctl WHERE table_name <> 'events_view'
+UNION ALL SELECT 'events', 'public', 'events_view', TIMESTAMP '2024-02-01', 'SUCCESS', NULL, 0,
+                 TIMESTAMP '2024-02-01'
+UNION ALL SELECT 'ops', 'public', 'error_catalog', NULL, 'FAILED', 'missing', NULL, TIMESTAMP '2024-02-01'""")
+def _snk11(spark, sf):
+    """SNK-11: control-row upserts on the replayed control table: a failure
+    keeps the position and bumps the time, a success moves it, a first-run
+    failure inserts a row without position."""
+    ctl = LS.control_from_landing(spark, sf).select(
+        "source_system", "schema_name", "table_name", "watermark_value", "last_status", "last_error",
+        "row_count", F.col("updated_at"))
+    ctl = ctl.withColumn("watermark_value", F.col("watermark_value").cast("timestamp")).withColumn(
+        "updated_at", F.col("updated_at").cast("timestamp"))
+    ctl = WMK.record_failure(ctl, ("events", "public", "events_error"), "timeout", _AT)
+    ctl = WMK.record_success(ctl, ("events", "public", "events_view"), _AT, 0, _AT)
+    ctl = WMK.record_failure(ctl, ("ops", "public", "error_catalog"), "missing", _AT)
+    return ctl.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c)
+                        for c, t in ctl.dtypes])
+
+
+@register("snk12_materialized_dim_user", with_ctes(["dim_user"], "SELECT * FROM dim_user"))
+def _snk12(spark, sf):
+    """SNK-12: materialise a model as a table — a new snapshot directory under
+    the shared checkpoint folder, pointer appended, then read back (lineage
+    cut; survives executor loss)."""
+    return K.materialize(dim_user(spark, sf), "dim_user")
+
+
+@register("dq09_source_freshness", """
+SELECT latest_loaded_at, age_hours, CASE WHEN latest_loaded_at IS NULL OR age_hours > 48 THEN 'error'
+       WHEN age_hours > 24 THEN 'warn' END AS severity
+FROM (SELECT MAX(ts) AS latest_loaded_at,
+             (epoch(TIMESTAMP '2024-02-02 00:00:00') - epoch(MAX(ts))) / 3600.0 AS age_hours FROM events) t
+WHERE latest_loaded_at IS NULL OR age_hours > 24""")
+def _dq09(spark, sf):
+    """DQ-09: source freshness on max(_loaded_at) of the control table
+    against an as-of time (warn after 24 h, error after 48 h)."""
+    ctl = LS.control_from_landing(spark, sf).withColumn("updated_at", tu.naive_to_instant("updated_at"))
+    out = Q.freshness(ctl, "updated_at", dt.datetime(2024, 2, 2), 24, 48)
+    return out.withColumn("latest_loaded_at", tu.instant_to_naive("latest_loaded_at"))
+
+
+@register("dq11_ambiguous_band", with_ctes(["readings"], """
+SELECT * FROM readings WHERE metric_code = 'quantity' AND metric_value >= 25 AND metric_value <= 26"""))
+def _dq11(spark, sf):
+    """DQ-11 / PRJ-11: readings inside a closed ambiguous band (violations)."""
+    r = FT.staged_readings(spark, sf)
+    return r.where((F.col("metric_code") == "quantity") & F.col("metric_value").between(25, 26))
+
+
+@register("dq14_staging_reconciles", """
+SELECT * FROM (
+  SELECT (SELECT COUNT(*) FROM events) AS landing_rows,
+         (SELECT COUNT(*) FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id) AS staging_rows,
+         (SELECT COUNT(*) FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
+          WHERE c.c_custkey IS NULL) AS unmapped_rows) t
+WHERE landing_rows IS DISTINCT FROM staging_rows OR unmapped_rows > 0""")
+def _dq14(spark, sf):
+    """DQ-14: key translation keeps every landing row (no fan-out, no loss)
+    and leaves none unmapped."""
+    e = read_table(spark, sf, "events", ["event_id", "user_id"])
+    c = read_table(spark, sf, "customer", ["c_custkey"])
+    staged = S.translate_key(e, c, [("user_id", "c_custkey")], {"c_custkey": "mapped_user"})
+    landing = e.agg(F.count(F.lit(1)).alias("landing_rows"))
+    st = staged.agg(F.count(F.lit(1)).alias("staging_rows"),
+                    F.count_if(F.col("mapped_user").isNull()).alias("unmapped_rows"))
+    j = landing.crossJoin(st)
+    return j.where(~F.col("landing_rows").eqNullSafe(F.col("staging_rows")) | (F.col("unmapped_rows") > 0))
+
+
+@register("dq15_error_payloads_bounded", """
+SELECT COUNT(*) AS error_rows FROM events WHERE list_contains(json_keys(props), 'error')
+HAVING COUNT(*) > 0""")
+def _dq15(spark, sf):
+    """DQ-15 / AGG-12: error payload count, reported only above the bound
+    (HAVING without GROUP BY)."""
+    from dayledger.functions.jsonfn import json_has_key
+    e = read_table(spark, sf, "events", ["props"])
+    return e.agg(F.count_if(json_has_key("props", "error")).alias("error_rows")).where("error_rows > 0")
