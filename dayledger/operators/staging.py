@@ -50,11 +50,13 @@ def first_occurrence(df: DataFrame, partition_by: Sequence[str], order_by: Seque
 
 
 def distinct_on(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-                exact_dedupe_first: bool = True) -> DataFrame:
+                exact_dedupe_first: bool = False) -> DataFrame:
     """WIN-03: ``SELECT DISTINCT ON (keys) ... ORDER BY keys, <order_by>``.
 
-    Exact duplicate rows are removed first (``select distinct *``), then one
-    row per key is picked by ``order_by`` (e.g. ``desc_nulls_last``)."""
+    One row per key, picked by ``order_by`` (e.g. ``desc_nulls_last``). A
+    preceding ``select distinct *`` cannot change the picked row (an exact
+    duplicate only ties with itself), so it is skipped by default — one full
+    shuffle fewer; ``exact_dedupe_first`` keeps it for callers that want it."""
     base = df.distinct() if exact_dedupe_first else df
     return pick_first(base, keys, order_by)
 

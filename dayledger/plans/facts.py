@@ -62,8 +62,8 @@ def staged_readings(spark: SparkSession, sf: str) -> DataFrame:
     """STG-02: tall readings from the wide source.
 
     * amounts stream (quantity, extended price): the source repeats a
-      (serial, slot) with different values and no ordering column, so exact
-      duplicates go first and then one row per slot is picked by value
+      (serial, slot) with different values and no ordering column, so one row
+      per slot is picked deterministically by value
       (``DISTINCT ON ... ORDER BY v DESC NULLS LAST``);
     * rates stream (discount, tax): exact ``DISTINCT`` then unpivot.
     NULL readings are dropped after the unpivot.
@@ -90,9 +90,11 @@ def measurement_fact(spark: SparkSession, sf: str) -> DataFrame:
     """FCT-08: readings attributed to users through the lifelog parent, with
     device type; cohort guard; repeated slots are *not* collapsed here."""
     r = staged_readings(spark, sf)
-    parent = B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
-    attributed = r.join(parent, "user_lifelog_sn", "inner")
-    guarded = attributed.join(cohort_ids(spark, sf), "user_id", "inner")
+    # Guard the (smaller) parent first, so the readings shuffle once, on the
+    # serial, for a single attribution join.
+    parent = (B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
+              .join(cohort_ids(spark, sf), "user_id", "left_semi"))
+    guarded = r.join(parent, "user_lifelog_sn", "inner")
     return guarded.select("source_stream", "user_lifelog_sn", "user_id", "measured_at",
                           tu.local_date("measured_at").alias("measured_date"),
                           "metric_code", "metric_value", "metric_unit", "measure_device_type")
