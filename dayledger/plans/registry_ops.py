@@ -967,3 +967,77 @@ def _dq15(spark, sf):
     from dayledger.functions.jsonfn import json_has_key
     e = read_table(spark, sf, "events", ["props"])
     return e.agg(F.count_if(json_has_key("props", "error")).alias("error_rows")).where("error_rows > 0")
+
+
+# ----------------------------------------------------------------------------- staging models
+
+@register("stg03_lifelog_parent", """
+SELECT o_orderkey AS user_lifelog_sn, o_custkey AS user_id, o_orderpriority AS measure_device_type
+FROM orders WHERE o_custkey IS NOT NULL""")
+def _stg03(spark, sf):
+    """STG-03 / PRJ-13: the lifelog parent (the only place a user id appears),
+    explicit projection, parent filter ``user_id IS NOT NULL``."""
+    return B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
+
+
+def _meal_records(spark, sf):
+    """STG-01 shape: records with a nullable soft-delete flag (a returned line
+    counts as deleted; an unknown flag is NULL)."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag"])
+    flag = F.when(F.col("l_returnflag") == "R", F.lit(True)).when(F.col("l_returnflag") == "A", F.lit(False))
+    return li.select(F.col("l_orderkey").alias("user_lifelog_sn"), F.col("l_linenumber").alias("record_no"),
+                     F.col("l_shipdate").alias("recorded_at"), flag.alias("is_deleted"))
+
+
+@register("fct07_meal_event", with_ctes(["dim_user"], f"""
+SELECT md5(concat_ws('|', CAST(o.o_custkey AS VARCHAR), strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S.%f'),
+                      CAST(l.l_linenumber AS VARCHAR))) AS meal_event_key,
+       o.o_custkey AS user_id, l.l_orderkey AS user_lifelog_sn, l.l_linenumber AS record_no,
+       l.l_shipdate AS recorded_at, CAST(l.l_shipdate {KST} AS DATE) AS recorded_date
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN dim_user u ON u.user_id = o.o_custkey
+WHERE (CASE WHEN l.l_returnflag = 'R' THEN true WHEN l.l_returnflag = 'A' THEN false END) IS NOT TRUE"""))
+def _fct07(spark, sf):
+    """STG-01 + FCT-07: records attributed through the parent, soft-delete
+    filter ``is_deleted IS NOT TRUE`` (NULL kept), local date, md5 event key,
+    cohort guard."""
+    from dayledger.functions.keys import event_key, key_text
+    m = _meal_records(spark, sf).where(S.keep_unless_deleted("is_deleted"))
+    parent = (B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
+              .join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi"))
+    j = m.join(parent.select("user_lifelog_sn", "user_id"), "user_lifelog_sn", "inner")
+    key = event_key(F.col("user_id").cast("string"), key_text("recorded_at", j.schema["recorded_at"].dataType),
+                    F.col("record_no").cast("string"))
+    return j.select(key.alias("meal_event_key"), "user_id", "user_lifelog_sn", "record_no", "recorded_at",
+                    tu.local_date("recorded_at").alias("recorded_date"))
+
+
+@register("stg20_text_dates", """
+SELECT o_orderkey, strptime(strftime(o_orderdate, '%Y%m%d'), '%Y%m%d')::DATE AS ymd_date FROM orders""")
+def _stg20(spark, sf):
+    """STG-20/21 / FN-02: 'YYYYMMDD' source text parsed strictly to DATE (a
+    malformed value fails the job under ANSI mode instead of becoming NULL).
+    The stand-in text column is the order date rendered as source text."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    text = o.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("ymd"))
+    return text.select("o_orderkey", tu.parse_ymd("ymd").alias("ymd_date"))
+
+
+@register("dq18_measurement_signatures", with_ctes(["measurement"], """
+(SELECT user_lifelog_sn, measured_at, metric_code, metric_value FROM measurement
+ EXCEPT ALL
+ SELECT r.user_lifelog_sn, r.measured_at, r.metric_code, r.metric_value FROM readings r
+ JOIN orders o ON o.o_orderkey = r.user_lifelog_sn WHERE o.o_custkey IN (SELECT user_id FROM dim_user))
+UNION ALL
+(SELECT r.user_lifelog_sn, r.measured_at, r.metric_code, r.metric_value FROM readings r
+ JOIN orders o ON o.o_orderkey = r.user_lifelog_sn WHERE o.o_custkey IN (SELECT user_id FROM dim_user)
+ EXCEPT ALL
+ SELECT user_lifelog_sn, measured_at, metric_code, metric_value FROM measurement)"""))
+def _dq18(spark, sf):
+    """DQ-18 / SET-02: the measurement fact preserves every observation
+    signature of the attributed staged readings (multiset symmetric difference)."""
+    sig = ["user_lifelog_sn", "measured_at", "metric_code", "metric_value"]
+    parent = (B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
+              .join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi").select("user_lifelog_sn"))
+    staged = FT.staged_readings(spark, sf).join(parent, "user_lifelog_sn", "left_semi").select(*sig)
+    return symmetric_difference(FT.measurement_fact(spark, sf).select(*sig), staged)

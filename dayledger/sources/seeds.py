@@ -13,10 +13,12 @@ from dayledger.functions.timeutil import date_series
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-10: CSV seed with declared column types (never inferred). Empty
-    strings stay empty strings; only an unquoted empty field is NULL."""
+    """SRC-10: CSV seed with declared column types (never inferred); a value
+    that does not fit its type fails the read. CSV cannot tell an empty string
+    from NULL: an empty field, quoted or not, reads as NULL (which is why data
+    lands as Parquet, never through CSV)."""
     return (spark.read.schema(schema).option("header", True)
-            .option("mode", "FAILFAST").option("emptyValue", "").csv(path))
+            .option("mode", "FAILFAST").csv(path))
 
 
 def values_df(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

@@ -287,3 +287,19 @@ def test_privacy_jobs(spark):
 def test_date_spine(spark):
     assert date_spine(spark, "2024-01-30", "2024-02-02").count() == 4
     assert date_spine(spark, "2024-02-02", "2024-01-30").count() == 0
+
+
+def test_read_seed_keeps_declared_types(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from dayledger.sources.seeds import read_seed
+    p = tmp_path / "catalogue.csv"
+    p.write_text('disease_id,label,active\nD01,"",true\nD02,,false\n')
+    schema = T.StructType([T.StructField("disease_id", T.StringType()), T.StructField("label", T.StringType()),
+                           T.StructField("active", T.BooleanType())])
+    got = {r.disease_id: (r.label, r.active) for r in read_seed(spark, str(p), schema).collect()}
+    assert got == {"D01": (None, True), "D02": (None, False)}   # CSV: empty field is NULL
+    bad = tmp_path / "bad.csv"
+    bad.write_text("disease_id,label,active\nD03,x,maybe\n")
+    with pytest.raises(Exception):
+        read_seed(spark, str(bad), schema).collect()
