@@ -54,12 +54,20 @@ STREAMS: tuple[StreamSpec, ...] = (
 PAYLOAD = ["user_lifelog_sn", "measured_at", "type_code", "sample_value"]
 
 
-def raw_samples(spark: SparkSession, sf: str, code: str, before: str | None = None) -> DataFrame:
-    """Raw samples of one stream (stand-in: events of one type); ``before``
-    replays the source as it stood at an earlier time (arrivals up to it)."""
-    e = B.events(spark, sf).where(F.col("event_type") == code)
+def _time_bounds(e: DataFrame, before, since) -> DataFrame:
     if before is not None:
-        e = e.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+        e = e.where(F.col("ts") < F.lit(str(before)).cast("timestamp_ntz"))
+    if since is not None:
+        e = e.where(F.col("ts") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return e
+
+
+def raw_samples(spark: SparkSession, sf: str, code: str, before: str | None = None,
+                since: str | None = None) -> DataFrame:
+    """Raw samples of one stream (stand-in: events of one type); ``before``
+    replays the source as it stood at an earlier time (arrivals up to it);
+    ``since`` is a lower event-time bound pushed into the scan."""
+    e = _time_bounds(B.events(spark, sf).where(F.col("event_type") == code), before, since)
     return e.select(F.col("user_id").alias("user_lifelog_sn"), F.col("ts").alias("measured_at"),
                     F.col("event_type").alias("type_code"),
                     F.col("value").cast(VALUE_TYPE).alias("sample_value"))
@@ -74,8 +82,8 @@ def collapse_samples(raw: DataFrame) -> DataFrame:
 
 
 def collapsed_stream(spark: SparkSession, sf: str, code: str = WEIGHTED_STREAM,
-                     before: str | None = None) -> DataFrame:
-    return collapse_samples(raw_samples(spark, sf, code, before))
+                     before: str | None = None, since: str | None = None) -> DataFrame:
+    return collapse_samples(raw_samples(spark, sf, code, before, since))
 
 
 def collapsed_incremental(target: DataFrame, raw: DataFrame, days: int = 30) -> DataFrame:
@@ -90,14 +98,14 @@ def _cohort(spark: SparkSession, sf: str) -> DataFrame:
                                       F.col("user_id"))
 
 
-def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | None = None
-                ) -> DataFrame:
+def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | None = None,
+                since: str | None = None) -> DataFrame:
     users = _cohort(spark, sf)
     if spec.weighted:
-        src = collapsed_stream(spark, sf, spec.code, before)
+        src = collapsed_stream(spark, sf, spec.code, before, since)
         n = F.col("source_row_count")
     else:
-        src = raw_samples(spark, sf, spec.code, before).where(F.col("measured_at").isNotNull())
+        src = raw_samples(spark, sf, spec.code, before, since).where(F.col("measured_at").isNotNull())
         n = F.lit(1)
     src = src.join(users, "user_lifelog_sn", "inner")
     v = F.col("sample_value")
@@ -125,16 +133,14 @@ def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | No
 
 
 def _plain_streams_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec],
-                      before: str | None = None) -> DataFrame:
+                      before: str | None = None, since: str | None = None) -> DataFrame:
     """All unweighted streams in one scan and one aggregate keyed by
     (user, day, stream); per-stream measures are conditional aggregates, so a
     stream without a value column yields NULL measures, never 0."""
     codes = [s.code for s in streams]
     value_codes = [s.code for s in streams if s.value]
     kcal_codes = [s.code for s in streams if s.kcal]
-    e = B.events(spark, sf).where(F.col("event_type").isin(codes))
-    if before is not None:
-        e = e.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    e = _time_bounds(B.events(spark, sf).where(F.col("event_type").isin(codes)), before, since)
     src = (e.where(F.col("ts").isNotNull())
            .select(F.col("user_id").alias("user_lifelog_sn"), F.col("ts").alias("measured_at"),
                    F.col("event_type").alias("stream_code"),
@@ -153,7 +159,7 @@ def _plain_streams_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpe
 
 
 def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = STREAMS,
-                 before: str | None = None) -> DataFrame:
+                 before: str | None = None, since: str | None = None) -> DataFrame:
     """INT-02: (user, local day, stream) -> n, sum, mean, min, max, kcal.
 
     Templated over the stream spec list: the raw streams share one scan and one
@@ -161,9 +167,9 @@ def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = S
     cols = ["user_id", "wear_date", "stream_code", "n_samples", "value_sum", "value_mean",
             "value_min", "value_max", "kcal_sum"]
     plain = [s for s in streams if not s.weighted]
-    parts = [_stream_day(spark, sf, s, before).select(*cols) for s in streams if s.weighted]
+    parts = [_stream_day(spark, sf, s, before, since).select(*cols) for s in streams if s.weighted]
     if plain:
-        parts.insert(0, _plain_streams_day(spark, sf, plain, before).select(*cols))
+        parts.insert(0, _plain_streams_day(spark, sf, plain, before, since).select(*cols))
     return union_all(parts)
 
 
