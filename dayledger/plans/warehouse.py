@@ -89,8 +89,8 @@ def build(spark: SparkSession, sf: str, base: str | None = None, lookback_days:
     panel = commit("pnl01_user_day", panel, "full", ["panel_month"])
     Q.require_rows(panel, "pnl01_user_day")
 
-    # Gates: incremental snapshots equal a full rebuild; the panel keeps every
-    # fact row; states agree with values.
+    # Gates: incremental snapshots equal a full rebuild; panel states agree
+    # with values.
     gates = {
         "int01_equals_full": symmetric_difference(int01, W.collapsed_stream(spark, sf)),
         "int02_equals_full": symmetric_difference(int02, W.wearable_day(spark, sf)),
