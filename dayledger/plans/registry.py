@@ -66,6 +66,9 @@ def _met01(spark, sf):
 
 
 _ADH = "CAST(((2000 * {a} + {b}) // (2 * {b})) AS DOUBLE) / 10"
+# Exact half-up rounding of a non-negative integer ratio s / n to d decimals
+# (DuckDB's ROUND on a double can land on the other side of a .5 boundary).
+_RATIO = "CAST(((2 * {scale} * ({s}) + ({n})) // (2 * ({n}))) AS DOUBLE) / {scale}"
 
 @register("met02_coaching_adherence_daily", with_ctes(["coaching"], f"""
 SELECT ymd_date, COUNT(*) AS activities_delivered,
@@ -96,19 +99,20 @@ def _met04(spark, sf):
     return M.measurement_participation_weekly(spark, sf)
 
 
-@register("met05_population_risk_monthly", with_ctes(["disease_day"], """
+@register("met05_population_risk_monthly", with_ctes(["disease_day"], f"""
 SELECT CAST(date_trunc('month', ymd_date) AS DATE) AS month_start_date,
        COUNT(DISTINCT user_id) AS users_scored,
-       ROUND(AVG(irsp_score), 2) AS mean_irs_plus, ROUND(AVG(irs_score), 2) AS mean_irs
+       {_RATIO.format(scale=100, s="SUM(irsp_score)", n="COUNT(irsp_score)")} AS mean_irs_plus,
+       {_RATIO.format(scale=100, s="SUM(irs_score)", n="COUNT(irs_score)")} AS mean_irs
 FROM disease_day WHERE is_in_catalog AND irsp_score IS NOT NULL GROUP BY 1"""))
 def _met05(spark, sf):
     """MET-05: monthly mean rank over catalogue items."""
     return M.population_risk_monthly(spark, sf)
 
 
-@register("met06_high_risk_load_monthly", with_ctes(["disease_day"], """
+@register("met06_high_risk_load_monthly", with_ctes(["disease_day"], f"""
 SELECT month_start_date, COUNT(*) AS users_scored,
-       ROUND(AVG(high_risk_diseases), 2) AS avg_high_risk_diseases,
+       {_RATIO.format(scale=100, s="SUM(high_risk_diseases)", n="COUNT(*)")} AS avg_high_risk_diseases,
        MAX(high_risk_diseases) AS max_high_risk_diseases
 FROM (SELECT CAST(date_trunc('month', ymd_date) AS DATE) AS month_start_date, user_id,
              COUNT(DISTINCT disease_id) FILTER (WHERE irs_score >= 80) AS high_risk_diseases
@@ -223,7 +227,9 @@ def _day_sql() -> str:
     streams = []
     for code, value, kcal in (("click", True, False), ("view", True, False),
                               ("purchase", False, True), ("signup", False, False)):
-        v = ("SUM(s.sample_value) AS value_sum, ROUND(AVG(s.sample_value), 6) AS value_mean, "
+        mean = _RATIO.format(scale=1000000, s="SUM(CAST(round(s.sample_value * 100) AS BIGINT))",
+                             n="100 * COUNT(s.sample_value)")
+        v = (f"SUM(s.sample_value) AS value_sum, {mean} AS value_mean, "
              "MIN(s.sample_value) AS value_min, MAX(s.sample_value) AS value_max"
              if value else "NULL AS value_sum, NULL AS value_mean, NULL AS value_min, NULL AS value_max")
         k = "SUM(s.sample_value) AS kcal_sum" if kcal else "NULL AS kcal_sum"
@@ -234,7 +240,9 @@ def _day_sql() -> str:
     streams.append(
         f"SELECT u.user_id, CAST(c.measured_at {KST} AS DATE) AS wear_date, 'error' AS stream_code, "
         "SUM(c.source_row_count) AS n_samples, SUM(c.sample_value * c.source_row_count) AS value_sum, "
-        "ROUND(SUM(c.sample_value * c.source_row_count) / NULLIF(SUM(c.source_row_count), 0), 6) AS value_mean, "
+        + _RATIO.format(scale=1000000,
+                        s="SUM(CAST(round(c.sample_value * 100) AS BIGINT) * c.source_row_count)",
+                        n="100 * NULLIF(SUM(c.source_row_count), 0)") + " AS value_mean, "
         "MIN(c.sample_value) AS value_min, MAX(c.sample_value) AS value_max, NULL AS kcal_sum "
         "FROM collapsed c JOIN dim_user u ON u.user_id = c.user_lifelog_sn GROUP BY 1, 2")
     body = "\nUNION ALL ".join(streams)

@@ -917,7 +917,7 @@ def _snk12(spark, sf):
 
 
 @register("dq09_source_freshness", """
-SELECT latest_loaded_at, age_hours, CASE WHEN latest_loaded_at IS NULL OR age_hours > 48 THEN 'error'
+SELECT latest_loaded_at, ROUND(age_hours, 6) AS age_hours, CASE WHEN latest_loaded_at IS NULL OR age_hours > 48 THEN 'error'
        WHEN age_hours > 24 THEN 'warn' END AS severity
 FROM (SELECT MAX(ts) AS latest_loaded_at,
              (epoch(TIMESTAMP '2024-02-02 00:00:00') - epoch(MAX(ts))) / 3600.0 AS age_hours FROM events) t
@@ -927,7 +927,8 @@ def _dq09(spark, sf):
     against an as-of time (warn after 24 h, error after 48 h)."""
     ctl = LS.control_from_landing(spark, sf).withColumn("updated_at", tu.naive_to_instant("updated_at"))
     out = Q.freshness(ctl, "updated_at", dt.datetime(2024, 2, 2), 24, 48)
-    return out.withColumn("latest_loaded_at", tu.instant_to_naive("latest_loaded_at"))
+    return out.withColumn("latest_loaded_at", tu.instant_to_naive("latest_loaded_at")).withColumn(
+        "age_hours", F.round("age_hours", 6))
 
 
 @register("dq11_ambiguous_band", with_ctes(["readings"], """

@@ -31,7 +31,8 @@ def main() -> int:
         try:
             df = fn(spark, sf)
             if name in sqls:
-                res = compare(df, sqls[name], sf)
+                digits = None if os.environ.get("ORACLE_EXACT") == "1" else 6
+                res = compare(df, sqls[name], sf, digits)
             else:
                 res = {"rows_spark": df.count(), "oracle": None, "match": None}
         except Exception as exc:  # report and continue

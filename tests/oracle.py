@@ -30,7 +30,7 @@ def _canon(v, digits: int):
             return "NULL"
         if v.is_integer() and abs(v) < 2**53:
             return str(int(v))
-        return repr(round(v, digits))
+        return repr(v) if digits is None else repr(round(v, digits))
     if isinstance(v, decimal.Decimal):
         return _canon(float(v), digits)
     if isinstance(v, (pd.Timestamp, dt.datetime)):
@@ -58,7 +58,7 @@ def digest(rows: list[tuple]) -> str:
     return h.hexdigest()
 
 
-def compare(spark_df, sql: str, sf_dir: str, digits: int = 6) -> dict:
+def compare(spark_df, sql: str, sf_dir: str, digits: int | None = 6) -> dict:
     left = spark_df.toPandas()
     right = duck(sf_dir).execute(sql).fetchdf()
     out = {"rows_spark": len(left), "rows_oracle": len(right),
