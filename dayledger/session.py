@@ -41,16 +41,24 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when nothing is configured (local
-    tests) is a fallback under ``/tmp`` set.
+    The cluster's setting always wins. Only a *local* session without any
+    setting (tests, the bench) gets a fallback folder; on a cluster a missing
+    setting is an error, because a machine-local folder would not survive the
+    loss of the machine and is not visible to other executors.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        target = configured or fallback or "/tmp/dayledger-checkpoints"
-        sc.setCheckpointDir(target)
-    return configured or sc.getCheckpointDir()
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    sc.setCheckpointDir(fallback or "/tmp/dayledger-checkpoints")
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
