@@ -25,20 +25,21 @@ from pyspark.sql import functions as F
 
 from dayledger.functions.timeutil import BUSINESS_ZONE, instant_to_naive, naive_to_instant
 from dayledger.session import scratch_path
-from dayledger.sources.tables import table_path
 
 LOCAL_DAY_OFFSET = "15 hours"  # local midnight in UTC for a UTC+9 zone
 DEFAULT_LATENESS = "30 days"
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None, event_time: str | None = "ts"
-                 ) -> DataFrame:
-    """A file stream over one driver table (new files are new micro-batches).
+                 max_files_per_trigger: int | None = None, event_time: str | None = "ts",
+                 glob: str | None = None) -> DataFrame:
+    """A file stream over one driver table (new files are new micro-batches;
+    ``glob`` admits several arrival files such as ``events*.parquet``).
     A naive ``event_time`` column (UTC wall clock) is turned into an instant,
     which is what watermarks require."""
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    pattern = glob or f"{name}.parquet"
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(sf_dir).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.parquet(sf_dir)
