@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,17 +36,29 @@ def bmi_band(weight_kg: Column, height_cm: Column) -> Column:
             .otherwise("obese"))
 
 
-def dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:
-    """DIM-06; see ``build_dim_user``. Without a staff list the frame is shared
-    per session (one subtree, reusable exchanges)."""
-    if staff is None:
-        return _dim_user_shared(spark, sf)
-    return build_dim_user(spark, sf, staff)
+_SHARED: dict[tuple[int, str], DataFrame] = {}
 
 
-@lru_cache(maxsize=16)
-def _dim_user_shared(spark: SparkSession, sf: str) -> DataFrame:
-    return build_dim_user(spark, sf, None)
+def dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:
+    """DIM-06; see ``build_dim_user``. Without a staff list the frame is shared
+    per session (one subtree, reusable exchanges) — or, once a build has
+    materialised it, the snapshot pinned with ``pin_dim_user``."""
+    if staff is not None:
+        return build_dim_user(spark, sf, staff)
+    key = (id(spark), sf)
+    if key not in _SHARED:
+        _SHARED[key] = build_dim_user(spark, sf, None)
+    return _SHARED[key]
+
+
+def pin_dim_user(spark: SparkSession, sf: str, snapshot: DataFrame | None) -> None:
+    """Make later models of this session read a materialised DIM-06 snapshot
+    (``None`` unpins and goes back to computing it from the sources)."""
+    key = (id(spark), sf)
+    if snapshot is None:
+        _SHARED.pop(key, None)
+    else:
+        _SHARED[key] = snapshot
 
 
 def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:

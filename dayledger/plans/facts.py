@@ -7,8 +7,6 @@ while it is small and falls back to a shuffled join beyond the threshold.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +24,6 @@ def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
     return dim_user(spark, sf).select("user_id")
 
 
-@lru_cache(maxsize=16)
 def guarded_events(spark: SparkSession, sf: str) -> DataFrame:
     """All app events of cohort users (one scan, one guard join). Channel facts
     are filters on this frame, so any number of channels costs one scan."""

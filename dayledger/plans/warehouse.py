@@ -23,7 +23,7 @@ from dayledger.operators import sinks as K
 from dayledger.operators.setops import symmetric_difference
 from dayledger.plans import panel as P
 from dayledger.plans import wearable as W
-from dayledger.plans.dims import dim_user
+from dayledger.plans.dims import dim_user, pin_dim_user
 
 
 @dataclass
@@ -70,8 +70,11 @@ def build(spark: SparkSession, sf: str, base: str | None = None, lookback_days:
         rep.tables[name], rep.modes[name] = path, mode
         return spark.read.parquet(path)
 
+    pin_dim_user(spark, sf, None)                 # always rebuilt from the sources
     dim = commit("dim_user", dim_user(spark, sf), "full")
     Q.require_rows(dim, "dim_user")
+    # Every later model of this build reads the snapshot, not the raw events.
+    pin_dim_user(spark, sf, dim)
 
     prev = K.current_snapshot(spark, "int01_collapsed", base) if incremental else None
     int01 = commit("int01_collapsed",
@@ -96,9 +99,12 @@ def build(spark: SparkSession, sf: str, base: str | None = None, lookback_days:
         "int02_equals_full": symmetric_difference(int02, W.wearable_day(spark, sf)),
         "panel_states_match_values": _state_violations(panel),
     }
-    for name, violations in gates.items():
-        rows = Q.enforce(violations, name, "error" if enforce_checks else "warn")
-        rep.checks[name] = len(rows)
+    try:
+        for name, violations in gates.items():
+            rows = Q.enforce(violations, name, "error" if enforce_checks else "warn")
+            rep.checks[name] = len(rows)
+    finally:
+        pin_dim_user(spark, sf, None)
     return rep
 
 
