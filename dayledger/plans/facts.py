@@ -64,6 +64,11 @@ def staged_readings(spark: SparkSession, sf: str) -> DataFrame:
       (``DISTINCT ON ... ORDER BY v DESC NULLS LAST``);
     * rates stream (discount, tax): exact ``DISTINCT`` then unpivot.
     NULL readings are dropped after the unpivot.
+
+    The streams are deliberately *not* co-partitioned by the serial (which
+    would save shuffles): a serial holding a third of all samples would then
+    land in one task. Keyed on (serial, slot) / the full payload, with partial
+    group limits and partial aggregation, a hot serial spreads out.
     """
     src = B.readings_source(spark, sf)
     order = [F.col(c).desc_nulls_last() for c in
