@@ -252,4 +252,8 @@ def user_month(panel: DataFrame, users: DataFrame, channels: Sequence[ChannelSpe
         (F.col("panel_start_date") > F.col("month_start_date")).alias("is_left_partial_month"),
         (F.col("panel_end_date") < mend).alias("is_right_censored"),
         ((F.col("panel_start_date") > F.col("month_start_date")) | (F.col("panel_end_date") < mend))
-        .alias("is_partial_month"))
+        .alias("is_partial_month"),
+        # No approved qualifying-day definition exists: a typed NULL plus a
+        # status saying so, never a guessed number (PRJ-10).
+        F.lit(None).cast("int").alias("remote_care_qualifying_days"),
+        F.lit("HYPOTHESIS_UNDEFINED").alias("remote_care_qualifying_day_status"))

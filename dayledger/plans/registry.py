@@ -451,7 +451,9 @@ SELECT m.*, {mend} AS month_end_date,
        + extract(month FROM age(m.month_start_date, {jm})) AS BIGINT) AS cohort_month_index,
   m.panel_start_date > m.month_start_date AS is_left_partial_month,
   m.panel_end_date < {mend} AS is_right_censored,
-  (m.panel_start_date > m.month_start_date OR m.panel_end_date < {mend}) AS is_partial_month
+  (m.panel_start_date > m.month_start_date OR m.panel_end_date < {mend}) AS is_partial_month,
+  CAST(NULL AS BIGINT) AS remote_care_qualifying_days,
+  'HYPOTHESIS_UNDEFINED' AS remote_care_qualifying_day_status
 FROM (SELECT user_id, CAST(date_trunc('month', ymd_date) AS DATE) AS month_start_date, {', '.join(aggs)}
       FROM panel GROUP BY 1, 2) m JOIN dim_user u USING (user_id)"""
 
