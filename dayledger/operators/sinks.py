@@ -26,12 +26,18 @@ class DuplicateKeyError(ValueError):
     """A batch meets the same key twice; an upsert would be ambiguous."""
 
 
+def as_utc(at: dt.datetime) -> dt.datetime:
+    """A naive datetime given to the library means UTC (never the process zone)."""
+    return at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+
+
 def stamp_loaded(df: DataFrame, at: dt.datetime | Column, column: str = LOADED_AT) -> DataFrame:
-    """SNK-07: add the load timestamp; refuse a source that already has the column."""
+    """SNK-07: add the load timestamp (an instant; a naive datetime is UTC);
+    refuse a source that already has the column."""
     if column in df.columns:
         raise ValueError(f"source already has a {column!r} column, which collides with "
                          f"the loader's bookkeeping column")
-    value = at if isinstance(at, Column) else F.lit(at)
+    value = at if isinstance(at, Column) else F.lit(as_utc(at))
     return df.withColumn(column, value.cast("timestamp"))
 
 

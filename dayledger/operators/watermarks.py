@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.operators.sinks import upsert
+from dayledger.operators.sinks import as_utc, upsert
 
 KEY = ("source_system", "schema_name", "table_name")
 SCHEMA = ("source_system string, schema_name string, table_name string, "
@@ -21,7 +21,8 @@ def empty_control(spark: SparkSession) -> DataFrame:
 
 
 def _row(spark: SparkSession, values: tuple) -> DataFrame:
-    return spark.createDataFrame([values], SCHEMA)
+    vals = tuple(as_utc(v) if isinstance(v, dt.datetime) else v for v in values)
+    return spark.createDataFrame([vals], SCHEMA)
 
 
 def record_success(control: DataFrame, target: tuple[str, str, str],
@@ -44,7 +45,7 @@ def record_failure(control: DataFrame, target: tuple[str, str, str], error: str,
     existing = control.where(match)
     updated = existing.select(*KEY, "watermark_value", F.lit("FAILED").alias("last_status"),
                               F.lit(error).alias("last_error"), "row_count",
-                              F.lit(at).cast("timestamp").alias("updated_at"))
+                              F.lit(as_utc(at)).cast("timestamp").alias("updated_at"))
     inserted = fresh.join(existing.select(*KEY), list(KEY), "left_anti")
     return control.where(~match).unionByName(updated).unionByName(inserted)
 

@@ -150,7 +150,7 @@ def _snk02(spark, sf):
     batch = K.stamp_loaded(e.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
                            .withColumn("value", F.col("value") * 2), _LOAD2)
     return K.upsert(target, batch, ["event_id"]).withColumn(
-        "_loaded_at", F.col("_loaded_at").cast("timestamp_ntz"))
+        "_loaded_at", tu.instant_to_naive("_loaded_at"))
 
 
 @register("snk03_insert_if_absent", f"""
@@ -180,7 +180,7 @@ def _snk04(spark, sf):
     exactly that window; replaying it twice gives the same table."""
     e = read_table(spark, sf, "events", ["ts", "user_id", "event_type", "value"])
     target = e.where(F.col("ts") <= F.lit("2024-01-20").cast("timestamp_ntz"))
-    win = L.plan_window(dt.datetime(2024, 1, 20), F.col("ts").cast("timestamp"),
+    win = L.plan_window(dt.datetime(2024, 1, 20), F.col("ts"),
                         L.lookback(dt.timedelta(minutes=5), 5), dt.datetime(2024, 1, 25))
     batch = L.read_incremental(e, win)
     once = K.replace_window(target, batch, win.predicate)
@@ -899,12 +899,12 @@ def _snk11(spark, sf):
     ctl = LS.control_from_landing(spark, sf).select(
         "source_system", "schema_name", "table_name", "watermark_value", "last_status", "last_error",
         "row_count", F.col("updated_at"))
-    ctl = ctl.withColumn("watermark_value", F.col("watermark_value").cast("timestamp")).withColumn(
-        "updated_at", F.col("updated_at").cast("timestamp"))
+    ctl = ctl.withColumn("watermark_value", tu.naive_to_instant("watermark_value")).withColumn(
+        "updated_at", tu.naive_to_instant("updated_at"))
     ctl = WMK.record_failure(ctl, ("events", "public", "events_error"), "timeout", _AT)
     ctl = WMK.record_success(ctl, ("events", "public", "events_view"), _AT, 0, _AT)
     ctl = WMK.record_failure(ctl, ("ops", "public", "error_catalog"), "missing", _AT)
-    return ctl.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c)
+    return ctl.select(*[tu.instant_to_naive(c).alias(c) if t == "timestamp" else F.col(c)
                         for c, t in ctl.dtypes])
 
 

@@ -39,3 +39,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.schema == E.entry(spark).schema
+
+
+@pytest.mark.parametrize("name", ["snk02_upsert", "snk04_replace_window", "snk11_control_updates",
+                                  "dq09_source_freshness", "pnl01_user_day", "fct12_channel_load_status",
+                                  "str02_streamed_daily_aggregate", "fct06_coaching_event",
+                                  "int01_collapsed_samples", "snk05_window_replace", "dtl05_two_hop_attribution"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        res = compare(QUERIES[name](spark, SF_SMALL), ORACLES[name], SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["match"], res
