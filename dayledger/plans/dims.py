@@ -51,14 +51,27 @@ def dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> Da
     return _SHARED[key]
 
 
+def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The cohort's user keys for guard joins. DIM-06 is one row per cohort
+    user (its other joins are left joins on unique keys), so the keys come
+    straight from the cohort source — no account / site joins for a guard —
+    or from the pinned DIM-06 snapshot during a build."""
+    pinned = _SHARED.get(("pinned", id(spark), sf))
+    if pinned is not None:
+        return pinned.select("user_id")
+    return B.cohort_source(spark, sf).select("user_id")
+
+
 def pin_dim_user(spark: SparkSession, sf: str, snapshot: DataFrame | None) -> None:
     """Make later models of this session read a materialised DIM-06 snapshot
     (``None`` unpins and goes back to computing it from the sources)."""
     key = (id(spark), sf)
     if snapshot is None:
         _SHARED.pop(key, None)
+        _SHARED.pop(("pinned", id(spark), sf), None)
     else:
         _SHARED[key] = snapshot
+        _SHARED[("pinned", id(spark), sf)] = snapshot
 
 
 def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:

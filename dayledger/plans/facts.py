@@ -15,13 +15,14 @@ from dayledger.functions.keys import event_key, key_text
 from dayledger.operators import staging as S
 from dayledger.operators.setops import union_all
 from dayledger.plans import bindings as B
+from dayledger.plans.dims import cohort_ids as _cohort_keys
 from dayledger.plans.dims import dim_user
 
 CHANNEL_EVENT_TYPES = ("view", "click", "purchase", "error", "signup")
 
 
 def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return dim_user(spark, sf).select("user_id")
+    return _cohort_keys(spark, sf)
 
 
 def guarded_events(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from dayledger.functions import timeutil as tu
 from dayledger.plans import bindings as B
 from dayledger.plans import facts as FT
-from dayledger.plans.dims import dim_user
 
 
 def _pct(num, den, scale: int = 1):
@@ -131,7 +130,7 @@ def scoring_coverage_monthly(spark: SparkSession, sf: str) -> DataFrame:
     per_user = _guarded_per_user(s, ["month_start_date"], "user_id", [F.count(F.lit(1)).alias("n")],
                                  spark, sf)
     scored = per_user.groupBy("month_start_date").agg(F.count(F.lit(1)).alias("users_scored"))
-    size = dim_user(spark, sf).agg(F.count(F.lit(1)).alias("cohort_size"))
+    size = FT.cohort_ids(spark, sf).agg(F.count(F.lit(1)).alias("cohort_size"))
     j = scored.crossJoin(F.broadcast(size))
     return j.select("month_start_date", "cohort_size", "users_scored",
                     _pct(F.col("users_scored"), F.col("cohort_size")).alias("coverage_pct"))

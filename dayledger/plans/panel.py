@@ -13,8 +13,9 @@ Plan shape (instead of one left join per channel):
 2. per-user eligibility and first-activity bounds: one ``groupBy(user)``;
 3. frontiers: a one-row frame, broadcast (its size is one row);
 4. spine: ``explode(sequence(lo, hi))`` per user — a Generate, no range join;
-5. one left join of spine and daily counts on ``(user, day)``; the daily side
-   is already hash-partitioned on those keys by its aggregate;
+5. one left join of spine and daily counts on ``(user, day)``; the daily
+   aggregate is checkpointed once (shared folder) because three consumers
+   read it;
 6. value and state ladders generated from the channel spec list.
 """
 
@@ -30,6 +31,7 @@ from dayledger.functions import timeutil as tu
 from dayledger.plans import bindings as B
 from dayledger.plans import load_status as LS
 from dayledger.plans.dims import dim_user
+from dayledger.session import ensure_checkpoint_dir
 
 APP, PROGRAM, ENROLLED, PASSIVE = "APP", "PROGRAM", "ENROLLED", "PASSIVE"
 
@@ -166,7 +168,7 @@ def _ladders(ch: ChannelSpec) -> list[Column]:
 
 
 def user_day(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHANNELS,
-             status: DataFrame | None = None) -> DataFrame:
+             status: DataFrame | None = None, checkpoint: bool = True) -> DataFrame:
     """PNL-01: the dense user x local-day panel from each user's first day
     (joined or earlier activity) to the observation frontier (never today)."""
     users = dim_user(spark, sf).select("user_id", "joined_date", "app_registered_date", "birth_year")
@@ -175,6 +177,13 @@ def user_day(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHA
     # user spreads over its days), then apply the cohort guard to the small
     # aggregate: the guard join never sees raw rows, so it cannot skew.
     daily = daily_counts(rows, channels).join(users.select("user_id"), "user_id", "left_semi")
+    # The user-day aggregate feeds three consumers (user bounds, frontiers ->
+    # spine end, the final join). Spark would recompute it — i.e. re-read the
+    # events — for each; a reliable checkpoint in the shared checkpoint folder
+    # writes it once (it is far smaller than the events) and cuts the lineage.
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
+        daily = daily.checkpoint(eager=True)
     bounds = user_bounds(daily, users, channels)
     st = status if status is not None else LS.channel_load_status(
         spark, sf, frontiers=daily_frontiers(daily, channels))

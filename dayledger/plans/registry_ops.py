@@ -561,7 +561,7 @@ def _fct04(spark, sf):
                      F.col("o_orderpriority").alias("share_type"),
                      F.col("o_orderdate").alias("share_created_at"),
                      tu.local_date("o_orderdate").alias("share_created_date"))
-    return links.join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi")
+    return links.join(FT.cohort_ids(spark, sf), "user_id", "left_semi")
 
 
 @register("met08_share_denominators", with_ctes(["dim_user"], f"""
@@ -607,7 +607,7 @@ JOIN dim_user u ON u.user_id = t.user_id WHERE t.rn = 1"""))
 def _fct10(spark, sf):
     """FCT-10: user x analysis-day signature (STG-22 output, cohort guard)."""
     s = _stg22(spark, sf)
-    return s.join(dim_user(spark, sf).select("user_id"), "user_id", "inner").select(
+    return s.join(FT.cohort_ids(spark, sf), "user_id", "inner").select(
         "user_id", F.col("event_date").alias("ymd_date"), F.col("k_text").alias("signature_code"))
 
 
@@ -684,7 +684,7 @@ SELECT * FROM (
 WHERE staged_rows IS DISTINCT FROM fact_rows"""))
 def _dq13(spark, sf):
     """DQ-13: staged rows of cohort users = fact rows, per channel."""
-    cohort = dim_user(spark, sf).select("user_id")
+    cohort = FT.cohort_ids(spark, sf)
     staged_c = B.deliveries(spark, sf).join(cohort, "user_id", "left_semi").agg(
         F.count(F.lit(1)).alias("staged_rows"))
     fact_c = FT.coaching_event(spark, sf).agg(F.count(F.lit(1)).alias("fact_rows"))
@@ -707,7 +707,7 @@ SELECT DISTINCT user_id, src FROM (
 WHERE NOT EXISTS (SELECT 1 FROM dim_user u WHERE u.user_id = f.user_id)"""))
 def _dq17(spark, sf):
     """DQ-17: users outside the cohort (mapper-only) never leak into facts."""
-    cohort = dim_user(spark, sf).select("user_id")
+    cohort = FT.cohort_ids(spark, sf)
     facts = (FT.coaching_event(spark, sf).select("user_id", F.lit("coaching").alias("src"))
              .unionByName(FT.measurement_fact(spark, sf).select("user_id", F.lit("measurement").alias("src")))
              .unionByName(FT.guarded_events(spark, sf).select("user_id", F.lit("app").alias("src"))))
@@ -744,7 +744,7 @@ def _dq23(spark, sf):
     """DQ-23: cohort users without an account mapping must equal a pinned set,
     in both directions (full outer join). The pinned set is a parameter; it is
     empty for the driver's tables."""
-    cohort = dim_user(spark, sf).select("user_id")
+    cohort = FT.cohort_ids(spark, sf)
     acct = read_table(spark, sf, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id"))
     unmapped = cohort.join(acct, "user_id", "left_anti").withColumn("__a", F.lit(True))
     pinned = spark.createDataFrame([], "user_id bigint").withColumn("__k", F.lit(True))
@@ -1026,7 +1026,7 @@ def _fct07(spark, sf):
     from dayledger.functions.keys import event_key, key_text
     m = _meal_records(spark, sf).where(S.keep_unless_deleted("is_deleted"))
     parent = (B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
-              .join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi"))
+              .join(FT.cohort_ids(spark, sf), "user_id", "left_semi"))
     j = m.join(parent.select("user_lifelog_sn", "user_id"), "user_lifelog_sn", "inner")
     key = event_key(F.col("user_id").cast("string"), key_text("recorded_at", j.schema["recorded_at"].dataType),
                     F.col("record_no").cast("string"))
@@ -1060,6 +1060,6 @@ def _dq18(spark, sf):
     signature of the attributed staged readings (multiset symmetric difference)."""
     sig = ["user_lifelog_sn", "measured_at", "metric_code", "metric_value"]
     parent = (B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
-              .join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi").select("user_lifelog_sn"))
+              .join(FT.cohort_ids(spark, sf), "user_id", "left_semi").select("user_lifelog_sn"))
     staged = FT.staged_readings(spark, sf).join(parent, "user_lifelog_sn", "left_semi").select(*sig)
     return symmetric_difference(FT.measurement_fact(spark, sf).select(*sig), staged)

@@ -24,7 +24,7 @@ from dayledger.operators import sinks as K
 from dayledger.operators import staging as S
 from dayledger.operators.setops import union_all
 from dayledger.plans import bindings as B
-from dayledger.plans.dims import dim_user
+from dayledger.plans.dims import cohort_ids
 
 VALUE_TYPE = "decimal(18,2)"
 MEAN_SCALE = 6
@@ -94,8 +94,7 @@ def collapsed_incremental(target: DataFrame, raw: DataFrame, days: int = 30) ->
 
 
 def _cohort(spark: SparkSession, sf: str) -> DataFrame:
-    return dim_user(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"),
-                                      F.col("user_id"))
+    return cohort_ids(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"), F.col("user_id"))
 
 
 def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | None = None,

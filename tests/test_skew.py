@@ -39,7 +39,11 @@ def test_hot_user_results_equal_oracle(spark, skewed_sf, name):
 
 
 def test_panel_reduces_before_the_guard(spark, skewed_sf):
-    plan = E.queries()["pnl01_user_day"](spark, skewed_sf)._jdf.queryExecution().executedPlan().toString()
+    from dayledger.plans import panel as P
+    from dayledger.plans.dims import dim_user
+    daily = P.daily_counts(P.channel_rows(spark, skewed_sf)).join(
+        dim_user(spark, skewed_sf).select("user_id"), "user_id", "left_semi")
+    plan = daily._jdf.queryExecution().executedPlan().toString()
     # the daily aggregate runs partially on the map side ...
     assert "partial_sum" in plan
     # ... and the cohort guard of the daily rows is a semi join, not a join of raw events
