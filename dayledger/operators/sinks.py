@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayledger.session import scratch_path
 
@@ -97,13 +98,27 @@ def replace_window(target: DataFrame, batch: DataFrame, predicate: Column | None
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def window_cutoff(target: DataFrame, batch: DataFrame, window_col: str, days: int) -> DataFrame:
-    """One-row frame ``cutoff = coalesce(max(target) - days, min(batch))``."""
-    tmax = target.agg(F.max(window_col).alias("__tmax"))
-    bmin = batch.agg(F.min(window_col).alias("__bmin"))
-    return tmax.crossJoin(bmin).select(
-        F.coalesce(F.col("__tmax") - F.expr(f"INTERVAL {int(days)} DAYS"),
-                   F.col("__bmin")).alias("__cutoff"))
+def typed_lit(value, dtype) -> Column:
+    """A literal of a collected value with its column's type. Naive wall-clock
+    values (timestamp_ntz) go through their text, so no session or process
+    zone can shift them."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value).cast(dtype)
+
+
+def window_cutoff(target: DataFrame, batch: DataFrame, window_col: str, days: int):
+    """``coalesce(max(target) - days, min(batch))`` as one typed scalar (a
+    single aggregate row reaches the driver). Returns (value, type)."""
+    shifted = target.agg((F.max(window_col) - F.expr(f"INTERVAL {int(days)} DAYS")).alias("c"))
+    dtype = shifted.schema["c"].dataType
+    cut = shifted.first().c
+    if cut is None:
+        first = batch.agg(F.min(window_col).cast(dtype).alias("c")).first()
+        cut = first.c
+    return cut, dtype
 
 
 def window_replace(target: DataFrame, batch: DataFrame, window_col: str, days: int,
@@ -114,17 +129,13 @@ def window_replace(target: DataFrame, batch: DataFrame, window_col: str, days: i
     target); target rows at or after the cutoff go, the batch rows from the
     cutoff on come in. Rows that vanished upstream inside the window
     disappear; partitions outside it are kept (this is *not* a dynamic
-    partition overwrite). The cutoff is a one-row frame joined by broadcast,
-    never collected. On a date-partitioned target the ``< cutoff`` filter
-    prunes partitions at run time.
+    partition overwrite). The cutoff is one scalar used as a literal, so on a
+    date-partitioned target (and on the source read) the filters prune.
     """
-    cut = F.broadcast(window_cutoff(target, batch, window_col, days))
-    kept = (target.crossJoin(cut)
-            .where(~F.coalesce(F.col(window_col) >= F.col("__cutoff"), F.lit(False)))
-            .drop("__cutoff"))
-    fresh = batch
-    if restrict_batch:
-        fresh = batch.crossJoin(cut).where(F.col(window_col) >= F.col("__cutoff")).drop("__cutoff")
+    cut_value, dtype = window_cutoff(target, batch, window_col, days)
+    cut = typed_lit(cut_value, dtype)
+    kept = target.where(~F.coalesce(F.col(window_col) >= cut, F.lit(False)))
+    fresh = batch.where(F.col(window_col) >= cut) if restrict_batch else batch
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
+from dayledger.operators.sinks import typed_lit
 from dayledger.plans import bindings as B
 from dayledger.plans import facts as FT
 from dayledger.sources.seeds import values_df
@@ -43,8 +44,9 @@ def control_from_landing(spark: SparkSession, sf: str) -> DataFrame:
     Each event type lands as its own incremental target: position = observed
     maximum event time (SNK-09/10), status SUCCESS, row count, and the load
     finishes at that position. Full-refresh targets record the run time, i.e.
-    the end of the replay (the latest event overall). One grouped aggregate
-    over the events; the result has one row per target.
+    the end of the replay (the latest event overall, one scalar taken from
+    the per-type aggregate). One grouped aggregate over the events; the result
+    has one row per target.
     """
     e = B.events(spark, sf)
     inc = e.groupBy("event_type").agg(F.max("ts").alias("wm"), F.count(F.lit(1)).alias("n"))
@@ -54,13 +56,14 @@ def control_from_landing(spark: SparkSession, sf: str) -> DataFrame:
         F.col("wm").alias("watermark_value"), F.lit("SUCCESS").alias("last_status"),
         F.lit(None).cast("string").alias("last_error"), F.col("n").cast("bigint").alias("row_count"),
         F.col("wm").alias("updated_at"))
-    run_end = inc.agg(F.max("wm").alias("run_at"))
+    end = inc.agg(F.max("wm").alias("run_at"))
+    run_at = typed_lit(end.first().run_at, end.schema["run_at"].dataType)   # one scalar
     full = values_df(spark, FULL_REFRESH_TABLES,
                      "source_system string, schema_name string, table_name string")
-    full_rows = full.crossJoin(F.broadcast(run_end)).select(
-        "source_system", "schema_name", "table_name", F.col("run_at").alias("watermark_value"),
+    full_rows = full.select(
+        "source_system", "schema_name", "table_name", run_at.alias("watermark_value"),
         F.lit("SUCCESS").alias("last_status"), F.lit(None).cast("string").alias("last_error"),
-        F.lit(None).cast("bigint").alias("row_count"), F.col("run_at").alias("updated_at"))
+        F.lit(None).cast("bigint").alias("row_count"), run_at.alias("updated_at"))
     return inc_rows.unionByName(full_rows)
 
 

@@ -124,16 +124,14 @@ def high_risk_load_monthly(spark: SparkSession, sf: str, threshold: int = 80) ->
 
 def scoring_coverage_monthly(spark: SparkSession, sf: str) -> DataFrame:
     """MET-07: users scored per month over the current cohort size. The cohort
-    size is an uncorrelated scalar aggregate: a one-row frame joined by
-    broadcast (its size is one row by construction)."""
+    size is an uncorrelated scalar subquery: one count, used as a literal."""
     s = B.scores_source(spark, sf).withColumn("month_start_date", tu.trunc_date("month", "ymd_date"))
     per_user = _guarded_per_user(s, ["month_start_date"], "user_id", [F.count(F.lit(1)).alias("n")],
                                  spark, sf)
     scored = per_user.groupBy("month_start_date").agg(F.count(F.lit(1)).alias("users_scored"))
-    size = FT.cohort_ids(spark, sf).agg(F.count(F.lit(1)).alias("cohort_size"))
-    j = scored.crossJoin(F.broadcast(size))
-    return j.select("month_start_date", "cohort_size", "users_scored",
-                    _pct(F.col("users_scored"), F.col("cohort_size")).alias("coverage_pct"))
+    size = F.lit(FT.cohort_ids(spark, sf).count()).cast("bigint")
+    return scored.select("month_start_date", size.alias("cohort_size"), "users_scored",
+                         _pct(F.col("users_scored"), size).alias("coverage_pct"))
 
 
 def chart_series(df: DataFrame, x: str, y: str, how: str = "sum", limit: int = 100) -> DataFrame:

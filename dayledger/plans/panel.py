@@ -11,7 +11,7 @@ Plan shape (instead of one left join per channel):
    ``groupBy(user, day)`` with ``FILTER``-style conditional sums, then the
    cohort guard as a semi join on the (much smaller) daily aggregate;
 2. per-user eligibility and first-activity bounds: one ``groupBy(user)``;
-3. frontiers: a one-row frame, broadcast (its size is one row);
+3. frontiers: one row of dates, taken as scalars (literals, no join);
 4. spine: ``explode(sequence(lo, hi))`` per user — a Generate, no range join;
 5. one left join of spine and daily counts on ``(user, day)``; the daily
    aggregate is checkpointed once (shared folder) because three consumers
@@ -187,9 +187,12 @@ def user_day(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHA
     bounds = user_bounds(daily, users, channels)
     st = status if status is not None else LS.channel_load_status(
         spark, sf, frontiers=daily_frontiers(daily, channels))
-    front = F.broadcast(LS.frontier_row(st, [c.code for c in channels]))
-    spine = (bounds.crossJoin(front)
-             .select("*", F.explode(tu.date_series("spine_from", "panel_through")).alias("ymd_date")))
+    # The frontiers are one row of dates: taken as scalars and used as
+    # literals (an uncorrelated scalar subquery), never joined.
+    fr = LS.frontier_row(st, [c.code for c in channels]).first()
+    through = {c: F.lit(fr[c]).cast("date") for c in fr.asDict()}
+    spine = bounds.select("*", *[v.alias(k) for k, v in through.items()]).select(
+        "*", F.explode(tu.date_series("spine_from", "panel_through")).alias("ymd_date"))
     raw = spine.join(daily, ["user_id", "ymd_date"], "left")
     d = F.col("ymd_date")
     first_app = next((c for c in channels if c.kind == APP), None)

@@ -671,6 +671,19 @@ def _cht02(spark, sf):
 
 # ----------------------------------------------------------------------------- more checks
 
+def _combine_counts(parts):
+    """Put one-row counts side by side without a join: tag each count with its
+    group and name, union them, and fold with one aggregate per group."""
+    tagged = [df.select(F.lit(g).alias("channel_code"), F.lit(n).alias("__name"),
+                        F.col(df.columns[0]).cast("bigint").alias("__n")) for g, n, df in parts]
+    u = tagged[0]
+    for t in tagged[1:]:
+        u = u.unionByName(t)
+    names = list(dict.fromkeys(n for _, n, _ in parts))
+    return u.groupBy("channel_code").agg(*[F.max(F.when(F.col("__name") == n, F.col("__n"))).alias(n)
+                                           for n in names])
+
+
 @register("dq13_facts_reconcile_to_staging", with_ctes(["coaching", "measurement"], """
 SELECT * FROM (
   SELECT 'coaching' AS channel_code,
@@ -692,9 +705,8 @@ def _dq13(spark, sf):
     staged_m = FT.staged_readings(spark, sf).join(parent, "user_lifelog_sn", "left_semi").agg(
         F.count(F.lit(1)).alias("staged_rows"))
     fact_m = FT.measurement_fact(spark, sf).agg(F.count(F.lit(1)).alias("fact_rows"))
-    c = staged_c.crossJoin(fact_c).withColumn("channel_code", F.lit("coaching"))
-    m = staged_m.crossJoin(fact_m).withColumn("channel_code", F.lit("measurement"))
-    both = c.unionByName(m)
+    both = _combine_counts([("coaching", "staged_rows", staged_c), ("coaching", "fact_rows", fact_c),
+                            ("measurement", "staged_rows", staged_m), ("measurement", "fact_rows", fact_m)])
     return both.where(~F.col("staged_rows").eqNullSafe(F.col("fact_rows"))).select(
         "channel_code", "staged_rows", "fact_rows")
 
@@ -771,7 +783,8 @@ def _dq27(spark, sf):
     col = W.detail_fact(spark, sf).agg(F.sum("source_row_count").alias("collapsed_rows"))
     day = (W.wearable_day(spark, sf).where(F.col("stream_code") == W.WEIGHTED_STREAM)
            .agg(F.sum("n_samples").alias("day_rows")))
-    j = raw.crossJoin(col).crossJoin(day)
+    j = _combine_counts([("error", "raw_rows", raw), ("error", "collapsed_rows", col),
+                         ("error", "day_rows", day)]).drop("channel_code")
     return j.where(~F.col("raw_rows").eqNullSafe(F.col("collapsed_rows"))
                    | ~F.col("raw_rows").eqNullSafe(F.col("day_rows")))
 
@@ -828,8 +841,8 @@ def _int01_inc(spark, sf):
     inc = W.collapsed_incremental(old, raw, days=7)
     full = W.collapsed_stream(spark, sf)
     diff = symmetric_difference(inc.drop("source_observation_id"), full.drop("source_observation_id"))
-    return full.agg(F.count(F.lit(1)).alias("full_rows")).crossJoin(
-        diff.agg(F.count(F.lit(1)).alias("differing_rows")))
+    return _combine_counts([("int01", "full_rows", full.agg(F.count(F.lit(1)))),
+                            ("int01", "differing_rows", diff.agg(F.count(F.lit(1))))]).drop("channel_code")
 
 
 @register("src13_control_table", f"""
@@ -976,7 +989,9 @@ def _dq14(spark, sf):
     landing = e.agg(F.count(F.lit(1)).alias("landing_rows"))
     st = staged.agg(F.count(F.lit(1)).alias("staging_rows"),
                     F.count_if(F.col("mapped_user").isNull()).alias("unmapped_rows"))
-    j = landing.crossJoin(st)
+    j = _combine_counts([("events", "landing_rows", landing),
+                         ("events", "staging_rows", st.select("staging_rows")),
+                         ("events", "unmapped_rows", st.select("unmapped_rows"))]).drop("channel_code")
     return j.where(~F.col("landing_rows").eqNullSafe(F.col("staging_rows")) | (F.col("unmapped_rows") > 0))
 
 
