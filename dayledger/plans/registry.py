@@ -232,7 +232,8 @@ def _day_sql() -> str:
         v = (f"SUM(s.sample_value) AS value_sum, {mean} AS value_mean, "
              "MIN(s.sample_value) AS value_min, MAX(s.sample_value) AS value_max"
              if value else "NULL AS value_sum, NULL AS value_mean, NULL AS value_min, NULL AS value_max")
-        k = "SUM(s.sample_value) AS kcal_sum" if kcal else "NULL AS kcal_sum"
+        k = ("SUM(s.sample_value) AS kcal_sum" if kcal else "NULL AS kcal_sum") + \
+            ", NULL AS distance_sum, NULL AS duration_hours"
         streams.append(
             f"SELECT u.user_id, CAST(s.measured_at {KST} AS DATE) AS wear_date, '{code}' AS stream_code, "
             f"COUNT(*) AS n_samples, {v}, {k} FROM samples s JOIN dim_user u ON u.user_id = s.user_lifelog_sn "
@@ -243,13 +244,25 @@ def _day_sql() -> str:
         + _RATIO.format(scale=1000000,
                         s="SUM(CAST(round(c.sample_value * 100) AS BIGINT) * c.source_row_count)",
                         n="100 * NULLIF(SUM(c.source_row_count), 0)") + " AS value_mean, "
-        "MIN(c.sample_value) AS value_min, MAX(c.sample_value) AS value_max, NULL AS kcal_sum "
+        "MIN(c.sample_value) AS value_min, MAX(c.sample_value) AS value_max, NULL AS kcal_sum, "
+        "NULL AS distance_sum, NULL AS duration_hours "
         "FROM collapsed c JOIN dim_user u ON u.user_id = c.user_lifelog_sn GROUP BY 1, 2")
+    # interval stream, dated from its start; duration in hours
+    streams.append(
+        f"SELECT u.user_id, CAST(d.delivered_at {KST} AS DATE) AS wear_date, 'delivery' AS stream_code, "
+        "COUNT(*) AS n_samples, NULL AS value_sum, NULL AS value_mean, NULL AS value_min, NULL AS value_max, "
+        "NULL AS kcal_sum, NULL AS distance_sum, SUM(epoch(d.completed_at - d.delivered_at) / 3600.0) "
+        "AS duration_hours FROM (SELECT o.o_custkey AS user_id, o.o_orderdate AS delivered_at, "
+        "CASE WHEN o.o_orderstatus = 'F' THEN ls.last_ship END AS completed_at FROM orders o "
+        "LEFT JOIN (SELECT l_orderkey, MAX(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) ls "
+        "ON ls.l_orderkey = o.o_orderkey) d JOIN dim_user u ON u.user_id = d.user_id "
+        "WHERE d.delivered_at IS NOT NULL GROUP BY 1, 2")
     body = "\nUNION ALL ".join(streams)
     return (f"wday AS (SELECT user_id, wear_date, stream_code, CAST(n_samples AS BIGINT) AS n_samples, "
             f"CAST(value_sum AS DOUBLE) AS value_sum, CAST(value_mean AS DOUBLE) AS value_mean, "
             f"CAST(value_min AS DOUBLE) AS value_min, CAST(value_max AS DOUBLE) AS value_max, "
-            f"CAST(kcal_sum AS DOUBLE) AS kcal_sum FROM ({body}) x)")
+            f"CAST(kcal_sum AS DOUBLE) AS kcal_sum, CAST(distance_sum AS DOUBLE) AS distance_sum, "
+            f"CAST(duration_hours AS DOUBLE) AS duration_hours FROM ({body}) x)")
 
 
 _WDAY = _day_sql()
@@ -276,8 +289,10 @@ def _pivot_sql() -> str:
     cols = []
     for code, value, kcal in (("click", True, False), ("view", True, False),
                               ("purchase", False, True), ("signup", False, False),
-                              ("error", True, False)):
+                              ("error", True, False), ("delivery", False, False)):
         cols.append(f"MAX(n_samples) FILTER (WHERE stream_code = '{code}') AS {code}_samples")
+        if code == "delivery":
+            cols.append("MAX(duration_hours) FILTER (WHERE stream_code = 'delivery') AS delivery_hours")
         if value:
             for m in ("sum", "mean", "min", "max"):
                 cols.append(f"MAX(value_{m}) FILTER (WHERE stream_code = '{code}') AS {code}_{m}")

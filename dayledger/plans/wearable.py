@@ -31,6 +31,7 @@ MEAN_SCALE = 6
 
 # Binding: which event type plays which stream role (see bindings module).
 WEIGHTED_STREAM = "error"
+SESSION_STREAM = "delivery"   # intervals: order time -> last shipment
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,7 @@ class StreamSpec:
     value: bool = False      # value_sum / mean / min / max
     kcal: bool = False       # kcal_sum from the value column
     weighted: bool = False   # read the collapsed form, weight by multiplicity
+    duration: bool = False   # an interval stream: duration_hours, dated from its start
 
 
 STREAMS: tuple[StreamSpec, ...] = (
@@ -49,6 +51,7 @@ STREAMS: tuple[StreamSpec, ...] = (
     StreamSpec("purchase", kcal=True),
     StreamSpec("signup"),
     StreamSpec(WEIGHTED_STREAM, value=True, weighted=True),
+    StreamSpec(SESSION_STREAM, duration=True),
 )
 
 PAYLOAD = ["user_lifelog_sn", "measured_at", "type_code", "sample_value"]
@@ -126,11 +129,42 @@ def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | No
         else:
             aggs += [null_dec.alias(c) for c in ("value_sum", "value_mean", "value_min", "value_max")]
     kcal = F.sum(v).cast("decimal(38,6)") if spec.kcal else null_dec
-    aggs.append(kcal.alias("kcal_sum"))
+    aggs += [kcal.alias("kcal_sum"), null_dec.alias("distance_sum"), null_dec.alias("duration_hours")]
     return (src.groupBy("user_id", tu.local_date("measured_at").alias("wear_date"))
             .agg(*aggs).withColumn("stream_code", F.lit(spec.code)))
 
 
+def session_samples(spark: SparkSession, sf: str, before: str | None = None,
+                    since: str | None = None) -> DataFrame:
+    """Interval samples (stand-in: deliveries, start = order time, end = the
+    last shipment, NULL while open)."""
+    d = B.deliveries(spark, sf).select(
+        F.col("user_id").alias("user_lifelog_sn"), F.col("delivered_at").alias("measured_at"),
+        F.col("completed_at").alias("ended_at"))
+    if before is not None:
+        d = d.where(F.col("measured_at") < F.lit(str(before)).cast("timestamp_ntz"))
+    if since is not None:
+        d = d.where(F.col("measured_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return d
+
+
+def _session_stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | None = None,
+                        since: str | None = None) -> DataFrame:
+    """An interval stream per (user, local day of its *start*): an overnight
+    interval counts on the day it began. Duration = end - start in hours
+    (open intervals add nothing to the sum)."""
+    src = (session_samples(spark, sf, before, since).where(F.col("measured_at").isNotNull())
+           .join(_cohort(spark, sf), "user_lifelog_sn", "inner"))
+    hours = (tu.epoch_seconds("ended_at", "measured_at") / 3600).cast("decimal(38,6)")
+    null_dec = F.lit(None).cast("decimal(38,6)")
+    return (src.groupBy("user_id", tu.local_date("measured_at").alias("wear_date"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+                 *[null_dec.alias(c) for c in ("value_sum", "value_mean", "value_min", "value_max",
+                                               "kcal_sum", "distance_sum")],
+                 F.sum(hours).cast("decimal(38,6)").alias("duration_hours"))
+            .withColumn("stream_code", F.lit(spec.code)))
+
+
 def _plain_streams_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec],
                       before: str | None = None, since: str | None = None) -> DataFrame:
     """All unweighted streams in one scan and one aggregate keyed by
@@ -154,19 +188,25 @@ def _plain_streams_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpe
                  F.avg(val).cast(f"decimal(38,{MEAN_SCALE})").alias("value_mean"),
                  F.min(val).cast("decimal(38,6)").alias("value_min"),
                  F.max(val).cast("decimal(38,6)").alias("value_max"),
-                 F.sum(kc).cast("decimal(38,6)").alias("kcal_sum")))
+                 F.sum(kc).cast("decimal(38,6)").alias("kcal_sum"),
+                 F.lit(None).cast("decimal(38,6)").alias("distance_sum"),
+                 F.lit(None).cast("decimal(38,6)").alias("duration_hours")))
 
 
 def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = STREAMS,
                  before: str | None = None, since: str | None = None) -> DataFrame:
-    """INT-02: (user, local day, stream) -> n, sum, mean, min, max, kcal.
+    """INT-02: (user, local day, stream) -> n, sum, mean, min, max, kcal,
+    distance, duration hours (NULL where the stream has no such measure).
 
     Templated over the stream spec list: the raw streams share one scan and one
-    aggregate; the weighted stream reads the collapsed form (INT-01)."""
+    aggregate; the weighted stream reads the collapsed form (INT-01); interval
+    streams are dated from their start."""
     cols = ["user_id", "wear_date", "stream_code", "n_samples", "value_sum", "value_mean",
-            "value_min", "value_max", "kcal_sum"]
-    plain = [s for s in streams if not s.weighted]
+            "value_min", "value_max", "kcal_sum", "distance_sum", "duration_hours"]
+    plain = [s for s in streams if not s.weighted and not s.duration]
     parts = [_stream_day(spark, sf, s, before, since).select(*cols) for s in streams if s.weighted]
+    parts += [_session_stream_day(spark, sf, s, before, since).select(*cols)
+              for s in streams if s.duration]
     if plain:
         parts.insert(0, _plain_streams_day(spark, sf, plain, before, since).select(*cols))
     return union_all(parts)
@@ -194,6 +234,8 @@ def wearable_pivot(day: DataFrame, streams: Sequence[StreamSpec] = STREAMS) -> D
                 aggs.append(_as_double(F.max(F.when(is_s, F.col(f"value_{m}")))).alias(f"{s.code}_{m}"))
         if s.kcal:
             aggs.append(_as_double(F.max(F.when(is_s, F.col("kcal_sum")))).alias(f"{s.code}_kcal"))
+        if s.duration:
+            aggs.append(_as_double(F.max(F.when(is_s, F.col("duration_hours")))).alias(f"{s.code}_hours"))
     return day.groupBy("user_id", F.col("wear_date").alias("ymd_date")).agg(*aggs)
 
 

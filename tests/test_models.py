@@ -53,3 +53,31 @@ def test_calendar_attributes(spark):
     assert (r.iso_day_of_week, r.iso_week_num, r.week_start_date) == (1, 1, dt.date(2024, 12, 30))
     assert cal[dt.date(2024, 12, 29)].day_name == "Sunday" and cal[dt.date(2024, 12, 29)].is_weekend
     assert cal[dt.date(2025, 1, 1)].month_name == "January" and cal[dt.date(2025, 1, 1)].quarter_num == 1
+
+
+def test_interval_stream_is_dated_from_its_start(spark, tmp_path):
+    from dayledger.plans import wearable as W
+    root = tmp_path / "sf"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 1), 1, "signup", 0.0, "{}")],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                          "value double, props string").write.parquet(str(root / "events.parquet"))
+    spark.createDataFrame([(1, "C#1", 1, 1.0, "X")], "c_custkey long, c_name string, c_nationkey int, "
+                          "c_acctbal double, c_mktsegment string").write.parquet(str(root / "customer.parquet"))
+    spark.createDataFrame([(1, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"
+                          ).write.parquet(str(root / "nation.parquet"))
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(str(root / "region.parquet"))
+    # starts 23:00 local (14:00 UTC) on 2024-01-01, ends 07:00 local the next day
+    spark.createDataFrame([(10, 1, "F", 1.0, dt.datetime(2024, 1, 1, 14), "1-URGENT"),
+                           (11, 1, "O", 1.0, dt.datetime(2024, 1, 1, 15), "1-URGENT")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                          "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(str(root / "orders.parquet"))
+    spark.createDataFrame([(10, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "F", dt.datetime(2024, 1, 1, 22)),
+                           (11, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", dt.datetime(2024, 1, 3, 0))],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(str(root / "lineitem.parquet"))
+    rows = {x.wear_date: (x.n_samples, None if x.duration_hours is None else float(x.duration_hours))
+            for x in W.wearable_day(spark, str(root)).where("stream_code = 'delivery'").collect()}
+    # order 10: 23:00 local on 01-01 -> 07:00 on 01-02, dated 01-01 with 8 hours;
+    # order 11: starts 00:00 local on 01-02 and is still open: a sample, no duration
+    assert rows == {dt.date(2024, 1, 1): (1, 8.0), dt.date(2024, 1, 2): (1, None)}
