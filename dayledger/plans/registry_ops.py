@@ -1078,3 +1078,37 @@ def _dq18(spark, sf):
               .join(FT.cohort_ids(spark, sf), "user_id", "left_semi").select("user_lifelog_sn"))
     staged = FT.staged_readings(spark, sf).join(parent, "user_lifelog_sn", "left_semi").select(*sig)
     return symmetric_difference(FT.measurement_fact(spark, sf).select(*sig), staged)
+
+
+# ----------------------------------------------------------------------------- more detail facts
+
+@register("dtl06_click_sample_facts", with_ctes(["dim_user"], f"""
+SELECT md5(coalesce(CAST(user_lifelog_sn AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(strftime(measured_at, '%Y-%m-%d %H:%M:%S.%f'), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(type_code, '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(CAST(sample_value AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS source_observation_id,
+       u.user_id, measured_at, CAST(measured_at {KST} AS DATE) AS ymd_date, type_code,
+       CAST(sample_value AS DOUBLE) AS sample_value, source_row_count
+FROM (SELECT user_lifelog_sn, measured_at, type_code, sample_value, COUNT(*) AS source_row_count
+      FROM samples WHERE type_code = 'click' AND measured_at IS NOT NULL GROUP BY ALL) c
+JOIN dim_user u ON u.user_id = c.user_lifelog_sn""", [_SAMPLES]))
+def _dtl06(spark, sf):
+    """STG-08 + DTL-06: a second point stream collapsed with multiplicity and
+    surrogate key, attributed to cohort users."""
+    return W.detail_fact(spark, sf, "click")
+
+
+@register("dtl04_session_facts", with_ctes(["deliveries", "dim_user"], f"""
+SELECT d.activity_row_id AS session_sn, d.user_id, d.delivered_at AS started_at,
+       d.completed_at AS ended_at, CAST(d.delivered_at {KST} AS DATE) AS ymd_date,
+       CAST(epoch(d.completed_at - d.delivered_at) AS DOUBLE) AS duration_seconds
+FROM deliveries d JOIN dim_user u ON u.user_id = d.user_id"""))
+def _dtl04(spark, sf):
+    """DTL-04: interval facts attributed to cohort users, dated from the start
+    (an overnight interval counts on the day it began), duration in seconds
+    (open intervals: NULL)."""
+    d = B.deliveries(spark, sf).join(FT.cohort_ids(spark, sf), "user_id", "left_semi")
+    return d.select(F.col("activity_row_id").alias("session_sn"), "user_id",
+                    F.col("delivered_at").alias("started_at"), F.col("completed_at").alias("ended_at"),
+                    tu.local_date("delivered_at").alias("ymd_date"),
+                    tu.epoch_seconds("completed_at", "delivered_at").alias("duration_seconds"))
