@@ -1112,3 +1112,16 @@ def _dtl04(spark, sf):
                     F.col("delivered_at").alias("started_at"), F.col("completed_at").alias("ended_at"),
                     tu.local_date("delivered_at").alias("ymd_date"),
                     tu.epoch_seconds("completed_at", "delivered_at").alias("duration_seconds"))
+
+
+@register("stg24_cohort_population", with_ctes(["cohort"], """
+SELECT c.user_id, c.joined_date, a.c_mktsegment AS segment, NULLIF(a.c_acctbal, 0) AS balance
+FROM cohort c LEFT JOIN customer a ON a.c_custkey = c.user_id"""))
+def _stg24(spark, sf):
+    """STG-24 / PRJ-03: the cohort population with a zero measure read as
+    missing (``nullif(x, 0)``), never as an observed zero."""
+    c = B.cohort_source(spark, sf)
+    a = read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment", "c_acctbal"]).select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"), "c_acctbal")
+    return c.join(a, "user_id", "left").select("user_id", "joined_date", "segment",
+                                              S.zero_as_missing("c_acctbal").alias("balance"))
