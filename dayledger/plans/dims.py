@@ -81,7 +81,7 @@ def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None)
     registration, body measures) are typed NULLs, never guesses; BMI and band
     follow from them. ``staff`` is a one-column frame of user ids (a seed)."""
     cohort = B.cohort_source(spark, sf)
-    acct = B.accounts(spark, sf)
+    acct = B.accounts(spark, sf).withColumn("__mapped", F.lit(True))
     site = B.sites(spark, sf).select("site_key", "site_name")
     out = (cohort.join(acct, "user_id", "left")
            .join(site, "site_key", "left"))
@@ -94,7 +94,8 @@ def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None)
     weight = F.lit(None).cast("double")
     height = F.lit(None).cast("double")
     return out.select(
-        "user_id", "joined_date", "segment", "acctbal", "site_key", "site_name",
+        "user_id", "joined_date", F.coalesce(F.col("__mapped"), F.lit(False)).alias("is_mapped"),
+        "segment", "acctbal", "site_key", "site_name",
         F.lit(None).cast("int").alias("birth_year"),
         F.lit(None).cast("date").alias("app_registered_date"),
         weight.alias("weight_kg"), height.alias("height_cm"),

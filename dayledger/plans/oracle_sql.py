@@ -15,7 +15,8 @@ CTE = {
           f"CAST(ts {KST} AS DATE) AS event_date FROM events)",
     "cohort": "cohort AS (SELECT user_id, MIN(event_date) AS joined_date FROM ev "
               "WHERE event_type = 'signup' GROUP BY user_id)",
-    "dim_user": "dim_user AS (SELECT c.user_id, c.joined_date, a.c_mktsegment AS segment, "
+    "dim_user": "dim_user AS (SELECT c.user_id, c.joined_date, a.c_custkey IS NOT NULL AS is_mapped, "
+                "a.c_mktsegment AS segment, "
                 "a.c_acctbal AS acctbal, a.c_nationkey AS site_key, n.n_name AS site_name, "
                 "CAST(NULL AS INTEGER) AS birth_year, CAST(NULL AS DATE) AS app_registered_date, "
                 "CAST(NULL AS DOUBLE) AS weight_kg, CAST(NULL AS DOUBLE) AS height_cm, "
