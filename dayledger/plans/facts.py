@@ -126,12 +126,13 @@ def milestones(spark: SparkSession, sf: str) -> DataFrame:
                           F.col("joined_date").alias("occurred_date"),
                           F.lit(None).cast("timestamp_ntz").alias("occurred_at"),
                           F.lit("DATE").alias("temporal_precision"))]
-    e = B.events(spark, sf)
-    for et in CHANNEL_EVENT_TYPES:
-        cands.append(e.where(F.col("event_type") == et).select(
-            "user_id", F.lit(f"first_{et}").alias("milestone_code"),
-            F.col("event_date").alias("occurred_date"), F.col("ts").alias("occurred_at"),
-            F.lit("TIMESTAMP").alias("temporal_precision")))
+    # All event-type milestones come from one read of the events (one branch,
+    # the code derived from the type), not one scan per type.
+    e = B.events(spark, sf).where(F.col("event_type").isin(list(CHANNEL_EVENT_TYPES)))
+    cands.append(e.select(
+        "user_id", F.concat(F.lit("first_"), F.col("event_type")).alias("milestone_code"),
+        F.col("event_date").alias("occurred_date"), F.col("ts").alias("occurred_at"),
+        F.lit("TIMESTAMP").alias("temporal_precision")))
     d = B.deliveries(spark, sf)
     cands.append(d.select("user_id", F.lit("first_delivery").alias("milestone_code"),
                           F.col("ymd_date").alias("occurred_date"),

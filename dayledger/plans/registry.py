@@ -202,6 +202,7 @@ SELECT user_id, milestone_code, occurred_date, occurred_at, temporal_precision F
     SELECT user_id, 'cohort_enrolled' AS milestone_code, joined_date AS occurred_date,
            CAST(NULL AS TIMESTAMP) AS occurred_at, 'DATE' AS temporal_precision FROM dim_user
     UNION ALL SELECT user_id, 'first_' || event_type, event_date, ts, 'TIMESTAMP' FROM ev
+          WHERE event_type IN ('view', 'click', 'purchase', 'error', 'signup')
     UNION ALL SELECT user_id, 'first_delivery', ymd_date, delivered_at, 'TIMESTAMP' FROM deliveries
   ) c WHERE user_id IS NOT NULL AND occurred_date IS NOT NULL
 ) r WHERE rn = 1 AND user_id IN (SELECT user_id FROM dim_user)"""))
