@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dayledger.llm import op2_warc as o2
 from dayledger.llm import op9_nearest as o9
 
 QUERIES = {
+    "op2_warc": o2.op2_warc,
     "op9_nearest": o9.op9_nearest,
 }
 SQL = {
+    "op2_warc": o2.SQL,
     "op9_nearest": o9.SQL,
 }
