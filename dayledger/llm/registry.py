@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dayledger.llm import op2_warc as o2
+from dayledger.llm import op3_token_counts as o3
 from dayledger.llm import op9_nearest as o9
 
 QUERIES = {
+    "op3_token_counts": o3.op3_token_counts,
     "op2_warc": o2.op2_warc,
     "op9_nearest": o9.op9_nearest,
 }
