@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dayledger.llm import op10_bpe as o10
 from dayledger.llm import op2_warc as o2
 from dayledger.llm import op3_token_counts as o3
 from dayledger.llm import op8_token_files as o8
 from dayledger.llm import op9_nearest as o9
 
 QUERIES = {
+    "op10_bpe": o10.op10_bpe,
     "op8_token_files": o8.op8_token_files,
     "op3_token_counts": o3.op3_token_counts,
     "op2_warc": o2.op2_warc,
