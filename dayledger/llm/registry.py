@@ -5,11 +5,13 @@ from __future__ import annotations
 from dayledger.llm import op10_bpe as o10
 from dayledger.llm import op2_warc as o2
 from dayledger.llm import op3_token_counts as o3
+from dayledger.llm import op4_signature_tree as o4
 from dayledger.llm import op6_lattice_lm as o6
 from dayledger.llm import op8_token_files as o8
 from dayledger.llm import op9_nearest as o9
 
 QUERIES = {
+    "op4_signature_tree": o4.op4_signature_tree,
     "op6_lattice_lm": o6.op6_lattice_lm,
     "op10_bpe": o10.op10_bpe,
     "op8_token_files": o8.op8_token_files,
