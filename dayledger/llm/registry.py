@@ -8,10 +8,12 @@ from dayledger.llm import op3_token_counts as o3
 from dayledger.llm import op4_signature_tree as o4
 from dayledger.llm import op5_substring_dedup as o5
 from dayledger.llm import op6_lattice_lm as o6
+from dayledger.llm import op7_decontaminate as o7
 from dayledger.llm import op8_token_files as o8
 from dayledger.llm import op9_nearest as o9
 
 QUERIES = {
+    "op7_decontaminate": o7.op7_decontaminate,
     "op5_substring_dedup": o5.op5_substring_dedup,
     "op4_signature_tree": o4.op4_signature_tree,
     "op6_lattice_lm": o6.op6_lattice_lm,
