@@ -67,18 +67,20 @@ def captures(pages: DataFrame) -> DataFrame:
                       "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"))
 
 
-def with_decisions(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """``rows`` with digest, and refers_to where the record is a revisit."""
+def with_decisions(rows: DataFrame, min_bytes: int, parts: int) -> DataFrame:
+    """``rows`` with digest, and refers_to where the record is a revisit, dealt
+    to ``parts`` partitions by (id, payload): the payloads move once, the join
+    finds them in place."""
     full = rows.withColumn("digest", base32_sha1(F.col("payload"))).withColumn(
         "same", F.unhex(F.sha2(F.encode(F.col("payload"), "UTF-8"), 256)))
     known = full.where((F.octet_length("payload") >= min_bytes) & F.col("page_id").isNotNull()).select("same", "page_id")
     first = known.groupBy("same").agg(F.max("page_id").alias("refers_to"))
     revisits = (known.distinct().join(first, "same").where(F.col("page_id") < F.col("refers_to"))
                 .select("page_id", "same", "refers_to"))
-    return full.join(revisits, ["page_id", "same"], "left").drop("same")
+    return full.repartition(parts, "page_id", "same").join(revisits, ["page_id", "same"], "left").drop("same")
 
 
-def record(rows: DataFrame) -> Column:
+def record() -> Column:
     """One whole WARC record but for its closing line ends."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(EOL))
     urn = lambda c: F.concat(F.lit("<urn:capture:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
@@ -107,10 +109,8 @@ def write_archives(rows: DataFrame, path: str, min_bytes: int = 0, archive_bytes
     spark = rows.sparkSession
     total = rows.agg(F.sum(F.octet_length("payload") + 600)).first()[0] or 0
     files = max(spark.sparkContext.defaultParallelism, -(-total // archive_bytes))
-    decided = with_decisions(rows, min_bytes)
-    # rows without an id are spread by their content, all others by their id
-    dealt = decided.repartition(files, F.coalesce(F.col("page_id"), F.xxhash64("digest", "url")))
-    (dealt.select(record(decided).alias("record"))
+    decided = with_decisions(rows, min_bytes, files)
+    (decided.select(record().alias("record"))
      .write.option("compression", "gzip").option("lineSep", EOL * 2).text(path))
 
 
