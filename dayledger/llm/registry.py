@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dayledger.llm import op10_bpe as o10
+from dayledger.llm import op1_quality as o1
 from dayledger.llm import op2_warc as o2
 from dayledger.llm import op3_token_counts as o3
 from dayledger.llm import op4_signature_tree as o4
@@ -13,6 +14,7 @@ from dayledger.llm import op8_token_files as o8
 from dayledger.llm import op9_nearest as o9
 
 QUERIES = {
+    "op1_quality": o1.op1_quality,
     "op7_decontaminate": o7.op7_decontaminate,
     "op5_substring_dedup": o5.op5_substring_dedup,
     "op4_signature_tree": o4.op4_signature_tree,
