@@ -216,15 +216,17 @@ def _digests(path: str, entries: int):
     return run
 
 
-def _full(path: str, entries: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+def _full(path: str, entries: int, text: bool):
+    last = ("decoded", pa.string()) if text else ("decoded_sha256", pa.string())
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), last])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, entries)
         for rows, col in slices(batches, "text", SLICE // 4):
             ids, texts = zip(*_texts(codec, col), strict=True)
-            yield batch_of(schema, doc_id=rows.column("doc_id"), ids=[np.frombuffer(i, "<i4") for i in ids],
-                           decoded=[t.decode("utf-8") for t in texts])
+            yield batch_of(schema, doc_id=rows.column("doc_id"), n_tokens=[len(i) // 4 for i in ids],
+                           ids=[np.frombuffer(i, "<i4") for i in ids],
+                           **{last[0]: [t.decode("utf-8") if text else hashlib.sha256(t).hexdigest() for t in texts]})
 
     return run
 
@@ -233,9 +235,11 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def encode(docs: DataFrame, tokenizer: str, cache_entries: int = 150_000) -> DataFrame:
-    """doc_id, ids and decoded (what the ids give back) of each document."""
-    return _rows(docs).mapInArrow(_full(tokenizer, cache_entries), "doc_id long, ids array<int>, decoded string")
+def encode(docs: DataFrame, tokenizer: str, text: bool = True, cache_entries: int = 150_000) -> DataFrame:
+    """doc_id, n_tokens, ids of each document, and what the ids give back: the
+    decoded text, or its SHA-256 (``text`` False)."""
+    return _rows(docs).mapInArrow(_full(tokenizer, cache_entries, text), "doc_id long, n_tokens long, ids array<int>, "
+                                  + ("decoded string" if text else "decoded_sha256 string"))
 
 
 def token_digests(docs: DataFrame, tokenizer: str, cache_entries: int = 150_000) -> DataFrame:

@@ -198,6 +198,9 @@ class Model:
     def __init__(self, w: np.ndarray, mean: np.ndarray, scale: np.ndarray):
         self.w, self.mean, self.scale = w, mean, scale
 
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.w, self.mean, self.scale
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip((x - self.mean) / self.scale @ self.w, -40, 40)))
 
@@ -233,7 +236,7 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                s = shared.value.scores(_matrix(batch.column("x")))
+                s = Model(*shared.value).scores(_matrix(batch.column("x")))
                 yield batch_of(schema, doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), score=s, predicted=(s >= 0.5).astype(np.int32))
 
     return run
@@ -259,13 +262,14 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, steps:
 def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, score and predicted of each document."""
     model, x = train(docs, labels, **options)
-    return x.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, held_out boolean, score double, predicted int")
+    return x.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model.parts())), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def _keep(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for rows, col in slices(batches, "text", SLICE):
-            yield rows.filter(pa.array(shared.value.scores(features(col).astype("<f4")) >= 0.5))
+            yield rows.filter(pa.array(model.scores(features(col).astype("<f4")) >= 0.5))
 
     return run
 
@@ -273,7 +277,7 @@ def _keep(shared):
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the model accepts, all columns kept."""
     model, _ = train(docs, labels, **options)
-    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model.parts())), docs.schema)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
