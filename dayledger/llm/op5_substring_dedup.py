@@ -88,7 +88,7 @@ def name_of(anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
     return mix(anchor * FACTOR + content.astype(np.uint64)).view(np.int64)
 
 
-RUN_PARTS = (("anchor", "<u8"), ("content", "<u4"), ("doc", "<i8"), ("start", "<i4"), ("windows", "<i4"))
+RUN_PARTS = (("anchor", "<u8"), ("content", "<u4"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("windows", "<i4"))
 
 
 def _runs(window: int, shards: int):
@@ -101,6 +101,7 @@ def _runs(window: int, shards: int):
             doc = rows.column("doc_id")
             real = ~np.asarray(doc.is_null())[s["row"]]
             s["doc"] = np.asarray(doc.fill_null(0))[s["row"]]
+            s["tag"] = np.asarray(rows.column("tag"))[s["row"]]
             shard = (mix(s["anchor"]) % np.uint64(shards)).astype(np.int32)
             order = np.flatnonzero(real)
             order = order[np.argsort(shard[order], kind="stable")]
@@ -110,18 +111,18 @@ def _runs(window: int, shards: int):
                 parts = {p: s[p][at].astype(kind) for p, kind in RUN_PARTS}
                 parts["doc"] = np.diff(parts["doc"], prepend=0).astype("<i8")
                 yield batch_of(schema, shard=[k], n=[len(at)], anchor=[parts["anchor"].tobytes()], content=[parts["content"].tobytes()],
-                               **{p: [press.compress(parts[p].tobytes())] for p in ("doc", "start", "windows")})
+                               **{p: [press.compress(parts[p].tobytes())] for p in ("doc", "tag", "start", "windows")})
 
     return run
 
 
-PLACE_DDL = "shard int, name long, doc_id long, start int, windows int, stands boolean"
+PLACE_DDL = "shard int, name long, doc_id long, tag long, start int, windows int, stands boolean"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's segments of anchors that several documents hold."""
-    schema = pa.schema([("shard", pa.int32()), ("name", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()),
-                        ("windows", pa.int32()), ("stands", pa.bool_())])
+    schema = pa.schema([("shard", pa.int32()), ("name", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
+                        ("start", pa.int32()), ("windows", pa.int32()), ("stands", pa.bool_())])
     open_ = zstandard.ZstdDecompressor()
 
     def close(shard: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +141,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = name_of(x["anchor"][at], x["content"][at])
         for lo in range(0, len(at), 50_000):
             i = at[lo:lo + 50_000]
-            yield batch_of(schema, shard=np.full(len(i), shard), name=name[lo:lo + 50_000], doc_id=x["doc"][i],
+            yield batch_of(schema, shard=np.full(len(i), shard), name=name[lo:lo + 50_000], doc_id=x["doc"][i], tag=x["tag"][i],
                            start=x["start"][i], windows=x["windows"][i], stands=lead[i])
 
     held: list[dict] = []
@@ -173,21 +174,12 @@ def _contents(window: int):
             data, offs = utf8(col)
             starts, ends, counts = words(data, offs)
             h = word_hashes(data, starts, ends, lower=False)
-            grams = gram_hashes(h, min(GRAM, window))
             lists = rows.column("segs")
             seg = lists.flatten()
             n_of = np.diff(np.asarray(lists.offsets))
             row = np.repeat(np.arange(rows.num_rows), n_of)
             name, shard, start, n = (np.asarray(seg.field(c)).astype(np.int64) for c in ("name", "shard", "start", "windows"))
-            inside = start + n + window - 1 <= np.diff(counts)[row]  # rows of one id may have other texts
-            row, name, shard, n = row[inside], name[inside], shard[inside], n[inside]
-            at = start[inside] + counts[row]
-            if not len(at):
-                continue
-            # the anchor is the smallest gram of the first window
-            view = np.lib.stride_tricks.sliding_window_view(grams, window - min(GRAM, window) + 1)
-            same = name_of(view[at].min(1), content_hashes(h, at, n + window - 1)) == name
-            row, name, shard, n, at = row[same], name[same], shard[same], n[same], at[same]
+            at = start + counts[row]
             doc = np.asarray(rows.column("doc_id"))
             # words as 40-bit hashes: only segments of one anchor are ever compared
             flat = (h >> np.uint64(24)).astype("<u8")
@@ -261,7 +253,7 @@ def _search(window: int):
 
 def _spans(window: int):
     """Places with their content's answer: the spans of words to remove."""
-    schema = pa.schema([("doc_id", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,7 +267,8 @@ def _spans(window: int):
             doc = np.asarray(batch.column("doc_id"))[row]
             gone = least < doc
             a = np.asarray(batch.column("start")).astype(np.int64)[row][gone] + begin[gone]
-            yield batch_of(schema, doc_id=doc[gone], a=a, b=a + times[gone] + window - 1)
+            tag = np.asarray(batch.column("tag"))[row]
+            yield batch_of(schema, doc_id=doc[gone], tag=tag[gone], a=a, b=a + times[gone] + window - 1)
 
     return run
 
@@ -284,27 +277,42 @@ def _texts_of(docs: DataFrame, per_doc: DataFrame, small: int) -> DataFrame:
     """``docs`` joined with a row per document, text moving only for those."""
     ids = written(per_doc, "per-document")
     few = ids.count() <= small
-    named = ids.select("doc_id")
-    wanted = docs.join(F.broadcast(named), "doc_id", "left_semi") if few else docs
-    return wanted.join(ids.hint("merge"), "doc_id")
+    wanted = docs.join(F.broadcast(ids.select("doc_id", "tag")), ["doc_id", "tag"], "left_semi") if few else docs
+    return wanted.join(ids.hint("merge"), ["doc_id", "tag"])
+
+
+def _tagged(docs: DataFrame, small: int) -> DataFrame:
+    """``docs`` with a tag that tells apart the texts of one doc_id: their hash
+    where an id has several texts, else 0."""
+    mark = F.xxhash64("text")
+    several = written(docs.where("doc_id is not null").select("doc_id", mark.alias("mark")).groupBy("doc_id")
+                      .agg(F.min("mark").alias("x"), F.max("mark").alias("y")).where("x <> y").select("doc_id"), "repeated-ids")
+    n = several.count()
+    if not n:
+        return docs.withColumn("tag", F.lit(0).cast("long"))
+    several = several.select("doc_id", F.lit(True).alias("several"))
+    return (docs.join(F.broadcast(several) if n <= small else several, "doc_id", "left")
+            .select("doc_id", "text", F.when(F.col("several"), mark).otherwise(0).alias("tag")))
 
 
 def repeated_spans(docs: DataFrame, window: int, small: int = 1_000_000) -> DataFrame:
     """(doc_id, text, spans): documents that lose words, with the word spans
     [a, b) to remove. ``docs``: doc_id long, text string."""
     spark = docs.sparkSession
+    docs = _tagged(docs, small)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = (docs.mapInArrow(_runs(window, shards), "shard int, n int, anchor binary, content binary, doc binary, start binary, windows binary")
+    parts = ", ".join(f"{p} binary" for p, _ in RUN_PARTS)
+    runs = (docs.mapInArrow(_runs(window, shards), f"shard int, n int, {parts}")
             .repartition(shards, "shard").sortWithinPartitions("shard"))
     places = written(runs.mapInArrow(_shared, PLACE_DDL), "places")
-    stands = places.where("stands").groupBy("doc_id").agg(
+    stands = places.where("stands").groupBy("doc_id", "tag").agg(
         F.collect_list(F.struct("name", "shard", "start", "windows")).alias("segs"))
     contents = (_texts_of(docs, stands, small).select("doc_id", "text", "segs").mapInArrow(_contents(window), CONTENT_DDL)
                 .repartition(shards, "shard").sortWithinPartitions("shard"))
     answers = contents.mapInArrow(_search(window), ANSWER_DDL)
-    spans = (places.select("name", "doc_id", "start").join(answers, "name")
-             .mapInArrow(_spans(window), "doc_id long, a int, b int")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
+    spans = (places.select("name", "doc_id", "tag", "start").join(answers, "name")
+             .mapInArrow(_spans(window), "doc_id long, tag long, a int, b int")
+             .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
     return _texts_of(docs, spans, small).select("doc_id", "text", "spans")
 
 
