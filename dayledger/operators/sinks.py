@@ -14,6 +14,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +37,7 @@ def stamp_loaded(df: DataFrame, at: dt.datetime | Column, column: str = LOADED_A
     """SNK-07: add the load timestamp (an instant; a naive datetime is UTC);
     refuse a source that already has the column."""
     if column in df.columns:
-        raise ValueError(f"source already has a {column!r} column, which collides with "
-                         f"the loader's bookkeeping column")
+        raise ValueError(f"cannot stamp the load time: the source has its own column {column!r}")
     value = at if isinstance(at, Column) else F.lit(as_utc(at))
     return df.withColumn(column, value.cast("timestamp"))
 
@@ -122,20 +122,22 @@ def window_cutoff(target: DataFrame, batch: DataFrame, window_col: str, days: in
 
 
 def window_replace(target: DataFrame, batch: DataFrame, window_col: str, days: int,
-                   restrict_batch: bool = True) -> DataFrame:
+                   restrict_batch: bool = False) -> DataFrame:
     """SNK-05: replace the trailing ``days`` window of the target.
 
     ``cutoff = max(target.window_col) - days`` (the batch minimum on an empty
-    target); target rows at or after the cutoff go, the batch rows from the
-    cutoff on come in. Rows that vanished upstream inside the window
+    target); target rows at or after the cutoff go, the whole batch comes in
+    (a model that reads more than its window filters its own source, or asks
+    for ``restrict_batch``). Rows that vanished upstream inside the window
     disappear; partitions outside it are kept (this is *not* a dynamic
-    partition overwrite). The cutoff is one scalar used as a literal, so on a
-    date-partitioned target (and on the source read) the filters prune.
+    partition overwrite). The cutoff is one scalar used as a literal in plain
+    comparisons, which reach the scan of either side.
     """
     cut_value, dtype = window_cutoff(target, batch, window_col, days)
     cut = typed_lit(cut_value, dtype)
-    kept = target.where(~F.coalesce(F.col(window_col) >= cut, F.lit(False)))
-    fresh = batch.where(F.col(window_col) >= cut) if restrict_batch else batch
+    kept = target if cut_value is None else target.where(
+        (F.col(window_col) < cut) | F.col(window_col).isNull())
+    fresh = batch.where(F.col(window_col) >= cut) if restrict_batch and cut_value is not None else batch
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -187,7 +189,7 @@ def commit_snapshot(df: DataFrame, name: str, base: str | None = None,
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     pointer = spark.createDataFrame(
-        [(name, path, dt.datetime.now(dt.UTC).replace(tzinfo=None))],
+        [(name, path, dt.datetime.now(dt.UTC))],  # an instant, whatever the process zone
         "table_name string, path string, committed_at timestamp")
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/_pointers")
     return path
@@ -198,8 +200,10 @@ def current_snapshot(spark: SparkSession, name: str, base: str | None = None) ->
     root = (base or scratch_path(spark, "tables")).rstrip("/")
     try:
         ptr = spark.read.parquet(f"{root}/_pointers")
-    except Exception:  # no pointer table yet
-        return None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise  # a storage fault must not look like a first run
+        return None  # no pointer table yet
     row = (ptr.where(F.col("table_name") == name)
            .agg(F.max_by("path", "committed_at").alias("path")).first())
     if row is None or row.path is None:

@@ -19,15 +19,13 @@ lifelog parent         ``orders`` (order key = lifelog serial, customer)
 discrete readings      ``lineitem`` (quantity / price / discount / tax)
 score history          ``lineitem`` x ``orders``: part = item, quantity
                        and discount as 1-100 scores
-item catalogue         ``part`` with ``p_size <= 35``
+item catalogue         ``part``
 JSON payloads          ``events.props``
 =====================  ==================================================
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +33,13 @@ from dayledger.functions.timeutil import local_date
 from dayledger.sources.tables import read_table
 
 ENROLMENT_EVENT = "signup"
-CATALOGUE_MAX_SIZE = 35
 
 
-@lru_cache(maxsize=16)
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw app events with the local event date. The same frame object is
-    handed to every consumer of one session, so identical subtrees in a plan
-    let Spark reuse their exchanges instead of re-reading the table."""
+    """Raw app events with the local event date. The files are listed anew at
+    every call (a frame's listing is fixed when it is made), so a later build in
+    one session sees files that arrived meanwhile; identical subtrees of one
+    plan still share their exchanges, since Spark compares them by path."""
     e = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     return e.withColumn("event_date", local_date("ts"))
 
@@ -117,6 +114,5 @@ def scores_source(spark: SparkSession, sf: str) -> DataFrame:
 
 def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """Item catalogue (dim_disease shape)."""
-    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_size"])
-    return (p.where(F.col("p_size") <= CATALOGUE_MAX_SIZE)
-            .select(F.col("p_partkey").alias("disease_id"), F.col("p_name").alias("disease_name")))
+    p = read_table(spark, sf, "part", ["p_partkey", "p_name"])
+    return p.select(F.col("p_partkey").alias("disease_id"), F.col("p_name").alias("disease_name"))

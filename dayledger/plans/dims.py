@@ -36,19 +36,19 @@ def bmi_band(weight_kg: Column, height_cm: Column) -> Column:
             .otherwise("obese"))
 
 
-_SHARED: dict[tuple[int, str], DataFrame] = {}
+_PINNED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _pin_key(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A pin belongs to one application: a later session never meets it."""
+    return spark.sparkContext.applicationId, sf
 
 
 def dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:
-    """DIM-06; see ``build_dim_user``. Without a staff list the frame is shared
-    per session (one subtree, reusable exchanges) — or, once a build has
-    materialised it, the snapshot pinned with ``pin_dim_user``."""
-    if staff is not None:
-        return build_dim_user(spark, sf, staff)
-    key = (id(spark), sf)
-    if key not in _SHARED:
-        _SHARED[key] = build_dim_user(spark, sf, None)
-    return _SHARED[key]
+    """DIM-06; see ``build_dim_user``. During a build that has materialised it,
+    the snapshot pinned with ``pin_dim_user``."""
+    pinned = _PINNED.get(_pin_key(spark, sf))
+    return pinned if staff is None and pinned is not None else build_dim_user(spark, sf, staff)
 
 
 def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,7 +56,7 @@ def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
     user (its other joins are left joins on unique keys), so the keys come
     straight from the cohort source — no account / site joins for a guard —
     or from the pinned DIM-06 snapshot during a build."""
-    pinned = _SHARED.get(("pinned", id(spark), sf))
+    pinned = _PINNED.get(_pin_key(spark, sf))
     if pinned is not None:
         return pinned.select("user_id")
     return B.cohort_source(spark, sf).select("user_id")
@@ -65,13 +65,10 @@ def cohort_ids(spark: SparkSession, sf: str) -> DataFrame:
 def pin_dim_user(spark: SparkSession, sf: str, snapshot: DataFrame | None) -> None:
     """Make later models of this session read a materialised DIM-06 snapshot
     (``None`` unpins and goes back to computing it from the sources)."""
-    key = (id(spark), sf)
     if snapshot is None:
-        _SHARED.pop(key, None)
-        _SHARED.pop(("pinned", id(spark), sf), None)
+        _PINNED.pop(_pin_key(spark, sf), None)
     else:
-        _SHARED[key] = snapshot
-        _SHARED[("pinned", id(spark), sf)] = snapshot
+        _PINNED[_pin_key(spark, sf)] = snapshot
 
 
 def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:

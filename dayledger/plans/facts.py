@@ -63,7 +63,8 @@ def staged_readings(spark: SparkSession, sf: str) -> DataFrame:
       (serial, slot) with different values and no ordering column, so one row
       per slot is picked deterministically by value
       (``DISTINCT ON ... ORDER BY v DESC NULLS LAST``);
-    * rates stream (discount, tax): exact ``DISTINCT`` then unpivot.
+    * rates stream (discount, tax): unpivot, then exact ``DISTINCT`` of the tall
+      rows, so two source rows that differ only in the tax give one discount.
     NULL readings are dropped after the unpivot.
 
     The streams are deliberately *not* co-partitioned by the serial (which
@@ -81,11 +82,11 @@ def staged_readings(spark: SparkSession, sf: str) -> DataFrame:
         amounts.withColumn("source_stream", F.lit("amounts")),
         ["source_stream", "user_lifelog_sn", F.col("measured_dt").alias("measured_at")],
         [("quantity", "quantity", "units"), ("extended_price", "extended_price", "usd")])
-    rates = src.select("user_lifelog_sn", "measured_dt", "discount", "tax").distinct()
+    rates = src.select("user_lifelog_sn", "measured_dt", "discount", "tax")
     rates_tall = S.unpivot_readings(
         rates.withColumn("source_stream", F.lit("rates")),
         ["source_stream", "user_lifelog_sn", F.col("measured_dt").alias("measured_at")],
-        [("discount", "discount", "ratio"), ("tax", "tax", "ratio")])
+        [("discount", "discount", "ratio"), ("tax", "tax", "ratio")]).distinct()
     return union_all([amounts_tall, rates_tall])
 
 
@@ -119,8 +120,9 @@ def milestones(spark: SparkSession, sf: str) -> DataFrame:
     """FCT-13: first real occurrence per user x milestone code.
 
     Enrolment has only a DATE (occurred_at NULL, precision DATE); every other
-    milestone carries its source timestamp. Ranked by date, then timestamp
-    NULLS FIRST; nothing is fabricated for a missing stage."""
+    milestone carries its source timestamp, whose local date grows with it, so
+    the first occurrence is the least of either: a partial hash aggregate, no
+    sort. Nothing is fabricated for a missing stage."""
     users = dim_user(spark, sf)
     cands = [users.select("user_id", F.lit("cohort_enrolled").alias("milestone_code"),
                           F.col("joined_date").alias("occurred_date"),
@@ -139,7 +141,7 @@ def milestones(spark: SparkSession, sf: str) -> DataFrame:
                           F.col("delivered_at").alias("occurred_at"),
                           F.lit("TIMESTAMP").alias("temporal_precision")))
     allc = union_all(cands).where(F.col("user_id").isNotNull() & F.col("occurred_date").isNotNull())
-    first = S.first_occurrence(allc, ["user_id", "milestone_code"],
-                               [F.col("occurred_date").asc(),
-                                F.col("occurred_at").asc_nulls_first()])
-    return first.join(users.select("user_id"), "user_id", "inner")
+    first = allc.groupBy("user_id", "milestone_code").agg(
+        F.min("occurred_date").alias("occurred_date"), F.min("occurred_at").alias("occurred_at"),
+        F.min("temporal_precision").alias("temporal_precision"))
+    return first.join(cohort_ids(spark, sf), "user_id", "left_semi")

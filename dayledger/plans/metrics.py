@@ -134,8 +134,9 @@ def scoring_coverage_monthly(spark: SparkSession, sf: str) -> DataFrame:
                          _pct(F.col("users_scored"), size).alias("coverage_pct"))
 
 
-def chart_series(df: DataFrame, x: str, y: str, how: str = "sum", limit: int = 100) -> DataFrame:
+def chart_series(df: DataFrame, x: str, y: str, how: str, limit: int) -> DataFrame:
     """CHT-*: one chart series, ``SUM``/``AVG`` of one column by x, ordered by
-    x with the chart's row limit (the limit is the feature here)."""
+    x with the chart's row limit (the limit is the feature here: 10,000 for line
+    charts, and always the caller's choice)."""
     fn = {"sum": F.sum, "avg": F.avg, "max": F.max}[how]
     return (df.groupBy(x).agg(fn(y).alias(f"{how}_{y}")).orderBy(x).limit(limit))

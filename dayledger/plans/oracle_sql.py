@@ -53,11 +53,9 @@ CTE = {
                 "UNION ALL SELECT 'amounts', user_lifelog_sn, measured_dt, 'extended_price', "
                 "CAST(extended_price AS DOUBLE), 'usd' FROM amounts WHERE extended_price IS NOT NULL "
                 "UNION ALL SELECT 'rates', user_lifelog_sn, measured_dt, 'discount', discount, "
-                "'ratio' FROM (SELECT DISTINCT user_lifelog_sn, measured_dt, discount, tax "
-                "FROM readings_src) r WHERE discount IS NOT NULL "
+                "'ratio' FROM readings_src WHERE discount IS NOT NULL GROUP BY ALL "
                 "UNION ALL SELECT 'rates', user_lifelog_sn, measured_dt, 'tax', tax, 'ratio' "
-                "FROM (SELECT DISTINCT user_lifelog_sn, measured_dt, discount, tax "
-                "FROM readings_src) r WHERE tax IS NOT NULL)",
+                "FROM readings_src WHERE tax IS NOT NULL GROUP BY ALL)",
     "measurement": "measurement AS (SELECT r.source_stream, r.user_lifelog_sn, o.o_custkey AS user_id, "
                    f"r.measured_at, CAST(r.measured_at {KST} AS DATE) AS measured_date, "
                    "r.metric_code, r.metric_value, r.metric_unit, "
@@ -72,7 +70,7 @@ CTE = {
                    "c.p_partkey IS NOT NULL AS is_in_catalog, s.irs_score, s.irsp_score, "
                    "CAST(NULL AS DOUBLE) AS age_at_activity, CAST(NULL AS INTEGER) AS age_band_5y "
                    "FROM scores s JOIN dim_user u ON u.user_id = s.user_id "
-                   "LEFT JOIN (SELECT p_partkey FROM part WHERE p_size <= 35) c "
+                   "LEFT JOIN (SELECT p_partkey FROM part) c "
                    "ON c.p_partkey = s.disease_id)",
 }
 

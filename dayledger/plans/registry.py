@@ -194,18 +194,19 @@ def _fct09(spark, sf):
     return FT.user_disease_day(spark, sf)
 
 
-@register("fct13_milestones", with_ctes(["dim_user", "deliveries"], """
-SELECT user_id, milestone_code, occurred_date, occurred_at, temporal_precision FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, milestone_code
-                               ORDER BY occurred_date, occurred_at NULLS FIRST) AS rn
-  FROM (
-    SELECT user_id, 'cohort_enrolled' AS milestone_code, joined_date AS occurred_date,
-           CAST(NULL AS TIMESTAMP) AS occurred_at, 'DATE' AS temporal_precision FROM dim_user
-    UNION ALL SELECT user_id, 'first_' || event_type, event_date, ts, 'TIMESTAMP' FROM ev
-          WHERE event_type IN ('view', 'click', 'purchase', 'error', 'signup')
-    UNION ALL SELECT user_id, 'first_delivery', ymd_date, delivered_at, 'TIMESTAMP' FROM deliveries
-  ) c WHERE user_id IS NOT NULL AND occurred_date IS NOT NULL
-) r WHERE rn = 1 AND user_id IN (SELECT user_id FROM dim_user)"""))
+MILESTONES_SQL = """
+SELECT u.user_id, 'cohort_enrolled' AS milestone_code, u.joined_date AS occurred_date,
+       CAST(NULL AS TIMESTAMP) AS occurred_at, 'DATE' AS temporal_precision FROM dim_user u
+UNION ALL
+SELECT f.user_id, 'first_' || f.event_type, MIN(f.event_date), MIN(f.ts), 'TIMESTAMP' FROM fact_ev f
+WHERE f.event_type IN ('view', 'click', 'purchase', 'error', 'signup') AND f.event_date IS NOT NULL
+GROUP BY f.user_id, f.event_type
+UNION ALL
+SELECT c.user_id, 'first_delivery', MIN(c.ymd_date), MIN(c.delivered_at), 'TIMESTAMP' FROM coaching c
+WHERE c.ymd_date IS NOT NULL GROUP BY c.user_id"""
+
+
+@register("fct13_milestones", with_ctes(["fact_ev", "coaching"], MILESTONES_SQL))
 def _fct13(spark, sf):
     """FCT-13: first occurrence per user x milestone code."""
     return FT.milestones(spark, sf)
@@ -236,28 +237,28 @@ def _day_sql() -> str:
         k = ("SUM(s.sample_value) AS kcal_sum" if kcal else "NULL AS kcal_sum") + \
             ", NULL AS distance_sum, NULL AS duration_hours"
         streams.append(
-            f"SELECT u.user_id, CAST(s.measured_at {KST} AS DATE) AS wear_date, '{code}' AS stream_code, "
-            f"COUNT(*) AS n_samples, {v}, {k} FROM samples s JOIN dim_user u ON u.user_id = s.user_lifelog_sn "
-            f"WHERE s.type_code = '{code}' AND s.measured_at IS NOT NULL GROUP BY 1, 2")
+            f"SELECT s.user_lifelog_sn AS user_id, CAST(s.measured_at {KST} AS DATE) AS wear_date, '{code}' AS stream_code, "
+            f"COUNT(*) AS n_samples, {v}, {k} FROM samples s "
+            f"WHERE s.user_lifelog_sn IS NOT NULL AND s.type_code = '{code}' AND s.measured_at IS NOT NULL GROUP BY 1, 2")
     streams.append(
-        f"SELECT u.user_id, CAST(c.measured_at {KST} AS DATE) AS wear_date, 'error' AS stream_code, "
+        f"SELECT c.user_lifelog_sn AS user_id, CAST(c.measured_at {KST} AS DATE) AS wear_date, 'error' AS stream_code, "
         "SUM(c.source_row_count) AS n_samples, SUM(c.sample_value * c.source_row_count) AS value_sum, "
         + _RATIO.format(scale=1000000,
                         s="SUM(CAST(round(c.sample_value * 100) AS BIGINT) * c.source_row_count)",
                         n="100 * NULLIF(SUM(c.source_row_count), 0)") + " AS value_mean, "
         "MIN(c.sample_value) AS value_min, MAX(c.sample_value) AS value_max, NULL AS kcal_sum, "
         "NULL AS distance_sum, NULL AS duration_hours "
-        "FROM collapsed c JOIN dim_user u ON u.user_id = c.user_lifelog_sn GROUP BY 1, 2")
+        "FROM collapsed c WHERE c.user_lifelog_sn IS NOT NULL GROUP BY 1, 2")
     # interval stream, dated from its start; duration in hours
     streams.append(
-        f"SELECT u.user_id, CAST(d.delivered_at {KST} AS DATE) AS wear_date, 'delivery' AS stream_code, "
+        f"SELECT d.user_id, CAST(d.delivered_at {KST} AS DATE) AS wear_date, 'delivery' AS stream_code, "
         "COUNT(*) AS n_samples, NULL AS value_sum, NULL AS value_mean, NULL AS value_min, NULL AS value_max, "
         "NULL AS kcal_sum, NULL AS distance_sum, SUM(epoch(d.completed_at - d.delivered_at) / 3600.0) "
         "AS duration_hours FROM (SELECT o.o_custkey AS user_id, o.o_orderdate AS delivered_at, "
         "CASE WHEN o.o_orderstatus = 'F' THEN ls.last_ship END AS completed_at FROM orders o "
         "LEFT JOIN (SELECT l_orderkey, MAX(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) ls "
-        "ON ls.l_orderkey = o.o_orderkey) d JOIN dim_user u ON u.user_id = d.user_id "
-        "WHERE d.delivered_at IS NOT NULL GROUP BY 1, 2")
+        "ON ls.l_orderkey = o.o_orderkey) d "
+        "WHERE d.user_id IS NOT NULL AND d.delivered_at IS NOT NULL GROUP BY 1, 2")
     body = "\nUNION ALL ".join(streams)
     return (f"wday AS (SELECT user_id, wear_date, stream_code, CAST(n_samples AS BIGINT) AS n_samples, "
             f"CAST(value_sum AS DOUBLE) AS value_sum, CAST(value_mean AS DOUBLE) AS value_mean, "
@@ -299,14 +300,14 @@ def _pivot_sql() -> str:
                 cols.append(f"MAX(value_{m}) FILTER (WHERE stream_code = '{code}') AS {code}_{m}")
         if kcal:
             cols.append(f"MAX(kcal_sum) FILTER (WHERE stream_code = '{code}') AS {code}_kcal")
-    return "SELECT user_id, wear_date AS ymd_date, " + ", ".join(cols) + " FROM wday GROUP BY 1, 2"
+    return "SELECT user_id, wear_date AS ymd_date, " + ", ".join(cols) + " FROM wday WHERE user_id IN (SELECT user_id FROM cohort) GROUP BY 1, 2"
 
 
 @register("fct11_wearable_day_pivot", with_ctes(["dim_user"], _pivot_sql(),
                                                 [_SAMPLES, _COLLAPSED, _WDAY]))
 def _fct11(spark, sf):
     """FCT-11: sparse daily pivot of the stream aggregate."""
-    return W.wearable_pivot(W.wearable_day(spark, sf))
+    return W.wearable_pivot(W.wearable_day(spark, sf), FT.cohort_ids(spark, sf))
 
 
 @register("dtl02_detail_fact", with_ctes(["dim_user"], f"""

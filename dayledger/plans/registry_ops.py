@@ -21,7 +21,7 @@ from dayledger.plans import panel as P
 from dayledger.plans import wearable as W
 from dayledger.plans.dims import dim_user
 from dayledger.plans.oracle_sql import KST, with_ctes
-from dayledger.plans.registry import _PANEL, _WDAY, _COLLAPSED, _SAMPLES, register
+from dayledger.plans.registry import _PANEL, _WDAY, _COLLAPSED, _SAMPLES, MILESTONES_SQL, register
 from dayledger.sources import landing as L
 from dayledger.sources.tables import read_table
 
@@ -317,11 +317,10 @@ SELECT * FROM (
          coalesce(r.wear_date, c.wear_date, d.wear_date) AS wear_date,
          r.n_raw, c.n_collapsed, d.n_day
   FROM (SELECT s.user_lifelog_sn AS user_id, CAST(s.measured_at {KST} AS DATE) AS wear_date,
-               COUNT(*) AS n_raw FROM samples s JOIN dim_user u ON u.user_id = s.user_lifelog_sn
+               COUNT(*) AS n_raw FROM samples s
         WHERE s.type_code = 'error' AND s.measured_at IS NOT NULL GROUP BY 1, 2) r
   FULL OUTER JOIN (SELECT c.user_lifelog_sn AS user_id, CAST(c.measured_at {KST} AS DATE) AS wear_date,
-               SUM(c.source_row_count) AS n_collapsed FROM collapsed c
-               JOIN dim_user u ON u.user_id = c.user_lifelog_sn GROUP BY 1, 2) c
+               SUM(c.source_row_count) AS n_collapsed FROM collapsed c GROUP BY 1, 2) c
     ON c.user_id = r.user_id AND c.wear_date = r.wear_date
   FULL OUTER JOIN (SELECT user_id, wear_date, n_samples AS n_day FROM wday
                    WHERE stream_code = 'error') d
@@ -331,13 +330,11 @@ SELECT * FROM (
 def _dq12(spark, sf):
     """DQ-12: raw = deduped multiplicity = day aggregate, per user-day (3-way
     full outer join, null-safe row comparison)."""
-    users = dim_user(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"))
     raw = (W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at").isNotNull())
-           .join(users, "user_lifelog_sn", "inner")
            .groupBy(F.col("user_lifelog_sn").alias("user_id"),
                     tu.local_date("measured_at").alias("wear_date"))
            .agg(F.count(F.lit(1)).alias("n_raw")))
-    col = (W.collapsed_stream(spark, sf).join(users, "user_lifelog_sn", "inner")
+    col = (W.collapsed_stream(spark, sf)
            .groupBy(F.col("user_lifelog_sn").alias("user_id"),
                     tu.local_date("measured_at").alias("wear_date"))
            .agg(F.sum("source_row_count").alias("n_collapsed")))
@@ -438,7 +435,7 @@ UNION ALL
 def _dq26(spark, sf):
     """DQ-26: the daily pivot equals the stream aggregate (symmetric difference)."""
     day = W.wearable_day(spark, sf)
-    piv = W.wearable_pivot(day)
+    piv = W.wearable_pivot(day, day.select("user_id"))
     a = day.where(F.col("stream_code") == "click").select(
         "user_id", F.col("wear_date").alias("ymd_date"), "n_samples")
     b = piv.where(F.col("click_samples").isNotNull()).select(
@@ -643,8 +640,7 @@ def _dim04(spark, sf):
     return D.code_label(codes, "code", _PRIORITY_LABELS)
 
 
-@register("dim05_catalogue", "SELECT p_partkey AS disease_id, p_name AS disease_name FROM part "
-          "WHERE p_size <= 35")
+@register("dim05_catalogue", "SELECT p_partkey AS disease_id, p_name AS disease_name FROM part")
 def _dim05(spark, sf):
     """DIM-05: item catalogue (dim_disease shape)."""
     return B.catalogue(spark, sf)
@@ -653,10 +649,10 @@ def _dim05(spark, sf):
 @register("cht01_active_users_series", with_ctes(["fact_ev"], """
 SELECT action_date, SUM(active_users) AS sum_active_users FROM (
   SELECT event_date AS action_date, COUNT(DISTINCT user_id) AS active_users FROM fact_ev
-  WHERE event_type = 'click' GROUP BY 1) t GROUP BY 1 ORDER BY 1 LIMIT 100"""))
+  WHERE event_type = 'click' GROUP BY 1) t GROUP BY 1 ORDER BY 1 LIMIT 10000"""))
 def _cht01(spark, sf):
     """CHT-01 / SRT-02: chart series SUM(active_users) by day with the row limit."""
-    return M.chart_series(M.app_engagement_daily(spark, sf), "action_date", "active_users", "sum", 100)
+    return M.chart_series(M.app_engagement_daily(spark, sf), "action_date", "active_users", "sum", 10000)
 
 
 @register("cht02_adherence_series", with_ctes(["coaching"], f"""
@@ -726,20 +722,9 @@ def _dq17(spark, sf):
     return facts.join(cohort, "user_id", "left_anti").distinct()
 
 
-@register("dq20_milestone_precision", with_ctes(["dim_user", "deliveries"], """
-SELECT * FROM (
-  SELECT user_id, milestone_code, occurred_date, occurred_at, temporal_precision FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, milestone_code
-                                 ORDER BY occurred_date, occurred_at NULLS FIRST) AS rn
-    FROM (SELECT user_id, 'cohort_enrolled' AS milestone_code, joined_date AS occurred_date,
-                 CAST(NULL AS TIMESTAMP) AS occurred_at, 'DATE' AS temporal_precision FROM dim_user
-          UNION ALL SELECT user_id, 'first_' || event_type, event_date, ts, 'TIMESTAMP' FROM ev
-          WHERE event_type IN ('view', 'click', 'purchase', 'error', 'signup')
-          UNION ALL SELECT user_id, 'first_delivery', ymd_date, delivered_at, 'TIMESTAMP' FROM deliveries
-         ) c WHERE user_id IS NOT NULL AND occurred_date IS NOT NULL) r
-  WHERE rn = 1 AND user_id IN (SELECT user_id FROM dim_user)) m
-WHERE (temporal_precision = 'DATE' AND occurred_at IS NOT NULL)
-   OR (temporal_precision = 'TIMESTAMP' AND occurred_at IS NULL)"""))
+@register("dq20_milestone_precision", with_ctes(["fact_ev", "coaching"], f"""
+SELECT * FROM ({MILESTONES_SQL}) m
+WHERE (temporal_precision = 'DATE') = (occurred_at IS NOT NULL)"""))
 def _dq20(spark, sf):
     """DQ-20: DATE milestones carry no timestamp and TIMESTAMP ones do."""
     m = FT.milestones(spark, sf)
@@ -769,19 +754,16 @@ def _dq23(spark, sf):
 
 @register("dq27_multiplicity_totals", with_ctes(["dim_user"], """
 SELECT * FROM (
-  SELECT (SELECT COUNT(*) FROM samples s JOIN dim_user u ON u.user_id = s.user_lifelog_sn
+  SELECT (SELECT COUNT(*) FROM samples s
           WHERE s.type_code = 'error' AND s.measured_at IS NOT NULL) AS raw_rows,
-         (SELECT SUM(c.source_row_count) FROM collapsed c JOIN dim_user u
-          ON u.user_id = c.user_lifelog_sn) AS collapsed_rows,
+         (SELECT SUM(c.source_row_count) FROM collapsed c) AS collapsed_rows,
          (SELECT SUM(n_samples) FROM wday WHERE stream_code = 'error') AS day_rows) t
 WHERE raw_rows IS DISTINCT FROM collapsed_rows OR raw_rows IS DISTINCT FROM day_rows""",
     [_SAMPLES, _COLLAPSED, _WDAY]))
 def _dq27(spark, sf):
-    """DQ-27: total multiplicity survives raw -> collapsed/detail -> daily."""
-    users = dim_user(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"))
-    raw = (W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at").isNotNull())
-           .join(users, "user_lifelog_sn", "left_semi").agg(F.count(F.lit(1)).alias("raw_rows")))
-    col = W.detail_fact(spark, sf).agg(F.sum("source_row_count").alias("collapsed_rows"))
+    """DQ-27: total multiplicity survives raw -> collapsed -> daily."""
+    raw = (W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at").isNotNull()).agg(F.count(F.lit(1)).alias("raw_rows")))
+    col = W.collapsed_stream(spark, sf).agg(F.sum("source_row_count").alias("collapsed_rows"))
     day = (W.wearable_day(spark, sf).where(F.col("stream_code") == W.WEIGHTED_STREAM)
            .agg(F.sum("n_samples").alias("day_rows")))
     j = _combine_counts([("error", "raw_rows", raw), ("error", "collapsed_rows", col),

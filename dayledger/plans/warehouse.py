@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
@@ -30,21 +30,28 @@ from dayledger.plans.dims import dim_user, pin_dim_user
 class BuildReport:
     tables: dict[str, str] = field(default_factory=dict)      # name -> snapshot path
     modes: dict[str, str] = field(default_factory=dict)       # name -> full / incremental
-    checks: dict[str, int] = field(default_factory=dict)      # check -> violating rows seen
+    checks: dict[str, int] = field(default_factory=dict)      # check -> violating rows
 
 
 def _cutoff(target: DataFrame, col: str, days: int):
     """``max(col) - days`` of the previous snapshot: one scalar to the driver,
     so the window filter is a literal that prunes the source scan."""
-    return target.agg((F.max(col) - F.expr(f"INTERVAL {int(days)} DAYS")).alias("c")).first().c
+    return target.agg((F.max(col) - F.expr(f"INTERVAL {int(days)} DAYS")).cast(target.schema[col].dataType)
+                      .alias("c")).first().c
+
+
+def _before(col: str, cut) -> Column:
+    """Rows outside the window, as a plain comparison that reaches the scan."""
+    return (F.col(col) < cut) | F.col(col).isNull()
 
 
 def _incremental_collapse(spark: SparkSession, sf: str, prev: DataFrame, days: int) -> DataFrame:
     cut = _cutoff(prev, "measured_at", days)
     if cut is None:
         return W.collapsed_stream(spark, sf)
-    raw = W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at") >= F.lit(cut))
-    kept = prev.where(~F.coalesce(F.col("measured_at") >= F.lit(cut), F.lit(False)))
+    at = K.typed_lit(cut, prev.schema["measured_at"].dataType)
+    raw = W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at") >= at)
+    kept = prev.where(_before("measured_at", at))
     return kept.unionByName(W.collapse_samples(raw))
 
 
@@ -56,7 +63,7 @@ def _incremental_day(spark: SparkSession, sf: str, prev: DataFrame, days: int) -
     # on the raw column that the scan can prune on; the exact filter follows.
     since = dt.datetime.combine(cut, dt.time()) - dt.timedelta(days=1)
     fresh = W.wearable_day(spark, sf, since=since).where(F.col("wear_date") >= F.lit(cut))
-    kept = prev.where(~F.coalesce(F.col("wear_date") >= F.lit(cut), F.lit(False)))
+    kept = prev.where(_before("wear_date", F.lit(cut)))
     return kept.unionByName(fresh)
 
 
@@ -72,6 +79,13 @@ def build(spark: SparkSession, sf: str, base: str | None = None, lookback_days:
         return spark.read.parquet(path)
 
     pin_dim_user(spark, sf, None)                 # always rebuilt from the sources
+    try:
+        return _build(spark, sf, commit, rep, base, lookback_days, incremental, enforce_checks, gates)
+    finally:
+        pin_dim_user(spark, sf, None)             # also after a failed build
+
+
+def _build(spark, sf, commit, rep: BuildReport, base, lookback_days, incremental, enforce_checks, gates) -> BuildReport:
     dim = commit("dim_user", dim_user(spark, sf), "full")
     Q.require_rows(dim, "dim_user")
     # Every later model of this build reads the snapshot, not the raw events.
@@ -94,7 +108,6 @@ def build(spark: SparkSession, sf: str, base: str | None = None, lookback_days:
     Q.require_rows(panel, "pnl01_user_day")
 
     if not gates:
-        pin_dim_user(spark, sf, None)
         return rep
     # Gates: incremental snapshots equal a full rebuild; panel states agree
     # with values.
@@ -103,12 +116,10 @@ def build(spark: SparkSession, sf: str, base: str | None = None, lookback_days:
         "int02_equals_full": symmetric_difference(int02, W.wearable_day(spark, sf)),
         "panel_states_match_values": _state_violations(panel),
     }
-    try:
-        for name, violations in checks.items():
-            rows = Q.enforce(violations, name, "error" if enforce_checks else "warn")
-            rep.checks[name] = len(rows)
-    finally:
-        pin_dim_user(spark, sf, None)
+    for name, violations in checks.items():
+        rep.checks[name] = violations.count()
+        if rep.checks[name] and enforce_checks:
+            Q.enforce(violations, name, "error")
     return rep
 
 

@@ -93,7 +93,14 @@ def collapsed_incremental(target: DataFrame, raw: DataFrame, days: int = 30) ->
     """INT-01 incremental: recompute only the trailing window of event time and
     window-replace it into the previous snapshot (SNK-05)."""
     fresh = collapse_samples(raw)
-    return K.window_replace(target, fresh, "measured_at", days)
+    return K.window_replace(target, fresh, "measured_at", days, restrict_batch=True)
+
+
+def _attributed(samples: DataFrame) -> DataFrame:
+    """Samples with their user. The stand-in streams carry the user as their
+    serial, so the parent is that serial itself; a sample without one belongs to
+    nobody and goes, as it would in the join with the parent."""
+    return samples.where(F.col("user_lifelog_sn").isNotNull()).withColumn("user_id", F.col("user_lifelog_sn"))
 
 
 def _cohort(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,14 +109,13 @@ def _cohort(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before: str | None = None,
                 since: str | None = None) -> DataFrame:
-    users = _cohort(spark, sf)
     if spec.weighted:
         src = collapsed_stream(spark, sf, spec.code, before, since)
         n = F.col("source_row_count")
     else:
         src = raw_samples(spark, sf, spec.code, before, since).where(F.col("measured_at").isNotNull())
         n = F.lit(1)
-    src = src.join(users, "user_lifelog_sn", "inner")
+    src = _attributed(src)
     v = F.col("sample_value")
     null_dec = F.lit(None).cast("decimal(38,6)")
     if spec.weighted:
@@ -153,8 +159,7 @@ def _session_stream_day(spark: SparkSession, sf: str, spec: StreamSpec, before:
     """An interval stream per (user, local day of its *start*): an overnight
     interval counts on the day it began. Duration = end - start in hours
     (open intervals add nothing to the sum)."""
-    src = (session_samples(spark, sf, before, since).where(F.col("measured_at").isNotNull())
-           .join(_cohort(spark, sf), "user_lifelog_sn", "inner"))
+    src = _attributed(session_samples(spark, sf, before, since).where(F.col("measured_at").isNotNull()))
     hours = (tu.epoch_seconds("ended_at", "measured_at") / 3600).cast("decimal(38,6)")
     null_dec = F.lit(None).cast("decimal(38,6)")
     return (src.groupBy("user_id", tu.local_date("measured_at").alias("wear_date"))
@@ -177,8 +182,8 @@ def _plain_streams_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpe
     src = (e.where(F.col("ts").isNotNull())
            .select(F.col("user_id").alias("user_lifelog_sn"), F.col("ts").alias("measured_at"),
                    F.col("event_type").alias("stream_code"),
-                   F.col("value").cast(VALUE_TYPE).alias("sample_value"))
-           .join(_cohort(spark, sf), "user_lifelog_sn", "inner"))
+                   F.col("value").cast(VALUE_TYPE).alias("sample_value")))
+    src = _attributed(src)
     v = F.col("sample_value")
     val = F.when(F.col("stream_code").isin(value_codes), v)
     kc = F.when(F.col("stream_code").isin(kcal_codes), v)
@@ -198,6 +203,8 @@ def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = S
     """INT-02: (user, local day, stream) -> n, sum, mean, min, max, kcal,
     distance, duration hours (NULL where the stream has no such measure).
 
+    All attributed users, whether in the cohort or not: who enrols later finds
+    their older days here, and the guard stands in FCT-11.
     Templated over the stream spec list: the raw streams share one scan and one
     aggregate; the weighted stream reads the collapsed form (INT-01); interval
     streams are dated from their start."""
@@ -214,17 +221,18 @@ def wearable_day(spark: SparkSession, sf: str, streams: Sequence[StreamSpec] = S
 
 def wearable_day_incremental(target: DataFrame, fresh: DataFrame, days: int = 30) -> DataFrame:
     """INT-02 incremental: window-replace the trailing ``days`` of wear dates."""
-    return K.window_replace(target, fresh, "wear_date", days)
+    return K.window_replace(target, fresh, "wear_date", days, restrict_batch=True)
 
 
 def _as_double(c: Column) -> Column:
     return c.cast("double")
 
 
-def wearable_pivot(day: DataFrame, streams: Sequence[StreamSpec] = STREAMS) -> DataFrame:
+def wearable_pivot(day: DataFrame, users: DataFrame, streams: Sequence[StreamSpec] = STREAMS) -> DataFrame:
     """FCT-11: sparse daily pivot, one row per (user, day) on which any stream
-    fired; a NULL column means the stream did not fire (never zero). One hash
-    aggregate with ``max(..) FILTER (WHERE stream = s)`` per column."""
+    fired; a NULL column means the stream did not fire (never zero). Only days of
+    ``users`` (the cohort guard, on one row a day). One hash aggregate with
+    ``max(..) FILTER (WHERE stream = s)`` per column."""
     aggs: list[Column] = []
     for s in streams:
         is_s = F.col("stream_code") == s.code
@@ -236,7 +244,8 @@ def wearable_pivot(day: DataFrame, streams: Sequence[StreamSpec] = STREAMS) -> D
             aggs.append(_as_double(F.max(F.when(is_s, F.col("kcal_sum")))).alias(f"{s.code}_kcal"))
         if s.duration:
             aggs.append(_as_double(F.max(F.when(is_s, F.col("duration_hours")))).alias(f"{s.code}_hours"))
-    return day.groupBy("user_id", F.col("wear_date").alias("ymd_date")).agg(*aggs)
+    return (day.groupBy("user_id", F.col("wear_date").alias("ymd_date")).agg(*aggs)
+            .join(users.select("user_id"), "user_id", "left_semi"))
 
 
 def detail_fact(spark: SparkSession, sf: str, code: str = WEIGHTED_STREAM) -> DataFrame:

@@ -37,12 +37,12 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     ``glob`` admits several arrival files such as ``events*.parquet``).
     A naive ``event_time`` column (UTC wall clock) is turned into an instant,
     which is what watermarks require."""
-    pattern = glob or f"{name}.parquet"
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(sf_dir).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    # a glob names the table, so it may be one file or a folder of part files
+    path = f"{sf_dir.rstrip('/')}/{glob or f'[{name[0]}]{name[1:]}.parquet'}"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.parquet(sf_dir)
+    df = reader.parquet(path)
     if event_time and dict(df.dtypes).get(event_time) == "timestamp_ntz":
         df = df.withColumn(event_time, naive_to_instant(event_time))
     return df
@@ -76,9 +76,11 @@ def _batch_writer(out: str):
 
 
 def run_available_now(agg: DataFrame, name: str, base: str | None = None,
-                      output_mode: str = "update") -> str:
+                      output_mode: str = "update", report: dict | None = None) -> str:
     """STR-03: run a streaming aggregate to completion over what is available,
-    writing every micro-batch through ``foreachBatch``. Returns the output path."""
+    writing every micro-batch through ``foreachBatch``. Returns the output path;
+    with the same ``base`` a later run goes on where this one ended. ``report``
+    gets ``rows_behind_watermark``: how many late rows this run left out."""
     spark = agg.sparkSession
     root = (base or scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:10]}")).rstrip("/")
     out = f"{root}/batches"
@@ -86,6 +88,9 @@ def run_available_now(agg: DataFrame, name: str, base: str | None = None,
          .option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if report is not None:
+        report["rows_behind_watermark"] = sum(
+            op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
     return out
 
 
@@ -97,22 +102,26 @@ def latest_per_key(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFr
             .drop("__rn", "_batch_id"))
 
 
-def streamed_daily_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed_daily_aggregate(spark: SparkSession, sf_dir: str, lateness: str = DEFAULT_LATENESS,
+                             max_files_per_trigger: int | None = None, base: str | None = None,
+                             report: dict | None = None) -> DataFrame:
     """STR-02 end to end over the events table: local day start, type, count,
     sum — equal to the batch aggregate once all rows have arrived."""
-    agg = daily_local_aggregate(table_stream(spark, sf_dir, "events"))
-    out = run_available_now(agg, "daily")
+    agg = daily_local_aggregate(table_stream(spark, sf_dir, "events", max_files_per_trigger), lateness=lateness)
+    out = run_available_now(agg, "daily", base, report=report)
     res = latest_per_key(spark, out, ["day_window", "event_type"])
     return res.select(instant_to_naive("day_window.start").alias("window_start"),
                       F.to_date(instant_to_naive("day_window.start", BUSINESS_ZONE)).alias("local_date"),
                       "event_type", "n_samples", F.col("value_sum").cast("double").alias("value_sum"))
 
 
-def streamed_payload_multiplicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed_payload_multiplicity(spark: SparkSession, sf_dir: str, lateness: str = DEFAULT_LATENESS,
+                                  max_files_per_trigger: int | None = None, base: str | None = None,
+                                  report: dict | None = None) -> DataFrame:
     """STR-04 end to end: (user, event time, type, rounded value) payload
     multiplicity from the event stream."""
-    s = table_stream(spark, sf_dir, "events").select(
+    s = table_stream(spark, sf_dir, "events", max_files_per_trigger).select(
         "user_id", "ts", "event_type", F.round("value").cast("bigint").alias("value_rounded"))
     payload = ["user_id", "ts", "event_type", "value_rounded"]
-    out = run_available_now(payload_multiplicity(s, payload, "ts"), "multiplicity")
+    out = run_available_now(payload_multiplicity(s, payload, "ts", lateness), "multiplicity", base, report=report)
     return latest_per_key(spark, out, payload).withColumn("ts", instant_to_naive("ts"))

@@ -140,7 +140,9 @@ def test_window_replace_drops_vanished_rows_and_keeps_old_ones(spark):
                                     (dt.date(2024, 1, 25), "c", 3), (None, "n", 0)], schema)
     fresh = spark.createDataFrame([(dt.date(2024, 1, 20), "b", 20), (dt.date(2024, 1, 26), "d", 4),
                                    (dt.date(2024, 1, 2), "old", 9)], schema)
-    out = K.window_replace(target, fresh, "d", days=10)   # cutoff = 2024-01-15
+    out = K.window_replace(target, fresh, "d", days=10)   # cutoff = 2024-01-15; the whole batch comes in
+    assert rows(out, "k", "v") == [("a", 1), ("b", 20), ("d", 4), ("n", 0), ("old", 9)]
+    out = K.window_replace(target, fresh, "d", days=10, restrict_batch=True)
     assert rows(out, "k", "v") == [("a", 1), ("b", 20), ("d", 4), ("n", 0)]
     empty = spark.createDataFrame([], schema)
     boot = K.window_replace(empty, fresh, "d", days=10)   # cutoff from the batch minimum
