@@ -42,7 +42,7 @@ def near_copies(n, seed, size=60, edits=3):
         yield " ".join(w[rng.randrange(3):])
 
 
-@pytest.mark.parametrize("k, percent, block", [(4, 85, 2048), (5, 80, 8)])
+@pytest.mark.parametrize("k, percent, block", [(4, 85, 8192), (5, 80, 8)])
 def test_components_equal_brute_force(spark, k, percent, block):
     """Also with blocks so small that hot keys are split, and groups of copies."""
     more = [(10_000 + i, t) for i, t in enumerate([*near_copies(60, 1), *near_copies(40, 2, 200, 25), *["same words in all of them here"] * 30])]
@@ -65,11 +65,7 @@ def test_trees_find_every_linked_pair(percent):
         for _ in range(rng.integers(1, 8)):
             keep = base[rng.random(len(base)) > rng.random() * 0.3]
             sets.append(np.unique(np.append(keep, rng.integers(0, 2**63, rng.integers(0, 9) + (not len(keep)), dtype=np.uint64))))
-    bitmaps = []
-    for s in sets:
-        flags = np.zeros(op.bitmap_bits(len(s)), bool)
-        flags[(s >> np.uint64(20)) & np.uint64(len(flags) - 1)] = True
-        bitmaps.append(np.packbits(flags, bitorder="little").tobytes())
+    bitmaps = [op.bitmap(s) for s in sets]
     ids = list(range(len(sets)))
     found = set(op.block_pairs(ids, [len(s) for s in sets], ids, bitmaps, percent, spanning=False))
     linked = {(i, j) for j in ids for i in range(j)
