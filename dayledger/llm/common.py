@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dayledger.session import scratch_path
 
@@ -31,6 +32,22 @@ def written(df: DataFrame, what: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, n: str, entries: int) -> DataFrame:
+    """The rows of a written table of counts that are among the most frequent:
+    as many whole sixteenths of a power of two as hold at most ``entries`` rows
+    together. One small aggregate finds the level; no task sorts or holds more
+    than its own rows."""
+    level = F.floor(F.log2(n) * 16)
+    sizes = counts.where(F.col(n) > 0).groupBy(level.alias("level")).agg(F.count("*").alias("rows")).orderBy(F.desc("level")).toArrow().to_pylist()
+    least, held = None, 0
+    for row in sizes:  # at most 1,024 levels
+        held += row["rows"]
+        if held > entries:
+            break
+        least = row["level"]
+    return counts.where(level >= least) if least is not None else counts.limit(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """The batches cut into runs of whole rows of about ``max_bytes`` of text
     (a longer text stands alone), with the text column as large_string and

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, slices, table, worker_cache, written
+from dayledger.llm.common import batch_of, most_frequent, slices, table, worker_cache, written
 from dayledger.llm.pretokens import pieces, sums
 from dayledger.llm.textops import utf8, word_hashes
 
@@ -316,7 +316,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str, rounds: int = 2, table_entr
     base = F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))
     weighed = written(lexicon.mapInArrow(_weigh(vocabulary, sc.broadcast(weight)), "h long, n long, lattice double")
                       .select("h", "n", base.alias("base"), "lattice"), "lexicon-scores")
-    top = weighed.orderBy(F.desc("n"), "h").limit(table_entries).orderBy("h").toArrow()
+    top = most_frequent(weighed, "n", table_entries).toArrow().sort_by("h")  # table_entries rows at most
     shared = sc.broadcast((np.asarray(top["h"]), (np.asarray(top["n"]) > 0).astype(np.int64),
                            np.asarray(top["base"]), np.asarray(top["lattice"])))
 
