@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, slices, table, worker_cache
+from dayledger.llm.common import batch_of, most_frequent, slices, table, worker_cache, written
 from dayledger.llm.pretokens import BYTE_PATTERN, PLAIN, Bounded, byte_alphabet, pieces, specials, sums
 
 #: A piece that starts or ends with white space, or is empty, is not on its own:
@@ -106,10 +106,9 @@ def _frequent(per_task: int, memory: int):
 def frequent_pretokens(docs: DataFrame, entries: int, per_task: int, memory: int = 400_000) -> list[str]:
     """The corpus's most frequent pre-tokens, at most ``entries``, each of at most
     64 characters (so the broadcast table is at most a few MB)."""
-    found = (docs.select("text").mapInArrow(_frequent(per_task, memory), "pretoken string, n long")
-             .where(F.length("pretoken") <= 64).groupBy("pretoken").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "pretoken").limit(entries).select("pretoken").toArrow())
-    return found.column(0).to_pylist()
+    counts = written(docs.select("text").mapInArrow(_frequent(per_task, memory), "pretoken string, n long")
+                     .where(F.length("pretoken") <= 64).groupBy("pretoken").agg(F.sum("n").alias("n")), "pretoken-counts")
+    return most_frequent(counts, "n", entries).select("pretoken").toArrow().column(0).to_pylist()
 
 
 def _count(path: str, known, cache: int, limit: int):
