@@ -1,7 +1,7 @@
 """Documents whose word shingles overlap: an exact Jaccard join by signature trees.
 
 A document's set is its distinct k-word shingles (64-bit hashes). Its signature
-is a token bitmap (a power of two of at least four bits a shingle) with its set
+is a token bitmap (a power of two of at least eight bits a shingle) with its set
 size. A tree node holds the OR of its documents' bitmaps, their size range and
 the largest number of shingles that share a bit. Two sets overlap in at most
     common bits + the smaller surplus of shingles over bits,
@@ -11,23 +11,25 @@ Pairs of leaves give candidates, which are verified on the whole texts.
 
 Which documents meet. Any two linked sets share one of their first
 n - ceil(t n) + 1 shingles in one common order (frequent shingles last, else by
-hash): those are a document's keys.
+hash): those are a document's keys. Most linked sets also share one of a few
+smallest hashes: those are its buckets.
 
 1. Equal sets (by a 128-bit fingerprint) are one class; its smallest id stands
    for it from here on.
-2. First round: classes meet by their first key only; the trees give a spanning
-   set of candidates; the verified ones give first components.
-3. Second round, exact: classes meet by every key. Keys held by one component
-   alone have nothing left to find and go; in the others the trees give all
-   candidates between different components; the verified ones are the missing
-   links. Nothing is capped: pairs that are not looked at are in one component
-   already, or proven to overlap too little.
-
-Skew: copies collapse inside map tasks and by partial aggregates; a hot first
-key (known from a pass that counts shingles in bounded memory) is salted; the
-keys' lists travel as packed arrays; a key with more than ``block`` classes is
-split into runs by size, and only runs of compatible sizes meet, in tasks of
-their own. Texts are read again only for candidates.
+2. Components: bucket by bucket, trees over the bucket's classes give a spanning
+   set of candidates between what is not yet tied; they are verified.
+3. Links between components: trees over each bucket give all candidates of
+   different components; a pair is given in the first bucket that it shares.
+4. The rest: classes of different components that share a key but no bucket are
+   found from the keys' lists alone, and their bitmaps compared pair by pair.
+Steps 3 and 4 look at every pair that shares a key and is not in one component
+already, so the result is exact; nothing is capped.
+
+Skew: copies collapse inside map tasks and by partial aggregates; a hot bucket
+(known from a pass that counts shingles in bounded memory) is salted; the keys'
+lists travel as packed arrays; a key with more than ``block`` classes is split
+into runs by size, and only runs of compatible sizes meet, in tasks of their own.
+Texts are read again only for candidates.
 
 Defined cases: a document without words (null, empty, white space) has an empty
 set, size 0, and is linked with nothing; one of fewer words than k has its whole
@@ -44,12 +46,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, slices, table, written
+from dayledger.llm.common import batch_of, most_frequent, slices, table, written
 from dayledger.llm.graph import EDGES, Sets, components
 from dayledger.llm.textops import gram_hashes, mix, row_of, utf8, word_hashes, words
 
 SLICE = 4 << 20
-LEAF = 8
+LEAF = 32
+#: Buckets of a document: its smallest shingles under this many orders.
+BUCKETS = 4
+#: Spanning forests a bucket in the first rounds, and rounds: some candidates fail.
+FORESTS, ROUNDS = 3, 3
 
 
 def shingles(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,12 +115,12 @@ def _frequent(k: int, per_task: int):
     return run
 
 
-def frequent_shingles(docs: DataFrame, k: int, least: int = 16, entries: int = 50_000) -> tuple[np.ndarray, np.ndarray]:
+def frequent_shingles(docs: DataFrame, k: int, least: int = 16, entries: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles (at most ``entries``, each seen ``least`` times)
     and their counts, sorted by shingle. They set an order and salts, no result."""
-    found = (docs.select("text").mapInArrow(_frequent(k, entries // 4), "s long, n long")
-             .groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-             .orderBy(F.desc("n"), "s").limit(entries).toArrow())
+    counts = written(docs.select("text").mapInArrow(_frequent(k, entries // 10), "s long, n long")
+                     .groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "shingle-counts")
+    found = most_frequent(counts, "n", entries).toArrow()
     s, n = np.asarray(found["s"]).view(np.uint64), np.asarray(found["n"])
     order = np.argsort(s)
     return s[order], n[order]
@@ -122,13 +128,20 @@ def frequent_shingles(docs: DataFrame, k: int, least: int = 16, entries: int = 5
 
 # ---- sets: size, fingerprint, keys, signature ----------------------------
 
+BUCKET_NAMES = [f"b{p}" for p in range(BUCKETS)]
 SET = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
-                 ("bucket", pa.int64()), ("keys", pa.binary()), ("bits", pa.binary())])
-SET_DDL = "doc_id long, n long, f1 long, f2 long, bucket long, keys binary, bits binary"
+                 *[(b, pa.int32()) for b in BUCKET_NAMES], ("keys", pa.binary()), ("bits", pa.binary())])
+SET_DDL = ("doc_id long, n long, f1 long, f2 long, " + ", ".join(f"{b} int" for b in BUCKET_NAMES) + ", keys binary, bits binary")
 
 
 def bitmap_bits(n: int) -> int:
-    return max(64, 1 << int(4 * n - 1).bit_length())
+    return max(64, 1 << int(8 * n - 1).bit_length())
+
+
+def bitmap(values: np.ndarray) -> bytes:
+    flags = np.zeros(bitmap_bits(len(values)), bool)
+    flags[(values >> np.uint64(20)) & np.uint64(len(flags) - 1)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
 
 
 def _sets(k: int, percent: int, shared, block: int):
@@ -141,28 +154,29 @@ def _sets(k: int, percent: int, shared, block: int):
             at = np.minimum(np.searchsorted(heavy, values), max(0, len(heavy) - 1))
             often = heavy[at] == values if len(heavy) else np.zeros(len(values), bool)
             place = (values >> np.uint64(1)) | (often.astype(np.uint64) << np.uint64(63))
+            # any shingle may lead: those of a family of copies are all frequent
+            orders = [mix(values ^ np.uint64(0xC0FFEE + 977 * p)) for p in range(BUCKETS)]
             f1, f2 = mix(values ^ np.uint64(0xA5A5)), mix(values * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7))
             out: list[list] = [[] for _ in SET]
-            first: dict[tuple, int] = {}
+            first: set[tuple] = set()
             for i in sorted(range(len(ids)), key=lambda x: (ids[x] is None, ids[x])):
                 a, b = int(ends[i]), int(ends[i + 1])
                 n = b - a
                 mark = (n, int(f1[a:b].sum().view(np.int64)), int(f2[a:b].sum().view(np.int64))) if n else (0, 0, 0)
-                bucket = keys = bits = None
+                buckets, keys, bits = [None] * BUCKETS, None, None
                 if n and ids[i] is not None and mark not in first:
-                    first[mark] = i
+                    first.add(mark)
                     order = np.argsort(place[a:b], kind="stable")[:n - -(-percent * n // 100) + 1]
-                    picked = values[a:b][order]
-                    width = bitmap_bits(n)
-                    flags = np.zeros(width, bool)
-                    flags[(values[a:b] >> np.uint64(20)) & np.uint64(width - 1)] = True
-                    keys, bits = picked.tobytes(), np.packbits(flags, bitorder="little").tobytes()
-                    lead = picked[0]
-                    salt = 0
-                    if often[a + order[0]]:
-                        salt = (mark[1] & 0x7FFFFFFF) % max(1, int(times[at[a + order[0]]]) // block)
-                    bucket = int(mix(np.array([lead + np.uint64(salt)]))[0].view(np.int64))
-                for x, v in zip(out, (ids[i], *mark, bucket, keys, bits), strict=True):
+                    keys, bits = values[a:b][order].tobytes(), bitmap(values[a:b])
+                    leads = np.empty(BUCKETS, np.uint64)
+                    for p in range(BUCKETS):
+                        lead = int(orders[p][a:b].argmin()) + a
+                        leads[p] = orders[p][lead]
+                        if often[lead]:  # a salt for every ``block`` documents
+                            salt = (mark[1] >> (7 * p) & 0xFFFFFF) % max(1, int(times[at[lead]]) // block)
+                            leads[p] += np.uint64(salt)
+                    buckets = (mix(leads) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32).tolist()
+                for x, v in zip(out, (ids[i], *mark, *buckets, keys, bits), strict=True):
                     x.append(v)
             yield batch_of(SET, **{f.name: v for f, v in zip(SET, out, strict=True)})
 
@@ -240,73 +254,84 @@ def fold(bits: np.ndarray) -> np.ndarray:
 
 
 def block_pairs(ids: list[int], sizes: list[int], groups: list[int], bitmaps: list[bytes], percent: int,
-                spanning: bool) -> list[tuple[int, int]]:
-    """Candidate pairs of ids of one block. ``spanning``: only as many as tie
-    together what the candidates tie together."""
+                spanning: bool, before: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Candidate pairs of ids of one block. ``spanning``: only a few forests that
+    each tie together what the candidates tie together. ``before``: buckets a document;
+    a pair that shares one of them is left out."""
     by_width: dict[int, list[int]] = {}
     for i in sorted(range(len(ids)), key=lambda x: (sizes[x], groups[x], ids[x])):
         by_width.setdefault(len(bitmaps[i]) * 8, []).append(i)
     trees = {}
     for width, at in by_width.items():
         bits = np.frombuffer(b"".join([bitmaps[i] for i in at]), "<u8").reshape(len(at), -1)
-        trees[width] = (at, bits, np.array([sizes[i] for i in at]), np.array([groups[i] for i in at]))
-    out, tied = [], Sets()
+        trees[width] = (np.array(at), bits, np.array([sizes[i] for i in at]), np.array([groups[i] for i in at]))
+    name = np.array(ids)
+    group = np.array(groups)
+    out, forests = [], [Sets() for _ in range(FORESTS)]
 
     def keep(at, bt, pairs):
         for i, j in pairs:
-            for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                a, b = ids[at[x]], ids[bt[y]]
-                if a != b and (not spanning or tied.join(a, b)):
-                    out.append((min(a, b), max(a, b)))
+            i, j = at[i], bt[j]
+            fresh = name[i] != name[j]
+            if before is not None:
+                fresh &= ~(before[i] == before[j]).any(1)
+            i, j = i[fresh], j[fresh]
+            if spanning:
+                for x, y, g, h in zip(name[i].tolist(), name[j].tolist(), group[i].tolist(), group[j].tolist(), strict=True):
+                    if any(forest.join(g, h) for forest in forests):  # the first one that it helps
+                        out.append((min(x, y), max(x, y)))
+            else:
+                x, y = name[i], name[j]
+                out.extend(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
 
     for width, (at, bits, n, g) in trees.items():
         mine = (bits, n, g)
         root = tree(*mine, 0, len(at))
         keep(at, at, traverse(root, root, mine, mine, percent, True))
-        if 2 * width in trees and width >= 64:
+        if 2 * width in trees:  # sizes of more than twice each other are never compatible
             bt, wide, m, h = trees[2 * width]
             other = (fold(wide), m, h)
             keep(at, bt, traverse(root, tree(*other, 0, len(bt)), mine, other, percent, False))
-        # a ratio of sizes under one half is possible only for percent < 50
     return out
 
 
-def _blocks(percent: int, spanning: bool, key: list[str]):
-    """Rows sorted by block: candidate pairs of each block. Rows of one
-    fingerprint stand next to each other; the first one counts."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _pair_batches(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(found), 50_000):
+        a, b = zip(*found[lo:lo + 50_000], strict=True)
+        yield batch_of(PAIR, a=a, b=b)
 
+
+def _blocks(percent: int, spanning: bool, turn: int):
+    """Rows sorted by bucket (number ``turn``): candidate pairs of each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        found: list[tuple[int, int]] = []
         now = None
 
-        def close():
+        def close() -> list[tuple[int, int]]:
+            found = []
             if len(held) > 1:
-                ids, n, g, bits = map(list, zip(*held, strict=True))
-                found.extend(block_pairs(ids, n, g, bits, percent, spanning))
+                *rest, buckets = map(list, zip(*held, strict=True))
+                found = block_pairs(*rest, percent, spanning, None if spanning or not turn else np.array(buckets)[:, :turn])
             held.clear()
+            return found
 
         for batch in batches:
-            cols = {c: batch.column(c).to_pylist() for c in batch.schema.names}
-            for block, *row in zip(zip(*[cols[c] for c in key], strict=True), cols["doc_id"], cols["n"], cols["grp"], cols["bits"], strict=True):
-                if block != now:
-                    close()
-                    now = block
-                held.append(tuple(row))
-            if len(found) > 50_000:
-                a, b = zip(*found, strict=True)
-                yield batch_of(schema, a=a, b=b)
-                found.clear()
-        close()
-        if found:
-            a, b = zip(*found, strict=True)
-            yield batch_of(schema, a=a, b=b)
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "n", "grp", "bits")]
+            buckets = list(zip(*[batch.column(b).to_pylist() for b in BUCKET_NAMES], strict=True))
+            for *row, own in zip(*cols, buckets, strict=True):
+                if own[turn] != now:
+                    yield from _pair_batches(close())
+                    now = own[turn]
+                held.append((*row, own))
+        yield from _pair_batches(close())
 
     return run
 
 
-# ---- second round: all keys ------------------------------------------------
+# ---- pairs that share a key but no bucket ----------------------------------
 
 def _postings(shards: int):
     schema = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary())])
@@ -384,6 +409,75 @@ def _meetings(percent: int, block: int):
     return run
 
 
+def _unmet(percent: int):
+    """Rows sorted by list: pairs of different groups, compatible sizes and no
+    common bucket."""
+    names = ["doc_id", "n", "grp", *BUCKET_NAMES]
+
+    def close(parts: list[np.ndarray]) -> list[tuple[int, int]]:
+        x = np.concatenate(parts, axis=1)
+        doc, n, group, buckets = x[0], x[1], x[2], x[3:]
+        found = []
+        for lo in range(0, len(doc), 256):
+            i = slice(lo, lo + 256)
+            low, high = np.minimum(n[i, None], n[None]), np.maximum(n[i, None], n[None])
+            ok = (low * 100 >= high * percent) & (group[i, None] != group[None]) & (doc[i, None] < doc[None])
+            for b in buckets:
+                ok &= b[i, None] != b[None]
+            u, v = np.nonzero(ok)
+            found.extend(zip(doc[u + lo].tolist(), doc[v].tolist(), strict=True))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        seen: set[tuple[int, int]] = set()  # lists of one task repeat their pairs
+        now = None
+
+        def fresh() -> Iterator[pa.RecordBatch]:
+            found = [p for p in dict.fromkeys(close(held)) if p not in seen] if held else []
+            held.clear()
+            if len(seen) > 500_000:
+                seen.clear()
+            seen.update(found)
+            yield from _pair_batches(found)
+
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
+            key = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "part")], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                if tuple(key[a]) != now:
+                    yield from fresh()
+                    now = tuple(key[a])
+                held.append(x[:, a:b])
+        yield from fresh()
+
+    return run
+
+
+def _possible(percent: int):
+    """Pairs with both signatures: those whose bitmaps allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            cols = [batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "bits_a", "bits_b")]
+            for a, b, n, m, x, y in zip(*cols, strict=True):
+                x, y = np.frombuffer(x, "<u8")[None], np.frombuffer(y, "<u8")[None]
+                while x.shape[1] > y.shape[1]:
+                    x = fold(x)
+                while y.shape[1] > x.shape[1]:
+                    y = fold(y)
+                count = lambda z: int(np.bitwise_count(z).sum())
+                over = count(x & y) + min(n - count(x), m - count(y))
+                if min(over, n, m) >= needed(n, m, percent):
+                    found.append((a, b))
+            yield from _pair_batches(found)
+
+    return run
+
+
 # ---- verification ----------------------------------------------------------
 
 def _verify(k: int, percent: int):
@@ -421,7 +515,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, small: int
     return two.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k, percent), EDGES)
 
 
-def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = 2048) -> DataFrame:
+def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = 8192) -> DataFrame:
     """doc_id, n_shingles and component_id of each document; sets are linked at a
     Jaccard similarity of ``percent`` / 100 or more (from 50 on)."""
     if not 50 <= percent <= 100:
@@ -436,23 +530,40 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: in
     reps = kept.join(classes.select(F.col("rep").alias("doc_id"), "n", "f1", "f2"), ["doc_id", "n", "f1", "f2"], "left_semi")
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lead = (reps.select("bucket", "doc_id", "n", F.col("doc_id").alias("grp"), "bits")
-            .repartition(parts, "bucket").sortWithinPartitions("bucket", "n", "doc_id"))
-    first = written(lead.mapInArrow(_blocks(percent, True, ["bucket"]), EDGES).distinct(), "first-pairs")
-    links = written(verified(first, rows, k, percent), "first-links")
-    tied = components(links)
-    group = written(reps.select("doc_id").distinct().join(tied, F.col("doc_id") == F.col("node"), "left")
-                    .select("doc_id", F.coalesce("component", "doc_id").alias("grp")), "first-groups")
+    signed = written(reps.select("doc_id", "n", *BUCKET_NAMES, "bits"), "signatures")
+    ids = signed.select("doc_id").distinct()
+
+    def candidates(turn: int, group: DataFrame, spanning: bool) -> DataFrame:
+        """Of the buckets of this turn that several groups share."""
+        bucket = BUCKET_NAMES[turn]
+        named = signed.select("doc_id", bucket).join(group, "doc_id")
+        several = (named.groupBy(bucket).agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select(bucket))
+        rows = (signed.join(several, bucket).join(group, "doc_id").select("doc_id", "n", "grp", *BUCKET_NAMES, "bits")
+                .repartition(parts, bucket).sortWithinPartitions(bucket, "n", "doc_id"))
+        return rows.mapInArrow(_blocks(percent, spanning, turn), EDGES)
+
+    links = None
+    group = ids.select("doc_id", F.col("doc_id").alias("grp"))
+    for turn in range(ROUNDS):
+        pairs = written(candidates(turn, group, True).distinct(), "spanning-pairs")
+        found = verified(pairs, rows, k, percent)
+        links = written(found if links is None else found.union(links), "links")
+        group = written(ids.join(components(links), F.col("doc_id") == F.col("node"), "left")
+                        .select("doc_id", F.coalesce("component", "doc_id").alias("grp")), "groups")
 
     held = (kept.select("doc_id", "n", "keys").mapInArrow(_postings(parts), "shard int, keys binary, docs binary, sizes binary")
             .repartition(parts, "shard").sortWithinPartitions("shard"))
     meet = written(held.mapInArrow(_meetings(percent, block), "key long, part long, doc_id long").join(group, "doc_id"), "meetings")
     open_ = (meet.groupBy("key", "part").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("key", "part"))
-    look = (meet.join(open_, ["key", "part"]).join(reps.select("doc_id", "n", "bits"), "doc_id")
-            .repartition(parts, "key", "part").sortWithinPartitions("key", "part", "n", "doc_id"))
-    second = written(look.select("key", "part", "doc_id", "n", "grp", "bits")
-                     .mapInArrow(_blocks(percent, False, ["key", "part"]), EDGES).distinct(), "second-pairs")
-    more = written(verified(second, rows, k, percent), "second-links")
+    look = (meet.join(open_, ["key", "part"]).join(signed.select("doc_id", "n", *BUCKET_NAMES), "doc_id")
+            .repartition(parts, "key", "part").sortWithinPartitions("key", "part"))
+    unmet = written(look.select("key", "part", "doc_id", "n", "grp", *BUCKET_NAMES).mapInArrow(_unmet(percent), EDGES).distinct(), "unmet-pairs")
+    side = lambda c: signed.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    possible = (unmet.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+                .mapInArrow(_possible(percent), EDGES))
+    for turn in range(BUCKETS):
+        possible = possible.union(candidates(turn, group, False))
+    more = written(verified(written(possible.distinct(), "last-pairs"), rows, k, percent), "last-links")
 
     final = written(components(links.union(more)), "components")
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
