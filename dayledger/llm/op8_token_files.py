@@ -25,6 +25,7 @@ writes no chunks; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -61,8 +62,9 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.byte_char = str.maketrans(dict(enumerate(byte_alphabet())))
-        self.special = [t for t, _ in specials(path)]
+        self.special = re.compile("|".join(re.escape(t) for t, _ in specials(path)) or "(?!)").search
         self.cache = Bounded(entries)
+        self.known = Bounded(entries // 2)
 
     def pretoken(self, p: str) -> bytes:
         """Little-endian uint32 ids of one lower-case pre-token."""
@@ -72,9 +74,13 @@ class Encoder:
         return ids
 
     def piece(self, text: str) -> bytes:
-        if PLAIN(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.pretoken, WORD_PATTERN.findall(text.lower())))
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if (ids := self.known.get(text)) is None:
+            if PLAIN(text) and not self.special(text):
+                ids = b"".join([self.pretoken(p) for p in WORD_PATTERN.findall(text.lower())])
+            else:
+                ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.known.put(text, ids)
+        return ids
 
     def texts(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the ids of each text."""
@@ -96,23 +102,27 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> tuple[np.ndarray, bytes]:
     if not n:
         return np.zeros(0, np.int64), b""
     short = -n % BLOCK
-    rows = np.concatenate([ids, np.full(short, ids[-1], ids.dtype)]).astype(np.int64).reshape(-1, BLOCK)
+    rows = np.concatenate([ids, np.full(short, ids[-1], ids.dtype)]).astype("<u4").reshape(-1, BLOCK)
     least = rows.min(1)
     rows = rows - least[:, None]
-    bits = np.zeros(rows.shape, np.uint8)
-    for b in range(32):
-        bits += rows >= (1 << b)
-    width = np.sort(bits, axis=1)[:, min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)]
+    bits = np.frexp(rows.astype(np.float64))[1].astype(np.uint8)  # the bits that each value needs
+    place = min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)
+    width = np.partition(bits, place, axis=1)[:, place]
     blocks: list[bytes] = [b""] * len(rows)
     for b in np.unique(width).tolist():
         at = np.flatnonzero(width == b)
         part = rows[at]
-        low = np.packbits(((part[:, :, None] >> np.arange(b)) & 1).astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
-        over = part >> b
+        each = np.unpackbits(part.view(np.uint8).reshape(len(at), BLOCK, 4), axis=2, count=b, bitorder="little")
+        low = np.packbits(each.reshape(len(at), -1), axis=1, bitorder="little")
+        over = (part.astype(np.uint64) >> np.uint64(b)).astype("<u4")
+        odd, where = np.nonzero(over)
+        ends = np.searchsorted(odd, np.arange(len(at) + 1))
         for i, block in enumerate(at.tolist()):
-            out = np.flatnonzero(over[i])
-            count = BLOCK - short if block == len(rows) - 1 else BLOCK
-            out = out[out < count]
+            out = where[ends[i]:ends[i + 1]]
+            count = BLOCK
+            if short and block == len(rows) - 1:
+                count -= short
+                out = out[out < count]
             blocks[block] = (int(least[block]).to_bytes(4, "little") + bytes([b, len(out)])
                              + low[i, :(count * b + 7) // 8].tobytes()
                              + out.astype(np.uint8).tobytes() + over[i, out].astype("<u4").tobytes())
@@ -140,8 +150,9 @@ def unpack(payload: bytes, starts: np.ndarray, n: int) -> np.ndarray:
                 continue
             m = int(count[at[0]])
             packed = raw[(starts[at] + 6)[:, None] + np.arange(int(size[at[0]]))]
-            bit = np.unpackbits(packed, axis=1, bitorder="little", count=m * b).reshape(len(at), m, b)
-            rows[at, :m] = bit @ (1 << np.arange(b, dtype=np.int64))
+            each = np.zeros((len(at), m, 32), np.uint8)
+            each[:, :, :b] = np.unpackbits(packed, axis=1, bitorder="little", count=m * b).reshape(len(at), m, b)
+            rows[at, :m] = np.packbits(each, axis=2, bitorder="little").view("<u4")[:, :, 0]
     where = starts + 6 + size
     pos = ragged(raw, where, odd).astype(np.int64)
     block = np.repeat(np.arange(len(starts)), odd)
