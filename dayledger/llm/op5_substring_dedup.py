@@ -8,8 +8,8 @@ anchor, so every place of a window's words is in one shard.
 
 1. Each map task sends its segments' anchors, places and content hashes to the
    shards (packed arrays, no words). A shard keeps anchors of several documents
-   and names the distinct contents; the smallest document of a content stands
-   for its copies.
+   and tells their contents apart by 64 bits of anchor and 64 of content; the
+   smallest document of a content stands for its copies.
 2. Those documents' words travel to the shards, one copy of each content. A
    shard builds an FM-index over them (wavelet matrix of the Burrows-Wheeler
    transform) and searches every window backward; windows whose matching
@@ -48,11 +48,11 @@ INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 
 
 def content_hashes(h: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """32-bit hashes of the word runs h[start:start+n]."""
+    """64-bit hashes of the word runs h[start:start+n]."""
     power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), FACTOR, np.uint64)]))
     back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), INVERSE, np.uint64)]))
     total = np.concatenate([[np.uint64(0)], np.cumsum(h * power[:-1])])
-    return (mix((total[start + n] - total[start]) * back[start] + n.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+    return mix((total[start + n] - total[start]) * back[start] + n.astype(np.uint64))
 
 
 def segments(col: pa.Array, window: int) -> dict[str, np.ndarray]:
@@ -66,7 +66,7 @@ def segments(col: pa.Array, window: int) -> dict[str, np.ndarray]:
     width = window - gram + 1
     none = np.zeros(0, np.int64)
     if len(grams) < width:
-        return dict(row=none, start=none, windows=none, anchor=none.view(np.uint64), content=none.astype(np.uint32))
+        return dict(row=none, start=none, windows=none, anchor=none.view(np.uint64), content=none.view(np.uint64))
     at = np.empty(len(grams) - width + 1, np.int64)
     view = np.lib.stride_tricks.sliding_window_view(grams, width)
     for lo in range(0, len(at), 1 << 18):
@@ -84,11 +84,7 @@ def segments(col: pa.Array, window: int) -> dict[str, np.ndarray]:
                 content=content_hashes(h, start, n + window - 1))
 
 
-def name_of(anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
-    return mix(anchor * FACTOR + content.astype(np.uint64)).view(np.int64)
-
-
-RUN_PARTS = (("anchor", "<u8"), ("content", "<u4"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("windows", "<i4"))
+RUN_PARTS = (("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("windows", "<i4"))
 
 
 def _runs(window: int, shards: int):
@@ -116,12 +112,12 @@ def _runs(window: int, shards: int):
     return run
 
 
-PLACE_DDL = "shard int, name long, doc_id long, tag long, start int, windows int, stands boolean"
+PLACE_DDL = "shard int, anchor long, content long, doc_id long, tag long, start int, windows int, stands boolean"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's segments of anchors that several documents hold."""
-    schema = pa.schema([("shard", pa.int32()), ("name", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
+    schema = pa.schema([("shard", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
                         ("start", pa.int32()), ("windows", pa.int32()), ("stands", pa.bool_())])
     open_ = zstandard.ZstdDecompressor()
 
@@ -138,11 +134,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = new.copy()
         lead[1:] |= x["content"][1:] != x["content"][:-1]
         at = np.flatnonzero(several)
-        name = name_of(x["anchor"][at], x["content"][at])
         for lo in range(0, len(at), 50_000):
             i = at[lo:lo + 50_000]
-            yield batch_of(schema, shard=np.full(len(i), shard), name=name[lo:lo + 50_000], doc_id=x["doc"][i], tag=x["tag"][i],
-                           start=x["start"][i], windows=x["windows"][i], stands=lead[i])
+            yield batch_of(schema, shard=np.full(len(i), shard), anchor=x["anchor"][i].view(np.int64), content=x["content"][i].view(np.int64),
+                           doc_id=x["doc"][i], tag=x["tag"][i], start=x["start"][i], windows=x["windows"][i], stands=lead[i])
 
     held: list[dict] = []
     now = None
@@ -162,12 +157,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close(now, held)
 
 
-CONTENT_DDL = "shard int, name long, doc_id long, windows int, words binary"
+CONTENT_DDL = "shard int, anchor long, content long, doc_id long, windows int, words binary"
 
 
 def _contents(window: int):
     """Documents with the segments they stand for: each segment's word hashes."""
-    schema = pa.schema([("shard", pa.int32()), ("name", pa.int64()), ("doc_id", pa.int64()), ("windows", pa.int32()), ("words", pa.binary())])
+    schema = pa.schema([("shard", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()),
+                        ("windows", pa.int32()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, col in slices(batches, "text", SLICE):
@@ -178,37 +174,33 @@ def _contents(window: int):
             seg = lists.flatten()
             n_of = np.diff(np.asarray(lists.offsets))
             row = np.repeat(np.arange(rows.num_rows), n_of)
-            name, shard, start, n = (np.asarray(seg.field(c)).astype(np.int64) for c in ("name", "shard", "start", "windows"))
+            anchor, content, shard, start, n = (np.asarray(seg.field(c)).astype(np.int64) for c in ("anchor", "content", "shard", "start", "windows"))
             at = start + counts[row]
             doc = np.asarray(rows.column("doc_id"))
-            # words as 40-bit hashes: only segments of one anchor are ever compared
-            flat = (h >> np.uint64(24)).astype("<u8")
+            flat = h.astype("<u8")  # whole hashes: windows of one anchor often differ in a single word
             for lo in range(0, len(at), 20_000):
                 p = slice(lo, lo + 20_000)
-                yield batch_of(schema, shard=shard[p], name=name[p], doc_id=doc[row[p]], windows=n[p],
-                               words=[flat[a:b].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-                                      for a, b in zip(at[p].tolist(), (at[p] + n[p] + window - 1).tolist(), strict=True)])
+                yield batch_of(schema, shard=shard[p], anchor=anchor[p], content=content[p], doc_id=doc[row[p]], windows=n[p],
+                               words=[flat[a:b].tobytes() for a, b in zip(at[p].tolist(), (at[p] + n[p] + window - 1).tolist(), strict=True)])
 
     return run
 
 
-ANSWER_DDL = "name long, times array<int>, least array<long>"
+ANSWER_DDL = "anchor long, content long, times array<int>, least array<long>"
 
 
 def _search(window: int):
     """One index a shard: for each content, the smallest document of each of its
     windows, as runs of equal values."""
-    schema = pa.schema([("name", pa.int64()), ("times", pa.list_(pa.int32())), ("least", pa.list_(pa.int64()))])
+    schema = pa.schema([("anchor", pa.int64()), ("content", pa.int64()), ("times", pa.list_(pa.int32())), ("least", pa.list_(pa.int64()))])
 
     def close(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        rows = list({x[0]: x for x in held}.values())  # a content may come from equal rows
+        rows = list({x[:2]: x for x in held}.values())  # a content may come from equal rows
         held.clear()
-        names, docs, counts, raw = zip(*rows, strict=True)
+        anchors, contents, docs, counts, raw = zip(*rows, strict=True)
         counts, docs = np.array(counts), np.array(docs)
         lens = counts + window - 1
-        wide = np.zeros((int(lens.sum()), 8), np.uint8)
-        wide[:, :5] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 5)
-        kinds, symbol = np.unique(wide.view("<u8").ravel(), return_inverse=True)
+        kinds, symbol = np.unique(np.frombuffer(b"".join(raw), "<u8"), return_inverse=True)
         # every segment is followed by the separator 0
         begin = np.cumsum(lens + 1) - (lens + 1)
         text = np.zeros(int((lens + 1).sum()), np.int64)
@@ -231,7 +223,7 @@ def _search(window: int):
         times = np.diff(np.append(first, len(least)))
         ends = np.searchsorted(which[first], np.arange(len(counts) + 1))
         yield pa.RecordBatch.from_arrays([
-            pa.array(names, pa.int64()),
+            pa.array(anchors, pa.int64()), pa.array(contents, pa.int64()),
             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(times, pa.int32())),
             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(least[first], pa.int64()))], schema=schema)
 
@@ -239,7 +231,7 @@ def _search(window: int):
         held: list[tuple] = []
         now = None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("shard", "name", "doc_id", "windows", "words")]
+            cols = [batch.column(c).to_pylist() for c in ("shard", "anchor", "content", "doc_id", "windows", "words")]
             for shard, *row in zip(*cols, strict=True):
                 if shard != now and held:
                     yield from close(held)
@@ -306,11 +298,11 @@ def repeated_spans(docs: DataFrame, window: int, small: int = 1_000_000) -> Data
             .repartition(shards, "shard").sortWithinPartitions("shard"))
     places = written(runs.mapInArrow(_shared, PLACE_DDL), "places")
     stands = places.where("stands").groupBy("doc_id", "tag").agg(
-        F.collect_list(F.struct("name", "shard", "start", "windows")).alias("segs"))
+        F.collect_list(F.struct("anchor", "content", "shard", "start", "windows")).alias("segs"))
     contents = (_texts_of(docs, stands, small).select("doc_id", "text", "segs").mapInArrow(_contents(window), CONTENT_DDL)
                 .repartition(shards, "shard").sortWithinPartitions("shard"))
     answers = contents.mapInArrow(_search(window), ANSWER_DDL)
-    spans = (places.select("name", "doc_id", "tag", "start").join(answers, "name")
+    spans = (places.select("anchor", "content", "doc_id", "tag", "start").join(answers, ["anchor", "content"])
              .mapInArrow(_spans(window), "doc_id long, tag long, a int, b int")
              .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
     return _texts_of(docs, spans, small).select("doc_id", "text", "spans")

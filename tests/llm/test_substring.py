@@ -2,6 +2,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dayledger.llm import op5_substring_dedup as op
@@ -67,3 +68,17 @@ def test_backward_search_finds_all_places(kinds):
                 assert m == length and set(index.order[a:b].tolist()) == places
             elif m < length:
                 assert b - a == 1
+
+
+HEAD = "alpha beta gamma delta epsilon zeta eta theta iota kappa lam mu"
+
+
+@pytest.mark.parametrize("last", [("v57301", "v247476"), ("v21349", "v86762"), ("v3238044", "v3795005"), ("v3857936", "v3157491")])
+def test_windows_of_one_anchor_are_told_apart(spark, last):
+    """Segments of one anchor whose content hashes share 32 bits, or which differ
+    in one word and its hashes share 40 bits."""
+    texts = [f"{HEAD} {v}" for v in last]
+    anchor = op.segments(pa.array(texts, pa.large_string()), 13)["anchor"].tolist()
+    assert anchor[0] == anchor[1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.n_removed) for r in op.substring_digests(docs, 13).collect()} == {(0, 0), (1, 0)}
