@@ -21,14 +21,17 @@ smallest hashes: those are its buckets.
 3. Links between components: trees over each bucket give all candidates of
    different components; a pair is given in the first bucket that it shares.
 4. The rest: classes of different components that share a key but no bucket are
-   found from the keys' lists alone, and their bitmaps compared pair by pair.
+   found from the keys' lists, of which those of one component are dropped first.
+   Trees over each two runs of a list give candidates; a list no longer than a
+   leaf has no nodes to prune, its pairs are compared one by one.
 Steps 3 and 4 look at every pair that shares a key and is not in one component
 already, so the result is exact; nothing is capped.
 
 Skew: copies collapse inside map tasks and by partial aggregates; a hot bucket
 (known from a pass that counts shingles in bounded memory) is salted; the keys'
 lists travel as packed arrays; a key with more than ``block`` classes is split
-into runs by size, and only runs of compatible sizes meet, in tasks of their own.
+into runs by size (large components apart), and only runs of compatible sizes
+and not of one component meet, each two as a row, in tasks of their own.
 Texts are read again only for candidates.
 
 Defined cases: a document without words (null, empty, white space) has an empty
@@ -43,12 +46,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm.common import batch_of, most_frequent, slices, table, written
 from dayledger.llm.graph import EDGES, Sets, components
-from dayledger.llm.textops import gram_hashes, mix, row_of, utf8, word_hashes, words
+from dayledger.llm.textops import gram_hashes, mix, ragged, row_of, utf8, word_hashes, words
 
 SLICE = 4 << 20
 LEAF = 32
@@ -254,17 +258,17 @@ def fold(bits: np.ndarray) -> np.ndarray:
 
 
 def block_pairs(ids: list[int], sizes: list[int], groups: list[int], bitmaps: list[bytes], percent: int,
-                spanning: bool, before: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Candidate pairs of ids of one block. ``spanning``: only a few forests that
+                spanning: bool, before: np.ndarray | None = None, sides: list[int] | None = None) -> list[tuple[int, int]]:
+    """Candidate pairs of ids of one block, or with ``sides`` (0 or 1) those across. ``spanning``: only a few forests that
     each tie together what the candidates tie together. ``before``: buckets a document;
     a pair that shares one of them is left out."""
-    by_width: dict[int, list[int]] = {}
+    by_width: dict[tuple[int, int], list[int]] = {}
     for i in sorted(range(len(ids)), key=lambda x: (sizes[x], groups[x], ids[x])):
-        by_width.setdefault(len(bitmaps[i]) * 8, []).append(i)
+        by_width.setdefault((len(bitmaps[i]) * 8, sides[i] if sides else 0), []).append(i)
     trees = {}
-    for width, at in by_width.items():
+    for where, at in by_width.items():
         bits = np.frombuffer(b"".join([bitmaps[i] for i in at]), "<u8").reshape(len(at), -1)
-        trees[width] = (np.array(at), bits, np.array([sizes[i] for i in at]), np.array([groups[i] for i in at]))
+        trees[where] = (np.array(at), bits, np.array([sizes[i] for i in at]), np.array([groups[i] for i in at]))
     name = np.array(ids)
     group = np.array(groups)
     out, forests = [], [Sets() for _ in range(FORESTS)]
@@ -284,12 +288,17 @@ def block_pairs(ids: list[int], sizes: list[int], groups: list[int], bitmaps: li
                 x, y = name[i], name[j]
                 out.extend(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
 
-    for width, (at, bits, n, g) in trees.items():
+    for (width, side), (at, bits, n, g) in trees.items():
         mine = (bits, n, g)
         root = tree(*mine, 0, len(at))
-        keep(at, at, traverse(root, root, mine, mine, percent, True))
-        if 2 * width in trees:  # sizes of more than twice each other are never compatible
-            bt, wide, m, h = trees[2 * width]
+        across = 1 - side if sides else 0
+        if not sides:
+            keep(at, at, traverse(root, root, mine, mine, percent, True))
+        elif side == 0 and (width, 1) in trees:
+            bt, *other = trees[width, 1]
+            keep(at, bt, traverse(root, tree(*other, 0, len(bt)), mine, tuple(other), percent, False))
+        if (2 * width, across) in trees:  # sizes of more than twice each other are never compatible
+            bt, wide, m, h = trees[2 * width, across]
             other = (fold(wide), m, h)
             keep(at, bt, traverse(root, tree(*other, 0, len(bt)), mine, other, percent, False))
     return out
@@ -333,10 +342,14 @@ def _blocks(percent: int, spanning: bool, turn: int):
 
 # ---- pairs that share a key but no bucket ----------------------------------
 
+POSTING_PARTS = ("keys", "docs", "sizes", "groups")
+
+
 def _postings(shards: int):
-    schema = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary())])
+    schema = pa.schema([("shard", pa.int32()), *[(p, pa.binary()) for p in POSTING_PARTS]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             lists = [np.frombuffer(b.as_buffer(), np.uint64) for b in batch.column("keys")]
             if not lists:
@@ -345,73 +358,145 @@ def _postings(shards: int):
             keys = np.concatenate(lists)
             docs = np.repeat(np.asarray(batch.column("doc_id")), lens)
             sizes = np.repeat(np.asarray(batch.column("n")), lens).astype(np.int32)
+            groups = np.repeat(np.asarray(batch.column("grp")), lens)
             shard = (mix(keys) % np.uint64(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(cuts)).tolist():
                 at = order[cuts[s]:cuts[s + 1]]
-                yield batch_of(schema, shard=[s], keys=[keys[at].tobytes()], docs=[docs[at].tobytes()], sizes=[sizes[at].tobytes()])
+                yield batch_of(schema, shard=[s], keys=[keys[at].tobytes()], docs=[press.compress(np.diff(docs[at], prepend=0).tobytes())],
+                               sizes=[press.compress(sizes[at].tobytes())], groups=[press.compress((docs[at] - groups[at]).tobytes())])
 
     return run
 
 
+#: Runs of one list, bounded by this many bytes of bitmaps as well.
+RUN_BYTES = 16 << 20
+#: run: -1 in a list of one leaf, -2 for the runs x and y that meet.
+MEET_DDL = "key long, run int, doc_id long, grp long, x int, y int"
+
+
+def runs_of(sizes: np.ndarray, groups: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of one list and the starts of its runs in it: groups of more than
+    ``block`` members have runs of their own, the others share runs by size."""
+    _, which, count = np.unique(groups, return_inverse=True, return_counts=True)
+    large = np.where(count[which] > block, which + 1, 0)
+    order = np.lexsort((sizes, large))
+    large = large[order]
+    weight = np.cumsum(2 * sizes[order])
+    starts, at = [], 0
+    while at < len(order):
+        starts.append(at)
+        to = min(at + block, int(np.searchsorted(large, large[at], side="right")),
+                 int(np.searchsorted(weight, weight[at] + RUN_BYTES, side="right")))
+        at = max(at + 1, to)
+    return order, np.array(starts)
+
+
 def _meetings(percent: int, block: int):
-    """A shard's keys that several documents of compatible sizes hold: a row for
-    each document; lists that repeat in the shard are given once."""
-    schema = pa.schema([("key", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64())])
+    """A shard's keys that several groups hold in compatible sizes, given once
+    where lists repeat in the shard. A list of one leaf: a row for each document.
+    A longer one: each document in its run, and a row for each two runs that may
+    hold a pair of different groups."""
+    schema = pa.schema([("key", pa.int64()), ("run", pa.int32()), ("doc_id", pa.int64()), ("grp", pa.int64()), ("x", pa.int32()), ("y", pa.int32())])
+
+    def long_list(name: int, docs: np.ndarray, sizes: np.ndarray, groups: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order, starts = runs_of(sizes, groups, block)
+        docs, sizes, groups = docs[order], sizes[order], groups[order]
+        run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(docs))))
+        least, most = np.minimum.reduceat(sizes, starts), np.maximum.reduceat(sizes, starts)
+        low, high = np.minimum.reduceat(groups, starts), np.maximum.reduceat(groups, starts)
+        for lo in range(0, len(docs), 50_000):
+            p = slice(lo, lo + 50_000)
+            none = np.zeros(len(docs[p]), np.int32)
+            yield batch_of(schema, key=np.full(len(none), name), run=run[p], doc_id=docs[p], grp=groups[p], x=none, y=none)
+        for x in range(len(starts)):
+            may = (most[x:] * 100 >= least[x] * percent) & (most[x] * 100 >= least[x:] * percent)
+            may &= (low[x] != high[x]) | (low[x:] != high[x:]) | (low[x] != low[x:])
+            y = np.flatnonzero(may) + x
+            if len(y):
+                none = np.zeros(len(y), np.int64)
+                yield batch_of(schema, key=none + name, run=none - 2, doc_id=none, grp=none, x=none + x, y=y)
 
     def close(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([np.frombuffer(x[0], np.uint64) for x in held])
-        docs = np.concatenate([np.frombuffer(x[1], np.int64) for x in held])
-        sizes = np.concatenate([np.frombuffer(x[2], np.int32) for x in held]).astype(np.int64)
+        keys, docs, sizes, groups = (np.concatenate(c) for c in zip(*held, strict=True))
         held.clear()
         order = np.lexsort((docs, sizes, keys))
-        keys, docs, sizes = keys[order], docs[order], sizes[order]
+        keys, docs, sizes, groups = keys[order], docs[order], sizes[order].astype(np.int64), groups[order]
         cut = np.ones(len(keys), bool)  # a new key, or sizes too far apart for any pair across
         cut[1:] = (keys[1:] != keys[:-1]) | (sizes[:-1] * 100 < sizes[1:] * percent)
         starts = np.flatnonzero(cut)
         lens = np.diff(np.append(starts, len(keys)))
         mark = np.add.reduceat(mix(docs.view(np.uint64)), starts)
-        several = np.flatnonzero(lens > 1)
+        several = np.flatnonzero(np.minimum.reduceat(groups, starts) < np.maximum.reduceat(groups, starts))
         _, one = np.unique(np.stack([mark[several], lens[several].astype(np.uint64)]), axis=1, return_index=True)
-        rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for i in several[np.sort(one)].tolist():
-            a, n = int(starts[i]), int(lens[i])
-            # the smallest size tells apart the runs of one key
-            name = int((keys[a] + np.uint64(sizes[a])).view(np.int64))
-            if n <= block:
-                rows.append((np.full(n, name), np.zeros(n, np.int64), docs[a:a + n]))
-                continue
-            runs = [(lo, min(lo + block, a + n)) for lo in range(a, a + n, block)]
-            for x, (lo, hi) in enumerate(runs):
-                for y in range(x, len(runs)):
-                    if not compatible(sizes[hi - 1], sizes[runs[y][0]], percent):
-                        break
-                    both = docs[lo:hi] if x == y else np.concatenate([docs[lo:hi], docs[runs[y][0]:runs[y][1]]])
-                    rows.append((np.full(len(both), name), np.full(len(both), 1 + x * len(runs) + y), both))
-        for lo in range(0, len(rows), 5_000):
-            k, p, d = (np.concatenate(c) for c in zip(*rows[lo:lo + 5_000], strict=True))
-            yield batch_of(schema, key=k, part=p, doc_id=d)
+        given = several[np.sort(one)]
+        # the smallest size tells apart the runs of one key
+        names = (keys[starts[given]] + sizes[starts[given]].astype(np.uint64)).view(np.int64)
+        short = lens[given] <= min(block, LEAF)
+        for i, name in zip(given[~short].tolist(), names[~short].tolist(), strict=True):
+            p = slice(int(starts[i]), int(starts[i] + lens[i]))
+            yield from long_list(name, docs[p], sizes[p], groups[p])
+        given, names = given[short], names[short]
+        for lo in range(0, len(given), 5_000):
+            i = given[lo:lo + 5_000]
+            at = ragged(np.arange(len(keys)), starts[i], lens[i])
+            none = np.zeros(len(at), np.int32)
+            yield batch_of(schema, key=np.repeat(names[lo:lo + 5_000], lens[i]), run=none - 1, doc_id=docs[at], grp=groups[at], x=none, y=none)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         now = None
+        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = batch.column("shard")[i].as_py()
                 if shard != now and held:
                     yield from close(held)
                 now = shard
-                held.append(tuple(batch.column(c)[i].as_py() for c in ("keys", "docs", "sizes")))
+                keys, *rest = (batch.column(c)[i].as_py() for c in POSTING_PARTS)
+                docs, sizes, groups = (np.frombuffer(open_.decompress(x), t) for x, t in zip(rest, (np.int64, np.int32, np.int64), strict=True))
+                docs = np.cumsum(docs)
+                held.append((np.frombuffer(keys, np.uint64), docs, sizes, docs - groups))
         if held:
             yield from close(held)
 
     return run
 
 
+def _run_pairs(percent: int):
+    """Rows sorted by key and runs x, y: the candidates of two runs (or within
+    one) that share no bucket, by trees."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        now = None
+
+        def close() -> list[tuple[int, int]]:
+            found = []
+            if len(held) > 1:
+                *rest, buckets, runs = map(list, zip(*held, strict=True))
+                sides = None if now[1] == now[2] else [int(r == now[2]) for r in runs]
+                found = block_pairs(*rest, percent, False, np.array(buckets), sides)
+            held.clear()
+            return found
+
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "n", "grp", "bits")]
+            buckets = zip(*[batch.column(b).to_pylist() for b in BUCKET_NAMES], strict=True)
+            lists = zip(*[batch.column(c).to_pylist() for c in ("key", "x", "y")], strict=True)
+            for own, *row in zip(lists, *cols, buckets, batch.column("run").to_pylist(), strict=True):
+                if own != now:
+                    yield from _pair_batches(close())
+                    now = own
+                held.append(tuple(row))
+        yield from _pair_batches(close())
+
+    return run
+
+
 def _unmet(percent: int):
-    """Rows sorted by list: pairs of different groups, compatible sizes and no
-    common bucket."""
+    """Rows sorted by list (of one leaf): pairs of different groups, compatible
+    sizes and no common bucket."""
     names = ["doc_id", "n", "grp", *BUCKET_NAMES]
 
     def close(parts: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -443,14 +528,14 @@ def _unmet(percent: int):
 
         for batch in batches:
             x = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
-            key = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "part")], axis=1)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            key = np.asarray(batch.column("key"))
+            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a == b:
                     continue
-                if tuple(key[a]) != now:
+                if key[a] != now:
                     yield from fresh()
-                    now = tuple(key[a])
+                    now = key[a]
                 held.append(x[:, a:b])
         yield from fresh()
 
@@ -515,7 +600,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, small: int
     return two.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k, percent), EDGES)
 
 
-def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = 8192) -> DataFrame:
+def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = 8192, small: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles and component_id of each document; sets are linked at a
     Jaccard similarity of ``percent`` / 100 or more (from 50 on)."""
     if not 50 <= percent <= 100:
@@ -551,16 +636,27 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: in
         group = written(ids.join(components(links), F.col("doc_id") == F.col("node"), "left")
                         .select("doc_id", F.coalesce("component", "doc_id").alias("grp")), "groups")
 
-    held = (kept.select("doc_id", "n", "keys").mapInArrow(_postings(parts), "shard int, keys binary, docs binary, sizes binary")
+    posting_ddl = "shard int, " + ", ".join(f"{p} binary" for p in POSTING_PARTS)
+    held = (kept.select("doc_id", "n", "keys").join(group, "doc_id").mapInArrow(_postings(parts), posting_ddl)
             .repartition(parts, "shard").sortWithinPartitions("shard"))
-    meet = written(held.mapInArrow(_meetings(percent, block), "key long, part long, doc_id long").join(group, "doc_id"), "meetings")
-    open_ = (meet.groupBy("key", "part").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("key", "part"))
-    look = (meet.join(open_, ["key", "part"]).join(signed.select("doc_id", "n", *BUCKET_NAMES), "doc_id")
-            .repartition(parts, "key", "part").sortWithinPartitions("key", "part"))
-    unmet = written(look.select("key", "part", "doc_id", "n", "grp", *BUCKET_NAMES).mapInArrow(_unmet(percent), EDGES).distinct(), "unmet-pairs")
+    meet = written(held.mapInArrow(_meetings(percent, block), MEET_DDL), "meetings")
+    look = (meet.where("run = -1").select("key", "doc_id", "grp").join(signed.select("doc_id", "n", *BUCKET_NAMES), "doc_id")
+            .repartition(parts, "key").sortWithinPartitions("key"))
+    unmet = written(look.mapInArrow(_unmet(percent), EDGES).distinct(), "unmet-pairs")
     side = lambda c: signed.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     possible = (unmet.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
                 .mapInArrow(_possible(percent), EDGES))
+    met = meet.where("run = -2").select("key", "x", "y")
+    n_met = met.count()
+    if n_met:  # each two runs of a long list to a task
+        sides = met.select("key", F.col("x").alias("run"), "x", "y").union(met.where("x <> y").select("key", "y", "x", "y"))
+        members = meet.where("run >= 0").select("key", "run", "doc_id", "grp")
+        wanted = written(members.select("doc_id").distinct(), "long-list-ids")
+        few = wanted.count() <= small
+        signs = signed.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+        pairs = (members.join(signs, "doc_id").join(F.broadcast(sides) if n_met <= small else sides, ["key", "run"])
+                 .repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y"))
+        possible = possible.union(pairs.mapInArrow(_run_pairs(percent), EDGES))
     for turn in range(BUCKETS):
         possible = possible.union(candidates(turn, group, False))
     more = written(verified(written(possible.distinct(), "last-pairs"), rows, k, percent), "last-links")

@@ -85,3 +85,54 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 500)] + [(1000, i) for i in range(1001, 1400)] + [(5000, 4000), (4000, 3000), (7, 7)]
     got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
     assert got == {i: 0 for i in range(501)} | {i: 1000 for i in range(1000, 1400)} | {i: 3000 for i in (3000, 4000, 5000)}
+
+
+def meetings(docs, sizes, groups, block, percent=85):
+    """The rows of one key that these documents hold."""
+    n = len(docs)
+    keys = pa.array([np.array([77], np.uint64).tobytes()] * n, pa.binary())
+    batch = pa.RecordBatch.from_pydict({"doc_id": docs, "n": sizes, "keys": keys, "grp": groups})
+    return [r for b in op._meetings(percent, block)(op._postings(1)(iter([batch]))) for r in b.to_pylist()]
+
+
+def test_lists_of_one_component_do_not_meet():
+    n = 4000
+    assert meetings(list(range(n)), [100] * n, [0] * n, 50) == []
+    # a component of 4,000 and 20 others: the component's runs meet only the others' run
+    rows = meetings(list(range(n + 20)), [100] * (n + 20), [0] * n + list(range(n, n + 20)), 50)
+    members, met = [r for r in rows if r["run"] >= 0], [r for r in rows if r["run"] == -2]
+    assert len(members) == n + 20 and len(met) == 81
+    run = {r["doc_id"]: r["run"] for r in members}
+    meet = {(r["x"], r["y"]) for r in met}
+    for i in range(n, n + 20):
+        assert all((min(a, b), max(a, b)) in meet for a, b in ((run[i], run[j]) for j in range(n + 20)))
+
+
+@pytest.mark.parametrize("percent", [50, 85])
+def test_runs_that_may_hold_a_pair_meet(percent):
+    rng = np.random.default_rng(percent)
+    sizes, groups = rng.integers(20, 60, 300).tolist(), rng.integers(0, 40, 300).tolist()
+    groups = [g if g > 20 else 0 for g in groups]
+    rows = meetings(list(range(300)), sizes, groups, 8, percent)
+    run, meet = {}, set()
+    for r in rows:
+        if r["run"] >= 0:
+            run[r["doc_id"]] = (r["key"], r["run"])
+        elif r["run"] == -2:
+            meet.add((r["key"], r["x"], r["y"]))
+    for i in range(300):
+        for j in range(i):
+            if groups[i] != groups[j] and op.compatible(min(sizes[i], sizes[j]), max(sizes[i], sizes[j]), percent):
+                (k, x), (q, y) = run[i], run[j]
+                assert k == q and (k, min(x, y), max(x, y)) in meet
+
+
+def test_trees_of_two_runs_find_the_pairs_across():
+    rng = np.random.default_rng(5)
+    bases = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (30, 32, 33, 64, 70) * 4]
+    sets = [np.unique(b[rng.random(len(b)) > 0.1]) for b in bases for _ in range(6)]
+    ids, sides = list(range(len(sets))), rng.integers(0, 2, len(sets)).tolist()
+    bitmaps, sizes = [op.bitmap(s) for s in sets], [len(s) for s in sets]
+    every = set(op.block_pairs(ids, sizes, ids, bitmaps, 60, False))
+    got = op.block_pairs(ids, sizes, ids, bitmaps, 60, False, None, sides)
+    assert sorted(got) == sorted((i, j) for i, j in every if sides[i] != sides[j]) and got
