@@ -14,9 +14,14 @@ anchor, so every place of a window's words is in one shard.
    shard builds an FM-index over them (wavelet matrix of the Burrows-Wheeler
    transform) and searches every window backward; windows whose matching
    statistic reaches ``window`` get the smallest document over their interval.
-3. The answers go back to all places of the content; spans of words are joined
+3. The answers go back to the places of the content in its first document (later
+   copies are gone whole); spans of words are joined
    per document and cut from its text.
 
+Skew: anchors of ``HOT`` segments or more are counted in bounded memory first;
+their windows are dealt by their own hashes, so equal windows still meet and no
+shard holds all contents of a common phrase.
+
 Text moves only for documents that stand for a content, and for documents that
 lose words; their ids are broadcast if at most ``small``, else joined. Copies of
 a passage are one content in the index however many documents share it.
@@ -38,12 +43,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, slices, table, written
+from dayledger.llm.common import batch_of, most_frequent, slices, table, written
 from dayledger.llm.fmindex import FMIndex
 from dayledger.llm.textops import FACTOR, gram_hashes, mix, ragged, row_of, utf8, word_hashes, words
 
 SLICE = 4 << 20
 GRAM = 3
+#: Segments of one anchor from which its windows are dealt by their own hashes.
+HOT = 20_000
 INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 
 
@@ -55,9 +62,10 @@ def content_hashes(h: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarra
     return mix((total[start + n] - total[start]) * back[start] + n.astype(np.uint64))
 
 
-def segments(col: pa.Array, window: int) -> dict[str, np.ndarray]:
+def segments(col: pa.Array, window: int, hot: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Runs of consecutive windows with one anchor: row, first word in the row,
-    windows, anchor and content hash."""
+    windows, anchor and content hash. Under the ``hot`` anchors (ascending) each
+    window is a segment of its own and its hash the anchor."""
     data, offs = utf8(col)
     starts, ends, counts = words(data, offs)
     h = word_hashes(data, starts, ends, lower=False)
@@ -77,23 +85,57 @@ def segments(col: pa.Array, window: int) -> dict[str, np.ndarray]:
     at, row = at[whole], row[whole]
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(new)
+    split = np.zeros(len(at), bool)
+    if hot is not None and len(hot):
+        value = grams[at]
+        split = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value
+    first = np.flatnonzero(new | split)
     n = np.diff(np.append(first, len(at)))
     start = whole[first]
-    return dict(row=row[first], start=start - counts[row[first]], windows=n, anchor=grams[at[first]],
-                content=content_hashes(h, start, n + window - 1))
+    anchor, content = grams[at[first]], content_hashes(h, start, n + window - 1)
+    own = split[first]
+    anchor[own] = mix(anchor[own] * FACTOR + content[own])
+    return dict(row=row[first], start=start - counts[row[first]], windows=n, anchor=anchor, content=content)
+
+
+def _anchor_counts(window: int, per_task: int):
+    """The most frequent anchors of each task's segments, in bounded memory."""
+    schema = pa.schema([("s", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for _, col in slices(batches, "text", SLICE):
+            values, n = np.unique(segments(col, window)["anchor"], return_counts=True)
+            more = n > 1
+            held, where = np.unique(np.concatenate([held, values[more]]), return_inverse=True)
+            times = np.bincount(where, np.concatenate([times, n[more]]), minlength=len(held)).astype(np.int64)
+            if len(held) > 8 * per_task:
+                top = np.sort(np.argpartition(-times, 4 * per_task)[:4 * per_task])
+                held, times = held[top], times[top]
+        top = np.argsort(-times, kind="stable")[:per_task]
+        yield batch_of(schema, s=held[top].view(np.int64), n=times[top])
+
+    return run
+
+
+def hot_anchors(docs: DataFrame, window: int, least: int, entries: int = 100_000) -> np.ndarray:
+    """Anchors of ``least`` segments or more (the ``entries`` most frequent at
+    most), ascending. They set how windows are dealt, no result."""
+    counts = written(docs.select("text").mapInArrow(_anchor_counts(window, entries // 10), "s long, n long")
+                     .groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "anchor-counts")
+    return np.sort(np.asarray(most_frequent(counts, "n", entries).toArrow()["s"]).view(np.uint64))
 
 
 RUN_PARTS = (("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("windows", "<i4"))
 
 
-def _runs(window: int, shards: int):
+def _runs(window: int, shards: int, hot):
     schema = pa.schema([("shard", pa.int32()), ("n", pa.int32()), *[(p, pa.binary()) for p, _ in RUN_PARTS]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for rows, col in slices(batches, "text", SLICE):
-            s = segments(col, window)
+            s = segments(col, window, hot.value)
             doc = rows.column("doc_id")
             real = ~np.asarray(doc.is_null())[s["row"]]
             s["doc"] = np.asarray(doc.fill_null(0))[s["row"]]
@@ -112,13 +154,13 @@ def _runs(window: int, shards: int):
     return run
 
 
-PLACE_DDL = "shard int, anchor long, content long, doc_id long, tag long, start int, windows int, stands boolean"
+PLACE_DDL = "shard int, anchor long, content long, doc_id long, tag long, start int, windows int, stands boolean, later boolean"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's segments of anchors that several documents hold."""
     schema = pa.schema([("shard", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
-                        ("start", pa.int32()), ("windows", pa.int32()), ("stands", pa.bool_())])
+                        ("start", pa.int32()), ("windows", pa.int32()), ("stands", pa.bool_()), ("later", pa.bool_())])
     open_ = zstandard.ZstdDecompressor()
 
     def close(shard: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -133,11 +175,12 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = (np.minimum.reduceat(x["doc"], first) < np.maximum.reduceat(x["doc"], first))[group]
         lead = new.copy()
         lead[1:] |= x["content"][1:] != x["content"][:-1]
+        later = x["doc"] > x["doc"][np.flatnonzero(lead)][np.cumsum(lead) - 1]
         at = np.flatnonzero(several)
         for lo in range(0, len(at), 50_000):
             i = at[lo:lo + 50_000]
             yield batch_of(schema, shard=np.full(len(i), shard), anchor=x["anchor"][i].view(np.int64), content=x["content"][i].view(np.int64),
-                           doc_id=x["doc"][i], tag=x["tag"][i], start=x["start"][i], windows=x["windows"][i], stands=lead[i])
+                           doc_id=x["doc"][i], tag=x["tag"][i], start=x["start"][i], windows=x["windows"][i], stands=lead[i], later=later[i])
 
     held: list[dict] = []
     now = None
@@ -217,11 +260,15 @@ def _search(window: int):
             spans, inverse = np.unique(np.stack([lo[more], hi[more]]), axis=1, return_inverse=True)
             low = np.minimum.reduceat(by_place, spans.T.ravel())[::2]  # intervals are disjoint, in order
             least[more] = low[inverse.ravel()]
+        some = np.zeros(len(counts), bool)  # only contents that lose words are answered
+        some[which[least < docs[which]]] = True
+        least, which = least[some[which]], (np.cumsum(some) - 1)[which[some[which]]]
+        anchors, contents = np.array(anchors)[some], np.array(contents)[some]
         new = np.ones(len(least), bool)
         new[1:] = (least[1:] != least[:-1]) | (which[1:] != which[:-1])
         first = np.flatnonzero(new)
         times = np.diff(np.append(first, len(least)))
-        ends = np.searchsorted(which[first], np.arange(len(counts) + 1))
+        ends = np.searchsorted(which[first], np.arange(len(anchors) + 1))
         yield pa.RecordBatch.from_arrays([
             pa.array(anchors, pa.int64()), pa.array(contents, pa.int64()),
             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(times, pa.int32())),
@@ -287,14 +334,15 @@ def _tagged(docs: DataFrame, small: int) -> DataFrame:
             .select("doc_id", "text", F.when(F.col("several"), mark).otherwise(0).alias("tag")))
 
 
-def repeated_spans(docs: DataFrame, window: int, small: int = 1_000_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int, small: int = 1_000_000, hot: int = HOT) -> DataFrame:
     """(doc_id, text, spans): documents that lose words, with the word spans
     [a, b) to remove. ``docs``: doc_id long, text string."""
     spark = docs.sparkSession
     docs = _tagged(docs, small)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = ", ".join(f"{p} binary" for p, _ in RUN_PARTS)
-    runs = (docs.mapInArrow(_runs(window, shards), f"shard int, n int, {parts}")
+    anchors = spark.sparkContext.broadcast(hot_anchors(docs, window, hot))
+    runs = (docs.mapInArrow(_runs(window, shards, anchors), f"shard int, n int, {parts}")
             .repartition(shards, "shard").sortWithinPartitions("shard"))
     places = written(runs.mapInArrow(_shared, PLACE_DDL), "places")
     stands = places.where("stands").groupBy("doc_id", "tag").agg(
@@ -302,8 +350,12 @@ def repeated_spans(docs: DataFrame, window: int, small: int = 1_000_000) -> Data
     contents = (_texts_of(docs, stands, small).select("doc_id", "text", "segs").mapInArrow(_contents(window), CONTENT_DDL)
                 .repartition(shards, "shard").sortWithinPartitions("shard"))
     answers = contents.mapInArrow(_search(window), ANSWER_DDL)
-    spans = (places.select("anchor", "content", "doc_id", "tag", "start").join(answers, ["anchor", "content"])
-             .mapInArrow(_spans(window), "doc_id long, tag long, a int, b int")
+    # a copy in a later document than its content's first is gone whatever the answer
+    whole = places.where("later").select("doc_id", "tag", F.col("start").alias("a"),
+                                         (F.col("start") + F.col("windows") + F.lit(window - 1)).cast("int").alias("b"))
+    found = (places.where("not later").select("anchor", "content", "doc_id", "tag", "start").join(answers, ["anchor", "content"])
+             .mapInArrow(_spans(window), "doc_id long, tag long, a int, b int"))
+    spans = (whole.union(found)
              .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
     return _texts_of(docs, spans, small).select("doc_id", "text", "spans")
 

@@ -82,3 +82,22 @@ def test_windows_of_one_anchor_are_told_apart(spark, last):
     assert anchor[0] == anchor[1]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {(r.doc_id, r.n_removed) for r in op.substring_digests(docs, 13).collect()} == {(0, 0), (1, 0)}
+
+
+def test_hot_anchors_are_split(spark):
+    """No anchor holds many contents; the results are those of brute force."""
+    texts = [f"{HEAD} v{i % 150} w{i % 70} x{i}" for i in range(300)]
+    col = pa.array(texts, pa.large_string())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hot = op.hot_anchors(docs, 13, 50)
+    assert len(hot)
+
+    def most(s):
+        return max(collections.Counter(a for a, _ in set(zip(s["anchor"].tolist(), s["content"].tolist(), strict=True))).values())
+
+    assert most(op.segments(col, 13)) > 50 and most(op.segments(col, 13, hot)) < 50
+    got = op.repeated_spans(docs.union(odd_documents(spark).select("doc_id", "text")), 13, hot=50)
+    cut = {(r.doc_id, r.text, int((~op.keep_mask(pa.array([s.asDict() for s in r.spans]), len(words(r.text)))).sum())) for r in got.collect()}
+    rows = docs.union(odd_documents(spark).select("doc_id", "text")).collect()
+    want = {(r.doc_id, r.text, n - len(kept)) for r, (_, kept, n) in zip(rows, brute(rows, 13), strict=True) if n > len(kept)}
+    assert cut == want
