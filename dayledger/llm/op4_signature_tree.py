@@ -661,7 +661,13 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: in
         possible = possible.union(candidates(turn, group, False))
     more = written(verified(written(possible.distinct(), "last-pairs"), rows, k, percent), "last-links")
 
-    final = written(components(links.union(more)), "components")
+    # an id with several texts is one node: it ties the classes of its texts
+    mark = F.struct("n", "f1", "f2")
+    real = sets.where("n > 0 and doc_id is not null").select("doc_id", "n", "f1", "f2")
+    several = real.groupBy("doc_id").agg(F.min(mark).alias("x"), F.max(mark).alias("y")).where("x <> y").select("doc_id")
+    same = (real.join(several, "doc_id").distinct().join(classes, ["n", "f1", "f2"])
+            .where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    final = written(components(links.union(more).union(same)), "components")
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
         "n", "f1", "f2", F.coalesce("component", "rep").alias("of"))
     empty_or_no_id = (F.col("n") == 0) | F.col("doc_id").isNull()

@@ -136,3 +136,9 @@ def test_trees_of_two_runs_find_the_pairs_across():
     every = set(op.block_pairs(ids, sizes, ids, bitmaps, 60, False))
     got = op.block_pairs(ids, sizes, ids, bitmaps, 60, False, None, sides)
     assert sorted(got) == sorted((i, j) for i, j in every if sides[i] != sides[j]) and got
+
+
+def test_an_id_of_several_texts_is_one_node(spark):
+    a, b = "one two three four five six", "red blue green white black grey"
+    docs = spark.createDataFrame([(5, a), (7, a), (7, b), (9, b)], "doc_id long, text string")
+    assert sorted(map(tuple, op.similar_components(docs).collect())) == [(5, 2, 5), (7, 2, 5), (7, 2, 5), (9, 2, 5)]
