@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dayledger.llm import op10_bpe as o10
+from dayledger.llm import op12_vantage_clusters as o12
 from dayledger.llm import op1_quality as o1
 from dayledger.llm import op2_warc as o2
 from dayledger.llm import op3_token_counts as o3
@@ -24,8 +25,10 @@ QUERIES = {
     "op3_token_counts": o3.op3_token_counts,
     "op2_warc": o2.op2_warc,
     "op9_nearest": o9.op9_nearest,
+    "op12_vantage_clusters": o12.op12_vantage_clusters,
 }
 SQL = {
     "op2_warc": o2.SQL,
     "op9_nearest": o9.SQL,
+    "op12_vantage_clusters": o12.SQL,
 }
