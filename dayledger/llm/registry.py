@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dayledger.llm import op10_bpe as o10
+from dayledger.llm import op11_spelling_groups as o11
 from dayledger.llm import op12_vantage_clusters as o12
 from dayledger.llm import op1_quality as o1
 from dayledger.llm import op2_warc as o2
@@ -25,6 +26,7 @@ QUERIES = {
     "op3_token_counts": o3.op3_token_counts,
     "op2_warc": o2.op2_warc,
     "op9_nearest": o9.op9_nearest,
+    "op11_spelling_groups": o11.op11_spelling_groups,
     "op12_vantage_clusters": o12.op12_vantage_clusters,
 }
 SQL = {
