@@ -5,6 +5,7 @@ from __future__ import annotations
 from dayledger.llm import op10_bpe as o10
 from dayledger.llm import op11_spelling_groups as o11
 from dayledger.llm import op12_vantage_clusters as o12
+from dayledger.llm import op13_bottom_sketches as o13
 from dayledger.llm import op1_quality as o1
 from dayledger.llm import op2_warc as o2
 from dayledger.llm import op3_token_counts as o3
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_nearest": o9.op9_nearest,
     "op11_spelling_groups": o11.op11_spelling_groups,
     "op12_vantage_clusters": o12.op12_vantage_clusters,
+    "op13_bottom_sketches": o13.op13_bottom_sketches,
 }
 SQL = {
     "op2_warc": o2.SQL,
