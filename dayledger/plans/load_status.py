@@ -34,8 +34,8 @@ DEPENDENCY_SCHEMA = ("channel_code string, source_system string, schema_name str
 FULL_REFRESH_TABLES = (("crm", "public", "customer"), ("sales", "public", "orders"))
 
 
-def dependencies(spark: SparkSession) -> DataFrame:
-    return values_df(spark, DEPENDENCIES, DEPENDENCY_SCHEMA)
+def dependencies(spark: SparkSession, rows=DEPENDENCIES) -> DataFrame:
+    return values_df(spark, rows, DEPENDENCY_SCHEMA)
 
 
 def control_from_landing(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,12 +78,12 @@ def observed_frontiers(spark: SparkSession, sf: str, channels=CHANNELS) -> DataF
 
 
 def channel_load_status(spark: SparkSession, sf: str, control: DataFrame | None = None,
-                        frontiers: DataFrame | None = None) -> DataFrame:
+                        frontiers: DataFrame | None = None, deps_list=DEPENDENCIES) -> DataFrame:
     """FCT-12 over the dependency list, the control table and the facts
     (``frontiers``: precomputed ``(channel_code, observed_event_through_date)``)."""
     ctl = control if control is not None else control_from_landing(spark, sf)
     ctl = ctl.select("source_system", "schema_name", "table_name", "last_status", "updated_at")
-    deps = dependencies(spark).join(ctl, ["source_system", "schema_name", "table_name"], "left")
+    deps = dependencies(spark, deps_list).join(ctl, ["source_system", "schema_name", "table_name"], "left")
     ok = (F.col("last_status") == "SUCCESS") & F.col("updated_at").isNotNull()
     rolled = deps.groupBy("channel_code").agg(
         F.count(F.lit(1)).alias("dependency_count"),

@@ -54,12 +54,18 @@ class ChannelSpec:
                    unknown arm; carries a second count (``done``)
           ENROLLED eligible from joined; no unknown arm
           PASSIVE  never zero: observed, NOT_LOADED or ELIGIBILITY_UNKNOWN
+    engages: an APP channel whose activity counts as the user's own; without
+    it the channel extends eligibility (somebody else acted on the user's item)
+    but never makes a day an engaged one
+    collects: the PASSIVE channel behind ``had_passive_collection``
     """
 
     code: str
     kind: str
     value_col: str
     done_col: str | None = None
+    engages: bool = True
+    collects: bool = True
 
 
 CHANNELS: tuple[ChannelSpec, ...] = (
@@ -187,6 +193,13 @@ def user_day(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHA
     bounds = user_bounds(daily, users, channels)
     st = status if status is not None else LS.channel_load_status(
         spark, sf, frontiers=daily_frontiers(daily, channels))
+    return dense_panel(daily, bounds, st, channels)
+
+
+def dense_panel(daily: DataFrame, bounds: DataFrame, st: DataFrame, channels: Sequence[ChannelSpec],
+                carried: Sequence[str] = ()) -> DataFrame:
+    """The dense panel of the daily aggregate, the users' bounds and the load
+    status; ``carried``: columns of the daily aggregate that go with it unchanged."""
     # The frontiers are one row of dates: taken as scalars and used as
     # literals (an uncorrelated scalar subquery), never joined.
     fr = LS.frontier_row(st, [c.code for c in channels]).first()
@@ -196,13 +209,13 @@ def user_day(spark: SparkSession, sf: str, channels: Sequence[ChannelSpec] = CHA
     raw = spine.join(daily, ["user_id", "ymd_date"], "left")
     d = F.col("ymd_date")
     first_app = next((c for c in channels if c.kind == APP), None)
-    passive = next((c for c in channels if c.kind == PASSIVE), None)
+    passive = next((c for c in channels if c.kind == PASSIVE and c.collects), None)
     cols: list[Column] = [
         F.col("user_id"), d,
         tu.age_years(d, "birth_year").cast("double").alias("age_at_activity"),
         tu.age_band(d, "birth_year").alias("age_band_5y"),
         tu.days_between(d, "joined_date").alias("days_since_joined"),
-        tu.whole_months(d, "joined_date").alias("months_since_joined")]
+        tu.whole_months(d, "joined_date").alias("months_since_joined"), *map(F.col, carried)]
     for ch in channels:
         cols.extend(_ladders(ch))
     if first_app is not None:
@@ -246,7 +259,7 @@ def user_month(panel: DataFrame, users: DataFrame, channels: Sequence[ChannelSpe
                     .alias(f"{ch.code}_activity_days"))
         if ch.done_col:
             aggs.append(F.sum(ch.done_col).cast("bigint").alias(ch.done_col))
-    app = [c for c in channels if c.kind == APP]
+    app = [c for c in channels if c.kind == APP and c.engages]
     if app:
         engaged = None
         for c in app:
