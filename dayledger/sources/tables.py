@@ -7,6 +7,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -19,8 +21,31 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+#: Schemas by path, and the change time of the path they were read at.
+_SCHEMAS: dict[tuple[str, str], tuple[int, StructType]] = {}
+
+
+def _changed_at(spark: SparkSession, path: str) -> int:
+    """The modification time of a file or folder, by the store's own client."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getFileStatus(there).getModificationTime()
+
+
+def known_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema of a Parquet path, read from a footer once for as long as the
+    path stays unchanged: inferring it is a job, and a model reads many tables.
+    The files themselves are listed anew at every read."""
+    key, at = (spark.sparkContext.applicationId, path), _changed_at(spark, path)
+    held = _SCHEMAS.get(key)
+    if held is None or held[0] != at:
+        held = _SCHEMAS[key] = (at, spark.read.parquet(path).schema)
+    return held[1]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
     """Read one driver table; ``columns`` projects at the scan."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = spark.read.schema(known_schema(spark, path)).parquet(path)
     return df.select(*columns) if columns else df

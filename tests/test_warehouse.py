@@ -18,8 +18,13 @@ def test_build_twice_full_then_incremental(spark, tmp_path):
     assert second.modes["int01_collapsed"] == "incremental"
     assert second.modes["int02_wearable_day"] == "incremental"
     assert all(v == 0 for v in second.checks.values())
-    assert second.tables["int01_collapsed"] != first.tables["int01_collapsed"]
-    cur = K.current_snapshot(spark, "int02_wearable_day", base)
-    assert cur.count() == spark.read.parquet(first.tables["int02_wearable_day"]).count()
+    for name in ("int01_collapsed", "int02_wearable_day"):
+        days = first.written[name]
+        # seven days and the one that the cutoff lies in
+        assert second.written[name] and days[-8:] == second.written[name] and len(days) > 8
+        table = WH.partitioned(spark, name, base)
+        old = [f for f in table.folders() if f.value not in second.written[name]]
+        assert len({f.path.split("/commit=")[1].split("/")[0] for f in old}) == 1  # named, not copied
+    assert WH.partitioned(spark, "int02_wearable_day", base).read().count() > 0
     panel = K.current_snapshot(spark, "pnl01_user_day", base)
     assert "panel_month" in panel.columns and panel.count() > 0
