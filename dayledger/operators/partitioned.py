@@ -1,4 +1,5 @@
-"""Date-partitioned tables with manifest commits (SNK-05, SNK-12).
+"""Partitioned tables with manifest commits (SNK-02..05, SNK-12): by date, or by
+the hash of a key.
 
 A table is a folder of commits; a commit holds the partition folders that it
 wrote, and a manifest names the folders that make up the table from then on. A
@@ -30,7 +31,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.operators.sinks import typed_lit
+from dayledger.operators.sinks import LOADED_AT, assert_unique_keys, typed_lit, upsert
 from dayledger.session import scratch_path
 
 MANIFEST = "partition_value string, path string"
@@ -50,6 +51,8 @@ class Folder:
 class PartitionedTable:
     """A table partitioned by the date column ``column``."""
 
+    kind = "date"
+
     def __init__(self, spark: SparkSession, name: str, column: str, base: str | None = None):
         self.spark, self.name, self.column = spark, name, column
         self.root = f"{(base or scratch_path(spark, 'tables')).rstrip('/')}/{name}"
@@ -85,7 +88,7 @@ class PartitionedTable:
         """Of the newest folder: columns added later are NULL in older ones."""
         newest = max(folders, key=lambda f: re.search(r"commit=([^/]+)", f.path)[1])
         found = self.spark.read.option("basePath", f"{self.root}/data").parquet(newest.path).drop("commit")
-        return found.withColumn(self.column, F.col(self.column).cast("date")).schema
+        return found.withColumn(self.column, F.col(self.column).cast(self.kind)).schema
 
     def read(self) -> DataFrame | None:
         """The current table; its scan is pruned by predicates on the date column."""
@@ -166,6 +169,18 @@ class PartitionedTable:
         kept = old.where((F.col(window_col) < at) | F.col(window_col).isNull())
         return self.replace_partitions(kept.unionByName(batch, allowMissingColumns=True), touched, retain)
 
+    def replace_rows(self, batch: DataFrame, gone: Column, first: dt.date, retain: int | None = None) -> list[Folder]:
+        """SNK-04: rows for which ``gone`` is true go, the batch comes in; rows for which
+        it is NULL stay. ``gone`` must be false before the date ``first``, so that
+        only folders from that date on are read and written anew."""
+        folders = self.folders() or []
+        touched = lambda value: value is not None and value >= str(first)
+        old = [f for f in folders if touched(f.value)]
+        if old:
+            kept = self._read(old, self._schema(folders)).where(~F.coalesce(gone, F.lit(False)))
+            batch = kept.unionByName(batch, allowMissingColumns=True)
+        return self.replace_partitions(batch, touched, retain)
+
     def expire(self, retain: int) -> int:
         """Remove folders that none of the last ``retain`` manifests names; an explicit decision, never part of a plain commit.
         Readers of an expired manifest lose their files. Returns folders removed."""
@@ -183,3 +198,46 @@ class PartitionedTable:
                     files_of(data).delete(folder.getPath(), True)
                     gone += 1
         return gone
+
+
+class BucketedTable(PartitionedTable):
+    """A keyed table dealt into ``buckets`` folders by the hash of its key (SNK-02,
+    SNK-03). An upsert reads and writes the buckets that its batch meets; all
+    others stay by name. The number of buckets is the table's for good: choose it
+    so that a bucket is a few hundred MB at the size to come."""
+
+    kind = "int"
+    BUCKET = "_bucket"
+
+    def __init__(self, spark: SparkSession, name: str, keys, buckets: int = 64, base: str | None = None):
+        super().__init__(spark, name, self.BUCKET, base)
+        self.keys, self.buckets = list(keys), buckets
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(self.BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def read(self) -> DataFrame | None:
+        found = super().read()
+        return None if found is None else found.drop(self.BUCKET)
+
+    def replace_all(self, rows: DataFrame, retain: int | None = None) -> list[Folder]:
+        return super().replace_all(self._dealt(rows), retain)
+
+    def upsert(self, batch: DataFrame, check_batch: bool = True, retain: int | None = None) -> list[Folder]:
+        """Rows of the batch replace the target's of equal key, or are added. A batch
+        of nothing but keys adds the absent ones, in new folders beside the old
+        ones. ``batch`` is read several times: give a written one. Keys must not be NULL."""
+        if check_batch:
+            assert_unique_keys(batch, self.keys)
+        folders = self.folders() or []
+        dealt = self._dealt(batch)
+        met = {str(r[self.BUCKET]) for r in dealt.select(self.BUCKET).distinct().toArrow().to_pylist()}  # at most ``buckets``
+        touched = lambda value: value in met
+        old = [f for f in folders if touched(f.value)]
+        if not old:
+            return self.replace_partitions(dealt, touched, retain)
+        current = self._read(old, self._schema(folders))
+        if all(c in self.keys or c == LOADED_AT for c in batch.columns):
+            fresh = dealt.join(current.select(*self.keys), self.keys, "left_anti")
+            return self.replace_partitions(fresh, lambda value: False, retain)
+        return self.replace_partitions(upsert(current, dealt, self.keys, check_batch=False), touched, retain)
