@@ -13,7 +13,9 @@ edit at the nodes on the word's own path from its half on. There the word and it
 neighbour part: a step joins the states with all other edges of their node and
 replaces, inserts or deletes one letter; from then on the states follow the one
 edge whose label equals the word's next letters, level by level, each level one
-join with the edge table, written before the next. A state at the end of its word
+join with the edge table, written before the next. An edge knows the letters that
+follow it and the lengths left to the ends of words below; states that these rule
+out are not kept. A state at the end of its word
 and at the end of another is a pair. Hashes name nodes; two prefixes of one hash
 only merge their edges, which adds states but loses none, and every pair is
 compared as text in the end.
@@ -59,72 +61,90 @@ def word_counts(docs: DataFrame, least_length: int, least_n: int, drop: int) ->
 
 #: The node of the first ``i`` letters of ``s`` in the trie ``side``.
 NODE = "xxhash64(side, substring(s, 1, {i}))"
+#: Lengths from this one on share a bit.
+FAR = 62
 
 
 def _both_sides(words: DataFrame) -> DataFrame:
-    """Each word and its reverse: word, side, s, size, id."""
+    """Each word (side 0) and its reverse (side 1): s, side, size."""
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("word").alias("s")), F.struct(F.lit(1).alias("side"), F.reverse("word").alias("s")))
-    return words.select("word", F.length("word").alias("size"), F.xxhash64("word").alias("id"), F.inline(sides).alias("side", "s"))
+    return words.select(F.inline(sides).alias("side", "s"), F.length("word").alias("size"))
 
 
 def spines(words: DataFrame) -> DataFrame:
     """Each word's path from its half on: the positions of nodes where words
     part, and its end (``steps``, ascending), on either side."""
-    both = _both_sides(words)
+    both = _both_sides(words).withColumn("id", F.xxhash64("s"))
     # a partner may be longer by one letter, so paths begin at the half of the word without one
     places = both.select("id", "side", "s", F.explode(F.sequence(F.expr("(size - 1) div 2"), F.col("size"))).alias("i"))
-    places = places.select("id", "side", "i", F.expr(NODE.format(i="i")).alias("node"), F.expr("substring(s, i + 1, 1)").alias("letter"))
-    parting = (places.select("node", F.ascii("letter").alias("letter")).groupBy("node")
-               .agg(F.min("letter").alias("x"), F.max("letter").alias("y")).where("x < y").select("node"))
+    places = places.select("id", "side", "i", F.expr(NODE.format(i="i")).alias("node"), F.ascii(F.expr("substring(s, i + 1, 1)")).alias("letter"))
+    parting = (places.groupBy("node").agg(F.min("letter").alias("x"), F.max("letter").alias("y")).where("x < y").select("node"))
     steps = (places.select("id", "side", "i", "node").join(parting, "node", "left_semi")
              .groupBy("id", "side").agg(F.sort_array(F.collect_set("i")).alias("steps")))
     end = F.array_union("steps", F.array("size"))
-    return both.join(steps, ["id", "side"]).select("word", "side", "s", "size", F.filter(end, lambda i: i <= F.col("size")).alias("steps"))
+    return both.join(steps, ["id", "side"]).select("side", "s", "size", F.filter(end, lambda i: i <= F.col("size")).alias("steps"))
 
 
 def trie(paths: DataFrame) -> DataFrame:
-    """(node, label, child) of all paths, each once."""
+    """(node, label, child, ahead) of all paths, each edge once. ``ahead`` maps
+    the next letter after the child (empty at the end of a word) to the set of
+    lengths that are left to the end, as bits."""
+    letter = F.expr("substring(s, at + 1, 1)")
+    left = F.expr(f"shiftleft(1L, least(size - at, {FAR}))")
+    ahead = (paths.select("side", "s", "size", F.explode("steps").alias("at"))
+             .select(F.expr(NODE.format(i="at")).alias("child"), letter.alias("letter"), left.alias("left"))
+             .groupBy("child", "letter").agg(F.bit_or("left").alias("left"))
+             .groupBy("child").agg(F.map_from_entries(F.collect_list(F.struct("letter", "left"))).alias("ahead")))
     pairs = paths.select("side", "s", F.inline(F.arrays_zip(F.col("steps").alias("a"), F.expr("slice(steps, 2, size(steps))").alias("b"))).alias("a", "b"))
-    return pairs.where("b is not null").select(
+    edges = pairs.where("b is not null").select(
         F.expr(NODE.format(i="a")).alias("node"), F.expr("substring(s, a + 1, b - a)").alias("label"),
         F.expr(NODE.format(i="b")).alias("child")).distinct()
+    return edges.join(ahead, "child").select("node", F.substring("label", 1, 1).alias("letter"), "label", "child", "ahead")
+
+
+def _leads(at: str) -> str:
+    """Whether some word below the child has the next letter and the length that
+    the state's word has from position ``at`` on."""
+    return f"coalesce(shiftright(ahead[substring(s, {at} + 1, 1)], least(size - {at}, {FAR})) & 1, 0) = 1"
 
 
 def _started(paths: DataFrame, edges: DataFrame) -> DataFrame:
     """The states with one edit that the states without an edit lead to."""
-    states = (paths.select("word", "s", "size", "side", F.explode("steps").alias("at")).where("at >= size div 2")
-              .select("word", "s", "size", "at", F.expr(NODE.format(i="at")).alias("node")))
-    own = F.expr("substring(s, at + 1, 1)")
-    # of equal letters in a row the last one is deleted
-    fewer = states.where((F.col("at") < F.col("size")) & (own != F.expr("substring(s, at + 2, 1)"))).withColumn("at", F.col("at") + 1)
-    rest = F.expr("substring(label, 2)")
-    met = states.join(edges, "node").where(F.expr("substring(label, 1, 1)") != own).withColumn("k", F.length("label"))
-    replaced = (F.col("at") + F.col("k") <= F.col("size")) & (rest == F.expr("substring(s, at + 2, k - 1)"))
-    inserted = (F.col("at") + F.col("k") - 1 <= F.col("size")) & (rest == F.expr("substring(s, at + 1, k - 1)"))
-    ends = F.array_compact(F.array(F.when(replaced, F.col("at") + F.col("k")), F.when(inserted, F.col("at") + F.col("k") - 1)))
-    more = met.select("word", "s", "size", F.explode(ends).alias("at"), F.col("child").alias("node"))
-    return fewer.select(*more.columns).union(more)
+    states = (paths.select("side", "s", "size", F.explode("steps").alias("at")).where("at >= size div 2")
+              .select("side", "s", "size", "at", F.expr(NODE.format(i="at")).alias("node")))
+    shorter = states.where("at = size - 1").withColumn("at", F.col("size"))  # without its last letter
+    met = states.join(edges, "node").where("letter <> substring(s, at + 1, 1)")
+    rest = "substring(label, 2) = substring(s, at + {}, length(label) - 1)"
+    to = {"at + length(label)": "at < size and " + rest.format(2),  # the first letter replaced,
+          "at + length(label) - 1": rest.format(1),  # or inserted
+          "at + 1 + length(label)": "label = substring(s, at + 2, length(label))"}  # or the word's own deleted
+    ends = F.array_compact(F.array(*[F.expr(f"case when {how} and {end} <= size and {_leads(f'({end})')} then {end} end") for end, how in to.items()]))
+    more = met.select("side", "s", "size", F.explode(ends).alias("at"), F.col("child").alias("node"))
+    return shorter.select(*more.columns).union(more)
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(word, near): all pairs of the (written) words at exactly one edit, both ways round."""
     paths = written(spines(words), "trie-paths")
-    edges = written(trie(paths).withColumn("letter", F.expr("substring(label, 1, 1)")), "trie-edges")
+    edges = written(trie(paths), "trie-edges")
     ended = []
-    states = written(_started(paths, edges.drop("letter")), "trie-states")
+    states = written(_started(paths, edges), "trie-states")
     while True:
-        ended.append(states.where("at = size").select("word", "node"))
+        ended.append(states.where("at = size").select("side", "s", "node"))
         going = states.where("at < size")
         if going.isEmpty():
             break
+        end = "(at + length(label))"
         going = going.withColumn("letter", F.expr("substring(s, at + 1, 1)")).join(edges, ["node", "letter"])
-        states = written(going.where("label = substring(s, at + 1, length(label))").select(
-            "word", "s", "size", (F.col("at") + F.length("label")).alias("at"), F.col("child").alias("node")), "trie-states")
+        states = written(going.where("label = substring(s, at + 1, length(label))").where(_leads(end)).select(
+            "side", "s", "size", F.expr(end).alias("at"), F.col("child").alias("node")), "trie-states")
     found = ended[0]
     for more in ended[1:]:
         found = found.union(more)
-    names = _both_sides(words).select(F.xxhash64("side", "s").alias("node"), F.col("word").alias("near"))
-    return found.join(names, "node").where(F.levenshtein("word", "near", 1) == 1).select("word", "near").distinct()
+    own = F.when(F.col("side") == 0, F.col("s")).otherwise(F.reverse("s"))
+    names = _both_sides(words).select(F.xxhash64("side", "s").alias("node"), own.alias("near"))
+    return (found.select("node", own.alias("word")).join(names, "node").where(F.levenshtein("word", "near", 1) == 1)
+            .select("word", "near").distinct())
 
 
 def roots(forms: DataFrame) -> DataFrame:
