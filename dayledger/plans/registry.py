@@ -484,3 +484,4 @@ def _pnl03(spark, sf):
 # Second-wave registrations (generic operators) live in their own module.
 from dayledger.plans import registry_ops as _ops  # noqa: E402,F401
 from dayledger.plans import registry_facts as _facts  # noqa: E402,F401
+from dayledger.plans import registry_landing as _landing  # noqa: E402,F401
