@@ -27,7 +27,6 @@ import urllib.parse
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,12 +60,10 @@ class PartitionedTable:
 
     def _pointers(self) -> list[str]:
         """Manifests, the current one last."""
-        try:
-            rows = self.spark.read.schema(POINTER).parquet(f"{self.root}/_pointers")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise  # a storage fault must not look like a first run
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_pointers")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):  # a storage fault raises
             return []
+        rows = self.spark.read.schema(POINTER).parquet(f"{self.root}/_pointers")
         return [r["manifest"] for r in rows.orderBy("committed_at", "manifest").toArrow().to_pylist()]
 
     def _named(self, manifest: str) -> list[Folder]:

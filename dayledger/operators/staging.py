@@ -49,6 +49,33 @@ def first_occurrence(df: DataFrame, partition_by: Sequence[str], order_by: Seque
     return pick_first(df, partition_by, order_by)
 
 
+def first_row_in_time(df: DataFrame, keys: Sequence[str], date_col: str, time_col: str,
+                      code_col: str, codes: Sequence[str]) -> DataFrame:
+    """WIN-02 as an aggregate: of each group the row of the first date, then of the
+    first time on it (NULL first), then of the first code in the order of ``codes``.
+    Rows without a date are left out; a code outside the list is an error.
+
+    Date, time and place of the code form one number, so the minimum is a row and
+    never a date of one beside a time of another. The number is a plain hash
+    aggregate with a partial step; a window, or a minimum of structs, sorts."""
+    kind = df.schema[time_col].dataType
+    origin, start = F.lit("1970-01-01").cast("date"), F.lit("1970-01-01 00:00:00").cast(kind)
+    day = F.datediff(date_col, origin) + 1_000_000
+    # the years 0001 to 9999 lie within 10**18 microseconds; 0 stands for no time
+    time = F.coalesce(F.timestamp_diff("MICROSECOND", start, F.col(time_col)) + (10**18 + 1), F.lit(0))
+    place = F.array_position(F.array(*map(F.lit, codes)), F.col(code_col))
+    place = F.when(place > 0, place).otherwise(F.raise_error(F.concat(F.lit("unknown code: "), F.coalesce(code_col, F.lit("NULL")))))
+    number = (day.cast("decimal(8,0)") * F.expr("1000000000000000000000BD")
+              + time.cast("decimal(19,0)") * F.expr("100BD") + place.cast("decimal(2,0)"))
+    first = (df.where(F.col(date_col).isNotNull()).select(*keys, number.alias("__n"))
+             .groupBy(*keys).agg(F.min("__n").alias("__n")))
+    first = first.select(*keys, F.expr("__n div 1000000000000000000000BD").alias("__day"),
+                         F.expr("(__n % 1000000000000000000000BD) div 100BD").alias("__time"), F.expr("__n % 100BD").cast("int").alias("__place"))
+    back = F.timestamp_add("MICROSECOND", F.col("__time") - (10**18 + 1), start)
+    return first.select(*keys, F.date_add(origin, (F.col("__day") - 1_000_000).cast("int")).alias(date_col),
+                        F.when(F.col("__time") > 0, back).alias(time_col), F.element_at(F.array(*map(F.lit, codes)), F.col("__place")).alias(code_col))
+
+
 def distinct_on(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
                 exact_dedupe_first: bool = False) -> DataFrame:
     """WIN-03: ``SELECT DISTINCT ON (keys) ... ORDER BY keys, <order_by>``.

@@ -116,32 +116,43 @@ def user_disease_day(spark: SparkSession, sf: str) -> DataFrame:
                     tu.age_band("ymd_date", "birth_year").alias("age_band_5y"))
 
 
+#: Where milestones come from, in the order that settles ties, and what they know.
+MILESTONE_SOURCES = {"dim_user": "DATE", "app_event": "TIMESTAMP", "coaching_event": "TIMESTAMP"}
+
+
 def milestones(spark: SparkSession, sf: str) -> DataFrame:
-    """FCT-13: first real occurrence per user x milestone code.
+    """FCT-13: first real occurrence per user x milestone code, all columns of one
+    row: the first date, on it the first time (none before any), then the source.
 
     Enrolment has only a DATE (occurred_at NULL, precision DATE); every other
-    milestone carries its source timestamp, whose local date grows with it, so
-    the first occurrence is the least of either: a partial hash aggregate, no
-    sort. Nothing is fabricated for a missing stage."""
+    milestone carries its source timestamp. Nothing is fabricated for a missing
+    stage."""
     users = dim_user(spark, sf)
     cands = [users.select("user_id", F.lit("cohort_enrolled").alias("milestone_code"),
                           F.col("joined_date").alias("occurred_date"),
                           F.lit(None).cast("timestamp_ntz").alias("occurred_at"),
-                          F.lit("DATE").alias("temporal_precision"))]
+                          F.lit("dim_user").alias("source_relation"))]
     # All event-type milestones come from one read of the events (one branch,
     # the code derived from the type), not one scan per type.
     e = B.events(spark, sf).where(F.col("event_type").isin(list(CHANNEL_EVENT_TYPES)))
     cands.append(e.select(
         "user_id", F.concat(F.lit("first_"), F.col("event_type")).alias("milestone_code"),
         F.col("event_date").alias("occurred_date"), F.col("ts").alias("occurred_at"),
-        F.lit("TIMESTAMP").alias("temporal_precision")))
+        F.lit("app_event").alias("source_relation")))
     d = B.deliveries(spark, sf)
     cands.append(d.select("user_id", F.lit("first_delivery").alias("milestone_code"),
                           F.col("ymd_date").alias("occurred_date"),
                           F.col("delivered_at").alias("occurred_at"),
-                          F.lit("TIMESTAMP").alias("temporal_precision")))
-    allc = union_all(cands).where(F.col("user_id").isNotNull() & F.col("occurred_date").isNotNull())
-    first = allc.groupBy("user_id", "milestone_code").agg(
-        F.min("occurred_date").alias("occurred_date"), F.min("occurred_at").alias("occurred_at"),
-        F.min("temporal_precision").alias("temporal_precision"))
+                          F.lit("coaching_event").alias("source_relation")))
+    first = first_milestones(union_all(cands))
     return first.join(cohort_ids(spark, sf), "user_id", "left_semi")
+
+
+def first_milestones(candidates: DataFrame) -> DataFrame:
+    """The first of the candidates (user_id, milestone_code, occurred_date,
+    occurred_at, source_relation) with the precision that its source has."""
+    real = candidates.where(F.col("user_id").isNotNull())
+    first = S.first_row_in_time(real, ["user_id", "milestone_code"], "occurred_date", "occurred_at",
+                                "source_relation", list(MILESTONE_SOURCES))
+    precision = F.create_map(*[F.lit(x) for pair in MILESTONE_SOURCES.items() for x in pair])
+    return first.withColumn("temporal_precision", precision[F.col("source_relation")])

@@ -195,15 +195,16 @@ def _fct09(spark, sf):
 
 
 MILESTONES_SQL = """
-SELECT u.user_id, 'cohort_enrolled' AS milestone_code, u.joined_date AS occurred_date,
-       CAST(NULL AS TIMESTAMP) AS occurred_at, 'DATE' AS temporal_precision FROM dim_user u
-UNION ALL
-SELECT f.user_id, 'first_' || f.event_type, MIN(f.event_date), MIN(f.ts), 'TIMESTAMP' FROM fact_ev f
-WHERE f.event_type IN ('view', 'click', 'purchase', 'error', 'signup') AND f.event_date IS NOT NULL
-GROUP BY f.user_id, f.event_type
-UNION ALL
-SELECT c.user_id, 'first_delivery', MIN(c.ymd_date), MIN(c.delivered_at), 'TIMESTAMP' FROM coaching c
-WHERE c.ymd_date IS NOT NULL GROUP BY c.user_id"""
+SELECT user_id, milestone_code, occurred_date, occurred_at, source_relation,
+       CASE source_relation WHEN 'dim_user' THEN 'DATE' ELSE 'TIMESTAMP' END AS temporal_precision
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, milestone_code ORDER BY occurred_date, occurred_at NULLS FIRST, rank) AS nth
+      FROM (SELECT user_id, 'cohort_enrolled' AS milestone_code, joined_date AS occurred_date,
+                   CAST(NULL AS TIMESTAMP) AS occurred_at, 'dim_user' AS source_relation, 1 AS rank FROM dim_user
+            UNION ALL SELECT user_id, 'first_' || event_type, event_date, ts, 'app_event', 2 FROM fact_ev
+            WHERE event_type IN ('view', 'click', 'purchase', 'error', 'signup')
+            UNION ALL SELECT user_id, 'first_delivery', ymd_date, delivered_at, 'coaching_event', 3 FROM coaching) c
+      WHERE occurred_date IS NOT NULL) f
+WHERE nth = 1"""
 
 
 @register("fct13_milestones", with_ctes(["fact_ev", "coaching"], MILESTONES_SQL))
@@ -485,3 +486,4 @@ def _pnl03(spark, sf):
 from dayledger.plans import registry_ops as _ops  # noqa: E402,F401
 from dayledger.plans import registry_facts as _facts  # noqa: E402,F401
 from dayledger.plans import registry_landing as _landing  # noqa: E402,F401
+from dayledger.plans import registry_checks as _checks  # noqa: E402,F401

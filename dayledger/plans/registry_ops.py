@@ -16,6 +16,7 @@ from dayledger.operators import sinks as K
 from dayledger.operators import staging as S
 from dayledger.operators.setops import symmetric_difference
 from dayledger.plans import bindings as B
+from dayledger.plans import checks as C
 from dayledger.plans import facts as FT
 from dayledger.plans import panel as P
 from dayledger.plans import wearable as W
@@ -424,23 +425,19 @@ def _dq25(spark, sf):
 
 
 @register("dq26_pivot_reconciles", with_ctes(["dim_user"], """
-(SELECT user_id, wear_date AS ymd_date, n_samples FROM wday WHERE stream_code = 'click'
+(SELECT user_id, wear_date AS ymd_date, n_samples FROM wday WHERE stream_code = 'click' AND user_id IN (SELECT user_id FROM dim_user)
  EXCEPT ALL SELECT user_id, ymd_date, click_samples FROM piv WHERE click_samples IS NOT NULL)
 UNION ALL
 (SELECT user_id, ymd_date, click_samples FROM piv WHERE click_samples IS NOT NULL
- EXCEPT ALL SELECT user_id, wear_date, n_samples FROM wday WHERE stream_code = 'click')""",
+ EXCEPT ALL SELECT user_id, wear_date, n_samples FROM wday WHERE stream_code = 'click' AND user_id IN (SELECT user_id FROM dim_user))""",
     [_SAMPLES, _COLLAPSED, _WDAY,
      "piv AS (SELECT user_id, wear_date AS ymd_date, MAX(n_samples) FILTER "
-     "(WHERE stream_code = 'click') AS click_samples FROM wday GROUP BY 1, 2)"]))
+     "(WHERE stream_code = 'click') AS click_samples FROM wday JOIN cohort USING (user_id) GROUP BY 1, 2)"]))
 def _dq26(spark, sf):
-    """DQ-26: the daily pivot equals the stream aggregate (symmetric difference)."""
-    day = W.wearable_day(spark, sf)
-    piv = W.wearable_pivot(day, day.select("user_id"))
-    a = day.where(F.col("stream_code") == "click").select(
-        "user_id", F.col("wear_date").alias("ymd_date"), "n_samples")
-    b = piv.where(F.col("click_samples").isNotNull()).select(
-        "user_id", "ymd_date", F.col("click_samples").alias("n_samples"))
-    return symmetric_difference(a, b)
+    """DQ-26: FCT-11 as built (with the cohort's guard) equals the stream aggregate
+    of the cohort's days (symmetric difference)."""
+    day, cohort = W.wearable_day(spark, sf), FT.cohort_ids(spark, sf)
+    return C.pivot_differences(day, W.wearable_pivot(day, cohort), cohort, "click")
 
 
 # ----------------------------------------------------------------------------- privacy
@@ -757,31 +754,30 @@ SELECT * FROM (
   SELECT (SELECT COUNT(*) FROM samples s
           WHERE s.type_code = 'error' AND s.measured_at IS NOT NULL) AS raw_rows,
          (SELECT SUM(c.source_row_count) FROM collapsed c) AS collapsed_rows,
-         (SELECT SUM(n_samples) FROM wday WHERE stream_code = 'error') AS day_rows) t
-WHERE raw_rows IS DISTINCT FROM collapsed_rows OR raw_rows IS DISTINCT FROM day_rows""",
+         (SELECT SUM(n_samples) FROM wday WHERE stream_code = 'error') AS day_rows,
+         (SELECT COUNT(*) FROM samples s JOIN dim_user u ON u.user_id = s.user_lifelog_sn
+          WHERE s.type_code = 'error' AND s.measured_at IS NOT NULL) AS raw_cohort_rows,
+         (SELECT SUM(c.source_row_count) FROM collapsed c JOIN dim_user u ON u.user_id = c.user_lifelog_sn) AS detail_rows) t
+WHERE raw_rows IS DISTINCT FROM collapsed_rows OR raw_rows IS DISTINCT FROM day_rows OR raw_cohort_rows IS DISTINCT FROM detail_rows""",
     [_SAMPLES, _COLLAPSED, _WDAY]))
 def _dq27(spark, sf):
-    """DQ-27: total multiplicity survives raw -> collapsed -> daily."""
-    raw = (W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at").isNotNull()).agg(F.count(F.lit(1)).alias("raw_rows")))
-    col = W.collapsed_stream(spark, sf).agg(F.sum("source_row_count").alias("collapsed_rows"))
-    day = (W.wearable_day(spark, sf).where(F.col("stream_code") == W.WEIGHTED_STREAM)
-           .agg(F.sum("n_samples").alias("day_rows")))
-    j = _combine_counts([("error", "raw_rows", raw), ("error", "collapsed_rows", col),
-                         ("error", "day_rows", day)]).drop("channel_code")
-    return j.where(~F.col("raw_rows").eqNullSafe(F.col("collapsed_rows"))
-                   | ~F.col("raw_rows").eqNullSafe(F.col("day_rows")))
+    """DQ-27: total multiplicity survives raw -> collapsed -> daily, and of the
+    cohort's samples raw -> detail fact."""
+    raw = W.raw_samples(spark, sf, W.WEIGHTED_STREAM).where(F.col("measured_at").isNotNull())
+    day = W.wearable_day(spark, sf).where(F.col("stream_code") == W.WEIGHTED_STREAM)
+    return C.multiplicity_totals(raw, W.collapsed_stream(spark, sf), day, W.detail_fact(spark, sf), FT.cohort_ids(spark, sf))
 
 
-@register("dq28_observations_attributed", with_ctes(["dim_user"], """
-SELECT c.user_lifelog_sn, c.measured_at, c.type_code FROM collapsed c
-WHERE NOT EXISTS (SELECT 1 FROM dim_user u WHERE u.user_id = c.user_lifelog_sn)""",
-    [_SAMPLES, _COLLAPSED]))
+@register("dq28_observations_attributed", """
+SELECT user_id AS user_lifelog_sn, ts AS measured_at, event_type AS type_code
+FROM events WHERE event_type = 'error' AND ts IS NOT NULL AND user_id IS NULL
+GROUP BY ALL""")
 def _dq28(spark, sf):
-    """DQ-28: collapsed observations that cannot be attributed to a cohort user
-    through the lifelog mapping (anti join on the non-null key)."""
-    parents = dim_user(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"))
-    return W.collapsed_stream(spark, sf).join(parents, "user_lifelog_sn", "left_anti").select(
-        "user_lifelog_sn", "measured_at", "type_code")
+    """DQ-28: collapsed observations without a user: whose serial the lifelog's
+    parent does not know (the stand-in's parent is the serial itself)."""
+    collapsed = W.collapsed_stream(spark, sf)
+    parents = W.stream_parents(spark, sf)
+    return C.unattributed(collapsed, parents, "user_lifelog_sn").select("user_lifelog_sn", "measured_at", "type_code")
 
 
 @register("dtl05_two_hop_attribution", with_ctes(["dim_user"], """
@@ -1054,13 +1050,12 @@ UNION ALL
  EXCEPT ALL
  SELECT user_lifelog_sn, measured_at, metric_code, metric_value FROM measurement)"""))
 def _dq18(spark, sf):
-    """DQ-18 / SET-02: the measurement fact preserves every observation
-    signature of the attributed staged readings (multiset symmetric difference)."""
-    sig = ["user_lifelog_sn", "measured_at", "metric_code", "metric_value"]
+    """DQ-18 / SET-02: the measurement fact preserves every observation signature
+    that the raw table holds (by multiset fingerprints; the raw side is read anew,
+    not through the staging model)."""
     parent = (B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull())
-              .join(FT.cohort_ids(spark, sf), "user_id", "left_semi").select("user_lifelog_sn"))
-    staged = FT.staged_readings(spark, sf).join(parent, "user_lifelog_sn", "left_semi").select(*sig)
-    return symmetric_difference(FT.measurement_fact(spark, sf).select(*sig), staged)
+              .join(FT.cohort_ids(spark, sf), "user_id", "left_semi"))
+    return C.signature_differences(FT.measurement_fact(spark, sf), B.readings_source(spark, sf), parent)
 
 
 # ----------------------------------------------------------------------------- more detail facts

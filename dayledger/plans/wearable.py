@@ -103,6 +103,11 @@ def _attributed(samples: DataFrame) -> DataFrame:
     return samples.where(F.col("user_lifelog_sn").isNotNull()).withColumn("user_id", F.col("user_lifelog_sn"))
 
 
+def stream_parents(spark: SparkSession, sf: str) -> DataFrame:
+    """The parents of the stand-in streams: every serial that the events know."""
+    return B.events(spark, sf).where(F.col("user_id").isNotNull()).select(F.col("user_id").alias("user_lifelog_sn")).distinct()
+
+
 def _cohort(spark: SparkSession, sf: str) -> DataFrame:
     return cohort_ids(spark, sf).select(F.col("user_id").alias("user_lifelog_sn"), F.col("user_id"))
 
