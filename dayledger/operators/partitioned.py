@@ -34,7 +34,7 @@ from dayledger.operators.sinks import LOADED_AT, assert_unique_keys, typed_lit,
 from dayledger.session import scratch_path
 
 MANIFEST = "partition_value string, path string"
-POINTER = "manifest string, committed_at timestamp"
+POINTER = "manifest string, committed_at timestamp, note string"
 #: How Spark names the folder of NULL partition values.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -58,13 +58,18 @@ class PartitionedTable:
 
     # -- reading ---------------------------------------------------------------
 
-    def _pointers(self) -> list[str]:
-        """Manifests, the current one last."""
+    def _pointers(self) -> list[dict]:
+        """Commits, the current one last: manifest and note."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_pointers")
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):  # a storage fault raises
             return []
         rows = self.spark.read.schema(POINTER).parquet(f"{self.root}/_pointers")
-        return [r["manifest"] for r in rows.orderBy("committed_at", "manifest").toArrow().to_pylist()]
+        return rows.orderBy("committed_at", "manifest").select("manifest", "note").toArrow().to_pylist()
+
+    def notes(self) -> set[str]:
+        """The notes of all commits: a writer that notes its batch id knows which
+        batches the table has, since note and table become current in one row."""
+        return {p["note"] for p in self._pointers() if p["note"] is not None}
 
     def _named(self, manifest: str) -> list[Folder]:
         rows = self.spark.read.schema(MANIFEST).parquet(manifest).toArrow().to_pylist()
@@ -73,7 +78,7 @@ class PartitionedTable:
     def folders(self) -> list[Folder] | None:
         """The folders of the current table; ``None`` if it was never committed."""
         pointers = self._pointers()
-        return self._named(pointers[-1]) if pointers else None
+        return self._named(pointers[-1]["manifest"]) if pointers else None
 
     def _read(self, folders: list[Folder], schema) -> DataFrame:
         if not folders:
@@ -110,11 +115,11 @@ class PartitionedTable:
                 found.append(Folder(None if value == NULL_FOLDER else value, f"{path}/{name}"))
         return found
 
-    def _commit(self, folders: list[Folder], retain: int | None) -> str:
+    def _commit(self, folders: list[Folder], retain: int | None, note: str | None = None) -> str:
         manifest = f"{self.root}/manifests/{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         rows = self.spark.createDataFrame([(f.value, f.path) for f in folders], MANIFEST)
         rows.coalesce(1).write.mode("errorifexists").parquet(manifest)
-        self.spark.createDataFrame([(manifest, dt.datetime.now(dt.UTC))], POINTER).coalesce(1).write.mode("append").parquet(f"{self.root}/_pointers")
+        self.spark.createDataFrame([(manifest, dt.datetime.now(dt.UTC), note)], POINTER).coalesce(1).write.mode("append").parquet(f"{self.root}/_pointers")
         if retain is not None:
             self.expire(retain)
         return manifest
@@ -125,12 +130,12 @@ class PartitionedTable:
         self._commit(new, retain)
         return new
 
-    def replace_partitions(self, rows: DataFrame, touched, retain: int | None = None) -> list[Folder]:
+    def replace_partitions(self, rows: DataFrame, touched, retain: int | None = None, note: str | None = None) -> list[Folder]:
         """The folders whose value ``touched`` accepts go, the rows come in; all
         other folders stay by name. Returns what was written."""
         kept = [f for f in self.folders() or [] if not touched(f.value)]
         new = self._write(rows)
-        self._commit(kept + new, retain)
+        self._commit(kept + new, retain, note)
         return new
 
     def window_cutoff(self, window_col: str, days: int):
@@ -184,7 +189,7 @@ class PartitionedTable:
         if retain < 1:
             raise ValueError("the current table must be retained")
         pointers = self._pointers()
-        named = {f.path for m in pointers[-retain:] for f in self._named(m)}
+        named = {f.path for p in pointers[-retain:] for f in self._named(p["manifest"])}
         files_of = lambda p: p.getFileSystem(self.spark._jsc.hadoopConfiguration())
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         data, gone = path(f"{self.root}/data"), 0
@@ -220,7 +225,7 @@ class BucketedTable(PartitionedTable):
     def replace_all(self, rows: DataFrame, retain: int | None = None) -> list[Folder]:
         return super().replace_all(self._dealt(rows), retain)
 
-    def upsert(self, batch: DataFrame, check_batch: bool = True, retain: int | None = None) -> list[Folder]:
+    def upsert(self, batch: DataFrame, check_batch: bool = True, retain: int | None = None, note: str | None = None) -> list[Folder]:
         """Rows of the batch replace the target's of equal key, or are added. A batch
         of nothing but keys adds the absent ones, in new folders beside the old
         ones. ``batch`` is read several times: give a written one. Keys must not be NULL."""
@@ -232,9 +237,9 @@ class BucketedTable(PartitionedTable):
         touched = lambda value: value in met
         old = [f for f in folders if touched(f.value)]
         if not old:
-            return self.replace_partitions(dealt, touched, retain)
+            return self.replace_partitions(dealt, touched, retain, note)
         current = self._read(old, self._schema(folders))
         if all(c in self.keys or c == LOADED_AT for c in batch.columns):
             fresh = dealt.join(current.select(*self.keys), self.keys, "left_anti")
-            return self.replace_partitions(fresh, lambda value: False, retain)
-        return self.replace_partitions(upsert(current, dealt, self.keys, check_batch=False), touched, retain)
+            return self.replace_partitions(fresh, lambda value: False, retain, note)
+        return self.replace_partitions(upsert(current, dealt, self.keys, check_batch=False), touched, retain, note)

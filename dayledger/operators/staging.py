@@ -161,6 +161,15 @@ def flatten_json(df: DataFrame, payload_col: str, paths: Mapping[str, Sequence[s
     return df.select(*keep, *[json_text(payload_col, *p).alias(n) for n, p in paths.items()])
 
 
+def flatten_variant(df: DataFrame, payload_col: str, paths: Mapping[str, str],
+                    keep: Sequence[str | Column] = (), kind: str = "string") -> DataFrame:
+    """STG-22 by one parse: the payload becomes a VARIANT once a row, and each
+    allow-listed JSON path reads from that, however many there are. A path that
+    is absent, or of another type, gives NULL."""
+    parsed = df.withColumn("__variant", F.try_parse_json(F.col(payload_col)))
+    return parsed.select(*keep, *[F.try_variant_get("__variant", p, kind).alias(n) for n, p in paths.items()])
+
+
 def keep_unless_deleted(flag: str) -> Column:
     """PRJ-04 ``is_deleted IS NOT TRUE``: NULL counts as not deleted."""
     return F.coalesce(~F.col(flag), F.lit(True))

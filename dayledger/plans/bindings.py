@@ -11,7 +11,8 @@ model input            driver table
 app event channels     ``events`` (one channel per ``event_type``)
 cohort population      customers with an enrolment event (``signup``);
                        joined date = local date of the first one
-app account            ``customer`` (segment, balance, nation as site)
+app account            ``customer`` (segment, balance, nation as site; birth,
+                       registration and body measures by rule from its key)
 deployment site        ``nation`` + ``region``
 coaching deliveries    ``orders`` (priority = domain, status F = done,
                        completion time = last ship date of the order)
@@ -52,10 +53,21 @@ def cohort_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf: str) -> DataFrame:
-    """App account / CRM attributes."""
+    """App account / CRM attributes.
+
+    The driver has no birth dates, registrations or body measures; the binding
+    makes them up from the customer number by fixed rules, so that ages, bands and
+    body-mass figures have values: birth as 'YYMMDD' text (every tenth unknown),
+    registration (every third customer), weight (0 = never measured) and height."""
     c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"])
+    n = F.col("c_custkey").cast("bigint")
+    birth = F.when(n % 10 == 0, "unknown").otherwise(F.concat((30 + (n * 7) % 65).cast("string"), F.lit("0615")))
+    registered = F.when(n % 3 == 0, F.date_add(F.lit("2023-12-01").cast("date"), (n % 60).cast("int")))
     return c.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("site_key"),
-                    F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("acctbal"))
+                    F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("acctbal"),
+                    birth.alias("birth_text"), registered.alias("app_registered_date"),
+                    F.when(n % 17 == 0, 0).otherwise(45 + (n * 13) % 60).cast("double").alias("weight_kg"),
+                    (150 + (n * 11) % 40).cast("double").alias("height_cm"))
 
 
 def sites(spark: SparkSession, sf: str) -> DataFrame:

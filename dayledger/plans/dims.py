@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import timeutil as tu
+from dayledger.operators import staging as S
 from dayledger.plans import bindings as B
 from dayledger.sources.seeds import date_spine_between
 
@@ -15,6 +16,8 @@ from dayledger.sources.seeds import date_spine_between
 BMI_UNDERWEIGHT_BELOW = 18.5
 BMI_NORMAL_BELOW = 23
 BMI_OVERWEIGHT_BELOW = 25
+#: The year that two-digit birth years are read in.
+ACCOUNTS_AS_OF = 2024
 
 
 def bmi(weight_kg: Column, height_cm: Column) -> Column:
@@ -74,9 +77,9 @@ def pin_dim_user(spark: SparkSession, sf: str, snapshot: DataFrame | None) -> No
 def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None) -> DataFrame:
     """DIM-06 (SCD1): cohort left-joined to account, site and the staff list.
 
-    One row per cohort user. Unsourced attributes (birth year, app
-    registration, body measures) are typed NULLs, never guesses; BMI and band
-    follow from them. ``staff`` is a one-column frame of user ids (a seed)."""
+    One row per cohort user. The birth year comes from the account's 'YYMMDD' text
+    (NULL where that is malformed), a weight of zero reads as missing, BMI and band
+    follow. ``staff`` is a one-column frame of user ids (a seed)."""
     cohort = B.cohort_source(spark, sf)
     acct = B.accounts(spark, sf).withColumn("__mapped", F.lit(True))
     site = B.sites(spark, sf).select("site_key", "site_name")
@@ -88,13 +91,11 @@ def build_dim_user(spark: SparkSession, sf: str, staff: DataFrame | None = None)
         out = out.join(s, "user_id", "left")
     else:
         out = out.withColumn("__staff", F.lit(None).cast("boolean"))
-    weight = F.lit(None).cast("double")
-    height = F.lit(None).cast("double")
+    weight, height = S.zero_as_missing("weight_kg"), S.zero_as_missing("height_cm")
     return out.select(
         "user_id", "joined_date", F.coalesce(F.col("__mapped"), F.lit(False)).alias("is_mapped"),
         "segment", "acctbal", "site_key", "site_name",
-        F.lit(None).cast("int").alias("birth_year"),
-        F.lit(None).cast("date").alias("app_registered_date"),
+        tu.birth_year_from_yymmdd("birth_text", ACCOUNTS_AS_OF).alias("birth_year"), "app_registered_date",
         weight.alias("weight_kg"), height.alias("height_cm"),
         bmi(weight, height).cast("double").alias("bmi"), bmi_band(weight, height).alias("bmi_band"),
         F.when(F.col("__staff"), "staff").otherwise("participant").alias("cohort_group"))

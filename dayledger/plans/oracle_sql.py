@@ -10,6 +10,19 @@ from __future__ import annotations
 
 KST = "+ INTERVAL 9 HOUR"
 
+
+
+def age(day: str, birth_year: str) -> str:
+    """Age in years to two digits, half up, in whole numbers (from 1 July of the year)."""
+    days = f"({day} - make_date(CAST({birth_year} AS BIGINT), 7, 1))"
+    return f"CASE WHEN {birth_year} IS NOT NULL THEN CAST((2 * 10000 * {days} + 36525) // (2 * 36525) AS DOUBLE) / 100 END"
+
+
+def age_band(day: str, birth_year: str) -> str:
+    days = f"({day} - make_date(CAST({birth_year} AS BIGINT), 7, 1))"
+    return f"CASE WHEN {birth_year} IS NOT NULL THEN CAST({days} * 100 // (36525 * 5) * 5 AS BIGINT) END"
+
+
 CTE = {
     "ev": f"ev AS (SELECT event_id, ts, user_id, event_type, value, props, "
           f"CAST(ts {KST} AS DATE) AS event_date FROM events)",
@@ -18,11 +31,16 @@ CTE = {
     "dim_user": "dim_user AS (SELECT c.user_id, c.joined_date, a.c_custkey IS NOT NULL AS is_mapped, "
                 "a.c_mktsegment AS segment, "
                 "a.c_acctbal AS acctbal, a.c_nationkey AS site_key, n.n_name AS site_name, "
-                "CAST(NULL AS INTEGER) AS birth_year, CAST(NULL AS DATE) AS app_registered_date, "
-                "CAST(NULL AS DOUBLE) AS weight_kg, CAST(NULL AS DOUBLE) AS height_cm, "
-                "CAST(NULL AS DOUBLE) AS bmi, CAST(NULL AS VARCHAR) AS bmi_band, "
+                "a.birth_year, a.app_registered_date, a.w AS weight_kg, a.h AS height_cm, "
+                # exact half-up rounding of w / (h / 100)^2 to two digits
+                "CAST((2 * 1000000 * a.w::BIGINT + a.h::BIGINT * a.h::BIGINT) // (2 * a.h::BIGINT * a.h::BIGINT) AS DOUBLE) / 100 AS bmi, "
+                "CASE WHEN a.w IS NULL THEN NULL WHEN a.w * 10000 < 18.5 * a.h * a.h THEN 'underweight' "
+                "WHEN a.w * 10000 < 23 * a.h * a.h THEN 'normal' WHEN a.w * 10000 < 25 * a.h * a.h THEN 'overweight' ELSE 'obese' END AS bmi_band, "
                 "'participant' AS cohort_group "
-                "FROM cohort c LEFT JOIN customer a ON a.c_custkey = c.user_id "
+                "FROM cohort c LEFT JOIN (SELECT *, CASE WHEN c_custkey % 10 <> 0 THEN 1930 + (c_custkey * 7) % 65 END AS birth_year, "
+                "CASE WHEN c_custkey % 3 = 0 THEN DATE '2023-12-01' + CAST(c_custkey % 60 AS INTEGER) END AS app_registered_date, "
+                "CASE WHEN c_custkey % 17 <> 0 THEN CAST(45 + (c_custkey * 13) % 60 AS DOUBLE) END AS w, "
+                "CAST(150 + (c_custkey * 11) % 40 AS DOUBLE) AS h FROM customer) a ON a.c_custkey = c.user_id "
                 "LEFT JOIN nation n ON n.n_nationkey = a.c_nationkey)",
     "fact_ev": "fact_ev AS (SELECT e.* FROM ev e JOIN dim_user u ON u.user_id = e.user_id)",
     "deliveries": "deliveries AS (SELECT o.o_orderkey AS activity_row_id, o.o_custkey AS user_id, "
@@ -68,7 +86,7 @@ CTE = {
               "FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)",
     "disease_day": "disease_day AS (SELECT s.user_id, s.ymd_date, s.disease_id, "
                    "c.p_partkey IS NOT NULL AS is_in_catalog, s.irs_score, s.irsp_score, "
-                   "CAST(NULL AS DOUBLE) AS age_at_activity, CAST(NULL AS INTEGER) AS age_band_5y "
+                   f"{age('s.ymd_date', 'u.birth_year')} AS age_at_activity, {age_band('s.ymd_date', 'u.birth_year')} AS age_band_5y "
                    "FROM scores s JOIN dim_user u ON u.user_id = s.user_id "
                    "LEFT JOIN (SELECT p_partkey FROM part) c "
                    "ON c.p_partkey = s.disease_id)",

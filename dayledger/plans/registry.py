@@ -20,7 +20,7 @@ from dayledger.plans import load_status as LS
 from dayledger.plans import metrics as M
 from dayledger.plans import panel as P
 from dayledger.plans import wearable as W
-from dayledger.plans.oracle_sql import KST, with_ctes
+from dayledger.plans.oracle_sql import KST, age, age_band, with_ctes
 
 
 def edge(df: DataFrame) -> DataFrame:
@@ -379,7 +379,7 @@ def _panel_ctes() -> list[str]:
          "least(u.joined_date, coalesce(f.first_activity_date, u.joined_date)) AS spine_from"]
         + [f"least(u.joined_date, f.first_{c.code}_date) AS {c.code}_eligible_from_date" for c in prog])
     sel = ["r.user_id", "r.ymd_date",
-           "CAST(NULL AS DOUBLE) AS age_at_activity", "CAST(NULL AS BIGINT) AS age_band_5y",
+           f"{age('r.ymd_date', 'r.birth_year')} AS age_at_activity", f"{age_band('r.ymd_date', 'r.birth_year')} AS age_band_5y",
            "r.ymd_date - r.joined_date AS days_since_joined",
            "CAST(extract(year FROM age(r.ymd_date, r.joined_date)) * 12 "
            "+ extract(month FROM age(r.ymd_date, r.joined_date)) AS BIGINT) AS months_since_joined"]
@@ -487,3 +487,5 @@ from dayledger.plans import registry_ops as _ops  # noqa: E402,F401
 from dayledger.plans import registry_facts as _facts  # noqa: E402,F401
 from dayledger.plans import registry_landing as _landing  # noqa: E402,F401
 from dayledger.plans import registry_checks as _checks  # noqa: E402,F401
+from dayledger.plans import registry_streams as _streams  # noqa: E402,F401
+from dayledger.plans import registry_staging as _staging  # noqa: E402,F401

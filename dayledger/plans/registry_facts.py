@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dayledger.plans import fact_panel as FP
 from dayledger.plans.dims import dim_user
-from dayledger.plans.oracle_sql import KST, with_ctes
+from dayledger.plans.oracle_sql import KST, age, age_band, with_ctes
 from dayledger.plans.registry import register
 
 # (channel, eligibility, value, second value)
@@ -110,11 +110,9 @@ def _panel_sql() -> str:
             cols.append(f"MAX(c.w) FILTER (WHERE c.ch = '{code}') AS {second}")
         cols.append(f"MAX(c.state) FILTER (WHERE c.ch = '{code}') AS {code}_state")
         cols.append(f"MAX(c.through_date) FILTER (WHERE c.ch = '{code}') AS {code}_through")
-    age = "((d.ymd - make_date(d.birth_year, 7, 1)) / 365.25)"
     months = "extract(year FROM age(d.ymd, d.joined_date)) * 12 + extract(month FROM age(d.ymd, d.joined_date))"
     return f"""fact_panel AS (SELECT d.user_id, d.ymd AS ymd_date,
-  CASE WHEN d.birth_year IS NOT NULL THEN CAST(CAST({age} AS DECIMAL(5,2)) AS DOUBLE) END AS age_at_activity,
-  CASE WHEN d.birth_year IS NOT NULL THEN CAST(floor({age} / 5) * 5 AS BIGINT) END AS age_band_5y,
+  {age('d.ymd', 'd.birth_year')} AS age_at_activity, {age_band('d.ymd', 'd.birth_year')} AS age_band_5y,
   d.ymd - d.joined_date AS days_since_joined, CAST({months} AS BIGINT) AS months_since_joined,
   MAX(c.sig) AS signature_code, MAX(c.sig_event) AS signature_event_id,
   CASE WHEN bool_or(c.seen AND c.ch = 'app_login') THEN true

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayledger.functions.timeutil import BUSINESS_ZONE, instant_to_naive, naive_to_instant
+from dayledger.operators.partitioned import BucketedTable
 from dayledger.session import scratch_path
 
 LOCAL_DAY_OFFSET = "15 hours"  # local midnight in UTC for a UTC+9 zone
@@ -84,16 +85,73 @@ def run_available_now(agg: DataFrame, name: str, base: str | None = None,
     spark = agg.sparkSession
     root = (base or scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:10]}")).rstrip("/")
     out = f"{root}/batches"
-    q = (agg.writeStream.outputMode(output_mode).foreachBatch(_batch_writer(out))
-         .option("checkpointLocation", f"{root}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if report is not None:
-        report["rows_behind_watermark"] = sum(
-            op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+    _run(agg, _batch_writer(out), root, output_mode, report)
     return out
 
 
+def _run(agg: DataFrame, write, root: str, output_mode: str, report: dict | None) -> None:
+    """Run a query over what is available. Progress is read at every batch, since
+    Spark keeps the last hundred records only."""
+    late: dict[int, int] = {}
+    query = []
+
+    def note_progress() -> None:
+        for p in query[0].recentProgress if query else []:
+            late[p.batchId] = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        note_progress()
+
+    query.append(agg.writeStream.outputMode(output_mode).foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint")
+                 .trigger(availableNow=True).start())
+    query[0].awaitTermination()
+    note_progress()
+    if report is not None:
+        report["rows_behind_watermark"] = sum(late.values())
+
+
+def run_into_table(agg: DataFrame, keys: Sequence[str], name: str, base: str | None = None, buckets: int = 16,
+                   report: dict | None = None, retain: int | None = 2) -> BucketedTable:
+    """STR-03 exactly once: every micro-batch of an update-mode aggregate is upserted
+    into a bucketed table whose commit notes the batch id. A batch that is replayed
+    after a failure is found among the notes and merged no second time (it is run to
+    nowhere, for the query's own state to move on); readers see the table after whole batches. Reading costs the
+    table, not the batches ever written; ``retain`` commits stay readable.
+
+    The ledger holds a row a batch (compact it with the checkpoint's own log)."""
+    spark = agg.sparkSession
+    root = (base or scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:10]}")).rstrip("/")
+    table = BucketedTable(spark, name, keys, buckets, root)
+    done = table.notes()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if str(batch_id) in done:
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        rows = batch.persist()  # read for the buckets, the keys and the write
+        try:
+            table.upsert(rows, retain=retain, note=str(batch_id))
+        finally:
+            rows.unpersist()
+        done.add(str(batch_id))
+
+    _run(agg, write, root, "update", report)
+    return table
+
+
+def daily_table(spark: SparkSession, sf_dir: str, lateness: str = DEFAULT_LATENESS, max_files_per_trigger: int | None = None,
+                base: str | None = None, report: dict | None = None) -> DataFrame:
+    """STR-02/03 into a table: a row a local day and event type, upserted as late
+    rows arrive."""
+    agg = daily_local_aggregate(table_stream(spark, sf_dir, "events", max_files_per_trigger), lateness=lateness)
+    flat = agg.select(F.col("day_window.start").alias("window_start"), "event_type", "n_samples", "value_sum")
+    found = run_into_table(flat, ["window_start", "event_type"], "daily", base, report=report).read()
+    return found.select(instant_to_naive("window_start").alias("window_start"),
+                        F.to_date(instant_to_naive("window_start", BUSINESS_ZONE)).alias("local_date"),
+                        "event_type", "n_samples", F.col("value_sum").cast("double").alias("value_sum"))
+
+
 def latest_per_key(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """Fold the update-mode batches: the row of the latest batch per key."""
     df = spark.read.parquet(out)

@@ -65,3 +65,60 @@ def test_replay_does_not_double_count(spark, tmp_path):
         STR.table_stream(spark, src, "events", glob="events-*.parquet"), payload, "ts"), "mult", base=base)
     got = sorted((r.event_type, r.source_row_count) for r in STR.latest_per_key(spark, out, payload).collect())
     assert got == [("click", 1), ("view", 2)]
+
+
+def _daily(spark, src, per_trigger=None):
+    agg = STR.daily_local_aggregate(STR.table_stream(spark, src, "events", per_trigger, glob="events-*.parquet"))
+    return agg.select(F.col("day_window.start").alias("day"), "event_type", "n_samples", "value_sum")
+
+
+def _held(table):
+    return sorted(map(tuple, table.read().select("day", "event_type", "n_samples", "value_sum").collect()), key=str)
+
+
+def test_a_killed_run_merges_every_batch_once(spark, tmp_path, monkeypatch):
+    from dayledger.operators.partitioned import BucketedTable
+    src = str(tmp_path / "src")
+    for n in range(4):
+        _write(spark, src, f"events-00{n}.parquet", [(10 * n + i, _day(i), 1, "view", 1.5, "{}") for i in range(n, n + 5)])
+    keys = ["day", "event_type"]
+    whole = _held(STR.run_into_table(_daily(spark, src, 1), keys, "daily", str(tmp_path / "one")))
+
+    merge, calls = BucketedTable.upsert, []
+
+    def dies(self, batch, **options):
+        calls.append(options["note"])
+        out = merge(self, batch, **options)
+        if options["note"] == "1":
+            raise RuntimeError("killed after the merge, before the checkpoint")
+        return out
+
+    monkeypatch.setattr(BucketedTable, "upsert", dies)
+    try:
+        STR.run_into_table(_daily(spark, src, 1), keys, "daily", str(tmp_path / "two"))
+        raise AssertionError("the run was to die")
+    except Exception as error:
+        assert "killed after the merge" in str(error)
+    monkeypatch.setattr(BucketedTable, "upsert", merge)
+    table = STR.run_into_table(_daily(spark, src, 1), keys, "daily", str(tmp_path / "two"))
+    assert calls == ["0", "1"] and table.notes() >= {"0", "1", "2", "3"}
+    assert _held(table) == whole
+    # reading costs the table: every bucket has one folder, however many batches came
+    values = [f.value for f in table.folders()]
+    assert len(values) == len(set(values))
+
+
+def test_late_rows_are_counted_beyond_the_last_progress_records(spark, tmp_path):
+    src, report = str(tmp_path / "src"), {}
+    _write(spark, src, "events-000.parquet", [(i, _day(i), 1, "view", 1.0, "{}") for i in range(41)])
+    STR.run_into_table(_daily(spark, src), ["day", "event_type"], "daily", str(tmp_path / "run"))
+    _write(spark, src, "events-001.parquet", [(100, _day(1, 4), 1, "view", 1.0, "{}")])
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for n in range(3):
+            _write(spark, src, f"events-01{n}.parquet", [(200 + n, _day(40 + n), 1, "view", 1.0, "{}")])
+        STR.run_into_table(_daily(spark, src, 1), ["day", "event_type"], "daily", str(tmp_path / "run"), report=report)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert report["rows_behind_watermark"] == 1
