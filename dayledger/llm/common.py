@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 from dayledger.session import scratch_path
 
 
+#: Bytes of one Arrow batch. Spark's own bound (64 MB) is held several times over by
+#: each running task, in the JVM's buffers and in its worker.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes for the plans of this session, where the user
+    has set no bound (long texts fill 64 MB with a few rows)."""
+    if spark.conf.get(BATCH_SETTING, str(64 << 20)) == str(64 << 20):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one input table (the scan is pruned to them)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)

@@ -4,9 +4,10 @@ A document's set is its distinct k-word shingles. One hash function orders all
 shingles; a document's sketch holds the smallest ``SKETCH`` values of its set (all
 of a smaller set). A sample of the union of two sets is the smallest ``SKETCH``
 values of both sketches together, and the share of these that both sketches hold
-estimates the similarity. A linked pair is missed by the estimate's bound with a
-probability below ``RISK`` (by the binomial law, an upper bound for a sample drawn without
-replacement); sketches that hold whole sets are compared exactly.
+estimates the similarity. The sample is drawn without replacement, so the law of its
+common values is hypergeometric in the size of the union, which the sizes of the
+sets bound: a linked pair is missed with a probability below ``RISK``. Sketches
+that hold whole sets are compared exactly.
 
 1. Equal sets (by a 128-bit fingerprint) are one class; its smallest id stands
    for it from here on.
@@ -14,13 +15,15 @@ replacement); sketches that hold whole sets are compared exactly.
    list the values that members share are counted, pairs are estimated, and a few
    trees that span what the estimate allows become candidates. They are
    confirmed on the full sets, and what they tie is one group from then on.
-3. What may still be linked: any linked pair shares ``SHARED`` of the values that
-   a document's sketch has beyond the overlap it needs, in one order of all values
-   with the frequent ones last. Lists of these values that hold several groups
+3. What may still be linked: two whole sets share all but a fifth of the larger
+   one; longer sets have, among their smallest ``LISTED`` values, a least number of
+   common ones by the same law. So a linked pair shares ``SHARED`` of the values
+   that a document has beyond this number, in one order of all values with the
+   frequent ones last. Lists of these values that hold several groups
    give the overlaps of pairs of different groups: short lists by a join that
    counts the common values of a pair, long ones in blocks of bounded size, each two
-   blocks in a task of their own, by counts over the blocks' sketches. All
-   pairs that pass the estimate are confirmed.
+   blocks in a task of their own, by counts over the blocks' values. All
+   pairs that pass the estimate on whole sketches are confirmed.
 
 Nothing is capped: a hot list is dealt to many tasks, and lists that hold one
 group only are dropped because all their members are tied already. Texts are
@@ -35,6 +38,7 @@ takes no part, has no component and is kept; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -43,37 +47,66 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, most_frequent, slices, table, written
+from dayledger.llm.common import batch_of, most_frequent, slices, small_batches, table, written
 from dayledger.llm.graph import EDGES, components
 from dayledger.llm.op4_signature_tree import shingles
 from dayledger.llm.textops import mix, ragged
 
-SLICE = 4 << 20
-SKETCH = 128
+SLICE = 2 << 20
+SKETCH = 256
+#: Values of a sketch, the smallest, whose inverted lists are read for sets that
+#: the sketch does not hold whole.
+LISTED = 64
 RISK = 1e-12
 #: Values that a linked pair shares among its listed ones.
 SHARED = 4
 #: Rounds of spanning trees before the whole lists are read.
 ROUNDS = 2
-ORDER = np.uint64(0xB0770)
+ORDER, SAMPLED = np.uint64(0xB0770), np.uint64(0x5A3D1ED)
 PAD = np.uint64(2**64 - 1)
 
 
-def least_matches(sketch: int, percent: int, risk: float = RISK) -> int:
-    """The largest t so that a pair of similarity percent/100 has fewer than t
-    common values of ``sketch`` with a probability below ``risk``."""
-    p, below = percent / 100, 0.0
-    for t in range(sketch + 1):
-        below += math.comb(sketch, t) * p ** t * (1 - p) ** (sketch - t)
+def _first_beyond(risk: float, chance, sketch: int) -> int:
+    """The least t at which the chances of 0 to t together exceed ``risk``."""
+    below = 0.0
+    for t in range(sketch):
+        below += chance(t)
         if below > risk:
             return t
     return sketch
 
 
+@functools.cache
+def _match_bounds(sketch: int, percent: int, risk: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of unions, ascending, and for each the least number of common values
+    in a sample of ``sketch``: a linked pair has fewer with a probability below
+    ``risk``. The last bound is the binomial law's, for unions beyond all sizes."""
+    sizes = np.unique(np.rint(sketch * 1.03 ** np.arange(190)).astype(np.int64))
+    choose = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    least = []
+    for union in sizes.tolist():
+        common = -(-percent * union // 100)
+        apart = union - common
+        chance = lambda t: (math.exp(choose(common, t) + choose(apart, sketch - t) - choose(union, sketch))  # noqa: E731, B023
+                            if t <= common and sketch - t <= apart else 0.0)  # noqa: B023
+        least.append(_first_beyond(risk, chance, sketch))
+    p = percent / 100
+    least.append(_first_beyond(risk, lambda t: math.comb(sketch, t) * p ** t * (1 - p) ** (sketch - t), sketch))
+    return sizes, np.array(least)
+
+
+def least_matches(sketch: int, percent: int, union: np.ndarray, risk: float = RISK) -> np.ndarray:
+    """The least number of common values that samples of ``sketch`` values have,
+    for linked pairs whose unions are at most so large."""
+    sizes, least = _match_bounds(sketch, percent, risk)
+    return least[np.searchsorted(sizes, union)]
+
+
 def least_shared(n: np.ndarray, sketch: int, percent: int) -> np.ndarray:
-    """Common retained values that any link of a set of n shingles needs."""
+    """Common retained values that any link of a set of n shingles needs. A
+    partner has up to n * 100 / percent shingles, and so has the union."""
     exact = -(-percent * n // 100)
-    return np.where(n * 100 <= percent * sketch, exact, np.minimum(exact, least_matches(sketch, percent)))
+    return np.where(n * 100 <= percent * sketch, exact, np.minimum(exact, least_matches(sketch, percent, n * 100 // percent)))
 
 
 # ---- sets ------------------------------------------------------------------
@@ -117,8 +150,9 @@ def _common(per_task: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                values, n = np.unique(np.frombuffer(b"".join(batch.column("sketch").slice(lo, 2000).to_pylist()), "<u8"), return_counts=True)
+            for lo in range(0, batch.num_rows, 1000):
+                raw = b"".join(batch.column("sketch").slice(lo, 1000).to_pylist())
+                values, n = np.unique(np.frombuffer(raw, "<u8"), return_counts=True)
                 held, where = np.unique(np.concatenate([held, values[n > 1]]), return_inverse=True)
                 times = np.bincount(where, np.concatenate([times, n[n > 1]]), minlength=len(held)).astype(np.int64)
                 if len(held) > 8 * per_task:
@@ -143,40 +177,49 @@ def frequent_values(signed: DataFrame, least: int = 16, entries: int = 200_000)
 
 # ---- overlaps and estimates inside a task -----------------------------------
 
+def common_counts(values: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """For documents that hold ``lens`` different values each: how many every two
+    of them (i < j) have in common."""
+    m = len(lens)
+    of = np.repeat(np.arange(m), lens)
+    order = np.argsort(values, kind="stable")
+    value, of = values[order], of[order]
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+    times = np.diff(np.append(first, len(value)))
+    total = np.zeros((m, m), np.int32)
+    long = np.flatnonzero(times > 16)
+    for lo in range(0, len(long), 1024):
+        part = long[lo:lo + 1024]
+        held = np.zeros((len(part), m), np.float32)
+        held[np.repeat(np.arange(len(part)), times[part]), ragged(of, first[part], times[part])] = 1
+        total += (held.T @ held).astype(np.int32)
+    for size in range(2, 17):
+        at = first[times == size]
+        if len(at):
+            members = of[at[:, None] + np.arange(size)]
+            i, j = np.triu_indices(size, 1)
+            total += np.bincount((members[:, i] * m + members[:, j]).ravel(), minlength=m * m).reshape(m, m).astype(np.int32)
+    return np.triu(total, 1)
+
+
 class Block:
-    """Some documents with their sketches, compared with each other."""
+    """Some documents with their sketches, compared with each other: common
+    values are counted among the smallest ``listed`` (``whole``: among all, of sets
+    that their sketches hold), estimates take the sketches."""
 
-    def __init__(self, rows: list[tuple], sketch: int, percent: int):
+    def __init__(self, rows: list[tuple], sketch: int, percent: int, listed: int = LISTED, whole: bool = False):
         doc, n, group, mark, raw = zip(*rows, strict=True)
         self.doc, self.n, self.group, self.mark = (np.array(x, np.int64) for x in (doc, n, group, mark))
         self.lens = np.array([len(x) // 8 for x in raw])
         self.values = np.frombuffer(b"".join(raw), "<u8")
-        self.sketch, self.percent = sketch, percent
-        self.need = least_shared(self.n, sketch, percent)
+        self.sketch, self.percent, self.listed = sketch, percent, sketch if whole else listed
+        self.need = -(-percent * self.n // 100) if whole else least_shared(self.n, listed, percent)
 
     def overlaps(self) -> np.ndarray:
-        """Common retained values of every two documents (i < j), from the
-        block's inverted lists."""
-        m = len(self.doc)
-        of = np.repeat(np.arange(m), self.lens)
-        order = np.argsort(self.values, kind="stable")
-        value, of = self.values[order], of[order]
-        first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
-        times = np.diff(np.append(first, len(value)))
-        total = np.zeros((m, m), np.int32)
-        long = np.flatnonzero(times > 16)
-        for lo in range(0, len(long), 1024):
-            part = long[lo:lo + 1024]
-            held = np.zeros((len(part), m), np.float32)
-            held[np.repeat(np.arange(len(part)), times[part]), ragged(of, first[part], times[part])] = 1
-            total += (held.T @ held).astype(np.int32)
-        for size in range(2, 17):
-            at = first[times == size]
-            if len(at):
-                members = of[at[:, None] + np.arange(size)]
-                i, j = np.triu_indices(size, 1)
-                total += np.bincount((members[:, i] * m + members[:, j]).ravel(), minlength=m * m).reshape(m, m).astype(np.int32)
-        return np.triu(total, 1)
+        """Common listed values of every two documents (i < j), from the block's
+        inverted lists."""
+        some = np.arange(len(self.values)) - np.repeat(np.cumsum(self.lens) - self.lens, self.lens) < self.listed
+        return common_counts(self.values[some], np.minimum(self.lens, self.listed))
 
     def estimated(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether the sketches of each pair allow a link, and their similarity
@@ -184,7 +227,8 @@ class Block:
         ok, share = np.zeros(len(i), bool), np.zeros(len(i))
         padded = np.full((len(self.doc), self.sketch), PAD)
         padded[np.arange(self.sketch) < self.lens[:, None]] = self.values
-        bound = least_matches(self.sketch, self.percent)
+        n, m = self.n[i], self.n[j]
+        bound = least_matches(self.sketch, self.percent, 100 * (n + m) // (100 + self.percent))
         for lo in range(0, len(i), 4096):
             a, b = i[lo:lo + 4096], j[lo:lo + 4096]
             both = np.sort(np.concatenate([padded[a], padded[b]], axis=1), axis=1)
@@ -195,13 +239,14 @@ class Block:
             whole = (self.n[a] <= self.sketch) & (self.n[b] <= self.sketch)
             size = np.where(whole, union, np.minimum(union, self.sketch))
             hits = (same & (rank <= size[:, None])).sum(1)
-            ok[lo:lo + 4096] = np.where(whole, 100 * hits >= self.percent * union, hits >= bound)
+            ok[lo:lo + 4096] = np.where(whole, 100 * hits >= self.percent * union, hits >= bound[lo:lo + 4096])
             share[lo:lo + 4096] = hits / size
         return ok, share
 
-    def pairs(self, across: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(self, across: np.ndarray | None = None, met: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs of one mark and different groups that may be linked, and their
-        estimates. ``across``: sides; only pairs across them."""
+        estimates. ``across``: sides; only pairs across them. ``met``: pairs that
+        are compared elsewhere."""
         over = self.overlaps()
         i, j = np.nonzero(over >= max(1, int(self.need.min(initial=1))))
         low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
@@ -209,6 +254,8 @@ class Block:
         fine &= (self.group[i] != self.group[j]) & (self.mark[i] == self.mark[j]) & (self.doc[i] != self.doc[j])
         if across is not None:
             fine &= across[i] != across[j]
+        if met is not None:
+            fine &= ~met[i, j]
         i, j = i[fine], j[fine]
         ok, share = self.estimated(i, j)
         return i[ok], j[ok], share[ok]
@@ -243,11 +290,11 @@ def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return batch_of(pa.schema([("a", pa.int64()), ("b", pa.int64())]), a=a, b=b)
 
 
-def _forests(sketch: int, percent: int, block: int):
+def _forests(sketch: int, listed: int, percent: int, block: int):
     """Rows sorted by (list, part): candidates that span each part. Several small
     parts are compared in one block; a part is no longer than a block but by chance."""
     def close(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        these = Block(held, sketch, percent)
+        these = Block(held, sketch, percent, listed)
         i, j, share = these.pairs()
         sure = share * 100 >= percent
         found = {*these.forest(i[sure], j[sure]), *these.forest(i, j)}
@@ -276,16 +323,18 @@ def _forests(sketch: int, percent: int, block: int):
     return run
 
 
-def _blocks(sketch: int, percent: int):
+def _blocks(sketch: int, listed: int, percent: int):
     """Rows sorted by (key, size class, x, y): all pairs across the blocks x and y
     of a long list (within it where x = y) that may be linked, given in the
-    class of the smaller set."""
-    def close(held: list[tuple], size: int, x: int, y: int) -> Iterator[pa.RecordBatch]:
+    class of the smaller set and in the first of the long lists that both are in."""
+    def close(held: list[tuple], key: int, whole: bool, size: int, x: int, y: int) -> Iterator[pa.RecordBatch]:
         if len(held) < 2:
             return
-        *rows, turn, sizes = zip(*held, strict=True)
-        these = Block(list(zip(*rows, strict=True)), sketch, percent)
-        i, j, _ = these.pairs(np.array(turn) if x != y else None)
+        *rows, turn, sizes, lists = zip(*held, strict=True)
+        before = [[v for v in own if v < key] for own in lists]
+        met = common_counts(np.array([v for own in before for v in own], np.int64), np.array([len(own) for own in before])) > 0
+        these = Block(list(zip(*rows, strict=True)), sketch, percent, listed, whole)
+        i, j, _ = these.pairs(np.array(turn) if x != y else None, met)
         sizes = np.array(sizes)
         mine = np.minimum(sizes[i], sizes[j]) == size
         a, b = these.doc[i[mine]].tolist(), these.doc[j[mine]].tolist()
@@ -296,45 +345,56 @@ def _blocks(sketch: int, percent: int):
         held: list[tuple] = []
         now = None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "size", "x", "y", "doc_id", "n", "grp", "sketch", "turn", "own_size")]
-            for key, size, x, y, doc, n, grp, raw, turn, own in zip(*cols, strict=True):
-                if (key, size, x, y) != now:
+            cols = [batch.column(c).to_pylist() for c in ("key", "whole", "size", "x", "y", "doc_id", "n", "grp", "sketch", "turn", "own_size", "lists")]
+            for *here, doc, n, grp, raw, turn, own, lists in zip(*cols, strict=True):
+                if here != now:
                     if held:
-                        yield from close(held, *now[1:])
+                        yield from close(held, *now)
                         held = []
-                    now = (key, size, x, y)
-                held.append((doc, n, grp, 0, raw, turn, own))
+                    now = here
+                held.append((doc, n, grp, 0, raw, turn, own, lists))
         if held:
-            yield from close(held, *now[1:])
+            yield from close(held, *now)
 
     return run
 
 
-def _postings(sketch: int, percent: int, shared):
+POSTING_DDL = "key long, whole boolean, doc_id long, n long, grp long, need int"
+
+
+def _postings(sketch: int, listed: int, percent: int, shared):
     """A row for each listed value of a document: its rarest ones, SHARED more
-    than those it has beyond the overlap that any link needs."""
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("grp", pa.int64()), ("need", pa.int32())])
+    than those it has beyond the overlap that any link needs. Sets that a sketch
+    holds list of all their values; sets with a partner that none holds, of their smallest."""
+    schema = pa.schema([("key", pa.int64()), ("whole", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("grp", pa.int64()), ("need", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, times = shared.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                raw = part.column("sketch").to_pylist()
-                lens = np.array([len(x) // 8 for x in raw])
-                values = np.frombuffer(b"".join(raw), "<u8")
-                row = np.repeat(np.arange(len(lens)), lens)
-                count = np.zeros(len(values), np.int64)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, values), len(often) - 1)
-                    count = np.where(often[at] == values, times[at], 0)
-                order = np.lexsort((values, count, row))
-                need = least_shared(np.asarray(part.column("n")), sketch, percent)
-                place = np.arange(len(values)) - np.repeat(np.cumsum(lens) - lens, lens)
-                listed = order[place < (lens - need + SHARED)[row]]  # rows keep their places under the order
-                of = row[listed]
-                take = lambda c: np.asarray(part.column(c))[of]  # noqa: E731, B023
-                yield batch_of(schema, key=values[listed].view(np.int64), doc_id=take("doc_id"), n=take("n"), grp=take("grp"), need=need[of])
+                size = np.asarray(part.column("n"))
+                for whole, some in ((True, size <= sketch), (False, size * 100 > sketch * percent)):
+                    mine = part.filter(pa.array(some))
+                    if not mine.num_rows:
+                        continue
+                    n = size[some]
+                    raw = [x if whole else x[:8 * listed] for x in mine.column("sketch").to_pylist()]
+                    lens = np.array([len(x) // 8 for x in raw])
+                    values = np.frombuffer(b"".join(raw), "<u8")
+                    row = np.repeat(np.arange(len(lens)), lens)
+                    count = np.zeros(len(values), np.int64)
+                    if len(often):
+                        at = np.minimum(np.searchsorted(often, values), len(often) - 1)
+                        count = np.where(often[at] == values, times[at], 0)
+                    order = np.lexsort((values, count, row))
+                    need = -(-percent * n // 100) if whole else least_shared(n, listed, percent)
+                    place = np.arange(len(values)) - np.repeat(np.cumsum(lens) - lens, lens)
+                    first = order[place < (lens - need + SHARED)[row]]  # rows keep their places under the order
+                    of = row[first]
+                    key = values[first] if whole else values[first] ^ SAMPLED
+                    yield batch_of(schema, key=key.view(np.int64), whole=np.full(len(of), whole), doc_id=np.asarray(mine.column("doc_id"))[of],
+                                   n=n[of], grp=np.asarray(mine.column("grp"))[of], need=need[of])
 
     return run
 
@@ -405,13 +465,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, small: in
 
 # ---- the operator -----------------------------------------------------------
 
-def sketch_components(docs: DataFrame, k: int = 5, percent: int = 80, sketch: int = SKETCH, block: int = 512,
-                      short: int = 64, small: int = 1_000_000) -> DataFrame:
+def sketch_components(docs: DataFrame, k: int = 5, percent: int = 80, sketch: int = SKETCH, listed: int = LISTED,
+                      block: int = 512, short: int = 64, small: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document; sets are linked
     at a Jaccard similarity of ``percent`` / 100 or more. ``sketch``: values a
-    document retains; ``short``: length of lists that are joined; ``block``:
+    document retains; ``listed``: of these, the ones whose lists are read; ``short``: length of lists that are joined; ``block``:
     documents compared at once; ids up to ``small`` are broadcast."""
     spark = docs.sparkSession
+    small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = written(rows.mapInArrow(_sketches(k, sketch), SET_DDL), "sketches")
@@ -432,7 +493,7 @@ def sketch_components(docs: DataFrame, k: int = 5, percent: int = 80, sketch: in
         dealt = named.join(lists, "list").select("list", F.pmod(F.xxhash64("doc_id"), "parts").alias("part"), "doc_id", "grp")
         members = (dealt.join(signed, "doc_id").select("list", "part", "doc_id", "n", "grp", "sketch")
                    .repartition(parts, "list", "part").sortWithinPartitions("list", "part", "n"))
-        pairs = written(members.mapInArrow(_forests(sketch, percent, block), EDGES).distinct(), "spanning-pairs")
+        pairs = written(members.mapInArrow(_forests(sketch, listed, percent, block), EDGES).distinct(), "spanning-pairs")
         found = confirmed(pairs, rows, k, percent, small)
         links = written(found if links is None else found.union(links), "links")
         group = written(ids.join(components(links), F.col("doc_id") == F.col("node"), "left")
@@ -440,7 +501,7 @@ def sketch_components(docs: DataFrame, k: int = 5, percent: int = 80, sketch: in
 
     shared = spark.sparkContext.broadcast(frequent_values(signed))
     postings = written(signed.join(group, "doc_id").mapInArrow(
-        _postings(sketch, percent, shared), "key long, doc_id long, n long, grp long, need int"), "postings")
+        _postings(sketch, listed, percent, shared), POSTING_DDL), "postings")
     lists = (postings.groupBy("key").agg(F.count("*").alias("held"), F.min("grp").alias("x"), F.max("grp").alias("y"))
              .where("x < y").select("key", "held"))
     met = written(postings.join(lists, "key"), "met-postings")
@@ -457,16 +518,18 @@ def sketch_components(docs: DataFrame, k: int = 5, percent: int = 80, sketch: in
              .mapInArrow(_allowed(sketch, percent), EDGES))
 
     size = F.floor(F.log("n") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n")
-    long = (met.where(F.col("held") > short).select("key", "doc_id", "grp", size.alias("own_size"))
+    in_long = met.where(F.col("held") > short)
+    lists_of = in_long.groupBy("doc_id").agg(F.collect_set("key").alias("lists"))  # at most ``listed``
+    long = (in_long.select("key", "whole", "doc_id", "grp", size.alias("own_size"))
             .withColumn("size", F.explode(F.array(F.col("own_size") - 1, F.col("own_size")))))
     dealt = (long.groupBy("key", "size").agg(F.count("*").alias("held"), F.min("grp").alias("x"), F.max("grp").alias("y"))
              .where("x < y").select("key", "size", F.ceil(F.col("held") / block).cast("int").alias("parts")))
     turn = F.pmod(F.xxhash64("doc_id"), "parts").cast("int")
     meet = (long.join(dealt, ["key", "size"]).withColumn("turn", turn)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("key", "size", F.least("turn", "other").alias("x"), F.greatest("turn", "other").alias("y"), "doc_id", "grp", "turn", "own_size"))
-    across = (meet.join(signed, "doc_id").repartition(parts, "key", "size", "x", "y").sortWithinPartitions("key", "size", "x", "y")
-              .mapInArrow(_blocks(sketch, percent), EDGES))
+            .select("key", "whole", "size", F.least("turn", "other").alias("x"), F.greatest("turn", "other").alias("y"), "doc_id", "grp", "turn", "own_size"))
+    across = (meet.join(lists_of, "doc_id").join(signed, "doc_id").repartition(parts, "key", "size", "x", "y").sortWithinPartitions("key", "size", "x", "y")
+              .mapInArrow(_blocks(sketch, listed, percent), EDGES))
     more = written(confirmed(written(open_.union(across).distinct(), "last-pairs"), rows, k, percent, small), "last-links")
 
     # an id with several texts is one node: it ties the classes of its texts
