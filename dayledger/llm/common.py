@@ -91,3 +91,24 @@ def worker_cache(key: str, make):
     if key not in home.__dict__:
         home.__dict__[key] = make()
     return home.__dict__[key]
+
+
+def fresh_worker() -> None:
+    """Drop what earlier operators keep in this worker, which outlives its tasks,
+    and hand the memory back to the system. For tasks that need room; the caches
+    are made again where they are used."""
+    import ctypes
+    import gc
+    import sys
+
+    home = sys.modules.get("_dayledger_worker")
+    kept = [k for k in vars(home) if not k.startswith("__")] if home else []
+    for key in kept:
+        delattr(home, key)
+    if kept:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: it keeps what it keeps
+            pass

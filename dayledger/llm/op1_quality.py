@@ -36,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, slices, table, written
+from dayledger.llm.common import batch_of, fresh_worker, slices, table, written
 from dayledger.llm.textops import FACTOR, mix, row_of, utf8, word_hashes, words
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "mark", "symbol", "bar", "wide")
 
 
@@ -141,6 +141,7 @@ def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("x", pa.binary())])
+    fresh_worker()
     for rows, col in slices(batches, "text", SLICE):
         x = features(col).astype("<f4")
         yield batch_of(schema, doc_id=rows.column("doc_id"), held_out=rows.column("held_out"), x=[r.tobytes() for r in x])
@@ -267,6 +268,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def _keep(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         model = Model(*shared.value)
         for rows, col in slices(batches, "text", SLICE):
             yield rows.filter(pa.array(model.scores(features(col).astype("<f4")) >= 0.5))
