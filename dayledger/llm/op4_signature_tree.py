@@ -50,7 +50,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import batch_of, most_frequent, slices, table, written
+from dayledger.llm.common import batch_of, fresh_worker, most_frequent, slices, small_batches, table, written
 from dayledger.llm.graph import EDGES, Sets, components
 from dayledger.llm.textops import gram_hashes, mix, ragged, row_of, utf8, word_hashes, words
 
@@ -102,6 +102,7 @@ def _frequent(k: int, per_task: int):
     schema = pa.schema([("s", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         held, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for _, col in slices(batches, "text", SLICE):
             values, _ = shingles(col, k)
@@ -150,6 +151,7 @@ def bitmap(values: np.ndarray) -> bytes:
 
 def _sets(k: int, percent: int, shared, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         heavy, times = shared.value
         for rows, col in slices(batches, "text", SLICE):
             values, of = shingles(col, k)
@@ -606,6 +608,7 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, block: in
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, k))
     sets = written(rows.mapInArrow(_sets(k, percent, shared, block), SET_DDL), "sets")
