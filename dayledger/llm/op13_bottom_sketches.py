@@ -53,11 +53,13 @@ from dayledger.llm.op4_signature_tree import shingles
 from dayledger.llm.textops import mix, ragged
 
 SLICE = 2 << 20
-SKETCH = 256
+SKETCH = 192
 #: Values of a sketch, the smallest, whose inverted lists are read for sets that
 #: the sketch does not hold whole.
 LISTED = 64
 RISK = 1e-12
+#: Up to so many pairs of a block are estimated at once, without counting overlaps.
+FEW = 20_000
 #: Values that a linked pair shares among its listed ones.
 SHARED = 4
 #: Rounds of spanning trees before the whole lists are read.
@@ -247,16 +249,16 @@ class Block:
         """Pairs of one mark and different groups that may be linked, and their
         estimates. ``across``: sides; only pairs across them. ``met``: pairs that
         are compared elsewhere."""
-        over = self.overlaps()
-        i, j = np.nonzero(over >= max(1, int(self.need.min(initial=1))))
-        low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
-        fine = (over[i, j] >= np.maximum(self.need[i], self.need[j])) & (low * 100 >= high * self.percent)
-        fine &= (self.group[i] != self.group[j]) & (self.mark[i] == self.mark[j]) & (self.doc[i] != self.doc[j])
+        low, high = np.minimum(self.n[:, None], self.n), np.maximum(self.n[:, None], self.n)
+        fine = np.triu(low * 100 >= high * self.percent, 1)
+        fine &= (self.group[:, None] != self.group) & (self.mark[:, None] == self.mark) & (self.doc[:, None] != self.doc)
         if across is not None:
-            fine &= across[i] != across[j]
+            fine &= across[:, None] != across
         if met is not None:
-            fine &= ~met[i, j]
-        i, j = i[fine], j[fine]
+            fine &= ~met
+        if np.count_nonzero(fine) > FEW:
+            fine &= self.overlaps() >= np.maximum(self.need[:, None], self.need)
+        i, j = np.nonzero(fine)
         ok, share = self.estimated(i, j)
         return i[ok], j[ok], share[ok]
 
@@ -523,7 +525,7 @@ def sketch_components(docs: DataFrame, k: int = 5, percent: int = 80, sketch: in
     long = (in_long.select("key", "whole", "doc_id", "grp", size.alias("own_size"))
             .withColumn("size", F.explode(F.array(F.col("own_size") - 1, F.col("own_size")))))
     dealt = (long.groupBy("key", "size").agg(F.count("*").alias("held"), F.min("grp").alias("x"), F.max("grp").alias("y"))
-             .where("x < y").select("key", "size", F.ceil(F.col("held") / block).cast("int").alias("parts")))
+             .where("x < y").select("key", "size", F.ceil(F.col("held") / (2 * block)).cast("int").alias("parts")))
     turn = F.pmod(F.xxhash64("doc_id"), "parts").cast("int")
     meet = (long.join(dealt, ["key", "size"]).withColumn("turn", turn)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

@@ -13,7 +13,7 @@ def expected(rows, k, percent):
 
 
 @pytest.mark.parametrize("k, percent, sketch, listed, block, short", [
-    (4, 80, 256, 64, 512, 64), (5, 80, 128, 128, 8, 3), (4, 90, 256, 48, 16, 2), (4, 70, 128, 64, 64, 0)])
+    (4, 80, 192, 64, 512, 64), (5, 80, 128, 128, 8, 3), (4, 90, 256, 48, 16, 2), (4, 70, 128, 64, 64, 0)])
 def test_components_equal_brute_force(spark, k, percent, sketch, listed, block, short):
     """Also with lists so short that all go by blocks, and groups of copies."""
     texts = [*near_copies(60, 1), *near_copies(40, 2, 200, 25), *near_copies(30, 3, 900, 60), *near_copies(25, 4, 900, 150),
