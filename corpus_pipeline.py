@@ -22,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import table, written
+from dayledger.llm.common import small_batches, table, written
 from dayledger.llm.op1_quality import good_documents
 from dayledger.llm.op4_signature_tree import similar_components
 from dayledger.llm.op5_substring_dedup import cut_documents
@@ -40,6 +40,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)  # for all stages of the session
     return good_documents(docs.select(*COLUMNS), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
@@ -71,7 +72,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), text=False)
+    return encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), text=False, cache_entries=50_000)
 
 
 STAGES = [
