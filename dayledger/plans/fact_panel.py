@@ -1,8 +1,8 @@
 """The dense panel over all facts: eleven channels of five kinds in one long form
 (PNL-01..03 and FCT-12 with eleven channels and twenty-two dependencies).
 
-Every fact becomes long rows (user, day, channel, item, rows, flagged) and one
-aggregate turns these into a column a channel, whatever the channel measures:
+Every fact becomes rows of a column a channel (from long rows: user, day, channel,
+item, rows, flagged) that one aggregate sums, whatever the channel measures:
 
 ROWS     the number of rows, and of those flagged (deliveries and completions);
 ITEMS    the number of different items, and of those with a flag (scores);
@@ -11,9 +11,10 @@ STREAMS  the number of flagged items, 0 to 5 (streams that measured something):
 CARRIED  one row a day whose own columns go along (the day's analysis).
 
 Order of work, so that no hot key meets a join with all its rows: rows of
-records that only know their serial are counted by (serial, day, channel, item)
-before the serial meets its user; then everything is counted by (user, day, channel,
-item) and, with the cohort's semi join on that aggregate, by (user, day).
+records that only know their serial are counted by (serial, day), scores by (serial,
+day, item), before the serial meets its user; items are told apart by (user, day,
+item); then everything is summed by (user, day), and the cohort's semi join
+meets that aggregate.
 
 Binding. The order history (1995-2001) lies before the cohort's events (January
 2024), and a dense panel of both would hold three decades of empty days. The
@@ -98,6 +99,8 @@ DEPENDENCIES = (
     ("integrated_analysis", "events", "public", "events_props", "INCREMENTAL"),
     ("irs_score", "sales", "scores", "lineitem_scores", "INCREMENTAL"),
 )
+#: The panel's raw columns: what a day holds of each channel, and the carried ones.
+WIDE = {f"raw_{c}": "bigint" for ch in CHANNELS for c in (ch.value_col, ch.done_col) if c} | CARRIED_COLUMNS
 READING_TARGETS = ("quantity", "extended_price", "discount", "tax")
 
 LONG = ["ymd_date", "channel_code", "item", "n_rows", "n_flagged", *CARRIED_COLUMNS]
@@ -139,29 +142,54 @@ def analysis_rows(spark: SparkSession, sf: str) -> DataFrame:
                        json_text("props", "k").alias("signature_code"), F.col("event_id").cast("bigint").alias("signature_event_id"))
 
 
+def _wide(key: str, frame: DataFrame) -> DataFrame:
+    """``frame`` (the key, ymd_date and some of the panel's raw columns) with all of them."""
+    return frame.select(key, "ymd_date", *[(F.col(c) if c in frame.columns else F.lit(None)).cast(t).alias(c) for c, t in WIDE.items()])
+
+
+def widened(rows: DataFrame, channels=CHANNELS) -> DataFrame:
+    """Long rows as rows of the panel's raw columns: each holds its channel's value
+    by the measure, NULL for the others; their sums are the day's values."""
+    value = {ROWS: F.col("n_rows"), CARRIED: F.col("n_rows"), ITEMS: F.lit(1), STREAMS: (F.col("n_flagged") > 0).cast("bigint")}
+    flagged = {ROWS: F.col("n_flagged"), ITEMS: (F.col("n_flagged") > 0).cast("bigint")}
+    cols: list[Column] = []
+    for c in channels:
+        mine = F.col("channel_code") == c.code
+        cols.append(F.when(mine, value[c.measure]).cast("bigint").alias(f"raw_{c.value_col}"))
+        if c.done_col:
+            cols.append(F.when(mine, flagged[c.measure]).cast("bigint").alias(f"raw_{c.done_col}"))
+    return rows.select("user_id", "ymd_date", *cols, *CARRIED_COLUMNS)
+
+
 def delivery_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Links created and routines delivered: one read of the deliveries."""
-    d = B.deliveries(spark, sf)
-    one = F.lit(True)
-    links = _long("user_id", d, replayed(tu.local_date("delivered_at")), ("share_created", F.lit(None), F.lit(False), one))
-    routines = _long("user_id", d, replayed("ymd_date"), ("coaching", F.lit(None), F.col("completed_at").isNotNull(), one))
-    return links.unionByName(routines)
+    """Links created and routines delivered: one pass over the deliveries."""
+    none, one = F.lit(None).cast("int"), F.lit(1)
+    cell = lambda day, created, delivered, done: F.struct(
+        day.alias("ymd_date"), created.alias("raw_share_links_created"), delivered.alias("raw_routines_delivered"), done.alias("raw_routines_completed"))
+    cells = F.array(cell(replayed(tu.local_date("delivered_at")), one, none, none),
+                    cell(replayed("ymd_date"), none, one, F.col("completed_at").isNotNull().cast("int")))
+    return _wide("user_id", B.deliveries(spark, sf).select("user_id", F.inline(cells)))
 
 
 def serial_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Records that know their serial only (interactions, meals, scores, readings),
-    counted by serial first, then given to the serial's user."""
+    """Records that know their serial only (interactions, meals, readings; scores),
+    counted by serial first, then given to the serial's user. Records that are
+    only counted make one narrow row a serial and day, scores one an item."""
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_shipdate", "l_quantity", "l_returnflag"]).withColumnRenamed("l_orderkey", "user_lifelog_sn")
-    no, one = F.lit(False), F.lit(True)
+    parent = B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull()).select("user_lifelog_sn", "user_id")
     local, day = replayed(tu.local_date("l_shipdate")), replayed(F.to_date("l_shipdate"))
-    kept = ~F.col("l_returnflag").eqNullSafe("R")
-    records = _long("user_lifelog_sn", li, local, ("share_interaction", F.lit(None), no, one), ("meal", F.lit(None), no, kept))
+    none, one = F.lit(None).cast("int"), F.lit(1)
+    kept = F.when(~F.col("l_returnflag").eqNullSafe("R"), one)
+    records = li.select("user_lifelog_sn", local.alias("ymd_date"), one.alias("interactions"), kept.alias("meals"), none.alias("readings"))
+    readings = FT.staged_reading_counts(spark, sf).select("user_lifelog_sn", replayed(tu.local_date("measured_at")).alias("ymd_date"), none, none, "n_readings")
+    counted = records.union(readings).where(F.col("ymd_date").isNotNull()).groupBy("user_lifelog_sn", "ymd_date").agg(
+        F.sum("interactions").alias("raw_share_interaction_events"), F.sum("meals").alias("raw_meal_records"), F.sum("readings").alias("raw_manual_measurements"))
     scored = (F.col("l_quantity") * 2).cast("int").isNotNull()
-    scores = _long("user_lifelog_sn", li, day, ("irs_score", F.col("l_partkey"), scored, F.col("l_partkey").isNotNull()))
-    readings = _long("user_lifelog_sn", FT.staged_readings(spark, sf), replayed(tu.local_date("measured_at")), ("measurement", F.lit(None), no, one))
-    counted = _counted(union_all([records, scores, readings]), "user_lifelog_sn")
-    parent = B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull()).select("user_lifelog_sn", "user_id")
-    return counted.join(parent, "user_lifelog_sn").select("user_id", *LONG)
+    items = (li.where(F.col("l_partkey").isNotNull()).select("user_lifelog_sn", day.alias("ymd_date"), F.col("l_partkey").alias("item"), scored.cast("int").alias("scored"))
+             .where(F.col("ymd_date").isNotNull()).groupBy("user_lifelog_sn", "ymd_date", "item").agg(F.max("scored").alias("scored")))
+    theirs = (items.join(parent, "user_lifelog_sn").groupBy("user_id", "ymd_date", "item").agg(F.max("scored").alias("scored"))
+              .select("user_id", "ymd_date", F.lit(1).alias("raw_diseases_scored"), F.col("scored").alias("raw_diseases_with_irs_score")))
+    return _wide("user_id", counted.join(parent, "user_lifelog_sn")).unionByName(_wide("user_id", theirs))
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
@@ -172,25 +200,25 @@ def _counted(rows: DataFrame, key: str) -> DataFrame:
 
 
 def fact_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """All facts in one long form, counted by (user, day, channel, item); not yet guarded."""
-    parts = [x.select("user_id", *LONG) for x in (event_rows(spark, sf), analysis_rows(spark, sf), delivery_rows(spark, sf), serial_rows(spark, sf))]
-    return _counted(union_all(parts).where(F.col("user_id").isNotNull() & F.col("ymd_date").isNotNull()), "user_id")
+    """All facts as rows of the panel's raw columns, whose sums by (user, day) are
+    the day's values; not yet guarded. Events are counted by (user, day, channel,
+    item) first, scores by (user, day, item)."""
+    observed = union_all([_counted(event_rows(spark, sf), "user_id"), analysis_rows(spark, sf).select("user_id", *LONG)])
+    parts = [widened(observed), delivery_rows(spark, sf), serial_rows(spark, sf)]
+    return union_all([p.select("user_id", "ymd_date", *WIDE) for p in parts]).where(F.col("user_id").isNotNull() & F.col("ymd_date").isNotNull())
+
+
+def daily_totals(rows: DataFrame) -> DataFrame:
+    """One row a user and day: the sums of the raw columns, NULL where the channel
+    has no row that day."""
+    # a single row a day carries the carried columns: the largest is the only one
+    return rows.groupBy("user_id", "ymd_date").agg(
+        *[(F.max(c) if c in CARRIED_COLUMNS else F.sum(c).cast("bigint")).alias(c) for c in rows.columns if c not in ("user_id", "ymd_date")])
 
 
 def daily_values(rows: DataFrame, channels=CHANNELS) -> DataFrame:
-    """One row a user and day: each channel's value by its measure, NULL where the
-    channel has no row that day."""
-    value = {ROWS: F.col("n_rows"), CARRIED: F.col("n_rows"), ITEMS: F.lit(1), STREAMS: (F.col("n_flagged") > 0).cast("bigint")}
-    flagged = {ROWS: F.col("n_flagged"), ITEMS: (F.col("n_flagged") > 0).cast("bigint")}
-    aggs: list[Column] = []
-    for c in channels:
-        mine = F.col("channel_code") == c.code
-        aggs.append(F.sum(F.when(mine, value[c.measure])).cast("bigint").alias(f"raw_{c.value_col}"))
-        if c.done_col:
-            aggs.append(F.sum(F.when(mine, flagged[c.measure])).cast("bigint").alias(f"raw_{c.done_col}"))
-    # a single row a day carries them: the largest is the only one
-    aggs += [F.max(c).alias(c) for c in CARRIED_COLUMNS]
-    return rows.groupBy("user_id", "ymd_date").agg(*aggs)
+    """``daily_totals`` of long rows (user, day, channel, item, rows, flagged)."""
+    return daily_totals(widened(rows, channels))
 
 
 def control_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,14 +247,18 @@ def control_rows(spark: SparkSession, sf: str) -> DataFrame:
 def _daily(spark: SparkSession, sf: str, users: DataFrame) -> DataFrame:
     """The guarded daily values, written once: bounds, frontiers and panel read them."""
     ensure_checkpoint_dir(spark)
-    guarded = fact_rows(spark, sf).join(users.select("user_id"), "user_id", "left_semi")
-    return daily_values(guarded).checkpoint(eager=True)
+    return guarded_totals(spark, sf, users).checkpoint(eager=True)
+
+
+def guarded_totals(spark: SparkSession, sf: str, users: DataFrame) -> DataFrame:
+    """The daily values of the cohort: the guard meets a row a user and day."""
+    return daily_totals(fact_rows(spark, sf)).join(users.select("user_id"), "user_id", "left_semi")
 
 
 def load_status(spark: SparkSession, sf: str, daily: DataFrame | None = None) -> DataFrame:
     """FCT-12 over eleven channels and twenty-two dependencies."""
     if daily is None:
-        daily = daily_values(fact_rows(spark, sf).join(dim_user(spark, sf).select("user_id"), "user_id", "left_semi"))
+        daily = guarded_totals(spark, sf, dim_user(spark, sf))
     return LS.channel_load_status(spark, sf, control=control_rows(spark, sf), frontiers=P.daily_frontiers(daily, CHANNELS), deps_list=DEPENDENCIES)
 
 
