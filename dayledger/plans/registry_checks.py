@@ -136,7 +136,7 @@ def _dq18(spark, sf):
 def _dq19(spark, sf):
     """DQ-19 with parents that are missing."""
     parents = B.lifelog_parent(spark, sf).where(F.col("user_id").isNotNull() & ~_hit("user_lifelog_sn", 17))
-    return C.unattributed(FT.staged_readings(spark, sf), parents, "user_lifelog_sn")
+    return FT.staged_readings(spark, sf, C.unattributed(B.readings_source(spark, sf), parents, "user_lifelog_sn"))
 
 
 @register("dq20_damaged", with_ctes(["fact_ev", "coaching"], f"""
