@@ -28,6 +28,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import public_tokenizers
@@ -50,6 +51,11 @@ CHUNK_DDL = ("part int, chunk int, first long, n_ids long, doc_ids array<long>,
              "block_starts array<long>, payload binary")
 
 
+def little(ids: list[int]) -> bytes:
+    """Ids as little-endian uint32."""
+    return pack_ids(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them, with a bounded memory
     of pre-tokens."""
@@ -62,7 +68,10 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.byte_char = str.maketrans(dict(enumerate(byte_alphabet())))
-        self.special = re.compile("|".join(re.escape(t) for t, _ in specials(path)) or "(?!)").search
+        added = [t for t, _ in specials(path)]
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
+        # a piece of letters alone is one pre-token, unless a special string is letters alone
+        self.plain_words = not any(t.isalpha() for t in added)
         self.cache = Bounded(entries)
         self.known = Bounded(entries // 2)
 
@@ -70,22 +79,25 @@ class Encoder:
         """Little-endian uint32 ids of one lower-case pre-token."""
         if (ids := self.cache.get(p)) is None:
             mapped = p.encode("utf-8").decode("latin-1").translate(self.byte_char)
-            ids = self.cache.put(p, np.array([t.id for t in self.library.model.tokenize(mapped)], "<u4").tobytes())
+            ids = self.cache.put(p, little([t.id for t in self.library.model.tokenize(mapped)]))
         return ids
 
     def piece(self, text: str) -> bytes:
-        if (ids := self.known.get(text)) is None:
-            if PLAIN(text) and not self.special(text):
-                ids = b"".join([self.pretoken(p) for p in WORD_PATTERN.findall(text.lower())])
-            else:
-                ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            self.known.put(text, ids)
-        return ids
+        """Little-endian uint32 ids of a piece that is not yet known."""
+        if self.plain_words and text.isascii() and text.isalpha():
+            ids = self.pretoken(text.lower())
+        elif PLAIN(text) and not self.special(text):
+            get = self.cache.get
+            ids = b"".join([get(p) or self.pretoken(p) for p in WORD_PATTERN.findall(text.lower())])
+        else:
+            ids = little(self.library.encode(text, add_special_tokens=False).ids)
+        return self.known.put(text, ids)
 
     def texts(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the ids of each text."""
         distinct, index, offs = pieces(col, single_space=False)
-        coded = list(map(self.piece, distinct))
+        known, piece = self.known.get, self.piece
+        coded = [known(p) or piece(p) for p in distinct]
         if end is not None:  # one more piece at each text's end
             coded.append(np.array([end], "<u4").tobytes())
             index = np.insert(index, offs[1:], len(distinct))

@@ -93,3 +93,20 @@ def test_merges_that_overlap():
     v = op10.Vocabulary(WORD)
     for text in ("aaaaaaa", "ababababab", "x", "thththth", "zzzzzzzzzzzzzzzzzzz"):
         assert v.encode_units([text.encode()] * 2) == [_ids(WORD, text)] * 2
+
+
+def test_words_are_not_split_and_give_the_library_s_ids(monkeypatch):
+    """Pieces of letters alone are one pre-token: the pattern isn't asked."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORD)
+    encoder = op8.Encoder(WORD, 100)
+    texts = ["Hello", "straightforward", "X", "a1b", "don't", "na\u00efve", "\u0130stanbul"]
+    for text in texts:
+        want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.piece(text) == want and encoder.piece(text) == want
+    class Refused:
+        def findall(self, text):
+            raise AssertionError(text)
+    monkeypatch.setattr(op8, "WORD_PATTERN", Refused())
+    assert encoder.piece("Unheard") and encoder.piece("hello")
