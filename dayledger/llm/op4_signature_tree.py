@@ -54,7 +54,7 @@ from dayledger.llm.common import batch_of, fresh_worker, most_frequent, slices,
 from dayledger.llm.graph import EDGES, Sets, components
 from dayledger.llm.textops import gram_hashes, mix, ragged, row_of, utf8, word_hashes, words
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 LEAF = 32
 #: Buckets of a document: its smallest shingles under this many orders.
 BUCKETS = 4
