@@ -4,7 +4,9 @@ earlier document, found by compressed full-text indexes.
 A window is ``window`` consecutive words. Each window's anchor is the smallest
 hash among its short grams, so equal windows have equal anchors wherever they
 occur; consecutive windows of one anchor form a segment. Shards are made by
-anchor, so every place of a window's words is in one shard.
+anchor, so every place of a window's words is in one shard. Places of one content
+in one document that follow each other within a window (a phrase said over and
+over) are one place, from the first to the last: what is cut of them touches.
 
 1. Each map task sends its segments' anchors, places and content hashes to the
    shards (packed arrays, no words). A shard keeps anchors of several documents
@@ -64,8 +66,8 @@ def content_hashes(h: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarra
 
 def segments(col: pa.Array, window: int, hot: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Runs of consecutive windows with one anchor: row, first word in the row,
-    windows, anchor and content hash. Under the ``hot`` anchors (ascending) each
-    window is a segment of its own and its hash the anchor."""
+    windows, anchor, content hash and reach (see ``_chained``). Under the ``hot``
+    anchors (ascending) each window is a segment of its own and its hash the anchor."""
     data, offs = utf8(col)
     starts, ends, counts = words(data, offs)
     h = word_hashes(data, starts, ends, lower=False)
@@ -74,7 +76,7 @@ def segments(col: pa.Array, window: int, hot: np.ndarray | None = None) -> dict[
     width = window - gram + 1
     none = np.zeros(0, np.int64)
     if len(grams) < width:
-        return dict(row=none, start=none, windows=none, anchor=none.view(np.uint64), content=none.view(np.uint64))
+        return dict(row=none, start=none, windows=none, anchor=none.view(np.uint64), content=none.view(np.uint64), reach=none)
     at = np.empty(len(grams) - width + 1, np.int64)
     view = np.lib.stride_tricks.sliding_window_view(grams, width)
     for lo in range(0, len(at), 1 << 18):
@@ -95,7 +97,25 @@ def segments(col: pa.Array, window: int, hot: np.ndarray | None = None) -> dict[
     anchor, content = grams[at[first]], content_hashes(h, start, n + window - 1)
     own = split[first]
     anchor[own] = mix(anchor[own] * FACTOR + content[own])
-    return dict(row=row[first], start=start - counts[row[first]], windows=n, anchor=anchor, content=content)
+    return _chained(dict(row=row[first], start=start - counts[row[first]], windows=n, anchor=anchor, content=content), window)
+
+
+def _chained(s: dict[str, np.ndarray], window: int) -> dict[str, np.ndarray]:
+    """Segments (by row and start) with those of one row and content that start at
+    most ``window`` words after each other as one: the first, and the words from
+    its start to the last one's (``reach``)."""
+    key = mix(s["anchor"] * FACTOR + s["content"]) * FACTOR + s["row"].astype(np.uint64)
+    order = np.argsort(key, kind="stable")
+    link = np.zeros(len(key), bool)
+    twice = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    one, two = order[twice], order[twice + 1]
+    link[twice + 1] = (s["start"][two] - s["start"][one] <= window) & np.logical_and.reduce(
+        [s[p][one] == s[p][two] for p in ("row", "anchor", "content", "windows")])
+    head = np.flatnonzero(~link)
+    first, last = order[head], order[np.append(head[1:], len(key))[:len(head)] - 1]
+    back = np.argsort(first)
+    first, last = first[back], last[back]
+    return {p: v[first] for p, v in s.items()} | {"reach": s["start"][last] - s["start"][first]}
 
 
 def _anchor_counts(window: int, per_task: int):
@@ -126,7 +146,7 @@ def hot_anchors(docs: DataFrame, window: int, least: int, entries: int = 100_000
     return np.sort(np.asarray(most_frequent(counts, "n", entries).toArrow()["s"]).view(np.uint64))
 
 
-RUN_PARTS = (("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("windows", "<i4"))
+RUN_PARTS = (("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("windows", "<i4"), ("reach", "<i4"))
 
 
 def _runs(window: int, shards: int, hot):
@@ -149,18 +169,18 @@ def _runs(window: int, shards: int, hot):
                 parts = {p: s[p][at].astype(kind) for p, kind in RUN_PARTS}
                 parts["doc"] = np.diff(parts["doc"], prepend=0).astype("<i8")
                 yield batch_of(schema, shard=[k], n=[len(at)], anchor=[parts["anchor"].tobytes()], content=[parts["content"].tobytes()],
-                               **{p: [press.compress(parts[p].tobytes())] for p in ("doc", "tag", "start", "windows")})
+                               **{p: [press.compress(parts[p].tobytes())] for p in ("doc", "tag", "start", "windows", "reach")})
 
     return run
 
 
-PLACE_DDL = "shard int, anchor long, content long, doc_id long, tag long, start int, windows int, stands boolean, later boolean"
+PLACE_DDL = "shard int, anchor long, content long, doc_id long, tag long, start int, windows int, reach int, stands boolean, later boolean"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's segments of anchors that several documents hold."""
     schema = pa.schema([("shard", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
-                        ("start", pa.int32()), ("windows", pa.int32()), ("stands", pa.bool_()), ("later", pa.bool_())])
+                        ("start", pa.int32()), ("windows", pa.int32()), ("reach", pa.int32()), ("stands", pa.bool_()), ("later", pa.bool_())])
     open_ = zstandard.ZstdDecompressor()
 
     def close(shard: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +200,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(at), 50_000):
             i = at[lo:lo + 50_000]
             yield batch_of(schema, shard=np.full(len(i), shard), anchor=x["anchor"][i].view(np.int64), content=x["content"][i].view(np.int64),
-                           doc_id=x["doc"][i], tag=x["tag"][i], start=x["start"][i], windows=x["windows"][i], stands=lead[i], later=later[i])
+                           doc_id=x["doc"][i], tag=x["tag"][i], start=x["start"][i], windows=x["windows"][i], reach=x["reach"][i], stands=lead[i], later=later[i])
 
     held: list[dict] = []
     now = None
@@ -291,7 +311,8 @@ def _search(window: int):
 
 
 def _spans(window: int):
-    """Places with their content's answer: the spans of words to remove."""
+    """Places with their content's answer: the spans of words to remove. Each is a
+    window long at least, so that of a place with reach is one to its last."""
     schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,8 +327,8 @@ def _spans(window: int):
             doc = np.asarray(batch.column("doc_id"))[row]
             gone = least < doc
             a = np.asarray(batch.column("start")).astype(np.int64)[row][gone] + begin[gone]
-            tag = np.asarray(batch.column("tag"))[row]
-            yield batch_of(schema, doc_id=doc[gone], tag=tag[gone], a=a, b=a + times[gone] + window - 1)
+            tag, reach = np.asarray(batch.column("tag"))[row], np.asarray(batch.column("reach")).astype(np.int64)[row]
+            yield batch_of(schema, doc_id=doc[gone], tag=tag[gone], a=a, b=a + reach[gone] + times[gone] + window - 1)
 
     return run
 
@@ -353,8 +374,8 @@ def repeated_spans(docs: DataFrame, window: int, small: int = 1_000_000, hot: in
     answers = contents.mapInArrow(_search(window), ANSWER_DDL)
     # a copy in a later document than its content's first is gone whatever the answer
     whole = places.where("later").select("doc_id", "tag", F.col("start").alias("a"),
-                                         (F.col("start") + F.col("windows") + F.lit(window - 1)).cast("int").alias("b"))
-    found = (places.where("not later").select("anchor", "content", "doc_id", "tag", "start").join(answers, ["anchor", "content"])
+                                         (F.col("start") + F.col("reach") + F.col("windows") + F.lit(window - 1)).cast("int").alias("b"))
+    found = (places.where("not later").select("anchor", "content", "doc_id", "tag", "start", "reach").join(answers, ["anchor", "content"])
              .mapInArrow(_spans(window), "doc_id long, tag long, a int, b int"))
     spans = (whole.union(found)
              .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))

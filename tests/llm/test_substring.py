@@ -101,3 +101,24 @@ def test_hot_anchors_are_split(spark):
     rows = docs.union(odd_documents(spark).select("doc_id", "text")).collect()
     want = {(r.doc_id, r.text, n - len(kept)) for r, (_, kept, n) in zip(rows, brute(rows, 13), strict=True) if n > len(kept)}
     assert cut == want
+
+
+@pytest.mark.parametrize("phrase", [1, 2, 5, 13, 14, 40])
+def test_a_phrase_said_over_and_over_is_one_place(spark, phrase):
+    """The pipeline's check: documents of one repeated phrase made a row a window."""
+    said = [f"w{i}" for i in range(phrase)]
+    texts = [" ".join([f"a{d}", f"b{d}"] + said * 60 + [f"c{d}"] + said * (d % 3 * 20) + [f"e{d}"]) for d in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for hot in (None, np.arange(0)):
+        found = op.segments(pa.array(texts, pa.large_string()), 13, hot)
+        if phrase <= 13:
+            assert len(found["row"]) < 12 * (2 * phrase + 40) and (found["reach"] > 0).any()
+    every = np.unique(op.segments(pa.array(texts, pa.large_string()), 13)["anchor"])
+    split = op.segments(pa.array(texts, pa.large_string()), 13, every)
+    assert phrase > 13 or len(split["row"]) < 12 * (2 * phrase + 40)
+    want = {(i, n - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest()) for i, kept, n in brute(docs.collect(), 13)}
+    plain = {(r.doc_id, r.n_removed, r.kept_sha256) for r in op.substring_digests(docs).collect()}
+    assert plain == want
+    spans = op.repeated_spans(docs, 13, hot=1)  # every anchor's windows dealt by their own hashes
+    gone = {r.doc_id: int((~op.keep_mask(pa.array([s.asDict() for s in r.spans]), len(words(r.text)))).sum()) for r in spans.collect()}
+    assert {(i, n) for i, n, _ in want if n} == set(gone.items())
