@@ -19,7 +19,7 @@ from dayledger.functions.keys import event_key, key_text
 from dayledger.operators import staging as S
 from dayledger.plans import bindings as B
 from dayledger.plans.dims import cohort_ids
-from dayledger.sources.tables import read_table
+from dayledger.sources.tables import dealt, read_table
 
 APP_OFFSET = 700_000
 
@@ -154,6 +154,7 @@ def stage_source(spark: SparkSession, sf: str) -> DataFrame:
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag"])
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
     start = F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(14), mins=F.col("l_linenumber").cast("int") * 30)
+    li, o = dealt(spark, sf, "lineitem", (li, "l_orderkey"), (o, "o_orderkey"))
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     return j.select(F.col("l_orderkey").alias("sleep_sn"), F.col("l_returnflag").alias("stage_code"), start.alias("started_at"),
                     (start + F.expr("INTERVAL 30 MINUTES")).alias("ended_at"))
