@@ -27,22 +27,28 @@ from __future__ import annotations
 import os
 import re
 import zlib
+import string
 from collections.abc import Iterator
+from itertools import pairwise
 from struct import pack as pack_ids
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayledger.llm.common import batch_of, new_path, slices, table, worker_cache
-from dayledger.llm.pretokens import PLAIN, WORD_PATTERN, Bounded, byte_alphabet, pieces, specials, sums
-from dayledger.llm.textops import ragged
+from dayledger.llm.pretokens import LETTERS, PLAIN, WORD_PATTERN, Bounded, byte_alphabet, chunks, numbered, specials, sums
+from dayledger.llm.textops import ragged, utf8
 
 BLOCK = 128
 SLICE = 8 << 20
+#: Pre-tokens in one call of the library.
+TOGETHER = 20_000
+MARKS = string.punctuation
 CHUNK = pa.schema([
     ("part", pa.int32()), ("chunk", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
     ("doc_ids", pa.list_(pa.int64())), ("doc_lens", pa.list_(pa.int64())),
@@ -63,15 +69,25 @@ class Encoder:
     def __init__(self, path: str, entries: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.byte_char = str.maketrans(dict(enumerate(byte_alphabet())))
+        # the same model over pre-tokens that are already cut, one a line
+        self.lines = Tokenizer(self.library.model)
+        self.lines.pre_tokenizer = WhitespaceSplit()
+        self.line_char = self.byte_char | {10: "\n"}
+        suffix, vocabulary = self.library.model.end_of_word_suffix, self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         added = [t for t, _ in specials(path)]
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
-        # a piece of letters alone is one pre-token, unless a special string is letters alone
+        # a piece of letters alone is one pre-token, unless a special string is letters alone;
+        # marks that follow the letters are another, unless one is letters and such marks
         self.plain_words = not any(t.isalpha() for t in added)
+        self.plain_ends = not any(re.fullmatch(f"[{LETTERS}]*[{re.escape(MARKS)}]*", t) for t in added)
         self.cache = Bounded(entries)
         self.known = Bounded(entries // 2)
 
@@ -93,17 +109,59 @@ class Encoder:
             ids = little(self.library.encode(text, add_special_tokens=False).ids)
         return self.known.put(text, ids)
 
+    def together(self, words: list[str]) -> list[bytes]:
+        """``pretoken`` of each of the distinct words; the library is asked once for all new ones."""
+        coded = list(map(self.cache.get, words))
+        at = [i for i, ids in enumerate(coded) if ids is None]
+        for part in chunks(at, TOGETHER):
+            new = [words[i] for i in part]
+            mapped = "\n".join(new).encode("utf-8").decode("latin-1").translate(self.line_char)
+            ids = np.array(self.lines.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(new):
+                raw = ids.tobytes()
+                for i, (a, b) in zip(part, pairwise([0, *(4 * ends).tolist()]), strict=True):
+                    coded[i] = self.cache.put(words[i], raw[a:b])
+            else:  # a vocabulary that doesn't mark where a word ends
+                for i in part:
+                    coded[i] = self.pretoken(words[i])
+        return coded
+
+    def distinct(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of distinct pieces one after the other, and the ids of each
+        piece. Pieces of plain letters and marks that may follow them share
+        their words: each word is looked up once, in whatever case and before
+        whatever marks it stands."""
+        word = pc.ascii_rtrim(found, MARKS)
+        simple = np.asarray(pc.match_substring_regex(word, f"^[{LETTERS}]+$")) & self.plain_ends
+        lone = np.flatnonzero(~simple)
+        known, piece = self.known.get, self.piece
+        coded = [known(p) or piece(p) for p in found.take(pa.array(lone)).to_pylist()]
+        units = np.zeros((len(found), 2), np.int64)  # numbers of a piece's one or two units; 0: none
+        units[lone, 0] = 1 + np.arange(len(lone))
+        raw, offs = utf8(found)
+        size, marks = np.diff(offs), np.asarray(pc.binary_length(found)) - np.asarray(pc.binary_length(word))
+        tail = np.flatnonzero(simple & (marks > 0))
+        ends = np.concatenate([[0], np.cumsum(marks[tail])])
+        cut = pa.LargeStringArray.from_buffers(len(tail), pa.py_buffer(ends.astype(np.int64)),
+                                               pa.py_buffer(ragged(raw, (offs[:-1] + size - marks)[tail], marks[tail]).tobytes()))
+        for column, at, strings in ((0, np.flatnonzero(simple), pc.utf8_lower(word.filter(pa.array(simple)))), (1, tail, cut)):
+            number = strings.dictionary_encode()
+            units[at, column] = 1 + len(coded) + np.asarray(number.indices)
+            coded += self.together(number.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lens = np.fromiter(map(len, [b"", *coded]), np.int64, 1 + len(coded)) // 4
+        starts = np.cumsum(lens) - lens
+        each = lens[units]
+        return ragged(np.frombuffer(b"".join(coded), "<u4"), starts[units].ravel(), each.ravel()), each.sum(1)
+
     def texts(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the ids of each text."""
-        distinct, index, offs = pieces(col, single_space=False)
-        known, piece = self.known.get, self.piece
-        coded = [known(p) or piece(p) for p in distinct]
+        found, index, offs = numbered(col, single_space=False)
+        flat, lens = self.distinct(found)
         if end is not None:  # one more piece at each text's end
-            coded.append(np.array([end], "<u4").tobytes())
-            index = np.insert(index, offs[1:], len(distinct))
+            flat, lens = np.append(flat, np.array([end], "<u4")), np.append(lens, 1)
+            index = np.insert(index, offs[1:], len(found))
             offs = offs + np.arange(len(offs))
-        lens = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        flat = np.frombuffer(b"".join(coded), "<u4")
         starts = np.cumsum(lens) - lens
         return ragged(flat, starts[index], lens[index]), sums(lens[index], offs)
 

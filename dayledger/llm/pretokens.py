@@ -42,7 +42,7 @@ def specials(path: str) -> list[tuple[str, int]]:
         return [(t["content"], t["id"]) for t in json.load(f)["added_tokens"]]
 
 
-def pieces(col: pa.Array, single_space: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+def numbered(col: pa.Array, single_space: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct pieces of the texts, the number of each piece in turn, and the
     pieces before each text (one more entry than texts). Pieces are cut at
     every space (``single_space``; empty pieces count) or at runs of ASCII
@@ -51,7 +51,13 @@ def pieces(col: pa.Array, single_space: bool) -> tuple[list[str], np.ndarray, np
     offs = np.asarray(split.offsets, dtype=np.int64)
     coded = split.flatten().dictionary_encode()
     offs = offs - offs[0]
-    return coded.dictionary.to_pylist(), np.asarray(coded.indices, dtype=np.int64), offs
+    return coded.dictionary, np.asarray(coded.indices, dtype=np.int64), offs
+
+
+def pieces(col: pa.Array, single_space: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``numbered`` with the distinct pieces as a list."""
+    distinct, index, offs = numbered(col, single_space)
+    return distinct.to_pylist(), index, offs
 
 
 class Bounded(dict):

@@ -110,3 +110,21 @@ def test_words_are_not_split_and_give_the_library_s_ids(monkeypatch):
             raise AssertionError(text)
     monkeypatch.setattr(op8, "WORD_PATTERN", Refused())
     assert encoder.piece("Unheard") and encoder.piece("hello")
+
+
+def test_words_share_a_lookup_in_any_case_and_before_any_marks(monkeypatch):
+    """A slice's words of plain letters go to the library together, whatever marks follow them."""
+    import pyarrow as pa
+
+    texts = ["Word word, WORD. word!!! Élan élan; µ's", "", "don't foo' foo.'s foo's. a<|endoftext|> ª, ß) x1 x1, ...",
+             "İstanbul, <|startoftext|> Σς. é, naïve-- tail>", "word" * 50 + ",", "  "]
+    col = pa.array(texts, pa.large_string())
+    for entries in (1000, 2):
+        flat, lens = op8.Encoder(WORD, entries).texts(col, end=1)
+        want = [_ids(WORD, t) + [1] for t in texts]
+        assert lens.tolist() == list(map(len, want)) and flat.tolist() == sum(want, [])
+    encoder = op8.Encoder(WORD, 1000)
+    for one_by_one in ("piece", "pretoken"):
+        monkeypatch.setattr(encoder, one_by_one, lambda text: pytest.fail(text))
+    flat, _ = encoder.texts(pa.array(["Unheard unheard, UNHEARD!", "élan. Élan"], pa.large_string()))
+    assert flat.tolist() == _ids(WORD, "Unheard unheard, UNHEARD!") + _ids(WORD, "élan. Élan")
