@@ -39,19 +39,22 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.common import table, written
 
-#: The letters of a word.
-RUN = "[A-Za-z\\u00C0-\\u00FF]+"
+#: A letter of a word.
+LETTER = "[A-Za-z\\u00C0-\\u00FF]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def word_counts(docs: DataFrame, least_length: int, least_n: int, drop: int) -> DataFrame:
     """(word, n): the runs of letters of all texts, of which the documents of one
     hash in ``drop`` lose a letter."""
+    # a run that is too short is passed over inside the pattern and never becomes a row
+    run = F.lit(f"{LETTER}{{{max(least_length, 1)},}}")
     runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
-                       F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(RUN), F.lit(0))).alias("run"))
-    # only a run with a capital pays for the translation
-    lower = F.when(F.col("run").rlike("[A-Z]"), F.translate("run", UPPER, UPPER.lower())).otherwise(F.col("run"))
-    runs = runs.select("id", lower.alias("run")).where(F.length("run") >= least_length)
+                       F.explode(F.regexp_extract_all(F.col("text").cast("string"), run, F.lit(0))).alias("run"))
+    # only a run with a capital and other letters than ASCII's pays for the translation
+    lower = (F.when(F.octet_length("run") == F.length("run"), F.lower("run"))
+             .when(F.col("run").rlike("[A-Z]"), F.translate("run", UPPER, UPPER.lower())).otherwise(F.col("run")))
+    runs = runs.select("id", lower.alias("run"))
     hashed = runs.select("run", F.crc32(F.concat_ws(":", "id", "run").cast("binary")).alias("h"))
     gone = "cast(h % length(run) as int)"
     word = F.when(F.col("h") % drop == 0, F.expr(f"concat(substring(run, 1, {gone}), substring(run, {gone} + 2))")).otherwise(F.col("run"))
@@ -113,13 +116,16 @@ def _started(paths: DataFrame, edges: DataFrame) -> DataFrame:
     states = (paths.select("side", "s", "size", F.explode("steps").alias("at")).where("at >= size div 2")
               .select("side", "s", "size", "at", F.expr(NODE.format(i="at")).alias("node")))
     shorter = states.where("at = size - 1").withColumn("at", F.col("size"))  # without its last letter
-    met = states.join(edges, "node").where("letter <> substring(s, at + 1, 1)")
-    rest = "substring(label, 2) = substring(s, at + {}, length(label) - 1)"
-    to = {"at + length(label)": "at < size and " + rest.format(2),  # the first letter replaced,
-          "at + length(label) - 1": rest.format(1),  # or inserted
-          "at + 1 + length(label)": "label = substring(s, at + 2, length(label))"}  # or the word's own deleted
-    ends = F.array_compact(F.array(*[F.expr(f"case when {how} and {end} <= size and {_leads(f'({end})')} then {end} end") for end, how in to.items()]))
-    more = met.select("side", "s", "size", F.explode(ends).alias("at"), F.col("child").alias("node"))
+    # what a state or an edge knows alone is cut before they meet, as there are many more pairs
+    here = states.select("*", F.expr("substring(s, at + 1, 1)").alias("own"), F.expr("substring(s, at + 1)").alias("rest"),
+                         F.expr("substring(s, at + 2)").alias("later"))
+    there = edges.select("*", F.expr("substring(label, 2)").alias("tail"), F.length("label").alias("letters"))
+    met = here.join(there, "node").where("letter <> own")
+    to = {"at + letters": "at < size and startswith(later, tail)",  # the first letter replaced,
+          "at + letters - 1": "startswith(rest, tail)",  # or inserted
+          "at + 1 + letters": "startswith(later, label)"}  # or the word's own deleted
+    ends = F.array(*[F.expr(f"case when {how} and {_leads(f'({end})')} then {end} end") for end, how in to.items()])
+    more = met.select("side", "s", "size", F.explode(ends).alias("at"), F.col("child").alias("node")).where("at is not null")
     return shorter.select(*more.columns).union(more)
 
 

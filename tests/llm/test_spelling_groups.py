@@ -108,3 +108,25 @@ def test_chains_of_forms(spark):
 def test_empty(spark):
     assert op.spelling_groups(no_documents(spark)).collect() == []
     assert op.spelling_groups(frame(spark, [(1, None), (None, ""), (2, "12 34")])).collect() == []
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_and_pairs_are_cheap(spark):
+    """A short run never becomes a row, and a pair of state and edge calls no function on an array."""
+    docs = frame(spark, [(1, "a to the house houses horse")])
+    assert "{5,}" in plan(op.word_counts(docs, 5, 1, 97))
+    paths = op.written(op.spines(spark.createDataFrame([("house",), ("houses",), ("horse",)], "word string")), "test-paths")
+    started = op._started(paths, op.written(op.trie(paths), "test-edges"))
+    assert started.count() and "lambda" not in plan(started)
+
+
+def test_capitals_of_all_kinds(spark):
+    """Only A-Z are lower-cased, in runs of any letters and of any least length."""
+    texts = ["ÉCOLE École école ecole ECOLE Ecole", "Straße STRASSE straÞe µÀÿ aÀB Ab aB É e E ×÷ ×a÷"]
+    rows = [(i, t) for i in range(40) for t in texts]
+    for least_length in (0, 1, 3, 5):
+        k = {"least_length": least_length, "drop": 5}
+        assert got(op.spelling_groups(frame(spark, rows), **k)) == brute(rows, **k)
