@@ -55,23 +55,23 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; the component is its
     smallest node. ``edges`` has long columns a and b.
 
-    Tasks first contract their own edges; then every node's larger neighbours
-    are tied to its smallest one, and its smaller neighbours likewise, in turn,
-    until nothing changes. All aggregates are partial before they shuffle, and
-    each round is written to the shared folder."""
+    Tasks first contract their own edges, so that a node has one smaller neighbour
+    a task at most. Then, until the whole is stars: every node's larger neighbours
+    are tied to its smallest one, and the edges of a node, dealt by their larger end,
+    are contracted in one task. The smallest neighbours come from a partial aggregate
+    and also tell whether anything is left to do, so a finished table costs one
+    shuffle, not a round of them. Each step is written to the shared folder."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     now = written(edges.where("a <> b").mapInArrow(_contract, EDGES), "stars")
-    mark = None
+    node, other = F.col("node"), F.col("other")
     while True:
-        both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        ties = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        now = written(ties.where("a <> b").distinct().mapInArrow(_contract, EDGES), "stars")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(
-                now.select("b", "b").distinct())
-        mark = tuple(seen)
+        both = now.toDF("node", "other").union(now.select("b", "a"))
+        # of a node: a smaller and a larger neighbour; several smaller ones
+        low = written(both.groupBy("node").agg(F.min("other").alias("m"), F.max("other").alias("top"), F.max(F.when(other < node, other)).alias("near"))
+                      .select("node", F.least("node", "m").alias("component"), ((F.col("m") < node) & (F.col("top") > node)).alias("between"),
+                              F.coalesce(F.col("near") > F.col("m"), F.lit(False)).alias("several")), "smallest")
+        if low.where("between or several").isEmpty():
+            return low.select("node", "component")
+        up = low.where("between").select(F.col("node").alias("b"), F.col("component").alias("m"))
+        tied = now.join(up, "b", "left").select("a", F.coalesce("m", "b").alias("b"))
+        now = written(tied.repartition(parts, "a").mapInArrow(_contract, EDGES), "stars")

@@ -5,7 +5,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from dayledger.llm import graph
 from dayledger.llm import op4_signature_tree as op
+from dayledger.llm.common import written
 from dayledger.llm.graph import Sets, components
 from tests.llm.common import no_documents, odd_documents, words
 
@@ -87,6 +89,36 @@ def test_components_of_paths_and_stars(spark):
     assert got == {i: 0 for i in range(501)} | {i: 1000 for i in range(1000, 1400)} | {i: 3000 for i in (3000, 4000, 5000)}
 
 
+@pytest.mark.parametrize("parts,writes,shuffles", [(1, 2, 1), (6, 6, 5)])
+def test_components_shuffle_little(spark, monkeypatch, parts, writes, shuffles):
+    """Each shuffle has as many tasks as the session has partitions, whatever it
+    moves: a table of stars is found settled by one, and two rounds of two make
+    a star of a scattered family."""
+    seen = []
+
+    def counted(df, what):
+        seen.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return written(df, what)
+
+    monkeypatch.setattr(graph, "written", counted)
+    edges = spark.createDataFrame([(100 + i, i % 10) for i in range(120)] + [(1000, i) for i in range(10)], "a long, b long").repartition(parts)
+    got = {r[0]: r[1] for r in components(edges).collect()}
+    assert got == dict.fromkeys([*range(10), *range(100, 220), 1000], 0)
+    assert len(seen) <= writes and sum(seen) <= shuffles, seen
+
+
+def test_components_of_random_graphs(spark):
+    rnd = random.Random(7)
+    for links in (60, 150, 400):
+        edges = [(rnd.randrange(200), rnd.randrange(-100, 100)) for _ in range(links)] + [(5, None), (9999, 9999)]
+        sets = Sets()
+        for a, b in edges[:-2]:
+            sets.join(a, b)
+        want = {(x, sets.find(x)) for a, b in edges[:-2] if a != b for x in (a, b)}
+        got = [tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long").repartition(9)).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def meetings(docs, sizes, groups, block, percent=85):
     """The rows of one key that these documents hold."""
     n = len(docs)
