@@ -1,8 +1,12 @@
+import os
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from dayledger.llm import common
 from dayledger.llm import op13_bottom_sketches as op
 from tests.llm.common import no_documents, odd_documents
 from tests.llm.test_similarity import brute, near_copies
@@ -99,3 +103,17 @@ def test_forest_spans_groups():
     i, j, _ = block.pairs()
     tied = op.Block(rows, 128, 80).forest(i, j)
     assert len(tied) == 3 and {a for p in tied for a in p} <= set(range(6))
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """They go when the step ends, not when the driver collects its garbage."""
+    dirs = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    shuffles = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    setting = spark.conf.get(common.DROP_SETTING)
+    before = shuffles()
+    rows = common.written(spark.range(1000).repartition(6, "id").groupBy((F.col("id") % 7).alias("k")).count(), "step")
+    until = time.time() + 15
+    while shuffles() - before and time.time() < until:  # files are removed beside the job's end
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert rows.agg(F.sum("count")).first()[0] == 1000 and spark.conf.get(common.DROP_SETTING) == setting
